@@ -31,7 +31,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "10 * n_symbols > n_words"),
     ("word_length", "word_chars < 3 * n_words OR word_chars > 12 * n_words"),
-    ("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    ("repeated_lines", "2 * n_dup_lines > n_lines"),
     ("capitals", "n_upper > n_lower"),
 )
 

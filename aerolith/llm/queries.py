@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from aerolith.llm.common import table
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from aerolith.llm import bpe
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.round_trip_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "bpe.*")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import quality
 
@@ -39,12 +49,13 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words,
   FROM w LEFT JOIN dup USING (r) LEFT JOIN rep USING (r)),
 b AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
   + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN word_chars < 3 * n_words OR word_chars > 12 * n_words THEN 8 ELSE 0 END
-  + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END + CASE WHEN n_upper > n_lower THEN 32 ELSE 0 END)::BIGINT AS fail_bits FROM m)
+  + CASE WHEN 2 * n_dup_lines > n_lines THEN 16 ELSE 0 END + CASE WHEN n_upper > n_lower THEN 32 ELSE 0 END)::BIGINT AS fail_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept,
   n_lines, n_upper, n_lower, fail_bits FROM b
 """
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
