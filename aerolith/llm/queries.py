@@ -42,6 +42,48 @@ SELECT doc_id, size, source_size, target, list_sum([greatest(0, least(e * source
 """
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import warc
+
+    manifest = warc.write(table(spark, sf_dir, "pages"))
+    records = warc.read(manifest, payloads=False)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS first FROM p)
+SELECT page_id, n AS payload_bytes, h AS payload_digest, CASE WHEN n >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> first THEN first END AS refers_to FROM m
+"""
+
+#: Host, path and verdict of the rules of op5.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import urlfilter
+
+    judged = urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, column="v")
+    return judged.select("page_id", "v.*")
+
+
+OP5_SQL = r"""
+WITH p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+f AS (SELECT page_id, host, p.path, r.h || r.p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(r.h || r.p) DESC NULLS LAST) AS k
+  FROM p LEFT JOIN r ON (host = r.h OR host LIKE '%.' || r.h) AND starts_with(p.path, r.p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f WHERE k = 1
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import quality
 
@@ -81,10 +123,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op3_mixing": op3_mixing,
+    "op4_warc": op4_warc,
+    "op5_url_filter": op5_url_filter,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE = {
     "op3_mixing": OP3_SQL,
+    "op4_warc": OP4_SQL,
+    "op5_url_filter": OP5_SQL,
     "op10_quality_rules": OP10_SQL,
 }
