@@ -84,6 +84,17 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f WHERE k
 """
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from aerolith.llm import lm
+
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (part != 2).alias("train"))
+    scored = lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import quality
 
@@ -125,6 +136,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
+    "op7_lm_scoring": op7_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
 
