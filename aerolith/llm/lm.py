@@ -3,7 +3,9 @@
 A text is its lower-cased words and one end. Each word, with the mark of a word's start before it, is a lattice of all
 its segmentations into the pieces of an existing vocabulary; the forward recursion in log space sums them, so the score
 is the marginal log10 probability of the text under a unigram model of pieces. Characters that no piece covers are
-spelled by the vocabulary's byte pieces, so every text has a probability.
+spelled by the vocabulary's byte pieces, so every text has a probability. A word that the training texts hold has one
+arc more in its lattice, from end to end, weighed by its share of all training tokens; the arcs of pieces together get
+the share of tokens that were seen once (what Good and Turing expect of unseen ones).
 
 The vocabulary's own scores are where the weights start: they are the negative ranks of a BPE vocabulary, read as
 weights 1 / (1 + rank). One expectation step over all training words (forward and backward, each word's expected pieces
@@ -145,6 +147,12 @@ class Lattice:
             beta[i] = s if b == -math.inf else b + log1p(exp(s - b)) if s < b else s + log1p(exp(b - s))
 
 
+def token_log10(pieces_log10: float, count: int, total: int, unseen: float) -> float:
+    """A token's log10 probability: its own arc and the pieces' together."""
+    by_pieces = math.log10(unseen) + pieces_log10
+    return math.log10((1 - unseen) * count / total + 10**by_pieces) if count and unseen < 1 else by_pieces
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, trained, seen) of all words of docs(text, train): counts in training texts and in all texts."""
 
@@ -202,8 +210,9 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{train}`"), F.lit(False)).alias("train"))
     words = written(count_words(rows.select("text", "train")), "lm-counts")
     n_docs = rows.where("train").count()
-    total, distinct = words.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)).first()
+    total, distinct, once = words.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0), F.count_if(F.col("trained") == 1)).first()
     total, distinct = total + n_docs, distinct + (n_docs > 0)
+    unseen = (once + 1) / (total + 1)
 
     pieces = Pieces.load(vocabulary)
     model = spark.sparkContext.broadcast((pieces, learn_pieces(words, pieces, n_docs)))
@@ -211,7 +220,8 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)
         for batch in batches:
-            logs = pa.array([lattice.word_log10(x) for x in batch.column("word").to_pylist()], pa.float64())
+            pairs = zip(batch.column("word").to_pylist(), batch.column("trained").to_pylist(), strict=True)
+            logs = pa.array([token_log10(lattice.word_log10(x), c, total, unseen) for x, c in pairs], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, logs], ["word", "trained", "seen", "log10"])
 
     words = written(words.mapInArrow(scored, "word string, trained long, seen long, log10 double"), "lm-words")
@@ -224,7 +234,7 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
             break
         held, least = held + r.n, r.seen
     common = words.where(F.col("seen") >= least).select("word", "trained", "log10").toArrow()
-    table = spark.sparkContext.broadcast(({w.encode(): (c, p) for w, c, p in zip(*(common.column(k).to_pylist() for k in range(3)), strict=True)}, total, distinct, n_docs, model.value[1][pieces.end] / LOG10))
+    table = spark.sparkContext.broadcast(({w.encode(): (c, p) for w, c, p in zip(*(common.column(k).to_pylist() for k in range(3)), strict=True)}, total, distinct, n_docs, token_log10(model.value[1][pieces.end] / LOG10, n_docs, total, unseen)))
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter

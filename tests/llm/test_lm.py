@@ -55,6 +55,7 @@ def test_base_and_model_against_brute_force(spark, frequent):
     counts = Counter(w for k, (i, _) in enumerate(texts) if train[i] for w in words[k])
     n_docs = sum(train[i] for i, _ in texts)
     total, distinct = sum(counts.values()) + n_docs, len(counts) + 1
+    unseen = (sum(n == 1 for n in counts.values()) + 1) / (total + 1)
     pieces = lm.Pieces.load(PATH)
     into = [0.0] * len(pieces.weight)
     start = lm.Lattice(pieces, pieces.weight)
@@ -69,7 +70,10 @@ def test_base_and_model_against_brute_force(spark, frequent):
     expected = []
     for k, (i, _) in enumerate(texts):
         base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words[k]) + math.log10((n_docs + 1) / (total + distinct + 1))
-        model = sum(lattice.word_log10(w.decode()) for w in words[k]) + weight[pieces.end] / lm.LOG10
+        model = math.log10((1 - unseen) * n_docs / total + unseen * math.exp(weight[pieces.end]))
+        for w in words[k]:
+            sub = math.log10(unseen) + lattice.word_log10(w.decode())
+            model += math.log10((1 - unseen) * counts[w] / total + 10**sub) if counts[w] else sub
         expected.append((i or 0, train[i], len(words[k]) + 1, 1 + sum(counts[w] > 0 for w in words[k]), total, round(base, 8), round(model, 8)))
     assert sorted((r.id or 0, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8), round(r.score, 8)) for r in got) == sorted(expected)
 
