@@ -84,6 +84,15 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f WHERE k
 """
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import langid
+
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", (part == 0).alias("held_out"))
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.identify(docs.drop("lang"), model).select("doc_id", "held_out", "language.*")
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -136,6 +145,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
+    "op6_language_id": op6_language_id,
     "op7_lm_scoring": op7_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -289,8 +289,8 @@ def salvage(stream, size: int) -> Iterator[tuple[int, int, dict | str]]:
 
 
 def _each(archives: DataFrame, schema: str, pick) -> DataFrame:
-    """One task reads one archive at a time; archives are dealt out evenly."""
-    spread = archives.select("archive").repartition(F.col("archive"))
+    """Archives are dealt out one by one: their names are few bytes, so adaptive execution would put all in one task."""
+    spread = archives.select("archive").repartition(max(1, archives.count()))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
