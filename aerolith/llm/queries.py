@@ -104,6 +104,13 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import dedup_suffix
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_suffix.remove(docs, texts=False, column="r").select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import quality
 
@@ -147,6 +154,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op7_lm_scoring": op7_lm_scoring,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
