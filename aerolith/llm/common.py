@@ -39,11 +39,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df, computed once and cut from its lineage: a Parquet table in the shared folder."""
+    """df, computed once and cut from its lineage: a Parquet table in the shared folder. The shuffle files of the
+    query that makes it are removed when it is done; nothing else reads them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
