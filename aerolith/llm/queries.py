@@ -111,6 +111,27 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_suffix.remove(docs, texts=False, column="r").select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import jaccard
+
+    linked = jaccard.join(table(spark, sf_dir, "documents"))
+    return linked.select(F.col("id").alias("doc_id"), "class_id", "n_links", "component_id", F.col("first").alias("kept"))
+
+
+#: All pairs that share an n-gram, counted.
+OP9_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
+s AS (SELECT doc_id, count(*) AS n, md5(string_agg(x, chr(10) ORDER BY x)) AS h FROM g GROUP BY doc_id),
+l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.x = b.x AND a.doc_id <> b.doc_id JOIN s sa ON sa.doc_id = a.doc_id JOIN s sb ON sb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 9 * count(*) >= 4 * (any_value(sa.n) + any_value(sb.n))),
+reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM reach GROUP BY a), k AS (SELECT a, count(*) AS n FROM l GROUP BY a), m AS (SELECT h, min(doc_id) AS class_id FROM s GROUP BY h)
+SELECT d.doc_id, coalesce(m.class_id, d.doc_id) AS class_id, coalesce(k.n, 0)::BIGINT AS n_links, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(c.low, d.doc_id) AS kept FROM d LEFT JOIN s USING (doc_id) LEFT JOIN m USING (h) LEFT JOIN k ON k.a = d.doc_id LEFT JOIN c ON c.a = d.doc_id
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import quality
 
@@ -155,6 +176,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_lm_scoring": op7_lm_scoring,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 
@@ -162,5 +184,6 @@ ORACLE = {
     "op3_mixing": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op5_url_filter": OP5_SQL,
+    "op9_jaccard_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
 }
