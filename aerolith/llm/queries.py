@@ -18,6 +18,25 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "bpe.*")
 
 
+def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import vectors
+
+    linked = vectors.link(table(spark, sf_dir, "embeddings"))
+    return linked.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+#: Every vector against every other one.
+OP2_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL),
+u AS (SELECT vec_id, x FROM v WHERE len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND list_sum(list_transform(x, lambda c: c * c)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS low FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) AS component_id, e.vec_id <= coalesce(c.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import mixing
 
@@ -120,7 +139,8 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: All pairs that share an n-gram, counted.
 OP9_SQL = r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS x FROM d),
 s AS (SELECT doc_id, count(*) AS n, md5(string_agg(x, chr(10) ORDER BY x)) AS h FROM g GROUP BY doc_id),
 l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.x = b.x AND a.doc_id <> b.doc_id JOIN s sa ON sa.doc_id = a.doc_id JOIN s sb ON sb.doc_id = b.doc_id
@@ -170,6 +190,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_vector_dedup": op2_vector_dedup,
     "op3_mixing": op3_mixing,
     "op4_warc": op4_warc,
     "op5_url_filter": op5_url_filter,
@@ -181,6 +202,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_vector_dedup": OP2_SQL,
     "op3_mixing": OP3_SQL,
     "op4_warc": OP4_SQL,
     "op5_url_filter": OP5_SQL,
