@@ -21,8 +21,11 @@ documents alone.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,7 +114,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     starts = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "id", "size", "tie")
     placed = dealt.withColumn("inside", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("nth", F.row_number().over(inside))
-    placed = placed.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("id", "source", "size", "bucket", "nth", (F.col("start") + F.col("inside")).alias("offset"))
+    placed = placed.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).select("id", "tie", "source", "size", "bucket", "nth", (F.col("start") + F.col("inside")).alias("offset"))
     known = plan.select(F.col("source").alias("s"), "source_no", "source_size", "target", "total", "slots", "taken_words")
     placed = placed.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     row_key = F.concat_ws("-", "source_no", "bucket", "nth")
@@ -129,6 +132,34 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source:
     return pieces.select("row_key", "epoch", "slot", "taken"), placed
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the start of word n + 1; null stays null."""
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, counts: pa.Array) -> pa.Array:
+        out = []
+        for x, k in zip(texts.to_pylist(), counts.to_pylist(), strict=True):
+            starts = None if x is None else [m.start() for m in islice(re.finditer(WORD, x), k, k + 1)]
+            out.append(x[: starts[0]] if starts else x)
+        return pa.array(out, pa.string())
+
+    return cut(text, n)
+
+
+def repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", column: str = "turn", **options) -> DataFrame:
+    """The mixed corpus: the rows of docs, each once for every repeat of its source's stream that takes words of it,
+    with a struct of epoch, taken (a repeat takes a document's first words) and size. Documents are joined with their
+    places by id and text; equal rows are told apart by a number, and which of them gets which makes no difference."""
+    pieces, placed = mix(docs, id_column, text, source, **options)
+    turns = pieces.groupBy("row_key", "epoch").agg(F.sum("taken").alias("taken")).join(placed.select("row_key", "id", "tie", "size"), "row_key")
+    turns = turns.groupBy("id", "tie", "row_key").agg(F.sort_array(F.collect_list(F.struct("epoch", "taken", "size"))).alias("turns"))
+    turns = turns.select(F.col("id").alias("__i"), F.col("tie").alias("__t"), "turns", F.row_number().over(Window.partitionBy("id", "tie").orderBy("row_key")).alias("__n"))
+    keyed = docs.withColumn("__tie", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    keyed = keyed.withColumn("__nth", F.row_number().over(Window.partitionBy(F.col(f"`{id_column}`"), "__tie").orderBy(F.lit(1))))
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col("__i")) & (F.col("__tie") == F.col("__t")) & (F.col("__nth") == F.col("__n"))
+    return keyed.join(turns, same).withColumn(column, F.explode("turns")).drop("__tie", "__nth", "__i", "__t", "__n", "turns")
+
+
 def taken(docs: DataFrame, **options) -> DataFrame:
     """One row for each document: id, size, source, source_size, target, taken (words, repeats counted)."""
     pieces, placed = mix(docs, **options)
