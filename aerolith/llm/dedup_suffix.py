@@ -40,7 +40,7 @@ from aerolith.llm.common import deleted, small_pieces, written
 
 DEPTH = 400
 ANCHOR = 100
-BUCKET_CONTEXTS = 256
+BUCKET_CONTEXTS = 4096
 PERIOD = 32
 #: A difference cover modulo 32: every residue is a difference of two of these.
 COVER = (0, 1, 2, 3, 7, 11, 19)
@@ -134,7 +134,7 @@ def _ranked(*keys: np.ndarray) -> np.ndarray:
     for key in keys:
         held = key[order]
         change[1:] |= held[1:] != held[:-1]
-    ranks = np.empty(len(order), np.int64)
+    ranks = np.empty(len(order), np.int32)
     ranks[order] = np.cumsum(change)
     return ranks
 
@@ -147,6 +147,11 @@ class CoverRanks:
         self.texts = texts
         self.level: dict[tuple[int, int], np.ndarray] = {}
 
+    def forget(self, before: int) -> None:
+        """Drop the ranks of positions that are not needed any more."""
+        for key in [k for k in self.level if k[0] < before]:
+            del self.level[key]
+
     def words(self, at: int, n: int) -> np.ndarray:
         part = np.zeros((len(self.texts), 8), np.uint8)
         part[:, :n] = self.texts[:, at : at + n]
@@ -187,6 +192,7 @@ def sort_buckets(buckets: list[int], texts: list[bytes], anchor_at: list[int], d
         if len(rows) < 2:
             continue
         shift = cover_shift(at)
+        cover.forget(at)
         keys = [own[rows]]
         keys += [cover.words(at + b, min(8, shift - b))[rows] for b in range(0, shift, 8)]
         keys.append(cover.ranks(at + shift, depth - shift)[rows])
@@ -197,7 +203,7 @@ def sort_buckets(buckets: list[int], texts: list[bytes], anchor_at: list[int], d
 
 HITS = "anchor long, context long, spans binary"
 #: Contexts whose buckets are sorted side by side.
-BATCH_CONTEXTS = 2000
+BATCH_CONTEXTS = 1000
 
 
 def _spans(hit: np.ndarray) -> bytes:
