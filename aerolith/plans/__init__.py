@@ -1 +1,13 @@
+"""Queries over whole tables."""
 
+from __future__ import annotations
+
+from aerolith.plans import catalog, events
+
+
+def all_queries():
+    return dict(catalog.QUERIES)
+
+
+def all_oracles():
+    return dict(catalog.ORACLE)
