@@ -27,6 +27,11 @@ def found(c: Column, regex: str, group: int = 1) -> Column:
     return F.when(c.rlike(regex) & (F.regexp_extract(c, regex, 0) != ""), F.when(whole != "", whole))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value computed once: keeps expressions small that need a value many times."""
+    return F.transform(F.array(value), use)[0]
+
+
 def chain(c: Column, *steps: tuple[str, str]) -> Column:
     """regexp_replace, one after the other."""
     for regex, by in steps:

@@ -4,12 +4,13 @@ calendar arithmetic has it."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import SPACE, chain, found, looked_up
+from aerolith.functions.core import SPACE, chain, found, given, let, looked_up
 from aerolith.rules import tables as T
 
 DASH = "[-–—]"
@@ -28,23 +29,32 @@ def running_date(year: Column, month: Column, day: Column) -> Column:
 
 
 def _midnight(year: Column, month: Column, day: Column) -> Column:
-    year = year.try_cast("int")
-    return running_date(F.when(year.between(1900, 2100), year), month.try_cast("int"), day.try_cast("int"))
+    parts = F.array(year.try_cast("int"), month.try_cast("int"), day.try_cast("int"))
+    return let(parts, lambda p: running_date(F.when(p[0].between(1900, 2100), p[0]), p[1], p[2]))
 
 
 def _range(start: Column, end: Column) -> Column:
-    return F.when(start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end")))
+    return let(F.struct(start.alias("start"), end.alias("end")), lambda r: F.when(r["start"].isNotNull() & r["end"].isNotNull(), r))
+
+
+def _given_to(make):
+    return lambda groups: make(lambda k: given(groups[k - 1]))
 
 
 def _cases(text: Column, *cases) -> Column:
     """The range of the first pattern that matches; each case is (pattern, function of groups)."""
     out = None
     for regex, make in cases:
-        group = lambda k, regex=regex: found(text, regex, k)
-        out = F.when(text.rlike(regex), make(group)) if out is None else out.when(text.rlike(regex), make(group))
+        groups = F.array(*[F.regexp_extract(text, regex, k + 1) for k in range(re.compile(regex).groups)])
+        made = let(groups, _given_to(make))
+        out = F.when(text.rlike(regex), made) if out is None else out.when(text.rlike(regex), made)
     return out
 
 
+def _once(text: Column, *cases) -> Column:
+    return let(text, lambda t: _cases(t, *cases))
+
+
 def german_date(c: Column) -> Column:
     """dd.mm.yyyy anywhere (the calendar isn't asked), m/yyyy, or a month's name and a year, as yyyy-mm-dd text."""
     full, slash, named = r"(\d{2})\.(\d{2})\.(\d{4})", r"^(\d{1,2})/(\d{4})$", r"([A-Za-zäöü]+)\s+(\d{4})"
@@ -71,10 +81,9 @@ def _spaced(c: Column) -> Column:
 
 def loose_german_range(c: Column) -> Column:
     """Also d. - d.m.yyyy and d.m. - d.m.yyyy, with more text behind."""
-    t = _spaced(c)
     end = r"(?![A-Za-z0-9_])"
-    return _cases(
-        t,
+    return _once(
+        _spaced(c),
         (rf"^(\d{{1,2}})\.?\s*{DASH}\s*(\d{{1,2}})\.\s*(\d{{1,2}})\.(\d{{4}}){end}", lambda g: _range(_midnight(g(4), g(3), g(1)), _midnight(g(4), g(3), g(2)))),
         (rf"^(\d{{1,2}})\.(\d{{1,2}})\.?(\d{{4}})?\s*{DASH}\s*(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}}){end}", lambda g: _range(_midnight(F.coalesce(g(3), g(6)), g(2), g(1)), _midnight(g(6), g(5), g(4)))),
         (rf"^(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}}){end}", lambda g: _range(_midnight(g(3), g(2), g(1)), _midnight(g(3), g(2), g(1)))),
@@ -87,18 +96,19 @@ def _english(name: Column) -> Column:
 
 def yearless_range(c: Column, now: Column) -> Column:
     """d month, d - d month, d month - d month: this year, or the next if the start is more than 30 days past."""
-    t = _spaced(c)
     now_year = F.year(now)
 
     def of(month1, day1, month2, day2):
-        d1, d2 = day1.try_cast("int"), day2.try_cast("int")
+        return let(F.array(month1, day1.try_cast("int"), month2, day2.try_cast("int")), lambda p: rolled(*[p[k] for k in range(4)]))
+
+    def rolled(month1, d1, month2, d2):
         here = F.date_add(F.make_date(now_year, F.coalesce(month1, F.lit(1)), F.lit(1)), F.coalesce(d1, F.lit(1)) - 1)
         past = here.cast("timestamp_ntz") < now.cast("timestamp_ntz") - F.expr("INTERVAL 30 DAYS")
         year = now_year + F.when(past, 1).otherwise(0)
         return _range(running_date(year, month1, d1), running_date(year + F.when(month2 < month1, 1).otherwise(0), month2, d2))
 
-    return _cases(
-        t,
+    return _once(
+        _spaced(c),
         (rf"^(\d{{1,2}})\s+([A-Za-z]+)\s*{DASH}\s*(\d{{1,2}})\s+([A-Za-z]+)$", lambda g: of(_english(g(2)), g(1), _english(g(4)), g(3))),
         (rf"^(\d{{1,2}})\s*{DASH}\s*(\d{{1,2}})\s+([A-Za-z]+)$", lambda g: of(_english(g(3)), g(1), _english(g(3)), g(2))),
         (r"^(\d{1,2})\s+([A-Za-z]+)$", lambda g: of(_english(g(2)), g(1), _english(g(2)), g(1))),
@@ -106,16 +116,15 @@ def yearless_range(c: Column, now: Column) -> Column:
 
 
 def _named(month1, day1, month2, day2, year) -> Column:
-    y = year.try_cast("int")
-    return _range(running_date(y, month1, day1.try_cast("int")), running_date(y, month2, day2.try_cast("int")))
+    parts = F.array(year.try_cast("int"), month1, day1.try_cast("int"), month2, day2.try_cast("int"))
+    return let(parts, lambda p: _range(running_date(p[0], p[1], p[2]), running_date(p[0], p[3], p[4])))
 
 
 def us_range(c: Column) -> Column:
     """Oct. 18-19, 2026 and the like; a month's name may end with a full stop."""
-    t = _spaced(F.regexp_replace(c, "[–—]", "-"))
     month = lambda name: _english(F.regexp_replace(name, r"\.", ""))
-    return _cases(
-        t,
+    return _once(
+        _spaced(F.regexp_replace(c, "[–—]", "-")),
         (r"^([A-Za-z]+\.?)\s+(\d{1,2})\s*-\s*([A-Za-z]+\.?)\s+(\d{1,2}),\s*(\d{4})$", lambda g: _named(month(g(1)), g(2), month(g(3)), g(4), g(5))),
         (r"^([A-Za-z]+\.?)\s+(\d{1,2})\s*-\s*(\d{1,2}),\s*(\d{4})$", lambda g: _named(month(g(1)), g(2), month(g(1)), g(3), g(4))),
         (r"^([A-Za-z]+\.?)\s+(\d{1,2}),\s*(\d{4})$", lambda g: _named(month(g(1)), g(2), month(g(1)), g(2), g(3))),
@@ -124,11 +133,10 @@ def us_range(c: Column) -> Column:
 
 def fair_range(c: Column) -> Column:
     """A fair's dates in English (April 22 - 25, 2026) or German (22. - 25. April 2026)."""
-    t = _spaced(F.regexp_replace(c, "[–—]", "-"))
     month = lambda name: looked_up(F.lower(name), T.FULL_GERMAN_MONTHS | T.ENGLISH_MONTHS)
     word = "([A-Za-zäöüÄÖÜ]+)"
-    return _cases(
-        t,
+    return _once(
+        _spaced(F.regexp_replace(c, "[–—]", "-")),
         (rf"^{word}\s+(\d{{1,2}})\s*-\s*(\d{{1,2}}),\s*(\d{{4}})$", lambda g: _named(month(g(1)), g(2), month(g(1)), g(3), g(4))),
         (r"^([A-Za-z]+)\s+(\d{1,2})\s*-\s*([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})$", lambda g: _named(month(g(1)), g(2), month(g(3)), g(4), g(5))),
         (r"^([A-Za-z]+)\s+(\d{1,2}),\s*(\d{4})$", lambda g: _named(month(g(1)), g(2), month(g(1)), g(2), g(3))),

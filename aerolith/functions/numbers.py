@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import SPACE, chain, found, pattern
+from aerolith.functions.core import SPACE, chain, found, let, pattern
 
 
 def leading_number(c: Column) -> Column:
@@ -20,11 +20,15 @@ def german_number(c: Column) -> Column:
 
 def parse_price(c: Column) -> Column:
     """A struct of amount and negotiable."""
+    return let(c, _price)
+
+
+def _price(c: Column) -> Column:
     negotiable = c.rlike(pattern("WVBW|WVHBW", "i"))
     bare = chain(c, ("€", ""), (pattern("W(VB|VHB|FP)W", "i"), ""), (",-", ""), (rf"{SPACE}+", ""))
-    german = bare.rlike(r"^\d{1,3}(\.\d{3})*(,\d{1,2})?$")
-    amount = F.when(german, german_number(bare)).otherwise(leading_number(bare))
-    return F.struct(F.when(bare != "", amount).alias("amount"), negotiable.alias("negotiable"))
+    german = lambda x: x.rlike(r"^\d{1,3}(\.\d{3})*(,\d{1,2})?$")
+    amount = let(bare, lambda x: F.when(german(x), german_number(x)).when(x != "", leading_number(x)))
+    return F.struct(amount.alias("amount"), negotiable.alias("negotiable"))
 
 
 def extract_number(c: Column) -> Column:
@@ -50,8 +54,7 @@ def price_in_text(c: Column) -> Column:
     raw = F.lit(None).cast("string")
     for regex in reversed(_PRICES):
         raw = F.when(c.rlike(regex), F.concat(F.lit("€"), F.regexp_extract(c, regex, 1), F.lit(" "), F.regexp_extract(c, regex, 2))).otherwise(raw)
-    price = parse_price(raw)
-    return F.struct(F.when(price["amount"] != 0, price["amount"]).alias("amount"), (phrase | F.coalesce(price["negotiable"], F.lit(False))).alias("negotiable"))
+    return let(parse_price(raw), lambda p: F.struct(F.when(p["amount"] != 0, p["amount"]).alias("amount"), (phrase | F.coalesce(p["negotiable"], F.lit(False))).alias("negotiable")))
 
 
 def card_price(c: Column) -> Column:

@@ -57,7 +57,7 @@ def manufacturer(df: DataFrame, key: str, title: str, makers: DataFrame, name: s
 def _whole_word(text: Column, word: Column) -> Column:
     quoted = F.regexp_replace(word, r"([.*+?^$\{}()|\[\]\\])", r"\\$1")
     edge = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
-    return text.rlike(F.concat(F.lit(edge), quoted, F.lit(edge)))
+    return F.regexp_like(text, F.concat(F.lit(edge), quoted, F.lit(edge)))
 
 
 def spec_score(text: Column, maker: Column, model: Column, variant: Column) -> Column:
@@ -96,7 +96,7 @@ def headline_models(df: DataFrame, key: str, headline: str, maker: str | None, s
     own = F.lower(F.col(maker)) if maker else F.lit(None).cast("string")
     low = df.select(F.col(key), F.concat(F.lit(" "), F.lower(F.col(headline)), F.lit(" ")).alias("__hay"), own.alias("__own"))
     quoted = F.regexp_replace(F.col("__name"), r"([.*+?^$\{}()|\[\]\\])", r"\\$1")
-    whole = F.col("__hay").rlike(F.concat(F.lit("[^a-z0-9]"), quoted, F.lit("[^a-z0-9]")))
+    whole = F.regexp_like(F.col("__hay"), F.concat(F.lit("[^a-z0-9]"), quoted, F.lit("[^a-z0-9]")))
     pairs = containing(low, "__hay", dim, "__name", whole & (F.col("__own").isNull() | (F.col("__own") == F.col("__mk"))))
     return pairs.groupBy(key).agg(F.min(F.struct((-F.length("__full")).alias("l"), F.col("__o"), F.col("__full").alias("f"))).alias("b")).select(key, F.col("b.f").alias("model"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolith.plans import catalog, events
+from aerolith.plans import catalog, events, listings
 
 
 def all_queries():
