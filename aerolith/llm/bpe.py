@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 import ahocorasick
 import numpy as np
@@ -27,10 +27,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.llm.common import take_over, values
+
 #: A vocabulary file is read on the driver and broadcast; one that is larger than this is refused.
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Encoded pieces and pair answers that a worker remembers before it starts anew.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 200_000
 NONE = -1
 
 
@@ -165,6 +167,7 @@ _codecs: dict[str, Codec] = {}
 
 def codec_of(data: bytes, pattern: str) -> Codec:
     """The codec of a vocabulary file's bytes, built once in each Python process."""
+    take_over("bpe", _codecs.clear)
     key = hashlib.sha256(data + pattern.encode()).hexdigest()
     if key not in _codecs:
         _codecs.clear()
@@ -181,17 +184,13 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(data)
 
 
-def _strings(column: pa.Array) -> Sequence[str | None]:
-    return column.cast(pa.large_string()).to_pylist() if pa.types.is_large_string(column.type) else column.to_pylist()
-
-
 def encoded(text: Column, vocab, pattern: str) -> Column:
     """array<int> of the ids of a text column."""
 
     @F.arrow_udf("array<int>")
     def bpe_encode(column: pa.Array) -> pa.Array:
         codec = codec_of(vocab.value, pattern)
-        packed = [codec.encode_packed(x or "") for x in _strings(column)]
+        packed = [codec.encode_packed(x or "") for x in values(column)]
         offsets = np.cumsum([0, *(len(x) // 4 for x in packed)])
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
 
@@ -204,7 +203,7 @@ def decoded(ids: Column, vocab, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def bpe_decode(column: pa.Array) -> pa.Array:
         codec = codec_of(vocab.value, pattern)
-        return pa.array([codec.decode(x or ()) for x in column.to_pylist()], pa.binary())
+        return pa.array([codec.decode(x or ()) for x in values(column)], pa.binary())
 
     return bpe_decode(ids)
 
@@ -228,7 +227,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, text: str = "te
     def bpe_digests(column: pa.Array) -> pa.Array:
         codec = codec_of(vocab.value, pattern)
         n, ids, back = [], [], []
-        for x in _strings(column):
+        for x in values(column):
             packed = codec.encode_packed(x or "")
             n.append(len(packed) // 4)
             ids.append(hashlib.sha256(packed).hexdigest())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 import tempfile
 import uuid
@@ -66,12 +68,29 @@ def deleted(df: DataFrame) -> None:
             there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
-def byte_rows(batch: pa.RecordBatch, name: str) -> list[bytes]:
-    """A binary or string column as Python bytes, null as empty."""
-    column = batch.column(batch.schema.get_field_index(name))
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
-    return [x or b"" for x in column.to_pylist()]
+_held: list = [None, None]
+
+
+def take_over(operator: str, forget) -> None:
+    """Called by a Python worker when it starts an operator's task: what another operator has remembered in this
+    process, which Spark reuses, is forgotten, so that caches of several operators never add up."""
+    if _held[0] != operator:
+        if _held[1] is not None:
+            _held[1]()
+        _held[:] = operator, forget
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+
+
+def values(column: pa.Array, most_bytes: int = 4 << 20) -> Iterator:
+    """The Python values of an Arrow column, made a few megabytes at a time."""
+    step = max(1, len(column) * most_bytes // max(column.nbytes, 1))
+    for at in range(0, len(column), step):
+        yield from column.slice(at, step).to_pylist()
 
 
 def pieces(batch: pa.RecordBatch, most_bytes: int = 8 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:

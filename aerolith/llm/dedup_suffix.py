@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import deleted, small_pieces, written
+from aerolith.llm.common import deleted, small_pieces, take_over, values, written
 
 DEPTH = 400
 ANCHOR = 100
@@ -103,6 +103,7 @@ CONTEXTS = "k1 long, k2 long, anchor long, context long, first int, last int, at
 
 def _contexts(depth: int, anchor: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("dedup_suffix", dict)
         for batch in small_pieces(batches):
             columns: list[list] = [[] for _ in range(7)]
             for text, k1, k2 in zip(batch.column("text").to_pylist(), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True):
@@ -340,8 +341,9 @@ def remove(docs: DataFrame, text: str = "text", column: str = "repeats", depth:
 
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<struct<from: int, to: int>>, kept binary")
     def cut(column: pa.Array, spans: pa.Array) -> pa.Array:
+        take_over("dedup_suffix", dict)
         rows = []
-        for x, s in zip(column.to_pylist(), spans.to_pylist(), strict=True):
+        for x, s in zip(values(column), spans.to_pylist(), strict=True):
             runs = covered(len(x), s, depth)
             kept = x
             if len(runs):

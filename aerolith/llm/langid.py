@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import small_pieces
+from aerolith.llm.common import small_pieces, take_over, values
 
 SAMPLE_DOCS = 1500
 MOST_ENTRIES = 300_000
@@ -155,12 +155,13 @@ def identified(text: Column, model: Model, spark) -> Column:
 
     @F.arrow_udf("lang_pred string, score double")
     def language(column: pa.Array) -> pa.Array:
+        take_over("langid", models.clear)
         if not models:
             languages, logs = shared.value
             own = Model(languages, [])
             own.logs = logs
             models[0] = own
-        found = [models[0].predict(x) for x in column.to_pylist()]
+        found = [models[0].predict(x) for x in values(column)]
         return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["lang_pred", "score"])
 
     return language(text)

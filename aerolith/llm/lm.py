@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import small_pieces, written
+from aerolith.llm.common import small_pieces, take_over, written
 
 #: Words that are broadcast, at most.
 FREQUENT = 1 << 17
@@ -159,6 +159,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
+        take_over("lm", dict)
         seen: list[Counter] = [Counter(), Counter()]
 
         def out() -> Iterator[pa.RecordBatch]:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith.llm.common import take_over, values
+
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_lower")
 SYMBOLS = b"#*$%&|<>"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -83,7 +85,8 @@ def measure_text(text: bytes) -> tuple[int, ...]:
 
 
 def _struct(column: pa.Array) -> pa.Array:
-    rows = [measure_text(x or b"") for x in column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()]
+    take_over("quality", dict)
+    rows = [measure_text(x or b"") for x in values(column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()))]
     return pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (zip(*rows, strict=True) if rows else [[]] * len(MEASURES))], list(MEASURES))
 
 
