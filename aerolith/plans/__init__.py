@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolith.plans import catalog, events, listings
+from aerolith.plans import catalog, events, listings, pages
 
 
 def all_queries():
