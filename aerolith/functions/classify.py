@@ -75,7 +75,7 @@ def venue_country(c: Column) -> Column:
     """A struct of city and country code of `city, country`; XX for unknown ones."""
     from aerolith.functions.text import clean_text
 
-    parts = F.filter(F.transform(F.split(clean_text(c), ","), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(clean_text(c), ","), lambda x: F.trim(x)), lambda x: x != "")
     n = F.size(parts)
     code = looked_up(F.lower(F.try_element_at(parts, F.lit(-1))), T.VENUE_COUNTRY_ISO, "XX")
     return F.struct(F.when(n >= 2, parts[0]).alias("city"), code.alias("country"))

@@ -31,7 +31,7 @@ def parsed_rule(rule: Column) -> Column:
     """A struct of freq, interval, count, until, byday (prefix, weekday) and bymonthday."""
     freq = F.upper(_value(rule, "FREQ"))
     entry = r"^([+-]?\d{1,2})?(SU|MO|TU|WE|TH|FR|SA)$"
-    days = F.filter(F.transform(F.split(F.upper(_value(rule, "BYDAY")), ","), F.trim), lambda x: x.rlike(entry))
+    days = F.filter(F.transform(F.split(F.upper(_value(rule, "BYDAY")), ","), lambda x: F.trim(x)), lambda x: x.rlike(entry))
     names = F.array(*[F.lit(x) for x in WEEKDAYS])
     byday = F.transform(days, lambda x: F.struct(F.coalesce(F.regexp_extract(x, entry, 1).try_cast("int"), F.lit(0)).alias("prefix"), (F.array_position(names, F.regexp_extract(x, entry, 2)) - 1).cast("int").alias("weekday")))
     numbers = F.transform(F.split(_value(rule, "BYMONTHDAY"), ","), lambda x: F.regexp_extract(x, r"^\s*([+-]?\d+)", 1).try_cast("int"))

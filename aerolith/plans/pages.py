@@ -29,12 +29,12 @@ def clean_text_pages(spark, folder):
     return _pages(spark, folder).select("page_id", X.clean_text(F.col("html")).alias("text"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), 'javascript:', '', 'gi'), 'on\w+\s*=', '', 'gi'), E' \t\n\r\f\v') AS text FROM pages")
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), 'javascript:', '', 'gi'), 'on\w+\s*=', '', 'gi'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM pages")
 def sanitize_pages(spark, folder):
     return _pages(spark, folder).select("page_id", X.sanitize(F.col("html")).alias("text"))
 
 
-@query(r"""WITH b AS (SELECT page_id, unnest(regexp_split_to_array(html, '(?i)<p>|<hr\s*/?>|\*\s*\*\s*\*')) AS b FROM pages), v AS (SELECT page_id, b, length(trim(regexp_replace(b, '<[^>]+>', '', 'g'), E' \t\n\r\f\v')) AS n FROM b)
+@query(r"""WITH b AS (SELECT page_id, unnest(regexp_split_to_array(html, '(?i)<p>|<hr\s*/?>|\*\s*\*\s*\*')) AS b FROM pages), v AS (SELECT page_id, b, length(trim(regexp_replace(b, '<[^>]+>', '', 'g'), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS n FROM b)
 SELECT page_id, count(*) AS n_blocks, sum(n)::BIGINT AS visible, md5(string_agg(md5(b), ',' ORDER BY md5(b))) AS digest FROM v WHERE n > 50 GROUP BY page_id""")
 def page_blocks(spark, folder):
     parts = X.blocks(F.regexp_replace("html", "(?i)<p>", "<hr>"))
@@ -103,9 +103,9 @@ def image_struct(spark, folder):
 SENTENCES = r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))"
 
 
-@query(rf"""WITH s AS (SELECT doc_id, {SENTENCES.replace('(text,', "(trim(text, E' \\t\\n\\r\\f\\v'),")} AS p FROM documents), u AS (SELECT doc_id, unnest(p) AS s, generate_subscripts(p, 1) AS i FROM s),
+@query(rf"""WITH s AS (SELECT doc_id, {SENTENCES.replace('(text,', "(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),")} AS p FROM documents), u AS (SELECT doc_id, unnest(p) AS s, generate_subscripts(p, 1) AS i FROM s),
 k AS (SELECT *, trim(regexp_replace(lower(s), '\s+', ' ', 'g')) AS key FROM u), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY i) AS n FROM k)
-SELECT doc_id, md5(trim(string_agg(s, ' ' ORDER BY i), E' \t\n\r\f\v')) AS digest, count(*) AS n_sentences FROM r WHERE length(key) < 20 OR n = 1 GROUP BY doc_id""")
+SELECT doc_id, md5(trim(string_agg(s, ' ' ORDER BY i), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS digest, count(*) AS n_sentences FROM r WHERE length(key) < 20 OR n = 1 GROUP BY doc_id""")
 def sentence_dedup(spark, folder):
     d = _docs(spark, folder)
     out = X.deduplicate_description(F.col("text"))
@@ -115,7 +115,7 @@ def sentence_dedup(spark, folder):
     return d.select("doc_id", F.md5(out).alias("digest"), once.cast("long").alias("n_sentences"))
 
 
-@query("SELECT doc_id, CASE WHEN length(trim(text, E' \\t\\n\\r\\f\\v')) >= 50 AND length(text) >= 60 THEN trim(text, E' \\t\\n\\r\\f\\v') ELSE text || E'\\n-----\\n' || text || E'\\n' END AS text FROM documents WHERE NOT regexp_matches(text, '[-_]{3,}')")
+@query("SELECT doc_id, CASE WHEN length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) >= 50 AND length(text) >= 60 THEN trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE text || E'\\n-----\\n' || text || E'\\n' END AS text FROM documents WHERE NOT regexp_matches(text, '[-_]{3,}')")
 def language_block_strip(spark, folder):
     """Each text followed by a mark and itself: the first block is left, if it has 50 characters."""
     doubled = F.concat(F.col("text"), F.lit("\n-----\n"), F.col("text"), F.lit("\n"))
@@ -123,7 +123,7 @@ def language_block_strip(spark, folder):
     return d.select("doc_id", F.when(F.length("text") >= 60, X.strip_language_blocks(doubled)).otherwise(doubled).alias("text"))
 
 
-@query(r"SELECT doc_id, nullif(regexp_extract(text, '[\w.+-]+@[\w-]+\.[\w.-]*\w'), '') AS email, CASE WHEN regexp_matches(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*[\d\s/+()-]{7,20}') THEN trim(regexp_extract(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*([\d\s/+()-]{7,20})', 1), E' \t\n\r\f\v') END AS phone FROM documents")
+@query(r"SELECT doc_id, nullif(regexp_extract(text, '[\w.+-]+@[\w-]+\.[\w.-]*\w'), '') AS email, CASE WHEN regexp_matches(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*[\d\s/+()-]{7,20}') THEN trim(regexp_extract(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*([\d\s/+()-]{7,20})', 1), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) END AS phone FROM documents")
 def contact_extract(spark, folder):
     """Addresses obfuscated with [at], then found and decoded again."""
     hidden = F.regexp_replace(F.regexp_extract("text", r"[\w.+-]+@[\w-]+\.[\w.-]*\w", 0), "@", " [at] ")
@@ -177,7 +177,7 @@ def unchanged_by_hash(spark, folder):
     return dedup.unchanged(d, known, "doc_id", "digest").select("doc_id", "unchanged")
 
 
-@query("SELECT left(lower(trim(text, E' \\t\\n\\r\\f\\v')), 30) AS start, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE length(trim(text, E' \\t\\n\\r\\f\\v')) >= 10 GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT left(lower(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))), 30) AS start, count(*) AS n, min(doc_id) AS first_id FROM documents WHERE length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) >= 10 GROUP BY 1 HAVING count(*) > 1")
 def title_prefix_dups(spark, folder):
     """Texts that start alike: the fuzzy rule compares the first 30 characters."""
     whole = F.regexp_replace("text", r"^\s+|\s+$", "")

@@ -216,3 +216,6 @@ PART_BRANDS = (
     "Rotax", "BRP", "Garmin", "Becker", "Junkers", "Trig", "Funkwerk", "Bose", "David Clark", "Sennheiser", "Dynon", "MGL", "FLARM", "Junkers Profly",
     "Fresh Breeze", "Parajet", "Nirvana", "Vittorazi", "Polini", "Cors-Air", "HKS", "Simonini", "Bailey", "Hirth",
 )
+
+# Sections of one event page by parts of their headings, in the order in which they are tried.
+EVENT_SECTIONS = (("luftfahrt messen", "trade-fair"), ("airshows", "airshow"), ("flugshows", "airshow"), ("fly-inn", "meetup"), ("pilotentreffen", "meetup"))
