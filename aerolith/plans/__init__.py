@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolith.plans import catalog, events, listings, pages
+from aerolith.plans import catalog, events, listings, pages, sources
 
 
 def all_queries():
