@@ -70,7 +70,7 @@ def schedule(plan: DataFrame) -> DataFrame:
     """(source, slot, rank) for every slot: plan has source, source_no, first_point and next_point, the whole numbers
     between which lie the source's points, and slot_bits. A slot's point is its number with the bits reversed."""
     points = plan.where("next_point > first_point").select("source_no", "slot_bits", F.explode(F.sequence(F.col("first_point"), F.col("next_point") - 1)).alias("point"))
-    slot = F.conv(F.reverse(F.lpad(F.bin("point"), F.col("slot_bits").cast("int"), "0")), 2, 10).cast("long")
+    slot = F.conv(F.reverse(F.lpad(F.bin("point"), F.greatest(F.col("slot_bits").cast("int"), F.lit(1)), "0")), 2, 10).cast("long")
     slots = points.select("source_no", slot.alias("slot")).withColumn("chunk", F.shiftright("slot", 10))
     counts = slots.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
