@@ -13,12 +13,12 @@ def outcomes(staged: DataFrame, target: DataFrame, key: str, digest: str | None
     """staged (the first row of each key by order) with outcome (inserted, updated, skipped) and reason (claimed,
     unchanged). target has key, is_external, claimed_at and, if asked for, the digest."""
     one = first_row(staged, [key], order) if order else staged.dropDuplicates([key])
-    side = target.select(F.col(key).alias("__k"), "is_external", "claimed_at", *([F.col(digest).alias("__d")] if digest else []))
+    side = target.select(F.col(key).alias("__k"), F.col("is_external").alias("__external"), F.col("claimed_at").alias("__claimed"), *([F.col(digest).alias("__d")] if digest else []))
     joined = one.join(side, F.col(key) == F.col("__k"), "left")
     same = F.coalesce(F.col("__d") == F.col(digest), F.lit(False)) if digest else F.lit(False)
     known = F.col("__k").isNotNull()
-    reason = F.when(known & is_claimed(), "claimed").when(known & same, "unchanged")
-    return joined.withColumn("reason", reason).withColumn("outcome", F.when(F.col("reason").isNotNull(), "skipped").when(known, "updated").otherwise("inserted")).drop("__k", "__d", "is_external", "claimed_at")
+    reason = F.when(known & is_claimed("__external", "__claimed"), "claimed").when(known & same, "unchanged")
+    return joined.withColumn("reason", reason).withColumn("outcome", F.when(F.col("reason").isNotNull(), "skipped").when(known, "updated").otherwise("inserted")).drop("__k", "__d", "__external", "__claimed")
 
 
 def snapshot(staged: DataFrame, target: DataFrame, key: str, changing: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ are dropped, as the sources' rules say; everything else is left to validation.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -276,11 +276,11 @@ def page_urls(source: str, first: Column, pages: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), pages - 1), lambda k: F.when(k == 0, first).otherwise(F.concat(first, sign, (k + start).cast("string"))))
 
 
-def events(landed: DataFrame, now: Column) -> DataFrame:
-    """Events of landed payloads (source, page_url, payload) of all sources that have a parser. A payload that is null
-    has no events."""
+def events(landed: DataFrame, now: Column, sources: Iterable[str] = tuple(PARSERS)) -> DataFrame:
+    """Events of landed payloads (source, page_url, payload) of these sources. A payload that is null has no events."""
     out = None
-    for source, parser in PARSERS.items():
+    for source in sources:
+        parser = PARSERS[source]
         pages = landed.where((F.col("source") == source) & F.col("payload").isNotNull()).select("page_url", "payload")
         found_ = parser(pages, now) if source == "iata.org" else parser(pages)
         out = found_ if out is None else out.unionByName(found_)
