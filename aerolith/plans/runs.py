@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import text as X
-from aerolith.functions.classify import aircraft_category, model_of_title, registration_category
+from aerolith.functions.classify import aircraft_category, is_clean_model, model_of_title, registration_category
 from aerolith.operators import dedup, match, merge, metrics, rows, upsert, validate
 from aerolith.operators.scratch import written
 from aerolith.plans.catalog import query
@@ -38,6 +38,11 @@ def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, catego
     best = match.best_spec(df.withColumn("__text", F.concat_ws(" ", "clean_title", "description", "engine")), "source_id", "__text", specs, "maker", "model", "variant", "ord")
     known = best.select(F.col("source_id").alias("__s"), F.concat_ws(" ", "model", F.when(F.col("variant") != "", F.col("variant"))).alias("__m"), F.col("category").alias("__c"))
     df = df.join(known, F.col("source_id") == F.col("__s"), "left").withColumn("model", model_of_title(F.col("clean_title"), F.col("manufacturer"), F.col("__m")))
+    # a model that still looks like a headline gives way to the longest known one in it
+    scanned = match.headline_models(df, "source_id", "clean_title", "manufacturer", specs, "maker", "model", "variant", "ord")
+    df = df.join(scanned.select(F.col("source_id").alias("__h"), F.col("model").alias("__f")), F.col("source_id") == F.col("__h"), "left")
+    raw = F.col("__m").isNull() & ((F.length("model") > 40) | (F.size(F.split("model", r"\s+")) > 4) | ~is_clean_model(F.col("model")))
+    df = df.withColumn("model", F.when(raw & (F.length("__f") <= 80), F.col("__f")).otherwise(F.col("model")))
     category = F.coalesce(registration_category(F.col("registration")), F.col("__c"), aircraft_category(F.col("source_url"), F.col("clean_title")))
     df = match.lookup(df.withColumn("category", category), {"category": "name"}, categories, "id", "category_id").withColumn("gate", validate.listing_reason())
     df = df.withColumn("description", merge.description_ladder(F.lit(None).cast("string"), F.col("description"), F.col("clean_title"), F.col("year")))

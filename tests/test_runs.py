@@ -33,7 +33,7 @@ def test_an_event_run_and_its_log(spark):
 def test_a_listing_run(spark):
     listings = _typed(spark.createDataFrame([
         ("1", "u", "s", "Cessna 172 Skyhawk", "Sehr gepflegtes Flugzeug", 1980, 1000.0, ["a.jpg"], "D-EABC"), ("2", "u", "s", "Cessna 172", "x", 1980, 1.0, [], None), ("3", "u", "s", "Cessna 172", "x", 0, 1.0, ["a.jpg"], None),
-        ("4", "u", "s", "912 ULS", "x", 1980, 1.0, ["a.jpg"], None), ("5", "u", "s", "Cessna 182", "Beschreibung fehlt nicht", 1990, None, ["a.jpg"], None),
+        ("4", "u", "s", "912 ULS", "x", 1980, 1.0, ["a.jpg"], None), ("5", "u", "s", "Cessna 182 Skylane", "Beschreibung fehlt nicht", 1990, None, ["a.jpg"], None),
     ], "source_id string, source_url string, source_name string, title string, description string, year int, price double, image_urls array<string>, registration string"), schemas.LISTING)
     makers = spark.createDataFrame([(7, "CESSNA")], "id int, name string")
     specs = spark.createDataFrame([("Cessna", "172", "Skyhawk", "Single Engine Piston", 1)], "maker string, model string, variant string, category string, ord int")
