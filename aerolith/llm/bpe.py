@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable
 
 import ahocorasick
@@ -32,7 +33,7 @@ from aerolith.llm.common import take_over, values
 #: A vocabulary file is read on the driver and broadcast; one that is larger than this is refused.
 MOST_VOCABULARY_BYTES = 64 << 20
 #: Encoded pieces and pair answers that a worker remembers before it starts anew.
-MOST_REMEMBERED = 200_000
+MOST_REMEMBERED = 400_000
 NONE = -1
 
 
@@ -42,15 +43,20 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class _Pieces(dict):
-    """Piece -> its ids as little-endian 32-bit numbers; encodes what it doesn't hold."""
+    """Piece -> its ids as little-endian 32-bit numbers; encodes what it doesn't hold. Two generations: when the young
+    one is full it becomes the old one, from which pieces that are still in use come back."""
 
     def __init__(self, codec: Codec):
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.codec.encode_piece(piece.encode()), "<u4").tobytes()
+        ids = self.old.get(piece)
+        if ids is None:
+            found = self.codec.encode_piece(piece.encode())
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(piece) <= 64:
-            if len(self) >= MOST_REMEMBERED:
+            if len(self) >= MOST_REMEMBERED // 2:
+                self.old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -62,13 +68,14 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.size = {rank: len(token) for token, rank in ranks.items()}
+        self.size = [0] * (max(ranks.values(), default=0) + 1)
+        self.shorter = [NONE] * len(self.size)
         self.pattern = regex.compile(pattern)
         self.tokens = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.tokens.add_word(token.decode("latin-1"), rank)
+            self.tokens.add_word(token.decode("latin-1"), (rank, len(token) - 1))
+            self.size[rank] = len(token)
         self.tokens.make_automaton()
-        self.shorter: dict[int, int] = {}
         for token, rank in ranks.items():
             cut = len(token) - 1
             while cut and token[:cut] not in ranks:
@@ -128,27 +135,32 @@ class Codec:
             return [whole]
         n = len(piece)
         longest = [NONE] * (n + 1)
-        size, shorter, compatible = self.size, self.shorter, self.compatible
-        for end, rank in self.tokens.iter(piece.decode("latin-1")):
-            longest[end - size[rank] + 1] = rank  # ends grow, so the last one seen is the longest
+        for end, (rank, before) in self.tokens.iter(piece.decode("latin-1")):
+            longest[end - before] = rank  # ends grow, so the last one seen is the longest
+        size, shorter, known, compatible = self.size, self.shorter, self.pairs.get, self.compatible
         alive = bytearray(b"\x01") * (n + 1)
         out: list[int] = []
-        at, rank = 0, longest[0]
+        at, rank, last = 0, longest[0], NONE
         while at < n:
-            last = out[-1] if out else NONE
-            while rank != NONE and not (alive[at + size[rank]] and (last == NONE or compatible(last, rank))):
+            while rank != NONE:
+                if alive[at + size[rank]]:
+                    if last == NONE:
+                        break
+                    fits = known(last << 32 | rank)
+                    if fits or (fits is None and compatible(last, rank)):
+                        break
                 rank = shorter[rank]
             if rank != NONE:
                 out.append(rank)
                 at += size[rank]
-                rank = longest[at]
+                last, rank = rank, longest[at]
             else:
                 if not out:
                     raise ValueError("the vocabulary lacks a byte of the text")
                 alive[at] = 0
-                out.pop()
-                at -= size[last]
-                rank = last
+                rank = out.pop()
+                at -= size[rank]
+                last = out[-1] if out else NONE
         return out
 
     def encode_packed(self, text: str) -> bytes:
