@@ -11,7 +11,7 @@ MOST_BYTES = 10 << 20
 
 def texts(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
     """(page_url, payload) of files, one payload each; the path stands for the URL. Bytes are decoded once, by the
-    charset that is known or as UTF-8."""
+    charset that is known or as UTF-8. Empty files have no row."""
     files = spark.read.format("binaryFile").load(path).where(F.col("length") <= MOST_BYTES)
     return files.select(F.col("path").alias("page_url"), decoded(F.col("content"), charset).alias("payload"))
 
