@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import SPACE, chain, found, given, looked_up, pattern, trimmed
+from aerolith.functions.core import SPACE, chain, found, given, let, looked_up, pattern, trimmed
 from aerolith.rules import tables as T
 
 
@@ -110,15 +110,12 @@ def blocks(html: Column, least: int = 50) -> Column:
 
 def _keep_first(parts: Column, least: int, key) -> Column:
     """An array without later elements whose key was seen; elements with keys shorter than `least` all stay."""
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.array().cast("array<string>").alias("seen"))
+    keyed = F.transform(parts, lambda x: F.struct(x.alias("x"), key(x).alias("k")))
 
-    def step(acc, x):
-        k = key(x)
-        short, seen = F.length(k) < least, F.array_contains(acc["seen"], k)
-        out = F.when(short | ~seen, F.concat(acc["out"], F.array(x))).otherwise(acc["out"])
-        return F.struct(out.alias("out"), F.when(short | seen, acc["seen"]).otherwise(F.concat(acc["seen"], F.array(k))).alias("seen"))
+    def kept(rows: Column) -> Column:
+        return let(F.transform(rows, lambda r: r["k"]), lambda keys: F.filter(rows, lambda r, i: (F.length(r["k"]) < least) | (F.array_position(keys, r["k"]) == i + 1)))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    return F.transform(let(keyed, kept), lambda r: r["x"])
 
 
 def deduplicate_description(c: Column) -> Column:
