@@ -35,7 +35,7 @@ def test_slugs(spark):
     assert each(spark, lambda c: X.slug(c, F.lit(0)), "Cessna 172") == ["cessna-172"]
     long = "wort " * 30
     (s,) = each(spark, X.slug, long)
-    assert s == "-".join(["wort"] * 15) and len(s) <= 80
+    assert s == "-".join(["wort"] * 16) and len(s) <= 80
     assert each(spark, X.slug, "x" * 200) == ["x" * 80]
 
 
