@@ -28,6 +28,7 @@ copies of each other: from DEPTH bytes on all of both goes. Extra columns are ke
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import deleted, small_pieces, take_over, values, written
+from aerolith.llm.common import WORD, deleted, small_pieces, take_over, values, written
 
 DEPTH = 400
 ANCHOR = 100
@@ -358,3 +359,56 @@ def remove(docs: DataFrame, text: str = "text", column: str = "repeats", depth:
     side = found.select(F.col("k1").alias("__s1"), F.col("k2").alias("__s2"), F.col("spans").alias("__spans"))
     joined = keyed.join(side, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
     return joined.withColumn(column, cut(data, F.col("__spans"))).drop("__k1", "__k2", "__s1", "__s2", "__spans")
+
+
+#: Bytes of a word's digest.
+CODE = 8
+
+
+def word_runs(text: bytes, found: list[dict] | None, words: int) -> np.ndarray:
+    """The runs (from, to) of a text's bytes that lie in repeated strings of words: spans found in its word digests."""
+    if not found:
+        return np.zeros((0, 2), np.int64)
+    at = np.array([m.span() for m in re.finditer(WORD.encode(), text)], np.int64).reshape(-1, 2)
+    runs = covered(len(at) * CODE, found, words * CODE)
+    # bytes of the digests beside a passage can agree by chance: only whole words count
+    first, last = -(-runs[:, 0] // CODE), runs[:, 1] // CODE
+    return np.stack([at[first, 0], at[last - 1, 1]], axis=1)
+
+
+def remove_passages(docs: DataFrame, words: int, text: str = "text", column: str = "repeats", depth: int = DEPTH, anchor: int = ANCHOR, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
+    """docs with a struct of n_removed and kept (the remaining bytes). What remove() removes goes, and so do strings of
+    `words` words, from the first one's start to the last one's end, that start anywhere else as well, whatever white
+    space is between the words. These are found in the same way, in texts that have a digest of CODE bytes for each
+    word."""
+    data = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
+    half = lambda k: F.conv(F.substring(F.md5(data), k, 16), 16, -10).cast("long")
+
+    @F.arrow_udf("binary")
+    def coded(column: pa.Array) -> pa.Array:
+        take_over("dedup_suffix", dict)
+        return pa.array([b"".join(map(xxhash.xxh64_digest, x.split())) for x in values(column)], pa.binary())
+
+    @F.arrow_udf("n_removed long, kept binary")
+    def cut(column: pa.Array, by_bytes: pa.Array, by_words: pa.Array) -> pa.Array:
+        take_over("dedup_suffix", dict)
+        rows = []
+        for x, s, w in zip(values(column), by_bytes.to_pylist(), by_words.to_pylist(), strict=True):
+            kept, at = [], 0
+            for a, b in sorted([*covered(len(x), s, depth).tolist(), *word_runs(x, w, words).tolist()]):
+                kept.append(x[at:a])
+                at = max(at, b)
+            left = b"".join([*kept, x[at:]])
+            rows.append({"n_removed": len(x) - len(left), "kept": left})
+        return pa.array(rows, pa.struct([("n_removed", pa.int64()), ("kept", pa.binary())]))
+
+    keys = half(1).alias("k1"), half(17).alias("k2")
+    by_bytes = spans(docs.select(*keys, data.alias("text")), depth, anchor, bucket_contexts)
+    codes = written(docs.select(*keys, coded(data).alias("text")), "suffix-words")
+    by_words = spans(codes, words * CODE, anchor, bucket_contexts)
+    deleted(codes)
+    side = by_bytes.withColumnRenamed("spans", "__bytes").join(by_words.withColumnRenamed("spans", "__words"), ["k1", "k2"], "full")
+    side = side.withColumnsRenamed({"k1": "__s1", "k2": "__s2"})
+    keyed = docs.withColumn("__k1", half(1)).withColumn("__k2", half(17))
+    joined = keyed.join(side, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
+    return joined.withColumn(column, cut(data, F.col("__bytes"), F.col("__words"))).drop("__k1", "__k2", "__s1", "__s2", "__bytes", "__words")

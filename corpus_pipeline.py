@@ -6,8 +6,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 1. quality_rules: documents that the current quality policy rejects go.
 2. near_duplicates: of documents that are tied by word 5-gram sets with a Jaccard similarity of 0.8 or more, the one
    with the smallest doc_id stays.
-3. repeated_passages: bytes covered by 400-byte strings that start elsewhere as well are cut out of the texts. Where a
-   cut leaves part of a character, the rest of it goes too. Documents stay, even if nothing is left of their text.
+3. repeated_passages: bytes covered by 400-byte strings, or by strings of 51 words, that start elsewhere as well are cut
+   out of the texts. Where a cut leaves part of a character, the rest of it goes too. Documents stay, even if nothing is
+   left of their text.
 4. mixture: the documents are mixed to the sources' target weights. A document is returned once for each repeat of its
    source's stream that takes words of it; where a source's share ends within a document, that repeat's text ends there
    too. Documents of which the mix takes no word go.
@@ -25,6 +26,8 @@ from aerolith.llm import bpe, dedup_suffix, jaccard, mixing, quality
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The third stage's passages: over 50 words.
+PASSAGE_WORDS = 51
 
 #: No SQL says what the third and the last stage do.
 ORACLE_SQL = None
@@ -48,7 +51,7 @@ def _whole_characters(kept: Column) -> Column:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = dedup_suffix.remove(docs.select(*COLUMNS), column="r")
+    cut = dedup_suffix.remove_passages(docs.select(*COLUMNS), PASSAGE_WORDS, column="r")
     text = F.when(F.col("r.n_removed") > 0, _whole_characters(F.col("r.kept"))).otherwise(F.col("text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

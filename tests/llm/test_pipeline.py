@@ -125,3 +125,24 @@ def test_each_stage_handles_nulls(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert name == "tokens" or out.columns == list(corpus_pipeline.COLUMNS)
         assert out.count() == {"quality_rules": 0, "near_duplicates": 3, "repeated_passages": 3, "mixture": 1, "tokens": 3}[name]
+
+
+def test_passages_of_51_words_below_400_bytes_go(spark, tmp_path):
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefgü") for _ in range(rng.randint(2, 6)))
+    rows, passages = [], {}
+    for k in range(30):
+        n = [50, 51, 52, 55, 60][k % 5]
+        passages[k] = [word()[:4] for _ in range(n)]
+        for gap in (" ", "\n " if k % 2 else " "):
+            head, tail = [f"h{len(rows)}"] + [word() for _ in range(30)], [word() for _ in range(30)] + [f"t{len(rows)}"]
+            text = " ".join(head) + " " + gap.join(passages[k]) + "  " + " ".join(tail)
+            rows.append((len(rows), text, "xx", "s", len(text), k, " ".join(head), " ".join(tail)))
+    assert all(n == 50 or len(" ".join(p).encode()) < 400 for n, p in ((len(p), p) for p in passages.values()))
+    docs = spark.createDataFrame([r[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, str(tmp_path)).collect()}
+    for i, text, _, _, _, k, head, tail in rows:
+        if len(passages[k]) < 51:
+            assert got[i] == text
+        else:
+            assert got[i] == f"{head}   {tail}"
