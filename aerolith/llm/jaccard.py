@@ -9,7 +9,7 @@ the Jaccard similarity of their sets is at least the threshold.
 3. In a bucket, pairs whose signatures agree by far less than the threshold would (`LEAST_ESTIMATE`, six deviations
    below) are dropped, the others are candidates. Buckets of at most `BUCKET` classes are compared in one task. A larger
    one is compared with its smallest class, by a join that adaptive execution can split; classes that are not near that
-   one meet again in the buckets of two bands together.
+   one are compared with all of the bucket in pairs of blocks, of which only edges of components leave a task.
 4. Candidates are not emitted as pairs but as families: connected components, with as many edges as classes.
 5. Each family's n-gram sets are fetched once, and all pairs in it are verified in blocks, so that one task gets two
    blocks at most; a task returns a count of links for each class and its components, never pairs.
@@ -179,7 +179,42 @@ def agreement(a: str, b: str) -> Column:
     return agree(F.col(a), F.col(b))
 
 
-def candidate_edges(rows: DataFrame, briefs: DataFrame, least: int, again: bool = True) -> DataFrame:
+def _cell_edges(least: int):
+    """Edges between the others and near classes of all their bucket: rows (key, i, j, node, brief, other), sorted by
+    cell (key, i, j), which has a block of the bucket's others and a block of all its classes."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        cell = None
+
+        def result() -> pa.RecordBatch:
+            names = sorted({r[0] for r in held})
+            number = {x: k for k, x in enumerate(names)}
+            sides = [[r for r in held if r[2] == side] for side in (True, False)]
+            sets, out = Union(len(names)), []
+            if all(sides):
+                own = np.array([number[r[0]] for r in sides[1]])
+                sigs = np.frombuffer(b"".join(r[1] for r in sides[1]), np.uint8).reshape(len(own), -1)
+                for node, brief, _ in sides[0]:
+                    for j in own[(sigs == np.frombuffer(brief, np.uint8)).sum(axis=1) >= least].tolist():
+                        sets.join(number[node], j)
+                out = [(names[k], names[sets.root(k)]) for k in range(len(names)) if sets.root(k) != k]
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in list(zip(*out, strict=True)) or [[]] * 2], schema=EDGE)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "node", "brief", "other")), strict=True):
+                if row[:3] != cell:
+                    if held:
+                        yield result()
+                    held, cell = [], row[:3]
+                held.append(row[3:])
+        if held:
+            yield result()
+
+    return found
+
+
+def candidate_edges(rows: DataFrame, briefs: DataFrame, least: int) -> DataFrame:
     """Edges (a, b) that tie near classes together: rows (key, node) say which classes meet, briefs has (node, brief)."""
     sizes = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     met = written(rows.join(sizes, "key").join(briefs, "node"), "jaccard-met")
@@ -187,14 +222,17 @@ def candidate_edges(rows: DataFrame, briefs: DataFrame, least: int, again: bool
     edges = small.mapInArrow(_bucket_edges(least), "a binary, b binary")
     large = met.where(F.col("m") > BUCKET)
     first = large.groupBy("key").agg(F.min("node").alias("c")).join(briefs.select(F.col("node").alias("c"), F.col("brief").alias("cb")), "c")
-    near = written(large.join(first, "key").select("key", "node", "c", (agreement("brief", "cb") >= least).alias("near")), "jaccard-large")
+    near = written(large.join(first, "key").select("key", "node", "brief", "m", "c", (agreement("brief", "cb") >= least).alias("near")), "jaccard-large")
     edges = edges.union(near.where("near AND node != c").select(F.col("node").alias("a"), F.col("c").alias("b")))
-    if again:
-        # the others of large buckets meet where they share two of them
-        others = near.where("NOT near").groupBy("node").agg(F.array_sort(F.collect_list("key")).alias("k"))
-        two = F.expr("flatten(transform(k, (x, i) -> transform(slice(k, i + 2, size(k)), y -> xxhash64(x, y))))")
-        edges = edges.union(candidate_edges(others.select("node", F.explode(two).alias("key")), briefs, least, again=False))
-    return written(edges.distinct(), "jaccard-edges")
+    # those near the centre are one family already; the others meet all of their bucket, in cells of two blocks
+    step = F.greatest(F.lit(BUCKET), F.least(F.lit(MOST_BLOCK), F.expr("m div 64")))
+    others = near.where("NOT near").groupBy("key").agg(F.count("*").alias("n"))
+    dealt = near.join(others, "key").select("key", "node", "brief", "near", F.ceil(F.col("n") / step).alias("is"), F.ceil(F.col("m") / step).alias("js"), F.xxhash64("node").alias("h"))
+    block, every = lambda n: F.pmod("h", F.col(n)), lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    cells = dealt.where("NOT near").select("key", block("is").alias("i"), every("js").alias("j"), "node", "brief", F.lit(True).alias("other"))
+    cells = cells.union(dealt.select("key", every("is").alias("i"), block("js").alias("j"), "node", "brief", F.lit(False).alias("other")))
+    cells = cells.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return written(edges.union(cells.mapInArrow(_cell_edges(least), "a binary, b binary")).distinct(), "jaccard-edges")
 
 
 def _verified(threshold: tuple[int, int]):

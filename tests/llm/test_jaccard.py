@@ -77,3 +77,28 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert j.deduplicate(df).count() == 4
     empty = spark.createDataFrame([], kind)
     assert j.join(empty).count() == 0 and j.deduplicate(empty).count() == 0
+
+
+def test_large_buckets_tie_all_that_is_near(spark):
+    """Thousands of classes that share one band by a template: none but one is near the centre."""
+    rng = random.Random(9)
+    n, briefs = 3000, {}
+    for k in range(1, n, 2):
+        base = bytearray(rng.randbytes(40))
+        briefs[k] = bytes(base)
+        base[0:8] = bytes(x ^ 1 for x in base[0:8])
+        briefs[k + 1] = bytes(base)
+    near = bytearray(rng.randbytes(40))
+    briefs[0] = bytes(near)  # the centre
+    near[:12] = bytes(x ^ 1 for x in near[:12])
+    briefs[n + 1] = bytes(near)  # near the centre, and near the next one, which is not near the centre
+    near[-12:] = bytes(x ^ 1 for x in near[-12:])
+    briefs[n + 2] = bytes(near)
+    node = lambda k: k.to_bytes(16, "big")
+    rows = spark.createDataFrame([(7, node(k)) for k in briefs], "key long, node binary")
+    got = j.candidate_edges(rows, spark.createDataFrame([(node(k), b) for k, b in briefs.items()], "node binary, brief binary"), 24)
+    reach = j.Union(n + 3)
+    for r in got.collect():
+        reach.join(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big"))
+    assert all(reach.root(k) == reach.root(k + 1) == k for k in range(1, n, 2))
+    assert reach.root(n + 1) == reach.root(n + 2) == 0
