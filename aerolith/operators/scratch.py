@@ -1,24 +1,77 @@
-"""Tables in the folder that all executors share."""
+"""Tables in the folder that the driver and all executors share."""
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock = threading.Lock()
+_writers: list = [0, "false"]
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or the context's checkpoint folder; a folder of our own only where Spark is one process."""
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
+        found = f"file://{tempfile.mkdtemp(prefix='aerolith-')}"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/aerolith/{re.sub(r'[^a-z0-9]+', '-', label.lower())}-{uuid.uuid4().hex}"
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
+
+
+@contextmanager
+def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that are run meanwhile remove their shuffle files when they are done. The setting is the session's, so
+    it goes back to what it was when the last of several writers is through; a query that it meets beside them only
+    loses files that nothing reads again."""
+    with _lock:
+        if not _writers[0]:
+            _writers[1] = spark.conf.get(CLEANUP, "false")
+            spark.conf.set(CLEANUP, "true")
+        _writers[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writers[0] -= 1
+            if not _writers[0]:
+                spark.conf.set(CLEANUP, _writers[1])
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """df, computed once and cut from its lineage: a Parquet table below spark.checkpoint.dir (or a folder of our own
-    where that is unset), deleted when the driver ends."""
+    """df, computed once and cut from its lineage: a Parquet table in the shared folder."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='aerolith-')}"
-        context.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/aerolith/{label}-{uuid.uuid4().hex}"
-    there = context._jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(there)
-    df.write.parquet(path)
+    path = scratch_path(spark, label)
+    with _shuffle_files_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def deleted(df: DataFrame) -> None:
+    """Delete the files of a table that written() made and nothing needs any more."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if "/aerolith/" in folder:
+            delete_path(df.sparkSession, folder)
