@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.operators.scratch import deleted, scratch_path, shared_dir, written
+
+__all__ = ["deleted", "scratch_path", "shared_dir", "written"]
+
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,51 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='aerolith-')}"
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/aerolith/{re.sub(r'[^a-z0-9]+', '-', label.lower())}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    there = jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
-    return path
-
-
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df, computed once and cut from its lineage: a Parquet table in the shared folder. The shuffle files of the
-    query that makes it are removed when it is done; nothing else reads them."""
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def deleted(df: DataFrame) -> None:
-    """Delete the files of a table that written() made and nothing needs any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
-        if "/aerolith/" in folder:
-            there = jvm.org.apache.hadoop.fs.Path(folder)
-            there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that df has not, whatever the case of its letters."""
+    taken = {x.lower() for x in df.columns}
+    out = []
+    for name in wanted:
+        k = 0
+        while (found := f"__{name}_{k}" if k else f"__{name}") in taken:
+            k += 1
+        out.append(found)
+        taken.add(found)
+    return out
 
 
 _held: list = [None, None]
@@ -112,7 +79,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
 
     Alternating large-star and small-star rounds: every node of a neighbourhood is tied to the smallest one, so a
     group of any size takes as many rows as it has links, and the rounds grow with the logarithm of its width. Each
-    round is written to the shared folder. Null ends and loops are ignored; an empty input gives an empty result.
+    round is written to the shared folder, as is the smallest neighbour of each node, so that the joins with a star's
+    centre, whose arcs are as many as its group has members, can be split between tasks. Null ends and loops are ignored;
+    an empty input gives an empty result.
     """
     both = [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
     now = written(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).select(*both).distinct(), "edges")
@@ -120,13 +89,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     for _ in range(max_rounds):
         # large star: each node ties its larger neighbours to the smallest of its neighbourhood
         arcs = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = arcs.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = written(large, "large-star")
         # small star: each node ties its smaller neighbours and itself to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(low.select("u", F.col("m").alias("v"))).distinct()
         before, now = now, written(small, "edges")
-        deleted(before)
+        for done in (before, least, large, low):
+            deleted(done)
         sign = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(sign) == mark:
             break
