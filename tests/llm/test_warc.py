@@ -4,13 +4,17 @@ import random
 from pyspark.sql import Row
 
 from aerolith.llm import warc
-from aerolith.llm.warc import member, record_bytes, salvage
+from aerolith.llm.warc import member_parts, record_parts, salvage
 
 
 def _record(k, payload, revisit=False, refers_to=None):
     import hashlib
 
-    return record_bytes(k, f"http://h/{k} ä", payload, hashlib.sha1(payload).digest(), len(payload), refers_to, revisit)
+    return b"".join(record_parts(k, f"http://h/{k} ä", payload, hashlib.sha1(payload).digest(), len(payload), refers_to, revisit))
+
+
+def member(record):
+    return b"".join(member_parts([record]))
 
 
 def _read(data):
@@ -86,3 +90,33 @@ def test_gaps_are_logged(spark, tmp_path):
     assert sorted(r.id for r in warc.read(archives, payloads=False).collect()) == [0, 1]
     log = sorted((r.offset, r.length) for r in warc.gaps(archives).collect())
     assert log == [(len(parts[0]), 36), (len(parts[0]) + 36 + len(parts[1]), len(parts[2]) - 20)]
+
+
+def test_long_urls_and_payloads_come_back(spark):
+    long = "http://h/" + "ä%\n" * (1 << 20)
+    rows = [(1, long, "p" * 30_000_000), (2, "http://h/2", "x" * 10), (3, "u" * ((1 << 21) + 1), None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = warc.write(df)
+    found = {r.id: r for r in warc.read(manifest, strict=True).collect()}
+    assert {k: (r.url, r.payload_bytes) for k, r in found.items()} == {i: (u, len(h or "")) for i, u, h in rows}
+    assert bytes(found[1].payload) == b"p" * 30_000_000
+
+
+def test_a_long_plain_record_and_a_wrong_length():
+    parts = [_record(k, b"z" * 3_000_000) for k in range(3)]
+    assert [x["payload_bytes"] for *_, x in _read(b"".join(parts))] == [3_000_000] * 3
+    wrong = parts[1].replace(b"Content-Length: 3000", b"Content-Length: 9999", 2)
+    assert [x["id"] for *_, x in _read(parts[0] + wrong + parts[2]) if isinstance(x, dict)] == [0, 2]
+
+
+def test_strict_reading_misses_no_record(spark):
+    from pyspark.errors import PySparkException
+
+    manifest = warc.write(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"))
+    more = manifest.selectExpr("archive", "n_records + 1 AS n_records")
+    try:
+        warc.read(more, strict=True).collect()
+    except PySparkException as error:
+        assert "sound records" in str(error)
+    else:
+        raise AssertionError
