@@ -2,9 +2,10 @@
 
 A rule list is kept as one file: the 64-bit xxhash digests of all rules in sorted order, their full strings, and a
 verdict for each. The file is distributed once (SparkContext.addFile) and memory-mapped by every Python worker, so its
-pages are shared and its size isn't bound by a worker's memory. A batch of URLs is turned into the digests of all rules
-that could fit, which are probed together by a vectorised binary search; a digest that is found counts only if the
-stored string is equal, so collisions do no harm.
+pages are shared and its size isn't bound by a worker's memory. A few megabytes of URLs at a time are turned into the
+digests of all rules that could fit (of a host's parents only those with as many dots as some rule's host, of a path's
+starts those as long as some rule's path), which are probed together by a vectorised binary search; a digest that is
+found counts only if the stored string is equal, so collisions do no harm.
 
 A rule is (host, path, verdict), written host + path. It fits its host and all subdomains, for URLs whose path starts
 with the rule's; of several the longest string wins, of equally long ones that with the longer host.
@@ -21,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import os
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAGIC = b"AERURLS1"
+MAGIC = b"AERURLS2"
+MOST_BYTES = 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -59,9 +61,10 @@ def pack(rules: Iterable[tuple[str, str, str]]) -> bytes:
     rows = sorted((_key(*pair), *pair, block) for pair, block in held.items())
     texts = [host + b"\0" + path for _, host, path, _ in rows]
     lengths = np.unique(np.array([len(path) for _, _, path, _ in rows], "<u4"))
+    dots = np.unique(np.array([host.count(b".") for _, host, _, _ in rows], "<u4"))
     ends = np.cumsum([0, *map(len, texts)]).astype("<u8")
-    parts = [np.array([r[0] for r in rows], "<u8").tobytes(), ends.tobytes(), np.array([r[3] for r in rows], "u1").tobytes(), lengths.tobytes(), b"".join(texts)]
-    return MAGIC + np.array([len(rows), len(lengths)], "<u8").tobytes() + b"".join(parts)
+    parts = [np.array([r[0] for r in rows], "<u8").tobytes(), ends.tobytes(), np.array([r[3] for r in rows], "u1").tobytes(), lengths.tobytes(), dots.tobytes(), b"".join(texts)]
+    return MAGIC + np.array([len(rows), len(lengths), len(dots)], "<u8").tobytes() + b"".join(parts)
 
 
 class Rules:
@@ -71,15 +74,16 @@ class Rules:
         raw = np.memmap(path, "u1", "r")
         if bytes(raw[:8]) != MAGIC:
             raise ValueError(f"{path} is not a list of URL rules")
-        n, n_lengths = (int(x) for x in raw[8:24].view("<u8"))
-        at = 24
+        n, n_lengths, n_dots = (int(x) for x in raw[8:32].view("<u8"))
+        at = 32
         parts = []
-        for size, kind in ((8 * n, "<u8"), (8 * (n + 1), "<u8"), (n, "u1"), (4 * n_lengths, "<u4")):
+        for size, kind in ((8 * n, "<u8"), (8 * (n + 1), "<u8"), (n, "u1"), (4 * n_lengths, "<u4"), (4 * n_dots, "<u4")):
             part = raw[at : at + size]
             parts.append(np.frombuffer(part.tobytes(), kind) if kind == "<u4" else part if kind == "u1" else _view(raw, at, size, kind))
             at += size
-        self.keys, self.ends, self.blocks, lengths = parts
+        self.keys, self.ends, self.blocks, lengths, dots = parts
         self.lengths = [int(x) for x in lengths]  # of rules' paths; few
+        self.dots = [int(x) for x in dots]  # of rules' hosts
         self.texts = raw[at:]
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
@@ -97,17 +101,23 @@ class Rules:
             at += 1
         return -1
 
+    def parents(self, host: bytes) -> Iterator[bytes]:
+        """The host and its parents, as far as rules have as many dots."""
+        labels = host.rsplit(b".", self.dots[-1] + 1) if self.dots and host else []
+        for n in self.dots:
+            if n < len(labels):
+                yield b".".join(labels[-1 - n :])
+
     def judge(self, hosts: list[bytes], paths: list[bytes]) -> list[tuple[str | None, bool | None]]:
         """(rule, block) of each URL, or (None, None)."""
         owner, keys, texts = [], [], []
         for row, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             starts = [path[:n] for n in self.lengths if n <= len(path)]
-            while host and starts:
+            for parent in self.parents(host) if starts else ():
                 for start in starts:
-                    texts.append(host + b"\0" + start)
-                    keys.append(_key(host, start))
+                    texts.append(parent + b"\0" + start)
+                    keys.append(_key(parent, start))
                     owner.append(row)
-                host = host.partition(b".")[2]
         best: list[tuple[int, int, int] | None] = [None] * len(hosts)
         if keys:
             numbers = np.array(keys, "<u8")
@@ -157,7 +167,9 @@ def judge(df: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url"
 
     @F.arrow_udf("rule string, verdict string")
     def url_rule(host: pa.Array, path: pa.Array) -> pa.Array:
-        found = _rules(name).judge([x.encode() for x in host.to_pylist()], [x.encode() for x in path.to_pylist()])
+        found, step = [], max(1, len(host) * MOST_BYTES // max(host.nbytes + path.nbytes, 1))
+        for at in range(0, len(host), step):
+            found += _rules(name).judge(*([x.encode() for x in column.slice(at, step).to_pylist()] for column in (host, path)))
         verdicts = [default if block is None else "block" if block else "allow" for _, block in found]
         return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array(verdicts, pa.string())], ["rule", "verdict"])
 
