@@ -7,19 +7,24 @@ share among the languages, from the mean over the words.
 
 Words are runs of letters, lower-cased, with marks of start and end around them for the n-grams.
 
-The model is a classifier fitted on a bounded sample: of each language at most about `SAMPLE_DOCS` documents, chosen by
-a digest of their id, and of what these hold the `MOST_ENTRIES` most frequent words and n-grams that are seen at least
-twice. Its size is so bounded, it is collected and broadcast. All documents are predicted over their whole texts.
+The log frequency of a known word is that of words, an unseen word's that of n-grams of one length; both are compared
+between languages only, where the difference of scales is the same for all.
+
+The model is a classifier fitted on a bounded sample of labelled rows: of each language about `SAMPLE_DOCS` documents at
+most, chosen by a digest of their id and text. All words and n-grams of these are in it, however rare, so no language's
+evidence is crowded out by another's; it is collected and broadcast, and its size is bounded by the sample. All documents
+are predicted over their whole texts.
 
 Defined results: a text that is null or has no letter is `und` with score 0, as is every text if nothing could be
-learned. Of languages with equal scores the first by name is taken. Extra columns are kept.
+learned. Of languages with equal scores the first by name is taken. Rows with a null text or language teach nothing.
+The driver holds a row for each language. Extra columns are kept, but one that has the result's name.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +33,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm.common import small_pieces, take_over, values
 
-SAMPLE_DOCS = 1500
-MOST_ENTRIES = 300_000
-MOST_LANGUAGES = 2_000
+SAMPLE_DOCS = 600
 LONGEST = 5
 MOST_REMEMBERED = 300_000
 RUN = re.compile(r"[^\W\d_]+")
@@ -49,31 +52,45 @@ def grams(word: str, n: int) -> list[str]:
 class Model:
     """Log frequencies of words and n-grams by language."""
 
-    def __init__(self, languages: list[str], entries: list[tuple[int, str, int, int]]):
+    def __init__(self, languages: list[str], entries: Iterable[tuple[int, str, int, int]]):
         """entries: (n, string, language number, count); n is 0 for a word, else the length of an n-gram."""
-        self.languages = languages
         size = len(languages)
         totals = np.zeros((LONGEST + 1, size))
-        kinds: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+        places: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        where = [], [], [], []  # (n, place, language, count) of each entry
         for n, text, language, count in entries:
-            kinds[n].setdefault(text, np.zeros(size))[language] += count
+            for column, x in zip(where, (n, places[n].setdefault(text, len(places[n])), language, count), strict=True):
+                column.append(x)
             totals[n, language] += count
-        self.logs: list[dict[str, np.ndarray]] = []
-        for n, held in enumerate(kinds):
-            whole = np.log(totals[n] + 0.5 * (len(held) + 1))
-            self.logs.append({text: np.log(row + 0.5) - whole for text, row in held.items()})
+        kinds, rows, numbers, counts = (np.array(x, np.int64) for x in where)
+        logs = []
+        for n, held in enumerate(places):
+            table, own = np.zeros((len(held), size)), kinds == n
+            np.add.at(table, (rows[own], numbers[own]), counts[own])
+            logs.append((np.log(table + 0.5) - np.log(totals[n] + 0.5 * (len(held) + 1))).astype(np.float32))
+        self.learn(languages, places, logs)
+
+    def learn(self, languages: list[str], places: list[dict[str, int]], logs: list[np.ndarray]) -> None:
+        """places: by length, the row of each string in logs, which has a column for each language."""
+        self.languages, self.places, self.logs = languages, places, logs
         self.place: dict[str, int] = _Places(self)
-        self.table = np.zeros((1024, size))
+        self.table = np.zeros((1024, len(languages)))
+
+    @classmethod
+    def of(cls, languages: list[str], places: list[dict[str, int]], logs: list[np.ndarray]) -> Model:
+        out = cls.__new__(cls)
+        out.learn(languages, places, logs)
+        return out
 
     def word(self, word: str) -> np.ndarray:
-        known = self.logs[0].get(word)
-        if known is not None:
-            return known
+        at = self.places[0].get(word)
+        if at is not None:
+            return self.logs[0][at]
         for n in range(LONGEST, 0, -1):
-            held = self.logs[n]
+            held = self.places[n]
             found = [held[g] for g in grams(word, n) if g in held]
             if found:
-                return np.mean(found, axis=0)
+                return self.logs[n][found].mean(axis=0, dtype=np.float64)
         return np.zeros(len(self.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -106,12 +123,11 @@ class _Places(dict):
         return at
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, most_entries: int = MOST_ENTRIES) -> Model:
+def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
     """A model of the languages of docs (rows with a null language are left out)."""
-    rows = docs.select(F.xxhash64(F.col(f"`{id_column}`").cast("string")).alias("h"), F.col(f"`{text}`").cast("string").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    held = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(held) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    source, label = F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
+    rows = docs.select(F.xxhash64(F.col(f"`{id_column}`").cast("string"), source).alias("h"), source.alias("text"), label.alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    held = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(held)
     if not languages:
         return Model([], [])
@@ -143,24 +159,20 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: st
         yield out()
 
     counts = sample.mapInArrow(counted, "language int, n int, entry string, count long").groupBy("language", "n", "entry").agg(F.sum("count").alias("count"))
-    best = counts.where("count > 1").orderBy(F.desc("count"), "language", "n", "entry").limit(most_entries).toArrow()
-    columns = [best.column(k).to_pylist() for k in (1, 2, 0, 3)]
-    return Model(languages, list(zip(*columns, strict=True)))
+    every = counts.select("n", "entry", "language", "count").toArrow()
+    return Model(languages, zip(*(values(every.column(k).combine_chunks()) for k in range(4)), strict=True))
 
 
 def identified(text: Column, model: Model, spark) -> Column:
     """A struct of lang_pred and score of a text column."""
-    shared = spark.sparkContext.broadcast((model.languages, model.logs))
+    shared = spark.sparkContext.broadcast((model.languages, model.places, model.logs))
     models: dict[int, Model] = {}
 
     @F.arrow_udf("lang_pred string, score double")
     def language(column: pa.Array) -> pa.Array:
         take_over("langid", models.clear)
         if not models:
-            languages, logs = shared.value
-            own = Model(languages, [])
-            own.logs = logs
-            models[0] = own
+            models[0] = Model.of(*shared.value)
         found = [models[0].predict(x) for x in values(column)]
         return pa.StructArray.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], ["lang_pred", "score"])
 
