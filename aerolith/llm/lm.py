@@ -3,20 +3,21 @@
 A text is its lower-cased words and one end. Each word, with the mark of a word's start before it, is a lattice of all
 its segmentations into the pieces of an existing vocabulary; the forward recursion in log space sums them, so the score
 is the marginal log10 probability of the text under a unigram model of pieces. Characters that no piece covers are
-spelled by the vocabulary's byte pieces, so every text has a probability. A word that the training texts hold has one
-arc more in its lattice, from end to end, weighed by its share of all training tokens; the arcs of pieces together get
-the share of tokens that were seen once (what Good and Turing expect of unseen ones).
+spelled by the vocabulary's byte pieces, so every text has a probability.
 
 The vocabulary's own scores are where the weights start: they are the negative ranks of a BPE vocabulary, read as
 weights 1 / (1 + rank). One expectation step over all training words (forward and backward, each word's expected pieces
 times its count) gives the weights that score.
 
-Beside it stands the base score, an add-one unigram model of whole words.
+Beside it stand two more. The base score is an add-one unigram model of whole words. The mixture score adds to the
+lattice of a word that the training texts hold one arc from end to end, weighed by its share of all training tokens;
+the arcs of pieces together get the share of tokens that were seen once (what Good and Turing expect of unseen ones).
 
 Scale: words are counted in each task, summed by shuffle and written to a table with their count and lattice score, so
-each distinct word is scored once. Words above a count that at most `FREQUENT` words reach are broadcast; the others
-are looked up by a join on the word, which no word dominates, because the frequent ones are not in it. What meets in one
-task is one row for each (document, rare word) and a sum for each document.
+each distinct word is scored once. Words above a count that at most `FREQUENT` words reach are broadcast, if they have
+at most `MOST_WORD_BYTES` bytes; the others are looked up by a join on the word, which no word dominates, because the
+frequent ones are not in it (or are few in a text, being long). What meets in one task is one row for each (document,
+rare word) and a sum for each document.
 
 Defined results: a null or empty text is one end. Rows that are equal share one computation and are all returned; null
 ids are allowed. With no training documents every count is 0. Texts and words of any length are scored whole. An empty
@@ -37,6 +38,7 @@ from aerolith.llm.common import small_pieces, take_over, written
 
 #: Words that are broadcast, at most.
 FREQUENT = 1 << 17
+MOST_WORD_BYTES = 64
 #: Words that a task counts before it hands them on.
 MOST_COUNTED = 300_000
 MOST_VOCABULARY = 1 << 20
@@ -204,7 +206,7 @@ def learn_pieces(words: DataFrame, pieces: Pieces, n_docs: int) -> list[float]:
 
 
 def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", train: str = "train", frequent: int = FREQUENT) -> DataFrame:
-    """One row for each row of docs: id, train, n_tokens, n_known, train_tokens, base_score, score (log10).
+    """One row for each row of docs: id, train, n_tokens, n_known, train_tokens, base_score, score, mixture_score (log10).
 
     train is a boolean column: the model learns from these rows."""
     spark = docs.sparkSession
@@ -221,11 +223,11 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)
         for batch in batches:
-            pairs = zip(batch.column("word").to_pylist(), batch.column("trained").to_pylist(), strict=True)
-            logs = pa.array([token_log10(lattice.word_log10(x), c, total, unseen) for x, c in pairs], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, logs], ["word", "trained", "seen", "log10"])
+            logs = [lattice.word_log10(x) for x in batch.column("word").to_pylist()]
+            mixed = [token_log10(p, c, total, unseen) for p, c in zip(logs, batch.column("trained").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs, pa.float64()), pa.array(mixed, pa.float64())], ["word", "trained", "seen", "log10", "mixed"])
 
-    words = written(words.mapInArrow(scored, "word string, trained long, seen long, log10 double"), "lm-words")
+    words = written(words.mapInArrow(scored, "word string, trained long, seen long, log10 double, mixed double"), "lm-words")
 
     # the lowest count that at most `frequent` words reach, from how many words have each count
     levels = words.groupBy(F.least("seen", F.lit(1 << 20)).alias("seen")).agg(F.count("*").alias("n")).orderBy(F.desc("seen"))
@@ -234,21 +236,25 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
         if held + r.n > frequent:
             break
         held, least = held + r.n, r.seen
-    common = words.where(F.col("seen") >= least).select("word", "trained", "log10").toArrow()
-    table = spark.sparkContext.broadcast(({w.encode(): (c, p) for w, c, p in zip(*(common.column(k).to_pylist() for k in range(3)), strict=True)}, total, distinct, n_docs, token_log10(model.value[1][pieces.end] / LOG10, n_docs, total, unseen)))
+    often = (F.col("seen") >= least) & (F.octet_length("word") <= MOST_WORD_BYTES)
+    common = words.where(often).select("word", "trained", "log10", "mixed").toArrow()
+    end = model.value[1][pieces.end] / LOG10
+    ends = end, token_log10(end, n_docs, total, unseen)
+    table = spark.sparkContext.broadcast(({w.encode(): rest for w, *rest in zip(*(common.column(k).to_pylist() for k in range(4)), strict=True)}, total, distinct, n_docs, ends))
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        found, total, distinct, n_docs, end = table.value
+        found, total, distinct, n_docs, ends = table.value
         whole = math.log10(total + distinct + 1)
-        known = {word: (math.log10(c + 1), p, c > 0) for word, (c, p) in found.items()}
-        names = ["id", "tie", "train", "word", "n", "n_tokens", "n_known", "base", "log"]
+        known = {word: (math.log10(c + 1), p, m, c > 0) for word, (c, p, m) in found.items()}
+        names = ["id", "tie", "train", "word", "n", "n_tokens", "n_known", "base", "log", "mixed"]
         for batch in small_pieces(batches):
             out: list[list] = [[] for _ in names]
             for at, text in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
                 counts = Counter(text.lower().split())
-                base, log, n_known, n_tokens = math.log10(n_docs + 1), end, int(n_docs > 0), 1
+                base, n_known, n_tokens = math.log10(n_docs + 1), int(n_docs > 0), 1
+                log, mixed = ends
                 rare = []
                 for word, n in counts.items():
                     n_tokens += n
@@ -258,37 +264,40 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
                     else:
                         base += n * hit[0]
                         log += n * hit[1]
-                        n_known += n * hit[2]
+                        mixed += n * hit[2]
+                        n_known += n * hit[3]
                 # a row for the document, under a word that no text has, and one for each rare word
-                for row in ((at, b" %d" % at, 0, n_tokens, n_known, base - n_tokens * whole, log), *((at, word, n, None, None, None, None) for word, n in rare)):
+                for row in ((at, b" %d" % at, 0, n_tokens, n_known, base - n_tokens * whole, log, mixed), *((at, word, n, None, None, None, None, None) for word, n in rare)):
                     for column, x in zip((out[0], *out[3:]), row, strict=True):
                         column.append(x)
             at = pa.array(out[0], pa.int64())
             own = [batch.column(k).take(at) for k in ("id", "tie", "train")]
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
             rest = [pa.array(x, kind) for x, kind in zip(out[3:], kinds, strict=True)]
             rest[0] = rest[0].cast(pa.string())
             yield pa.RecordBatch.from_arrays([*own, *rest], names)
 
     kind = rows.schema["id"].dataType.simpleString()
-    parts = rows.select("id", "text", "train", F.xxhash64("text").alias("tie")).mapInArrow(looked_up, f"id {kind}, tie long, train boolean, word string, n long, n_tokens long, n_known long, base double, log double")
-    side = words.where(F.col("seen") < least).select(F.col("word").alias("w"), F.col("trained").alias("c"), "log10").hint("shuffle_hash")
+    parts = rows.select("id", "text", "train", F.xxhash64("text").alias("tie")).mapInArrow(looked_up, f"id {kind}, tie long, train boolean, word string, n long, n_tokens long, n_known long, base double, log double, mixed double")
+    side = words.where(~often).select(F.col("word").alias("w"), F.col("trained").alias("c"), F.col("log10").alias("l"), F.col("mixed").alias("m"))
     met = parts.join(side, F.col("word") == F.col("w"), "left")
-    n = F.col("n")
+    n, zero = F.col("n"), F.lit(0.0)
     sums = met.groupBy("id", "tie", "train").agg(
         F.count("n_tokens").alias("copies"),
         F.max("n_tokens").alias("n_tokens"),
         F.max("n_known").alias("own_known"),
         F.max("base").alias("own_base"),
         F.max("log").alias("own_log"),
+        F.max("mixed").alias("own_mixed"),
         F.coalesce(F.sum(F.when(F.col("c") > 0, n)), F.lit(0)).alias("more_known"),
-        F.coalesce(F.sum(n * F.log10(F.col("c") + 1)), F.lit(0.0)).alias("more_base"),
-        F.coalesce(F.sum(n * F.col("log10")), F.lit(0.0)).alias("more_log"),
+        F.coalesce(F.sum(n * F.log10(F.col("c") + 1)), zero).alias("more_base"),
+        F.coalesce(F.sum(n * F.col("l")), zero).alias("more_log"),
+        F.coalesce(F.sum(n * F.col("m")), zero).alias("more_mixed"),
     )
     # equal rows were added up; each is returned
     each = sums.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    more = F.col("copies")
+    whole = lambda own, more: F.col(own) + F.col(more) / F.col("copies")
     return each.select(
         "id", "train", "n_tokens", (F.col("own_known") + F.expr("more_known div copies")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("own_base") + F.col("more_base") / more).alias("base_score"), (F.col("own_log") + F.col("more_log") / more).alias("score"),
+        whole("own_base", "more_base").alias("base_score"), whole("own_log", "more_log").alias("score"), whole("own_mixed", "more_mixed").alias("mixture_score"),
     )

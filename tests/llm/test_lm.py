@@ -71,11 +71,12 @@ def test_base_and_model_against_brute_force(spark, frequent):
     for k, (i, _) in enumerate(texts):
         base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in words[k]) + math.log10((n_docs + 1) / (total + distinct + 1))
         model = math.log10((1 - unseen) * n_docs / total + unseen * math.exp(weight[pieces.end]))
+        marginal = weight[pieces.end] / lm.LOG10 + sum(lattice.word_log10(w.decode()) for w in words[k])
         for w in words[k]:
             sub = math.log10(unseen) + lattice.word_log10(w.decode())
             model += math.log10((1 - unseen) * counts[w] / total + 10**sub) if counts[w] else sub
-        expected.append((i or 0, train[i], len(words[k]) + 1, 1 + sum(counts[w] > 0 for w in words[k]), total, round(base, 8), round(model, 8)))
-    assert sorted((r.id or 0, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8), round(r.score, 8)) for r in got) == sorted(expected)
+        expected.append((i or 0, train[i], len(words[k]) + 1, 1 + sum(counts[w] > 0 for w in words[k]), total, round(base, 8), round(marginal, 8), round(model, 8)))
+    assert sorted((r.id or 0, r.train, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 8), round(r.score, 8), round(r.mixture_score, 8)) for r in got) == sorted(expected)
 
 
 def test_empty_table_and_no_training(spark):
