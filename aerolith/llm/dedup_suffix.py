@@ -1,46 +1,59 @@
-"""Operator 8: removal of long repeated byte strings by blockwise suffix sorting with a difference cover.
+"""Operator 8: removal of long repeated strings by blockwise suffix sorting with a difference cover.
 
 Each text is a string of UTF-8 bytes. A byte goes if a string of DEPTH bytes that covers it starts anywhere else as
-well, in another text or in the same one.
+well, in another text or in the same one. Beside that, and in the same pass, texts are strings of words: passages are
+the bytes in strings of PASSAGE_WORDS words, from the first one's start to the last one's end, that start anywhere else
+as well, whatever white space is between the words. These are reported, and cut only if that is asked for: a passage of
+over 50 words is often shorter than 400 bytes.
 
-Buckets. A suffix is put into the bucket of its anchor: of the hashes of the ANCHOR-byte strings that lie in its first
-DEPTH bytes, the smallest, the last of equal ones. The anchor depends on these DEPTH bytes alone, so equal strings get
-the same anchor at the same offset, and a bucket holds whole every set of equal strings. The stretch of suffixes that
-have one occurrence of an anchor has a context: the bytes from the first one's start to the last one's end. Only
-digests of contexts are shuffled at first. Where a bucket has one context only, seen once, none of its suffixes repeats;
-where a context is seen again, all of its suffixes do. What remains are contexts that share an anchor with others but
-are themselves unique: the ends of repeated passages. Only their texts are fetched.
+Levels. What follows holds for both: the symbols of a text are its bytes, or the 64-bit digests of its words.
+
+Buckets. A suffix is put into the bucket of its anchor: of the hashes of the short strings that lie in its first `depth`
+symbols, the smallest, the last of equal ones. The anchor depends on these symbols alone, so equal strings get the same
+anchor at the same offset, and a bucket holds whole every set of equal strings. The stretch of suffixes that have one
+occurrence of an anchor has a context: the symbols from the first one's start to the last one's end. Only digests of
+contexts are shuffled at first. Where a bucket has one context only, seen once, none of its suffixes repeats; where a
+context is seen again, all of its suffixes do, as equal contexts are equal strings. What remains are contexts that share
+an anchor with others but are themselves unique: the ends of repeated passages. Only their texts are fetched.
 
 Sorting. Buckets are sorted one at a time. The contexts of a bucket are aligned at their anchor. Ranks of the strings at
 the positions of a difference cover (residues COVER modulo PERIOD, so that any two suffixes have a common shift to a
-position of the cover) are precomputed by doubling: strings of 2n bytes are ranked by the ranks of their halves. Then
-suffixes are sorted by the bytes before their first cover position, and long ties are resolved by the rank there, never
-by comparing DEPTH bytes. Memory is bounded by the bucket. A bucket of more than BUCKET_CONTEXTS contexts is not sorted
-in one task: its suffixes are dealt out by the digest of their DEPTH bytes and counted, which gives the same result
-with any number of tasks.
+position of the cover) are precomputed by doubling: strings of 2n symbols are ranked by the ranks of their halves. Then
+suffixes are sorted by the symbols before their first cover position, and long ties are resolved by the rank there,
+never by comparing `depth` symbols. Memory is bounded by the bucket. A bucket of more than BUCKET_CONTEXTS contexts is
+not sorted in one task: its suffixes are dealt out by the digest of their `depth` symbols and counted, which gives the
+same result with any number of tasks.
+
+Contexts are told apart by 64 bits besides the 64 of their anchor, suffixes of large buckets by 128, words by 64.
 
-Contexts are told apart by 64 bits besides the 64 of their anchor, suffixes of large buckets by 128.
+Scale: tables that are joined on an anchor are written before, so that adaptive execution can split the join where one
+anchor has very many rows; sums by anchor are combined before they are shuffled.
 
-Defined results: a null text is empty, and loses nothing, as does every text of fewer than DEPTH bytes. Equal rows are
-copies of each other: from DEPTH bytes on all of both goes. Extra columns are kept.
+Defined results: a null text is empty, and loses nothing, as does every text of fewer than DEPTH bytes; a text of fewer
+than PASSAGE_WORDS words has no passage. Equal rows are copies of each other: from DEPTH bytes on all of both goes.
+Extra columns are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import WORD, deleted, small_pieces, take_over, values, written
+from aerolith.llm.common import WORD, deleted, free_names, small_pieces, take_over, values, written
 
 DEPTH = 400
 ANCHOR = 100
+#: A passage is a string of this many words, or longer: over 50.
+PASSAGE_WORDS = 51
+PASSAGE_ANCHOR = 12
 BUCKET_CONTEXTS = 4096
 PERIOD = 32
 #: A difference cover modulo 32: every residue is a difference of two of these.
@@ -86,38 +99,54 @@ def window_argmin(h: np.ndarray, width: int) -> np.ndarray:
     return size - 1 - (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def anchors(text: bytes, depth: int = DEPTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, first, last) of each stretch of suffixes with one anchor; every suffix of depth bytes is in one."""
-    if len(text) < depth:
+class Level(NamedTuple):
+    """What the symbols of a text are (of one byte: its bytes; of eight: digests of its words), how many of them make a
+    string that may repeat, and how many a short string of which one is its anchor."""
+
+    width: int
+    depth: int
+    anchor: int
+
+
+def symbols(text: bytes, level: Level) -> bytes:
+    return text if level.width == 1 else b"".join(map(xxhash.xxh64_digest, text.split()))
+
+
+def anchors(text: bytes, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first, last) of each stretch of suffixes with one anchor; every suffix of depth symbols is in one."""
+    if len(text) < level.depth * level.width:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
-    h = string_hashes(np.frombuffer(text, np.uint8), anchor)
-    at = window_argmin(h, depth - anchor + 1)
+    h = string_hashes(np.frombuffer(text, np.uint8 if level.width == 1 else "<u8"), level.anchor)
+    at = window_argmin(h, level.depth - level.anchor + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
     place = at[first]
     return h[place], place, first, last
 
 
-CONTEXTS = "k1 long, k2 long, anchor long, context long, first int, last int, at int"
+CONTEXTS = "k1 long, k2 long, level int, anchor long, context long, first int, last int, at int"
 
 
-def _contexts(depth: int, anchor: int):
+def _contexts(levels: Sequence[Level]):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("dedup_suffix", dict)
         for batch in small_pieces(batches):
-            columns: list[list] = [[] for _ in range(7)]
+            columns: list[list] = [[] for _ in range(8)]
             for text, k1, k2 in zip(batch.column("text").to_pylist(), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True):
-                h, place, first, last = anchors(text, depth, anchor)
-                if not len(h):
-                    continue
-                at = place - first
-                # where the anchor lies in the context is part of its digest: equal contexts are aligned
-                digests = [xxhash.xxh3_64_intdigest(text[a : b + depth], x) for a, b, x in zip(first.tolist(), last.tolist(), at.tolist(), strict=True)]
-                for column, x in zip(columns, (np.full(len(h), k1), np.full(len(h), k2), h.view(np.int64), np.array(digests, np.uint64).view(np.int64), first, last, at), strict=True):
-                    column.append(x)
+                for number, level in enumerate(levels):
+                    own, w = symbols(text, level), level.width
+                    h, place, first, last = anchors(own, level)
+                    if not len(h):
+                        continue
+                    at = place - first
+                    # where the anchor lies in the context is part of its digest: equal contexts are aligned
+                    digests = [xxhash.xxh3_64_intdigest(own[w * a : w * (b + level.depth)], x) for a, b, x in zip(first.tolist(), last.tolist(), at.tolist(), strict=True)]
+                    n = len(h)
+                    for column, x in zip(columns, (np.full(n, k1), np.full(n, k2), np.full(n, number), h.view(np.int64), np.array(digests, np.uint64).view(np.int64), first, last, at), strict=True):
+                        column.append(x)
             if columns[0]:
-                kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+                kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2 + [pa.int32()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()).cast(kind) for x, kind in zip(columns, kinds, strict=True)], [x.split()[0] for x in CONTEXTS.split(", ")])
 
     return found
@@ -145,8 +174,10 @@ class CoverRanks:
     """Ranks of the strings of any length at cover positions, of aligned texts of equal width."""
 
     def __init__(self, texts: np.ndarray):
-        """texts: uint8, a row for each context, padded to a common width."""
+        """texts: uint8 or uint64, a row for each context, padded to a common width."""
         self.texts = texts
+        #: Symbols that are compared at once.
+        self.base = 8 // texts.itemsize
         self.level: dict[tuple[int, int], np.ndarray] = {}
 
     def forget(self, before: int) -> None:
@@ -155,55 +186,59 @@ class CoverRanks:
             del self.level[key]
 
     def words(self, at: int, n: int) -> np.ndarray:
+        if self.base == 1:
+            return self.texts[:, at]
         part = np.zeros((len(self.texts), 8), np.uint8)
         part[:, :n] = self.texts[:, at : at + n]
         return part.view(">u8").ravel().astype(np.uint64)
 
     def ranks(self, at: int, length: int) -> np.ndarray:
-        """Ranks of the strings of `length` bytes at position `at`, by doubling: halves that start PERIOD * 2^k apart
+        """Ranks of the strings of `length` symbols at position `at`, by doubling: halves that start PERIOD * 2^k apart
         are at cover positions too, so they are shared by all that need them."""
         key = at, length
         if key not in self.level:
-            if length <= 8:
+            if length <= self.base:
                 self.level[key] = _ranked(self.words(at, length))
             else:
-                half = 8
+                half = self.base
                 while half * 2 < length:
                     half *= 2
                 self.level[key] = _ranked(self.ranks(at, half), self.ranks(at + half, length - half))
         return self.level[key]
 
 
-def sort_buckets(buckets: list[int], texts: list[bytes], anchor_at: list[int], depth: int = DEPTH) -> list[np.ndarray]:
-    """For each context, a boolean for each of its suffixes: whether its first depth bytes occur twice in its bucket.
+def sort_buckets(buckets: list[int], texts: list[bytes], anchor_at: list[int], level: Level) -> list[np.ndarray]:
+    """For each context, a boolean for each of its suffixes: whether its first depth symbols occur twice in its bucket.
 
     buckets are the contexts' buckets, anchor_at the place of the anchor in each. Suffixes of a bucket are compared
-    with those of the same offset to the anchor: at each offset the rows are sorted by bucket, by the bytes before the
+    with those of the same offset to the anchor: at each offset the rows are sorted by bucket, by the symbols before the
     next cover position and, where these tie, by the rank of the rest there."""
+    kind, depth = np.dtype(np.uint8 if level.width == 1 else "<u8"), level.depth
+    rows = [np.frombuffer(t, kind) for t in texts]
     most = max(anchor_at)
     begin = np.array([most - a for a in anchor_at])
-    n = np.array([len(t) - depth + 1 for t in texts])
-    grid = np.zeros((len(texts), int((begin + n).max()) + depth + 8), np.uint8)
-    for k, t in enumerate(texts):
-        grid[k, begin[k] : begin[k] + len(t)] = np.frombuffer(t, np.uint8)
+    n = np.array([len(t) - depth + 1 for t in rows])
+    grid = np.zeros((len(rows), int((begin + n).max()) + depth + 8), kind)
+    for k, t in enumerate(rows):
+        grid[k, begin[k] : begin[k] + len(t)] = t
     own = np.array(buckets, np.int64)
     cover = CoverRanks(grid)
-    hit = np.zeros((len(texts), int((begin + n).max())), bool)
+    hit = np.zeros((len(rows), int((begin + n).max())), bool)
     for at in range(int(begin.min()), hit.shape[1]):
-        rows = np.flatnonzero((begin <= at) & (at < begin + n))
-        if len(rows) < 2:
+        some = np.flatnonzero((begin <= at) & (at < begin + n))
+        if len(some) < 2:
             continue
         shift = cover_shift(at)
         cover.forget(at)
-        keys = [own[rows]]
-        keys += [cover.words(at + b, min(8, shift - b))[rows] for b in range(0, shift, 8)]
-        keys.append(cover.ranks(at + shift, depth - shift)[rows])
+        keys = [own[some]]
+        keys += [cover.words(at + b, min(cover.base, shift - b))[some] for b in range(0, shift, cover.base)]
+        keys.append(cover.ranks(at + shift, depth - shift)[some])
         ranks = _ranked(*keys)
-        hit[rows, at] = np.bincount(ranks)[ranks] > 1
+        hit[some, at] = np.bincount(ranks)[ranks] > 1
     return [hit[k, b : b + m] for k, (b, m) in enumerate(zip(begin.tolist(), n.tolist(), strict=True))]
 
 
-HITS = "anchor long, context long, spans binary"
+HITS = "level int, anchor long, context long, spans binary"
 #: Contexts whose buckets are sorted side by side.
 BATCH_CONTEXTS = 1000
 
@@ -215,23 +250,25 @@ def _spans(hit: np.ndarray) -> bytes:
 
 
 def _hits(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "context", "spans"])
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["level", "anchor", "context", "spans"])
+
 
+def _sorted_buckets(levels: Sequence[Level]):
+    """Rows (level, anchor, context, bytes, at), sorted by the first three."""
 
-def _sorted_buckets(depth: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # whole buckets, and the one that is coming in
+        held: list[tuple] = []  # whole buckets of one level, and the one that is coming in
 
         def results() -> pa.RecordBatch:
-            hits = sort_buckets([r[0] for r in held], [r[2] for r in held], [r[3] for r in held], depth)
-            return _hits([(*row[:2], _spans(hit)) for row, hit in zip(held, hits, strict=True) if hit.any()])
+            hits = sort_buckets([r[1] for r in held], [r[3] for r in held], [r[4] for r in held], levels[held[0][0]])
+            return _hits([(*row[:3], _spans(hit)) for row, hit in zip(held, hits, strict=True) if hit.any()])
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "context", "bytes", "at")), strict=True):
-                if held and held[-1][:2] == row[:2]:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("level", "anchor", "context", "bytes", "at")), strict=True):
+                if held and held[-1][:3] == row[:3]:
                     continue  # the same context, fetched twice
-                if len(held) >= BATCH_CONTEXTS and held[-1][0] != row[0]:
+                if held and (held[-1][0] != row[0] or len(held) >= BATCH_CONTEXTS and held[-1][1] != row[1]):
                     yield results()
                     held.clear()
                 held.append(row)
@@ -241,62 +278,72 @@ def _sorted_buckets(depth: int):
     return found
 
 
-def _suffixes(depth: int):
+def _suffixes(levels: Sequence[Level]):
+    names = ["level", "anchor", "context", "start", "s1", "s2"]
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_pieces(batches, 128 << 10, "bytes"):
-            texts = batch.column("bytes").to_pylist()
-            n = np.array([len(t) - depth + 1 for t in texts])
-            digests = b"".join(xxhash.xxh3_128_digest(t[k : k + depth]) for t, m in zip(texts, n.tolist(), strict=True) for k in range(m))
+            texts, own = batch.column("bytes").to_pylist(), [levels[k] for k in batch.column("level").to_pylist()]
+            n = np.array([len(t) // v.width - v.depth + 1 for t, v in zip(texts, own, strict=True)])
+            digests = b"".join(xxhash.xxh3_128_digest(t[v.width * k : v.width * (k + v.depth)]) for t, v, m in zip(texts, own, n.tolist(), strict=True) for k in range(m))
             both = np.frombuffer(digests, "<i8").reshape(-1, 2)
             starts = np.concatenate([np.arange(m) for m in n]) if len(n) else np.zeros(0, int)
-            own = [pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), n), pa.int64()) for c in ("anchor", "context")]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(starts, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["anchor", "context", "start", "s1", "s2"])
+            keys = [pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), n)) for c in names[:3]]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array(starts, pa.int32()), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names)
 
     return found
 
 
-FETCHED = "anchor long, context long, contexts long, bytes binary, at int"
+FETCHED = "level int, anchor long, context long, contexts long, bytes binary, at int"
 
 
-def _fetched(depth: int):
+def _fetched(levels: Sequence[Level]):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in small_pieces(batches, 4 << 20):
             rows: list[tuple] = []
             for k1, k2, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "wanted")), strict=True):
-                if (k1, k2) != last:  # else a copy of the text before
-                    last = k1, k2
-                    rows += [(w["anchor"], w["context"], w["contexts"], text[w["first"] : w["last"] + depth], w["at"]) for w in wanted]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(list(zip(*rows, strict=True)) or [[]] * 5, kinds, strict=True)], [x.split()[0] for x in FETCHED.split(", ")])
+                if (k1, k2) == last:  # a copy of the text before
+                    continue
+                last, own = (k1, k2), {}
+                for w in wanted:
+                    number, level = w["level"], levels[w["level"]]
+                    if number not in own:
+                        own[number] = symbols(text, level)
+                    part = own[number][level.width * w["first"] : level.width * (w["last"] + level.depth)]
+                    rows.append((number, w["anchor"], w["context"], w["contexts"], part, w["at"]))
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(list(zip(*rows, strict=True)) or [[]] * 6, kinds, strict=True)], [x.split()[0] for x in FETCHED.split(", ")])
 
     return found
 
 
-def spans(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
+def spans(docs: DataFrame, levels: Sequence[Level], bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
     """(k1, k2, spans) of docs(k1, k2, text binary) for texts that hold repeated strings: spans lists stretches of
-    suffixes (first, last, spans), of which all repeat if spans is null, else those in its little-endian 32-bit pairs
-    (first, last), counted from first. k1, k2 is a digest of the text: copies have the same."""
-    seen = written(docs.where(F.octet_length("text") >= depth).mapInArrow(_contexts(depth, anchor), CONTEXTS), "suffix-contexts")
-    again = seen.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    suffixes (level, first, last, spans), of which all repeat if spans is null, else those in its little-endian 32-bit
+    pairs (first, last), counted from first. k1, k2 is a digest of the text: copies have the same."""
+    bucket, context = ["level", "anchor"], ["level", "anchor", "context"]
+    seen = written(docs.where(F.octet_length("text") >= min(v.depth for v in levels)).mapInArrow(_contexts(levels), CONTEXTS), "suffix-contexts")
+    again = written(seen.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket), "suffix-anchors")
     # a row for each stretch of each text whose anchor is found twice, with how many copies the text has
-    stretch = ["anchor", "context", "k1", "k2", "first", "last", "at"]
-    found = written(seen.join(again, "anchor").groupBy(*stretch).agg(F.count("*").alias("copies")), "suffix-stretches")
+    met = written(seen.join(again, bucket), "suffix-met")
     deleted(seen)
-    contexts = found.groupBy("anchor", "context").agg(F.sum("copies").alias("n"), F.min(F.struct("k1", "k2", "first", "last", "at")).alias("one"))
+    found = written(met.groupBy(*context, "k1", "k2", "first", "last", "at").agg(F.count("*").alias("copies")), "suffix-stretches")
+    deleted(met)
+    contexts = found.groupBy(*context).agg(F.sum("copies").alias("n"), F.min(F.struct("k1", "k2", "first", "last", "at")).alias("one"))
     contexts = written(contexts, "suffix-digests")
-    several = contexts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    several = written(contexts.groupBy(*bucket).agg(F.count("*").alias("contexts")).where("contexts > 1"), "suffix-several")
 
-    # buckets with several contexts: each context's bytes are fetched from one text
-    mixed = contexts.join(several, "anchor").select("anchor", "context", "contexts", "one.*")
-    wanted = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "context", "contexts", "first", "last", "at")).alias("wanted"))
-    fetched = written(docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "wanted").mapInArrow(_fetched(depth), FETCHED), "suffix-bytes")
-    small = fetched.where(F.col("contexts") <= bucket_contexts).repartition("anchor").sortWithinPartitions("anchor", "context")
-    in_small = small.select("anchor", "context", "bytes", "at").mapInArrow(_sorted_buckets(depth), HITS)
+    # buckets with several contexts: each context's symbols are fetched from one text
+    mixed = contexts.join(several, bucket).select(*context, "contexts", "one.*")
+    wanted = mixed.groupBy("k1", "k2").agg(F.collect_list(F.struct(*context, "contexts", "first", "last", "at")).alias("wanted"))
+    fetched = written(docs.join(wanted, ["k1", "k2"]).select("k1", "k2", "text", "wanted").mapInArrow(_fetched(levels), FETCHED), "suffix-bytes")
+    small = fetched.where(F.col("contexts") <= bucket_contexts).repartition(*bucket).sortWithinPartitions(*context)
+    in_small = small.select(*context, "bytes", "at").mapInArrow(_sorted_buckets(levels), HITS)
 
     # the exact way for buckets that one task should not hold: count the digests of all their suffixes
-    large = fetched.where(F.col("contexts") > bucket_contexts).dropDuplicates(["anchor", "context"]).select("anchor", "context", "bytes")
-    large = written(large.mapInArrow(_suffixes(depth), "anchor long, context long, start int, s1 long, s2 long"), "suffix-large")
+    large = fetched.where(F.col("contexts") > bucket_contexts).dropDuplicates(context).select(*context, "bytes")
+    large = written(large.mapInArrow(_suffixes(levels), "level int, anchor long, context long, start int, s1 long, s2 long"), "suffix-large")
     twice = large.groupBy("s1", "s2").agg(F.count("*").alias("n")).where("n > 1").select("s1", "s2")
 
     @F.arrow_udf("binary")
@@ -308,107 +355,93 @@ def spans(docs: DataFrame, depth: int = DEPTH, anchor: int = ANCHOR, bucket_cont
             rows.append(_spans(hit))
         return pa.array(rows, pa.binary())
 
-    in_large = large.join(twice, ["s1", "s2"]).groupBy("anchor", "context").agg(F.collect_list("start").alias("s")).select("anchor", "context", runs("s").alias("spans"))
+    in_large = large.join(twice, ["s1", "s2"]).groupBy(*context).agg(F.collect_list("start").alias("s")).select(*context, runs("s").alias("spans"))
 
     # contexts seen twice repeat whole; of the others, sorting or counting says which suffixes do
-    whole = contexts.where("n > 1").select("anchor", "context", F.lit(None).cast("binary").alias("spans"))
-    alone = in_small.union(in_large).join(contexts.where("n = 1").select("anchor", "context"), ["anchor", "context"])
+    whole = contexts.where("n > 1").select(*context, F.lit(None).cast("binary").alias("spans"))
+    alone = in_small.union(in_large).join(contexts.where("n = 1").select(*context), context)
     hits = written(whole.union(alone), "suffix-hits")
-    met = found.join(hits, ["anchor", "context"]).select("k1", "k2", F.struct("first", "last", "spans").alias("s"))
-    return written(met.groupBy("k1", "k2").agg(F.collect_list("s").alias("spans")), "suffix-spans")
+    texts = found.join(hits, context).select("k1", "k2", F.struct("level", "first", "last", "spans").alias("s"))
+    return written(texts.groupBy("k1", "k2").agg(F.collect_list("s").alias("spans")), "suffix-spans")
 
 
-def covered(n: int, found: list[dict] | None, depth: int) -> np.ndarray:
-    """The maximal runs (from, to) of removed bytes of a text of n bytes."""
+def covered(found: list[dict], depth: int) -> np.ndarray:
+    """The maximal runs (from, to) of symbols in repeated strings, from the spans of one level."""
     if not found:
         return np.zeros((0, 2), np.int64)
     starts = []
     for s in found:
         pairs = np.array([[0, s["last"] - s["first"]]]) if s["spans"] is None else np.frombuffer(s["spans"], "<i4").reshape(-1, 2).astype(np.int64)
         starts.append(pairs + s["first"])
-    rows = np.concatenate(starts)
+    return _merged(np.concatenate(starts) + [0, depth])
+
+
+def _merged(rows: np.ndarray) -> np.ndarray:
+    """Runs (from, to) as maximal ones, in order."""
+    if not len(rows):
+        return rows.reshape(0, 2)
     rows = rows[np.argsort(rows[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(rows[:, 1] + depth)
+    ends = np.maximum.accumulate(rows[:, 1])
     at = np.flatnonzero(np.concatenate([[True], rows[1:, 0] > ends[:-1]]))
     return np.stack([rows[at, 0], ends[np.concatenate([at[1:], [len(rows)]]) - 1]], axis=1)
 
 
-def remove(docs: DataFrame, text: str = "text", column: str = "repeats", depth: int = DEPTH, anchor: int = ANCHOR, bucket_contexts: int = BUCKET_CONTEXTS, texts: bool = True) -> DataFrame:
-    """docs with a struct of n_bytes, n_removed, n_spans, kept_sha256, runs (the removed runs: from, to) and kept (the
-    remaining bytes; null unless texts)."""
+def passage_runs(text: bytes, found: list[dict], words: int) -> np.ndarray:
+    """The runs (from, to) of a text's bytes that lie in repeated strings of words."""
+    runs = covered(found, words)
+    if not len(runs):
+        return runs
+    at = np.array([m.span() for m in re.finditer(WORD.encode(), text)], np.int64)
+    return np.stack([at[runs[:, 0], 0], at[runs[:, 1] - 1, 1]], axis=1)
+
+
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<struct<from: int, to: int>>, n_passages long, n_passage_bytes long, kept binary"
+
+
+def remove(docs: DataFrame, text: str = "text", column: str = "repeats", depth: int = DEPTH, anchor: int = ANCHOR, words: int = PASSAGE_WORDS,
+           cut_passages: bool = False, bucket_contexts: int = BUCKET_CONTEXTS, texts: bool = True) -> DataFrame:
+    """docs with a struct of n_bytes, n_removed, n_spans, kept_sha256, runs (the removed runs: from, to), n_passages and
+    n_passage_bytes (maximal runs of repeated strings of `words` words, and bytes in them), and kept (the remaining bytes;
+    null unless texts). Passages are removed as well if cut_passages."""
+    levels = (Level(1, depth, anchor), Level(8, words, min(PASSAGE_ANCHOR, max(1, words // 2))))
     data = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     half = lambda k: F.conv(F.substring(F.md5(data), k, 16), 16, -10).cast("long")
-    found = spans(docs.select(half(1).alias("k1"), half(17).alias("k2"), data.alias("text")), depth, anchor, bucket_contexts)
+    found = spans(docs.select(half(1).alias("k1"), half(17).alias("k2"), data.alias("text")), levels, bucket_contexts)
 
-    @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<struct<from: int, to: int>>, kept binary")
+    @F.arrow_udf(RESULT)
     def cut(column: pa.Array, spans: pa.Array) -> pa.Array:
         take_over("dedup_suffix", dict)
         rows = []
         for x, s in zip(values(column), spans.to_pylist(), strict=True):
-            runs = covered(len(x), s, depth)
+            by_level = [[r for r in s or () if r["level"] == k] for k in (0, 1)]
+            runs, passages = covered(by_level[0], depth), passage_runs(x, by_level[1], words)
+            if cut_passages:
+                runs = _merged(np.concatenate([runs, passages]))
             kept = x
             if len(runs):
                 edges = [0, *runs.ravel().tolist(), len(x)]
                 kept = b"".join(x[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            rows.append({"n_bytes": len(x), "n_removed": len(x) - len(kept), "n_spans": len(runs), "kept_sha256": hashlib.sha256(kept).hexdigest(), "runs": [{"from": a, "to": b} for a, b in runs.tolist()], "kept": kept if texts else None})
-        pair = pa.struct([("from", pa.int32()), ("to", pa.int32())])
-        kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("runs", pa.list_(pair)), ("kept", pa.binary())])
+            rows.append({
+                "n_bytes": len(x), "n_removed": len(x) - len(kept), "n_spans": len(runs), "kept_sha256": hashlib.sha256(kept).hexdigest(), "runs": [{"from": a, "to": b} for a, b in runs.tolist()],
+                "n_passages": len(passages), "n_passage_bytes": int((passages[:, 1] - passages[:, 0]).sum()), "kept": kept if texts else None,
+            })
+        whole = [(name, pa.int64()) for name in ("n_passages", "n_passage_bytes")]
+        runs_kind = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+        kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("runs", runs_kind), *whole, ("kept", pa.binary())])
         return pa.array(rows, kind)
 
-    keyed = docs.withColumn("__k1", half(1)).withColumn("__k2", half(17))
-    side = found.select(F.col("k1").alias("__s1"), F.col("k2").alias("__s2"), F.col("spans").alias("__spans"))
-    joined = keyed.join(side, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
-    return joined.withColumn(column, cut(data, F.col("__spans"))).drop("__k1", "__k2", "__s1", "__s2", "__spans")
+    k1, k2, s1, s2, own = free_names(docs, "k1", "k2", "s1", "s2", "spans")
+    keyed = docs.withColumn(k1, half(1)).withColumn(k2, half(17))
+    side = found.select(F.col("k1").alias(s1), F.col("k2").alias(s2), F.col("spans").alias(own))
+    joined = keyed.join(side, (F.col(k1) == F.col(s1)) & (F.col(k2) == F.col(s2)), "left")
+    return joined.withColumn(column, cut(data, F.col(own))).drop(k1, k2, s1, s2, own)
 
 
-#: Bytes of a word's digest.
-CODE = 8
+def whole_characters(kept: Column) -> Column:
+    """Bytes as text, without the rest of characters that a cut went through."""
 
+    @F.arrow_udf("string")
+    def decoded(kept: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in values(kept)], pa.string())
 
-def word_runs(text: bytes, found: list[dict] | None, words: int) -> np.ndarray:
-    """The runs (from, to) of a text's bytes that lie in repeated strings of words: spans found in its word digests."""
-    if not found:
-        return np.zeros((0, 2), np.int64)
-    at = np.array([m.span() for m in re.finditer(WORD.encode(), text)], np.int64).reshape(-1, 2)
-    runs = covered(len(at) * CODE, found, words * CODE)
-    # bytes of the digests beside a passage can agree by chance: only whole words count
-    first, last = -(-runs[:, 0] // CODE), runs[:, 1] // CODE
-    return np.stack([at[first, 0], at[last - 1, 1]], axis=1)
-
-
-def remove_passages(docs: DataFrame, words: int, text: str = "text", column: str = "repeats", depth: int = DEPTH, anchor: int = ANCHOR, bucket_contexts: int = BUCKET_CONTEXTS) -> DataFrame:
-    """docs with a struct of n_removed and kept (the remaining bytes). What remove() removes goes, and so do strings of
-    `words` words, from the first one's start to the last one's end, that start anywhere else as well, whatever white
-    space is between the words. These are found in the same way, in texts that have a digest of CODE bytes for each
-    word."""
-    data = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
-    half = lambda k: F.conv(F.substring(F.md5(data), k, 16), 16, -10).cast("long")
-
-    @F.arrow_udf("binary")
-    def coded(column: pa.Array) -> pa.Array:
-        take_over("dedup_suffix", dict)
-        return pa.array([b"".join(map(xxhash.xxh64_digest, x.split())) for x in values(column)], pa.binary())
-
-    @F.arrow_udf("n_removed long, kept binary")
-    def cut(column: pa.Array, by_bytes: pa.Array, by_words: pa.Array) -> pa.Array:
-        take_over("dedup_suffix", dict)
-        rows = []
-        for x, s, w in zip(values(column), by_bytes.to_pylist(), by_words.to_pylist(), strict=True):
-            kept, at = [], 0
-            for a, b in sorted([*covered(len(x), s, depth).tolist(), *word_runs(x, w, words).tolist()]):
-                kept.append(x[at:a])
-                at = max(at, b)
-            left = b"".join([*kept, x[at:]])
-            rows.append({"n_removed": len(x) - len(left), "kept": left})
-        return pa.array(rows, pa.struct([("n_removed", pa.int64()), ("kept", pa.binary())]))
-
-    keys = half(1).alias("k1"), half(17).alias("k2")
-    by_bytes = spans(docs.select(*keys, data.alias("text")), depth, anchor, bucket_contexts)
-    codes = written(docs.select(*keys, coded(data).alias("text")), "suffix-words")
-    by_words = spans(codes, words * CODE, anchor, bucket_contexts)
-    deleted(codes)
-    side = by_bytes.withColumnRenamed("spans", "__bytes").join(by_words.withColumnRenamed("spans", "__words"), ["k1", "k2"], "full")
-    side = side.withColumnsRenamed({"k1": "__s1", "k2": "__s2"})
-    keyed = docs.withColumn("__k1", half(1)).withColumn("__k2", half(17))
-    joined = keyed.join(side, (F.col("__k1") == F.col("__s1")) & (F.col("__k2") == F.col("__s2")), "left")
-    return joined.withColumn(column, cut(data, F.col("__bytes"), F.col("__words"))).drop("__k1", "__k2", "__s1", "__s2", "__bytes", "__words")
+    return decoded(kept)

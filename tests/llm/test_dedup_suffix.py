@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -49,17 +50,40 @@ def test_the_cover_covers():
     assert {(a - b) % d.PERIOD for a in d.COVER for b in d.COVER} == set(range(d.PERIOD))
 
 
+def brute_passages(texts, words):
+    """(maximal runs, bytes in them) of strings of words that are found twice, for each text."""
+    at = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    own = [[(t or "").encode()[a:b] for a, b in spans] for t, spans in zip(texts, at, strict=True)]
+    counts = Counter(tuple(w[i : i + words]) for w in own for i in range(len(w) - words + 1))
+    out = []
+    for w, spans in zip(own, at, strict=True):
+        runs = []
+        for i in range(len(w) - words + 1):
+            if counts[tuple(w[i : i + words])] > 1:
+                if runs and i <= runs[-1][1]:
+                    runs[-1][1] = i + words
+                else:
+                    runs.append([i, i + words])
+        out.append((len(runs), sum(spans[b - 1][1] - spans[a][0] for a, b in runs)))
+    return out
+
+
 @pytest.mark.parametrize("bucket", [256, 2])
 def test_against_brute_force(spark, bucket):
     rng = random.Random(bucket)
-    texts = corpus(rng, 60)
-    df = spark.createDataFrame([Row(doc_id=k, text=t, k1="clash", at=1, spans=2) for k, t in enumerate(texts)])
+    short = " ".join(f"w{k}" for k in range(55))  # over 50 words, below 400 bytes
+    texts = [*corpus(rng, 60), f"one {short} two", f"three\n{short}"]
+    df = spark.createDataFrame([Row(doc_id=k, text=t, k1="clash", at=1, spans=2, __spans=3, __K1=4, __s1=5, __s1_1=6) for k, t in enumerate(texts)])
     got = {r.doc_id: r for r in d.remove(df, bucket_contexts=bucket).collect()}
     for k, expected in enumerate(brute(texts, d.DEPTH)):
         r = got[k].repeats
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == expected, k
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256
         assert sum(x["to"] - x["from"] for x in r.runs) == r.n_removed
+    for k, expected in enumerate(brute_passages(texts, d.PASSAGE_WORDS)):
+        assert (got[k].repeats.n_passages, got[k].repeats.n_passage_bytes) == expected, k
+    assert sum(r.repeats.n_passages > 0 and r.repeats.n_removed == 0 for r in got.values()) > 0
+    assert got[0]["__spans"] == 3 and set(df.columns) < set(got[0].asDict())
     assert sum(r.repeats.n_removed > 0 for r in got.values()) > 20
 
 
@@ -72,6 +96,14 @@ def test_other_depths_and_repeated_rows(spark):
     assert got == expected
 
 
+def test_passages_of_few_words(spark):
+    rng = random.Random(6)
+    texts = [" \n".join(rng.choice("abc") for _ in range(rng.randint(0, 40))) for _ in range(60)]
+    df = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in enumerate(texts)])
+    got = {r.doc_id: r.repeats for r in d.remove(df, words=7, bucket_contexts=3).collect()}
+    assert [(got[k].n_passages, got[k].n_passage_bytes) for k in range(len(texts))] == brute_passages(texts, 7)
+
+
 def test_empty_table(spark):
     assert d.remove(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
@@ -87,7 +119,7 @@ def test_sorting_a_bucket_against_brute_force():
             texts.append(left + core + right + b"tail")
             at.append(len(left))
             buckets.append(b)
-    hits = d.sort_buckets(buckets, texts, at, 103)
+    hits = d.sort_buckets(buckets, texts, at, d.Level(1, 103, 100))
     for b in range(4):
         own = [k for k in range(len(texts)) if buckets[k] == b]
         for offset in range(-10, 10):
