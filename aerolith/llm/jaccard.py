@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import connected_components, deleted, small_pieces, take_over, written
+from aerolith.llm.common import connected_components, deleted, free_names, small_pieces, take_over, written
 
 WORDS = 5
 THRESHOLD = (4, 5)  # as a fraction
@@ -39,7 +39,9 @@ MOST_HASHES = 160
 LEAST_ESTIMATE = 0.6
 BUCKET = 256
 BLOCK = 128
-MOST_BLOCK = 4096
+#: Classes of a block whose sets are compared with another's, and of one whose signatures are.
+MOST_BLOCK = 1024
+MOST_CELL = 4096
 MOST_REMEMBERED = 200_000
 M1, M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -216,7 +218,8 @@ def _cell_edges(least: int):
 
 def candidate_edges(rows: DataFrame, briefs: DataFrame, least: int) -> DataFrame:
     """Edges (a, b) that tie near classes together: rows (key, node) say which classes meet, briefs has (node, brief)."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    # written, so that the join can be split where one bucket is very large
+    sizes = written(rows.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "jaccard-buckets")
     met = written(rows.join(sizes, "key").join(briefs, "node"), "jaccard-met")
     small = met.where(F.col("m") <= BUCKET).select("key", "node", "brief").repartition("key").sortWithinPartitions("key", "node")
     edges = small.mapInArrow(_bucket_edges(least), "a binary, b binary")
@@ -225,8 +228,8 @@ def candidate_edges(rows: DataFrame, briefs: DataFrame, least: int) -> DataFrame
     near = written(large.join(first, "key").select("key", "node", "brief", "m", "c", (agreement("brief", "cb") >= least).alias("near")), "jaccard-large")
     edges = edges.union(near.where("near AND node != c").select(F.col("node").alias("a"), F.col("c").alias("b")))
     # those near the centre are one family already; the others meet all of their bucket, in cells of two blocks
-    step = F.greatest(F.lit(BUCKET), F.least(F.lit(MOST_BLOCK), F.expr("m div 64")))
-    others = near.where("NOT near").groupBy("key").agg(F.count("*").alias("n"))
+    step = F.greatest(F.lit(BUCKET), F.least(F.lit(MOST_CELL), F.expr("m div 64")))
+    others = written(near.where("NOT near").groupBy("key").agg(F.count("*").alias("n")), "jaccard-others")
     dealt = near.join(others, "key").select("key", "node", "brief", "near", F.ceil(F.col("n") / step).alias("is"), F.ceil(F.col("m") / step).alias("js"), F.xxhash64("node").alias("h"))
     block, every = lambda n: F.pmod("h", F.col(n)), lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     cells = dealt.where("NOT near").select("key", block("is").alias("i"), every("js").alias("j"), "node", "brief", F.lit(True).alias("other"))
@@ -370,10 +373,13 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words:
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with one row of each component: the smallest id and, of equal rows, any one. All columns are kept."""
-    kept = join(docs, id_column, text, **options).where("first").select(F.col("id").alias("__i"), F.col("tie").alias("__t")).distinct()
-    tie = F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    keyed = docs.withColumn("__tie", tie)
-    left = keyed.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col("__i")) & (F.col("__tie") == F.col("__t")), "left_semi")
-    empty = F.trim(F.regexp_replace(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", "")) == ""
-    nth = F.row_number().over(Window.partitionBy(F.col(f"`{id_column}`"), "__tie").orderBy(F.lit(1)))
-    return left.withColumn("__nth", nth).where((F.col("__nth") == 1) | empty).drop("__tie", "__nth")
+    i, t, tie, own, nth = free_names(docs, "i", "t", "tie", "own", "nth")
+    kept = join(docs, id_column, text, **options).where("first").select(F.col("id").alias(i), F.col("tie").alias(t)).distinct()
+    data = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    left = docs.withColumn(tie, F.xxhash64(data))
+    left = left.join(kept, F.col(f"`{id_column}`").eqNullSafe(F.col(i)) & (F.col(tie) == F.col(t)), "left_semi")
+    # rows without words are no copies of each other: each has a number of its own
+    empty = F.trim(F.regexp_replace(data, r"[\x20\x09-\x0D]+", "")) == ""
+    left = left.withColumn(own, F.when(empty, F.monotonically_increasing_id()))
+    left = left.withColumn(nth, F.row_number().over(Window.partitionBy(F.col(f"`{id_column}`"), tie, own).orderBy(F.lit(1))))
+    return left.where(F.col(nth) == 1).drop(tie, own, nth)
