@@ -44,18 +44,16 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-#: Each source's slots are counted, not placed: the words it gives are those of its stream up to the end of its last slot.
+#: A source gives the words of its stream up to its target, rounded.
 OP3_SQL = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(doc_id::VARCHAR) AS key FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(concat(coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS weight, 3 * source_size AS cap, sum(source_size) OVER ()::BIGINT AS total FROM s),
 f AS (SELECT *, (total - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
   / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM w),
 t AS (SELECT *, CASE WHEN cap > level * weight THEN weight * (SELECT level FROM f WHERE cap > level * weight ORDER BY cap / weight LIMIT 1) ELSE cap END::DOUBLE AS target FROM f),
-p AS (SELECT *, least(20, length(bin(total)) - 1) AS bits, sum(target) OVER (ORDER BY source NULLS LAST) AS through, row_number() OVER (ORDER BY source DESC NULLS FIRST) = 1 AS final FROM t),
-q AS (SELECT *, 1::BIGINT << bits AS slots, CASE WHEN final THEN 1::BIGINT << bits ELSE ceil(round(through * (1::BIGINT << bits) / total, 6))::BIGINT END AS next_point FROM p),
-r AS (SELECT *, least(((next_point - coalesce(lag(next_point) OVER (ORDER BY source NULLS LAST), 0))::HUGEINT * total // slots)::BIGINT, 3 * source_size) AS words FROM q),
-o AS (SELECT d.doc_id, d.size, r.source_size, r.target, r.words, (('0x' || substr(key, 1, 15))::BIGINT % ceil((SELECT count(*) FROM d) / 1500.0)::BIGINT) AS bucket, key, d.source FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+o AS (SELECT d.doc_id, d.size, t.source_size, t.target, least(floor(t.target + 0.5)::BIGINT, 3 * t.source_size) AS words, (('0x' || substr(key, 1, 15))::BIGINT % ceil((SELECT count(*) FROM d) / 1500.0)::BIGINT) AS bucket, key, d.source
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 a AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY bucket, key ROWS UNBOUNDED PRECEDING) - size AS lo FROM o)
 SELECT doc_id, size, source_size, target, list_sum([greatest(0, least(e * source_size + lo + size, words) - (e * source_size + lo)) FOR e IN [0, 1, 2]])::BIGINT AS taken FROM a
 """
@@ -65,7 +63,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import warc
 
     manifest = warc.write(table(spark, sf_dir, "pages"))
-    records = warc.read(manifest, payloads=False)
+    records = warc.read(manifest, payloads=False, strict=True)
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -120,14 +118,14 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (part != 2).alias("train"))
     scored = lm.score(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "mixture_score")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aerolith.llm import dedup_suffix
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_suffix.remove(docs, texts=False, column="r").select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256")
+    return dedup_suffix.remove(docs, texts=False, column="r").select("doc_id", "r.n_bytes", "r.n_removed", "r.n_spans", "r.kept_sha256", "r.n_passages", "r.n_passage_bytes")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ import corpus_pipeline
 from aerolith.llm import bpe, mixing, quality
 from test_jaccard import brute as brute_links
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 ORDER = ["quality_rules", "near_duplicates", "repeated_passages", "mixture", "tokens"]
 
 
@@ -26,20 +27,28 @@ def brute_pipeline(rows):
     kept = [r for r in kept if r[0] in heads]
     cut = []
     data = [t.encode() for _, t, _ in kept]
-    counts = defaultdict(int)
+    counts, strings = defaultdict(int), defaultdict(int)
     for t in data:
         for k in range(len(t) - 399):
             counts[t[k : k + 400]] += 1
+        words = WORD.findall(t)
+        for k in range(len(words) - 50):
+            strings[tuple(words[k : k + 51])] += 1
     for (i, _, s), t in zip(kept, data, strict=True):
         gone = bytearray(len(t))
         for k in range(len(t) - 399):
             if counts[t[k : k + 400]] > 1:
                 gone[k : k + 400] = b"\1" * 400
+        spans = [m.span() for m in WORD.finditer(t)]
+        for k in range(len(spans) - 50):
+            if strings[tuple(t[a:b] for a, b in spans[k : k + 51])] > 1:
+                a, b = spans[k][0], spans[k + 50][1]
+                gone[a:b] = b"\1" * (b - a)
         cut.append((i, bytes(b for b, g in zip(t, gone, strict=True) if not g).decode(errors="ignore"), s))
     sizes = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for i, t, _ in cut}
     by_source = defaultdict(list)
     for i, t, s in cut:
-        by_source[s].append((hashlib.md5(str(i).encode()).hexdigest(), i, t))
+        by_source[s].append((hashlib.md5((str(i) + hashlib.md5(t.encode()).hexdigest()).encode()).hexdigest(), i, t))
     names = sorted(by_source)
     size = {s: sum(sizes[i] for _, i, _ in by_source[s]) for s in names}
     total = sum(size.values())
@@ -53,16 +62,10 @@ def brute_pipeline(rows):
         full.update(over)
     for s in names:
         target[s] = 3.0 * size[s] if s in full else level * weight[s]
-    bits = min(20, total.bit_length() - 1)
-    through, out, first = 0.0, [], 0
+    out = []
     buckets = -(-len(cut) // mixing.BUCKET_ROWS)
-    import math
-
     for s in names:
-        through += target[s]
-        last = 1 << bits if s == names[-1] else math.ceil(round(through * (1 << bits) / total, 6))
-        words = min((last - first) * total >> bits, 3 * size[s])
-        first = last
+        words = min(int(target[s] + 0.5), 3 * size[s])
         at = 0
         stream = sorted(by_source[s], key=lambda x: (int(x[0][:15], 16) % buckets, x[0]))
         for epoch in range(3):
@@ -83,7 +86,7 @@ def brute_pipeline(rows):
 def documents(rng):
     vocab = ["".join(rng.choice("abcdefgü") for _ in range(rng.randint(2, 7))) for _ in range(800)]
     text = lambda k: [rng.choice(vocab) for _ in range(k)]
-    passages = [text(90) for _ in range(3)]
+    passages = [text(90) for _ in range(3)] + [text(55) for _ in range(3)]
     out = []
     for _ in range(120):
         base = text(rng.randint(40, 200))
