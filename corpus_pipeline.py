@@ -18,8 +18,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 from __future__ import annotations
 
 import public_tokenizers
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.llm import bpe, dedup_suffix, jaccard, mixing, quality
@@ -42,17 +41,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.deduplicate(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
-def _whole_characters(kept: Column) -> Column:
-    @F.arrow_udf("string")
-    def whole_characters(kept: pa.Array) -> pa.Array:
-        return pa.array([None if x is None else x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
-
-    return whole_characters(kept)
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = dedup_suffix.remove_passages(docs.select(*COLUMNS), PASSAGE_WORDS, column="r")
-    text = F.when(F.col("r.n_removed") > 0, _whole_characters(F.col("r.kept"))).otherwise(F.col("text"))
+    cut = dedup_suffix.remove(docs.select(*COLUMNS), words=PASSAGE_WORDS, cut_passages=True, column="r")
+    text = F.when(F.col("r.n_removed") > 0, dedup_suffix.whole_characters(F.col("r.kept"))).otherwise(F.col("text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
