@@ -21,6 +21,19 @@ def aircraft_category(url: Column, title: Column) -> Column:
     return first_case(*cases)
 
 
+def normal_category(c: Column, known: tuple[str, ...] | None = None) -> Column:
+    """A category by its usual name; null if it is none of the known ones."""
+    name = F.coalesce(looked_up(c, T.CATEGORY_ALIASES), c)
+    return name if known is None else F.when(name.isin(*known), name)
+
+
+def category_name(registration: Column, by_spec: Column, url: Column, title: Column, specs_first: bool = False) -> Column:
+    """A listing's category: by its registration, else by its reference entry (or the other way round), else by marks in
+    the URL or title."""
+    first = (by_spec, registration_category(registration))
+    return F.coalesce(*(first if specs_first else first[::-1]), aircraft_category(url, title))
+
+
 def _registration(c: Column) -> Column:
     return F.regexp_replace(F.upper(c), r"\s+", "")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as JavaScript sees it.
@@ -32,6 +32,14 @@ def let(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """df with columns that are computed once for each row, however often they are used and whatever filters follow: a
+    generator of one row stands between them and what comes after, which the optimizer does not look through."""
+    own = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = F.explode(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))).alias("__once")
+    return df.select("*", made).select(*own, *[F.col(f"__once.`{name}`") for name in columns])
+
+
 def chain(c: Column, *steps: tuple[str, str]) -> Column:
     """regexp_replace, one after the other."""
     for regex, by in steps:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import given, looked_up, trimmed
+from aerolith.functions.core import chain, given, looked_up, trimmed
 from aerolith.functions.text import slug_for_key, strip_diacritics
 from aerolith.rules import tables as T
 
@@ -42,6 +42,11 @@ def unique_slug(title: Column) -> Column:
     return F.concat(F.coalesce(given(F.substring(base, 1, 60)), F.lit("event")), F.lit("-"), short_sha1(title, 8))
 
 
+def logo_slug(name: Column) -> Column:
+    """A file's name from a maker's: ASCII letters, digits and single hyphens."""
+    return chain(F.lower(name), (r"[^a-z0-9\s-]", ""), (r"\s+", "-"), ("-+", "-"), ("^-+|-+$", ""))
+
+
 def image_name(data: Column, extension: Column) -> Column:
     return F.concat(F.substring(F.sha2(data, 256), 1, 24), F.lit("."), extension)
 

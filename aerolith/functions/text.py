@@ -108,23 +108,27 @@ def blocks(html: Column, least: int = 50) -> Column:
     return F.filter(parts, lambda x: F.length(trimmed(F.regexp_replace(x, "<[^>]+>", ""))) > least)
 
 
-def _keep_first(parts: Column, least: int, key) -> Column:
-    """An array without later elements whose key was seen; elements with keys shorter than `least` all stay."""
-    keyed = F.transform(parts, lambda x: F.struct(x.alias("x"), key(x).alias("k")))
+def keep_first(parts: Column, least: int, key) -> Column:
+    """An array without later elements whose key was seen; elements with keys shorter than `least` all stay. Equal keys
+    come side by side by sorting, so that long texts take little more than their length."""
 
-    def kept(rows: Column) -> Column:
-        return let(F.transform(rows, lambda r: r["k"]), lambda keys: F.filter(rows, lambda r, i: (F.length(r["k"]) < least) | (F.array_position(keys, r["k"]) == i + 1)))
+    def row(x: Column, i: Column) -> Column:
+        return let(key(x), lambda k: F.struct(F.when(F.length(k) < least, i).otherwise(-1).alias("own"), k.alias("k"), i.alias("i"), x.alias("x")))
 
-    return F.transform(let(keyed, kept), lambda r: r["x"])
+    def firsts(rows: Column) -> Column:
+        new = lambda r, j: (j == 0) | (F.get(rows, j - 1)["own"] != r["own"]) | (F.get(rows, j - 1)["k"] != r["k"])
+        return F.transform(F.filter(rows, new), lambda r: F.struct(r["i"].alias("i"), r["x"].alias("x")))
+
+    return F.transform(F.sort_array(let(F.sort_array(F.transform(parts, row)), firsts)), lambda r: r["x"])
 
 
 def deduplicate_description(c: Column) -> Column:
     """Each paragraph (of ten characters or more) and each sentence (of twenty or more) once, the first time."""
     key = lambda x: trimmed(F.regexp_replace(F.lower(x), rf"{SPACE}+", " "))
     paragraphs = F.filter(F.transform(F.split(c, rf"\n{SPACE}*\n"), trimmed), lambda x: x != "")
-    joined = F.array_join(_keep_first(paragraphs, 10, key), "\n\n")
+    joined = F.array_join(keep_first(paragraphs, 10, key), "\n\n")
     sentences = F.split(joined, rf"(?<=[.!?]){SPACE}+")
-    return F.when(c == "", c).otherwise(trimmed(F.array_join(_keep_first(sentences, 20, key), " ")))
+    return F.when(c == "", c).otherwise(trimmed(F.array_join(keep_first(sentences, 20, key), " ")))
 
 
 def tech_terms(c: Column) -> Column:
@@ -192,15 +196,22 @@ def airfield(c: Column) -> Column:
 
 def venue_icao(c: Column) -> Column:
     """A struct of a venue's name and ICAO code, in parentheses at the end or anywhere in the text."""
-    text = clean_text(c)
     end = r"^(.*?)\s*\(\s*([A-Z]{4})\s*\)\s*$"
     inline = pattern("W([A-Z]{4})W", "")
-    code = found(text, inline)
-    name = trimmed(chain(F.regexp_replace(text, F.concat(F.lit("^(.*?)"), code), F.lit("$1")), (r"\(\s*\)", ""), (rf"{SPACE}+", " ")))
-    return F.struct(
-        F.when(text.rlike(end), trimmed(F.regexp_extract(text, end, 1))).when(code.isNotNull(), F.when(name == "", text).otherwise(name)).otherwise(F.coalesce(text, F.lit(""))).alias("name"),
-        F.when(text.rlike(end), F.regexp_extract(text, end, 2)).otherwise(code).alias("icao"),
-    )
+
+    def parts(text: Column) -> Column:
+        return F.struct(text.alias("text"), text.rlike(end).alias("ends"), found(text, inline).alias("code"))
+
+    def of(p: Column) -> Column:
+        text, code = p["text"], p["code"]
+        name = trimmed(chain(F.regexp_replace(text, F.concat(F.lit("^(.*?)"), code), F.lit("$1")), (r"\(\s*\)", ""), (rf"{SPACE}+", " ")))
+        inside = F.when(code.isNotNull(), let(name, lambda n: F.when(n == "", text).otherwise(n))).otherwise(F.coalesce(text, F.lit("")))
+        return F.struct(
+            F.when(p["ends"], trimmed(F.regexp_extract(text, end, 1))).otherwise(inside).alias("name"),
+            F.when(p["ends"], F.regexp_extract(text, end, 2)).otherwise(code).alias("icao"),
+        )
+
+    return let(let(clean_text(c), parts), of)
 
 
 def venue_city(c: Column) -> Column:

@@ -1,41 +1,75 @@
-"""Containment and scoring joins of texts against reference dimensions.
+"""Containment and scoring matches of texts against reference dimensions.
 
-A dimension is small by nature (makers, models): it is counted, and broadcast only up to MOST_ROWS rows. A larger one
-is joined by its words instead: a name can only be contained in a text that holds its first word's letters, so texts
-meet entries through the three-letter grams that both have.
+What a text is compared with are the distinct names of a dimension, not its rows. Up to `FEW_NAMES` names are tested one
+by one, in the JVM; more are found all at once by an automaton, in time linear in the text, whatever their number. An
+automaton holds `MOST_NAMES` names at most; a larger dimension takes several, one pass over the texts for each. Rows of
+the dimension then meet texts by equality of names, so no text is paired with rows that have nothing to do with it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import pattern
+from aerolith.functions.core import let, pattern
+from aerolith.operators.scratch import written
 from aerolith.rules import tables as T
 
-MOST_ROWS = 20_000
-
-
-def _grams(c: Column, n: int = 3) -> Column:
-    return F.when(F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda k: c.substr(k, F.lit(n)))))
-
-
-def containing(texts: DataFrame, text: str, dim: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
-    """Pairs of texts and dimension rows of which the text holds the name (both lower-cased columns), and condition."""
-    held = F.col(text).contains(F.col(name)) & (F.col(name) != "")
-    held = held if condition is None else held & condition
-    if dim.count() <= MOST_ROWS:
-        return texts.join(F.broadcast(dim), held)
-    first = dim.withColumn("__g", F.when(F.length(name) >= 3, F.substring(name, 1, 3)))
-    by_gram = texts.withColumn("__t", F.explode(_grams(F.col(text)))).join(first.where("__g IS NOT NULL"), (F.col("__t") == F.col("__g")) & held).drop("__t", "__g")
-    short = first.where("__g IS NULL").drop("__g")
-    return by_gram.unionByName(texts.join(F.broadcast(short), held))
-
-
-def aliases(spark) -> DataFrame:
-    """(alias, name, ord): longest first, in the order of the table among equally long ones."""
-    rows = sorted(T.MANUFACTURER_ALIASES.items(), key=lambda x: -len(x[0]))
-    return spark.createDataFrame([(a, n, k) for k, (a, n) in enumerate(rows)], "alias string, name string, ord int")
+FEW_NAMES = 64
+MOST_NAMES = 500_000
+#: Names longer than this are tested one by one.
+MOST_NAME_CHARS = 1000
+
+
+def _automaton(shared) -> Callable[[Column], Column]:
+    built: list = []
+
+    @F.arrow_udf("array<string>")
+    def names_in(texts: pa.Array) -> pa.Array:
+        import ahocorasick
+
+        if not built:
+            automaton = ahocorasick.Automaton()
+            for name in shared.value:
+                automaton.add_word(name, name)
+            automaton.make_automaton()
+            built.append(automaton)
+        found = [None if x is None else list(dict.fromkeys(name for _, name in built[0].iter(x))) for x in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.string()))
+
+    return names_in
+
+
+def held_names(df: DataFrame, text: Column, names: DataFrame, column: str, few: int = FEW_NAMES, most: int = MOST_NAMES) -> DataFrame:
+    """df with an array of the names that a text holds anywhere; names has one string column. Empty and null names are
+    held by nothing; a null text holds none."""
+    spark = df.sparkSession
+    distinct = names.select(F.col(names.columns[0]).alias("name")).where("name <> ''").distinct()
+    sizes = distinct.agg(F.count("*"), F.count_if(F.length("name") > MOST_NAME_CHARS)).first()
+    own = F.coalesce(text, F.lit(""))
+    if sizes[0] <= few and not sizes[1]:
+        listed = sorted(r.name for r in distinct.collect())
+        every = F.array(*[F.lit(x) for x in listed]).cast("array<string>")
+        return df.withColumn(column, let(own, lambda t: F.filter(every, lambda x: t.contains(x))))
+    parts = -(-sizes[0] // most)
+    out = df
+    for k in range(parts):
+        some = distinct.where(F.pmod(F.xxhash64("name"), F.lit(parts)) == k)
+        shared = spark.sparkContext.broadcast([r.name for r in some.toLocalIterator()])
+        found = _automaton(shared)(own)
+        out = out.withColumn(column, F.concat(F.col(column), found) if k else found)
+        if parts > 1:
+            out = written(out, "held-names")
+            shared.destroy()
+    return out
+
+
+def aliases() -> list[tuple[str, str]]:
+    """(alias, name): longest first, in the order of the table among equally long ones."""
+    return sorted(T.MANUFACTURER_ALIASES.items(), key=lambda x: -len(x[0]))
 
 
 ROBINSON = r"Wr[\s-]?22W|Wr[\s-]?44W|Wr[\s-]?66W"
@@ -43,15 +77,17 @@ ROBINSON = r"Wr[\s-]?22W|Wr[\s-]?44W|Wr[\s-]?66W"
 
 def manufacturer(df: DataFrame, key: str, title: str, makers: DataFrame, name: str = "name", column: str = "manufacturer") -> DataFrame:
     """df with the maker that a title names: a model line that would be mistaken first, then aliases, then makers, the
-    longest name first. key identifies rows; makers has distinct names."""
-    low = df.select(F.col(key).alias("__k"), F.lower(F.col(title)).alias("__low"))
-    by_alias = containing(low, "__low", aliases(df.sparkSession), "alias").groupBy("__k").agg(F.min(F.struct("ord", F.col("name").alias("n"))).alias("a"))
-    dim = makers.select(F.col(name).alias("m"), F.lower(F.col(name)).alias("ml")).distinct()
-    # of equally long names the first by letters
-    by_name = containing(low, "__low", dim, "ml").groupBy("__k").agg(F.min(F.struct((-F.length("m")).alias("l"), F.col("m"))).alias("b"))
-    joined = df.join(by_alias, F.col(key) == by_alias["__k"], "left").drop("__k").join(by_name, F.col(key) == by_name["__k"], "left").drop("__k")
+    longest name first, of equally long ones the first by letters. A projection: rows are not moved. makers has names."""
+    low = F.lower(F.col(title))
+    entries = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(n).alias("name")) for a, n in aliases()])
+    by_alias = let(low, lambda t: F.try_element_at(F.filter(entries, lambda e: t.contains(e["alias"])), F.lit(1))["name"])
+    held = held_names(df, F.lower(F.col(title)), makers.select(F.lower(F.col(name))), "__held")
+    best = F.array_min(F.transform("__held", lambda x: F.struct((-F.length(x)).alias("l"), x.alias("x"))))["x"]
+    # the name as it is written, of spellings that differ in case alone the first by letters
+    spelled = makers.where(F.col(name) != "").groupBy(F.lower(F.col(name)).alias("__low")).agg(F.min(F.col(name)).alias("__name"))
+    joined = held.withColumn("__best", best).join(spelled, F.col("__best") == F.col("__low"), "left")
     special = F.col(title).rlike(pattern(ROBINSON)) | F.col(title).rlike(pattern("WrobinsonW"))
-    return joined.withColumn(column, F.when(special, "Robinson").otherwise(F.coalesce("a.n", "b.m"))).drop("a", "b")
+    return joined.withColumn(column, F.when(special, "Robinson").otherwise(F.coalesce(by_alias, F.col("__name")))).drop("__held", "__best", "__low", "__name")
 
 
 def _whole_word(text: Column, word: Column) -> Column:
@@ -60,22 +96,46 @@ def _whole_word(text: Column, word: Column) -> Column:
     return F.regexp_like(text, F.concat(F.lit(edge), quoted, F.lit(edge)))
 
 
-def spec_score(text: Column, maker: Column, model: Column, variant: Column) -> Column:
-    """2 for the maker, 3 for the model (as a word if it has three letters or fewer), 1 for the variant."""
-    m = F.when(F.length(model) <= 3, _whole_word(text, model)).otherwise(text.contains(model))
-    v = F.coalesce((variant != "") & text.contains(variant), F.lit(False))
-    return F.when(text.contains(maker), 2).otherwise(0) + F.when(m, 3).otherwise(0) + F.when(v, 1).otherwise(0)
+def _each_with(found: Column, more: Column) -> Column:
+    """Every array of `found` with every element of `more` at its end."""
+    return F.flatten(F.transform(found, lambda held: F.transform(more, lambda x: F.concat(held, F.array(x)))))
+
+
+#: What an entry scores: 2 for the maker, 3 for the model (as a word if it has three letters or fewer), 1 for the
+#: variant. Each row says which of an entry's names make a score of at least 3.
+SCORES = ((6, ("mk", "md", "va")), (5, ("mk", "md")), (4, ("md", "va")), (3, ("md",)), (3, ("mk", "va")))
 
 
 def best_spec(df: DataFrame, key: str, text: str, specs: DataFrame, maker: str, model: str, variant: str, order: str) -> DataFrame:
     """(key, score, and the columns of specs) of the best entry for each row with a score of at least 3; of equal scores
-    the first by order. Entries without maker or model are left out. A score of 3 takes the model, so candidates are
-    texts that hold the model's name."""
+    the first by order. Entries without maker or model are left out.
+
+    For each kind of score, the first entry with the same maker, model and variant (as far as these count) stands for
+    all, and texts look entries up by the names that they hold. An entry that scores more than the kind says is found
+    under the better kind as well."""
     dim = specs.where((F.coalesce(F.col(maker), F.lit("")) != "") & (F.coalesce(F.col(model), F.lit("")) != ""))
-    dim = dim.withColumns({"__mk": F.lower(maker), "__md": F.lower(model), "__va": F.lower(F.coalesce(F.col(variant), F.lit("")))})
+    dim = dim.select(F.lower(maker).alias("mk"), F.lower(model).alias("md"), F.lower(F.coalesce(F.col(variant), F.lit(""))).alias("va"), F.struct(F.col(order).alias("o"), F.struct(*[F.col(f"`{c}`") for c in specs.columns]).alias("spec")).alias("e"))
+    dim = written(dim, "specs")
+    entries = None
+    for number, (_, names) in enumerate(SCORES):
+        kind = dim.where("va <> ''") if "va" in names else dim
+        one = kind.groupBy(F.array(*[F.col(n) for n in names]).alias("names")).agg(F.min_by("e", "e.o").alias("e")).select(F.lit(number).alias("kind"), "names", "e")
+        entries = one if entries is None else entries.unionByName(one)
     low = df.select(F.col(key), F.lower(F.col(text)).alias("__text"))
-    pairs = containing(low, "__text", dim, "__md").withColumn("score", spec_score(F.col("__text"), F.col("__mk"), F.col("__md"), F.col("__va"))).where("score >= 3")
-    best = pairs.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(order).alias("o"), F.col("score"), F.struct(*specs.columns).alias("spec"))).alias("b"))
+    for name in ("mk", "md", "va"):
+        low = held_names(low, F.col("__text"), dim.select(name), name)
+    low = low.withColumn("md", F.filter("md", lambda m: (F.length(m) > 3) | _whole_word(F.col("__text"), m)))
+
+    def looked_up(number: int, names: tuple[str, ...]) -> Column:
+        found = F.transform(F.col(names[0]), lambda x: F.array(x))
+        for name in names[1:]:
+            found = _each_with(found, F.col(name))
+        return F.transform(found, lambda held: F.struct(F.lit(number).alias("kind"), held.alias("names")))
+
+    wanted = low.select(key, F.explode(F.concat(*[looked_up(k, names) for k, (_, names) in enumerate(SCORES)])).alias("w")).select(key, "w.*")
+    score = F.element_at(F.array(*[F.lit(x) for x, _ in SCORES]), F.col("kind") + 1)
+    pairs = wanted.join(entries, ["kind", "names"]).select(key, score.alias("score"), "e")
+    best = pairs.groupBy(key).agg(F.min_by(F.struct("score", "e.spec"), F.struct((-F.col("score")).alias("s"), F.col("e.o"))).alias("b"))
     return best.select(key, "b.score", "b.spec.*")
 
 
@@ -93,24 +153,44 @@ def headline_models(df: DataFrame, key: str, headline: str, maker: str | None, s
     of the row's maker if it has one."""
     full = F.when(F.coalesce(F.col(variant), F.lit("")) != "", F.concat_ws(" ", model, variant)).otherwise(F.col(model))
     dim = specs.where(F.length(model) >= 2).select(full.alias("__full"), F.lower(full).alias("__name"), F.lower(spec_maker).alias("__mk"), F.col(order).alias("__o"))
+    # the first of each maker, and the first of all for rows without one
+    best = F.min(F.struct((-F.length("__full")).alias("l"), F.col("__o").alias("o"), F.col("__full").alias("f"))).alias("e")
+    every = dim.groupBy("__name").agg(best).select("__name", F.lit(None).cast("string").alias("__mk"), "e")
+    entries = dim.where("__mk IS NOT NULL").groupBy("__name", "__mk").agg(best).unionByName(every)
     own = F.lower(F.col(maker)) if maker else F.lit(None).cast("string")
     low = df.select(F.col(key), F.concat(F.lit(" "), F.lower(F.col(headline)), F.lit(" ")).alias("__hay"), own.alias("__own"))
-    quoted = F.regexp_replace(F.col("__name"), r"([.*+?^$\{}()|\[\]\\])", r"\\$1")
-    whole = F.regexp_like(F.col("__hay"), F.concat(F.lit("[^a-z0-9]"), quoted, F.lit("[^a-z0-9]")))
-    pairs = containing(low, "__hay", dim, "__name", whole & (F.col("__own").isNull() | (F.col("__own") == F.col("__mk"))))
-    return pairs.groupBy(key).agg(F.min(F.struct((-F.length("__full")).alias("l"), F.col("__o"), F.col("__full").alias("f"))).alias("b")).select(key, F.col("b.f").alias("model"))
+    quoted = lambda x: F.regexp_replace(x, r"([.*+?^$\{}()|\[\]\\])", r"\\$1")
+    whole = lambda x: F.regexp_like(F.col("__hay"), F.concat(F.lit("[^a-z0-9]"), quoted(x), F.lit("[^a-z0-9]")))
+    held = held_names(low, F.col("__hay"), dim.select("__name"), "__held").withColumn("__n", F.explode(F.filter("__held", whole)))
+    pairs = held.join(entries, (F.col("__n") == F.col("__name")) & F.col("__own").eqNullSafe(F.col("__mk")))
+    return pairs.groupBy(key).agg(F.min("e").alias("b")).select(key, F.col("b.f").alias("model"))
 
 
-def lookup(df: DataFrame, on: dict[str, str], dim: DataFrame, value: str, column: str, latest: str | None = None) -> DataFrame:
+def lookup(df: DataFrame, on: dict[str, str], dim: DataFrame, value: str, column: str, latest: str | None = None, required: str | None = None) -> DataFrame:
     """df with a value from a dimension by equal lower-cased keys (column of df -> column of dim). Where the dimension
-    holds a key several times, the last by `latest` counts (the largest value without)."""
+    holds a key several times, the last by `latest` counts (the largest value without). With `required`, a message, a
+    row whose keys the dimension does not have is an error."""
     keys = [F.lower(F.col(b)).alias(f"__d{k}") for k, b in enumerate(on.values())]
     top = F.max_by(F.col(value), F.col(latest or value))
     one = dim.groupBy(*keys).agg(top.alias(f"__{column}"))
     condition = F.lit(True)
     for k, a in enumerate(on):
         condition = condition & (F.lower(F.col(a)) == F.col(f"__d{k}"))
-    return df.join(one, condition, "left").withColumn(column, F.col(f"__{column}")).drop(f"__{column}", *[f"__d{k}" for k in range(len(on))])
+    found = F.col(f"__{column}")
+    if required:
+        found = F.when(found.isNull(), F.raise_error(F.concat_ws(" ", F.lit(required), *[F.col(a).cast("string") for a in on]))).otherwise(found)
+    return df.join(one, condition, "left").withColumn(column, found).drop(f"__{column}", *[f"__d{k}" for k in range(len(on))])
+
+
+def single(df: DataFrame, column: str, message: str, override=None):
+    """The one value of a column, in the driver: an override, if given, else that of the only row; no row or several are
+    an error."""
+    if override:
+        return override
+    rows = df.select(column).limit(2).collect()
+    if len(rows) != 1 or rows[0][0] is None:
+        raise LookupError(message)
+    return rows[0][0]
 
 
 def memoised(df: DataFrame, key: Column, provider, column: str = "found") -> DataFrame:
@@ -122,6 +202,8 @@ def memoised(df: DataFrame, key: Column, provider, column: str = "found") -> Dat
 
 
 def first_row(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """One row for each key: the first in an order."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """One row for each key: the first in an order, nulls first. An aggregate, so that a key with very many rows is
+    combined before the shuffle."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    first = df.groupBy(*[F.col(c).alias(f"__by{k}") for k, c in enumerate(by)]).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("__row"))
+    return first.select("__row.*")

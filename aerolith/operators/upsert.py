@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.operators.match import first_row
+from aerolith.operators.scratch import written
 from aerolith.operators.validate import is_claimed
 
 
@@ -39,6 +40,34 @@ def snapshot(staged: DataFrame, target: DataFrame, key: str, changing: list[str]
     return both.select(*columns)
 
 
+def reachable(spark, path: str, columns: list[str]) -> str | None:
+    """Why a target table can't be used, null if it can: a check before a run that only warns."""
+    try:
+        have = set(spark.read.parquet(path).columns)
+    except Exception as error:  # whatever a store says
+        return f"{path} can't be read: {str(error).splitlines()[0][:200]}"
+    lacking = [c for c in columns if c not in have]
+    return f"{path} lacks {', '.join(lacking)}" if lacking else None
+
+
+#: What a store's refusal of a row means: a rule that the row breaks, or a row that another run has stored meanwhile.
+REFUSALS = (("check constraint", "fatal"), ("duplicate key", "benign"), ("source_url_unique", "benign"), ("23505", "benign"))
+
+
+def refusal(message: Column) -> Column:
+    """fatal, benign or unknown, by the first mark that a message holds; null without a message."""
+    low = F.lower(message)
+    out = F.when(message.isNull(), F.lit(None).cast("string"))
+    for mark, kind in REFUSALS:
+        out = out.when(low.contains(mark), kind)
+    return out.otherwise("unknown")
+
+
+def images_to_refresh(images: Column, host: str) -> Column:
+    """Whether any stored image is not on a host: only then an update stores images anew."""
+    return F.coalesce(F.exists(images, lambda x: ~F.coalesce(x["url"].contains(host), F.lit(False))), F.lit(False))
+
+
 def insert_missing(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose keys the target does not have, each key once. Null counts as the empty string in keys."""
     plain = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"__{k}") for k in keys]
@@ -48,10 +77,11 @@ def insert_missing(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataF
 
 def numbered(rows: DataFrame, order: list[str], start: Column | int = 0, column: str = "listing_number", buckets: int = 64) -> DataFrame:
     """rows with consecutive numbers in an order, without a sort in one task: counts by range of the first column are
-    summed, and rows are numbered within their range."""
+    summed, and rows are numbered within their range. Rows and the number of their range are written first, so that
+    both uses agree whatever happens to an executor."""
     from pyspark.sql import Window
 
-    ranged = rows.repartitionByRange(buckets, *order).withColumn("__p", F.spark_partition_id())
+    ranged = written(rows.repartitionByRange(buckets, *order).withColumn("__p", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerolith.plans import catalog, events, listings, pages, runs, sources
+from aerolith.plans import catalog, events, listings, pages, parsers, runs, sources
 
 
 def all_queries():

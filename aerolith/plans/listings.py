@@ -125,12 +125,6 @@ def geocode_memo(spark, folder):
     return match.memoised(c, key, ask, "latitude").select("c_custkey", "latitude")
 
 
-#: Titles of which each key gets one.
-TITLES = ("Cessna 172 Skyhawk", "Yak-52 TW", "Robinson R44 Helicopter", "Diamond DA42 Twin", "Pilatus PC-12", "Learjet 45", "Segelflugzeug ASK 21", "Trike Tanarg", "Vans RV-8 eigenbau", "Boeing 737", "Comco Ikarus C42", "Unbekannt", "Z-142", "Zlin", "DR 400")
-REGISTRATIONS = ("D-EXYZ", "D-MABC", "D-1234", "OE-AXX", "HB-XYZ", "N123AB", "G-ABCD", "9A-DDD", "ZS-ABC", "d-k xyz", "C-FABC", "OK-ABC", "XX-YYY", "EJ-AAA", "HB-YAB")
-CITIES = ("86150 Augsburg", "München (EDDM)", "Deutschland, Grefrath", "Kapfenberg LOGK", "hamburg", "Germany", "Cessna Town", "Flugplatz Tannheim", "Bad Wörishofen", "Strausberg/EDAY", "Ulm Hangar 3", "Köln, NRW", "Sehr langer Name einer Stadt in der Heide", "Nähe Ulm", "Bonn 7")
-
-
 def _one_of(values, key):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(F.col(key), F.lit(len(values))) + 1).cast("int"))
 
@@ -139,15 +133,43 @@ def _values(values):
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-@query(f"SELECT p_partkey, (['Single Engine Piston','Single Engine Piston','Helicopter / Gyrocopter','Multi Engine Piston','Turboprop','Jet','Glider','Microlight / Flex-Wing','Experimental / Homebuilt','Commercial Airliner','Ultralight / Light Sport Aircraft (LSA)',NULL,'Single Engine Piston','Single Engine Piston','Single Engine Piston'])[(p_partkey % {len(TITLES)} + 1)::INT] AS category FROM part")
+def _like(expression: str, rules) -> str:
+    """A CASE over ordered rules (condition, value), in SQL."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return "CASE " + " ".join(f"WHEN {condition} THEN {quoted(value)}" for condition, value in rules) + " END"
+
+
+#: What titles have beside a part's name: every mark of every category, and forms that only patterns find.
+TITLE_MARKS = (*[mark for _, _, in_title, _ in T.CATEGORY_RULES for mark in in_title], "Yak-52 TW", "cj6", "Zlin", "Z-142", "DR 400", "UL", "LSA", "lsa2", "xul", "Unbekannt")
+_MARKED = [
+    (" OR ".join([*[f"contains(t, '{m}')" for m in in_title], *[f"regexp_matches(t, '{p.replace('W', chr(92) + 'b')}')" for p in patterns]]) or "FALSE", name)
+    for name, _, in_title, patterns in T.CATEGORY_RULES
+]
+#: Beginnings of registrations; letters and digits of the key follow.
+REGISTRATION_STARTS = (*[start for start, _ in T.REGISTRATION_COUNTRIES], *[f"D-{x}" for x in "EMNKHGIFCB"], "D-", "OE-", "OE-X", "OE-W", "OE-I", "HB-R", "HB-W", "HB-Y", "HB-", "d-k", "XX-", "N")
+
+
+CITIES = ("86150 Augsburg", "München (EDDM)", "Deutschland, Grefrath", "Kapfenberg LOGK", "hamburg", "Germany", "Cessna Town", "Flugplatz Tannheim", "Bad Wörishofen", "Strausberg/EDAY", "Ulm Hangar 3", "Köln, NRW", "Sehr langer Name einer Stadt in der Heide", "Nähe Ulm", "Bonn 7")
+
+
+@query(f"WITH p AS (SELECT p_partkey, lower(p_name || ' ' || {_values(TITLE_MARKS)}[(p_partkey % {len(TITLE_MARKS)} + 1)::INT] || ' ' || p_size) AS t FROM part) SELECT p_partkey, {_like('t', _MARKED)} AS category FROM p")
 def classify_title(spark, folder):
-    return _part(spark, folder).select("p_partkey", C.aircraft_category(F.lit(None).cast("string"), _one_of(TITLES, "p_partkey")).alias("category"))
+    """Names of parts, each with a mark of some category."""
+    title = F.concat_ws(" ", "p_name", _one_of(TITLE_MARKS, "p_partkey"), F.col("p_size").cast("string"))
+    return _part(spark, folder).select("p_partkey", C.aircraft_category(F.lit(None).cast("string"), title).alias("category"))
+
+
+_REG_FORMS = [(f"regexp_full_match(r, '{form}')", name) for form, name in T.REGISTRATION_CATEGORIES]
+_REG_STARTS = [(f"starts_with(r, '{start}')", name) for start, name in T.REGISTRATION_COUNTRIES]
 
 
-@query(f"""SELECT p_partkey, (['Single Engine Piston','Ultralight / Light Sport Aircraft (LSA)','Glider','Single Engine Piston','Helicopter / Gyrocopter',NULL,NULL,NULL,NULL,'Glider',NULL,NULL,NULL,NULL,'Experimental / Homebuilt'])[(p_partkey % {len(REGISTRATIONS)} + 1)::INT] AS category,
-(['Germany','Germany','Germany','Austria','Switzerland','United States','United Kingdom','Croatia','South Africa','Germany','Canada','Czech Republic',NULL,'Ireland','Switzerland'])[(p_partkey % {len(REGISTRATIONS)} + 1)::INT] AS country FROM part""")
+@query(f"""WITH p AS (SELECT p_partkey, upper({_values(REGISTRATION_STARTS)}[(p_partkey % {len(REGISTRATION_STARTS)} + 1)::INT] || CASE WHEN p_partkey % 5 = 0 THEN p_partkey % 10000 || '' ELSE right(translate(p_partkey + 1000000 || '', '0123456789', 'ABCDEFGHIJ'), (p_partkey % 3 + 2)::INT) END) AS r FROM part)
+SELECT p_partkey, {_like('r', _REG_FORMS)} AS category, {_like('r', _REG_STARTS)} AS country FROM p""")
 def classify_registration(spark, folder):
-    reg = _one_of(REGISTRATIONS, "p_partkey")
+    """Registrations of every country and form, with letters or digits made from the key."""
+    k = F.col("p_partkey")
+    letters = F.translate((k + 1_000_000).cast("string"), "0123456789", "ABCDEFGHIJ")
+    reg = F.concat(_one_of(REGISTRATION_STARTS, "p_partkey"), F.when(k % 5 == 0, F.concat(F.lit(" "), (k % 10_000).cast("string"))).otherwise(F.right(letters, (k % 3 + 2).cast("int"))))
     return _part(spark, folder).select("p_partkey", C.registration_category(reg).alias("category"), C.registration_country(reg).alias("country"))
 
 

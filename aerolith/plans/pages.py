@@ -10,6 +10,7 @@ from aerolith.functions import text as X
 from aerolith.functions import urls as U
 from aerolith.operators import dedup, merge
 from aerolith.plans.catalog import query
+from aerolith.rules import tables as T
 from aerolith.session import table
 
 #: clean_text as SQL, of a column x.
@@ -83,10 +84,39 @@ def expand_pages(spark, folder):
     return p.select("page_id", F.concat("base", F.when(F.col("k") == 1, "").otherwise(F.concat(F.lit("?page="), F.col("k").cast("string")))).alias("page_url"))
 
 
-@query(r"""SELECT page_id, regexp_matches(url, '(?i)advertisement|banner|sponsor|\bad[_-]?\d|google_ads|doubleclick') AS is_ad, FALSE AS allowed, 'https://www.aeromarkt.net/img/' || page_id AS image, TRUE AS image_allowed FROM pages""")
+HOSTS = (*T.IMAGE_HOSTS, "example.org", "cdn.aeromarkt.net", "www.aeromarkt.net.example.org")
+ADS = ("/advertisement/", "/img/banner.png", "/sponsored", "/ad_1.js", "/ads/2", "/bad-1", "/x/ad-77", "/google_ads", "/DoubleClick/", "/plain")
+_ANY = lambda values, key: "[" + ", ".join(f"'{x}'" for x in values) + f"][({key} % {len(values)} + 1)::INT]"
+
+
+@query(rf"""WITH p AS (SELECT page_id, url || {_ANY(ADS, 'page_id')} AS u, {_ANY(HOSTS, 'page_id // 3')} AS h FROM pages) SELECT page_id, regexp_matches(u, '(?i)advertisement|banner|sponsor|\bad[_-]?\d|google_ads|doubleclick') AS is_ad,
+h IN ({', '.join(f"'{x}'" for x in T.IMAGE_HOSTS)}) AS image_allowed FROM p""")
 def ad_and_host_filter(spark, folder):
-    own = F.concat(F.lit("https://www.aeromarkt.net/img/"), F.col("page_id").cast("string"))
-    return _pages(spark, folder).select("page_id", C.is_advertisement(F.col("url")).alias("is_ad"), C.allowed_image_host(F.col("url")).alias("allowed"), own.alias("image"), C.allowed_image_host(own).alias("image_allowed"))
+    """Every page's URL with a path that may be an advertisement's, and an image on one of several hosts."""
+    ad = F.concat("url", F.element_at(F.array(*[F.lit(x) for x in ADS]), (F.pmod("page_id", F.lit(len(ADS))) + 1).cast("int")))
+    host = F.element_at(F.array(*[F.lit(x) for x in HOSTS]), (F.pmod(F.expr("page_id div 3"), F.lit(len(HOSTS))) + 1).cast("int"))
+    return _pages(spark, folder).select("page_id", C.is_advertisement(ad).alias("is_ad"), C.allowed_image_host(F.concat(F.lit("https://"), host, F.lit("/img/"), F.col("page_id").cast("string"))).alias("image_allowed"))
+
+
+_LISTS = ("dulv.de", "eurocontrol.int", "iata.org", "fliegermagazin.de", "nbaa.org")
+
+
+@query(r"""WITH p AS (SELECT page_id, page_id % 30 AS m FROM pages), c AS (SELECT page_id, s.source, CASE s.source WHEN 'dulv.de' THEN least(m, 9) + 1 WHEN 'eurocontrol.int' THEN least(m, 19) + 1 WHEN 'iata.org' THEN least(m + 1, 20) WHEN 'fliegermagazin.de' THEN CASE WHEN m > 0 THEN least(m, 20) ELSE 1 END ELSE 1 END AS n
+FROM p, (VALUES ('dulv.de'), ('eurocontrol.int'), ('iata.org'), ('fliegermagazin.de'), ('nbaa.org')) s(source))
+SELECT page_id, source, n::INT AS n_pages, 'https://l.example/list' || CASE WHEN n = 1 THEN '' WHEN source = 'fliegermagazin.de' THEN '/seite/' || n || '/' WHEN source = 'iata.org' THEN '?page=' || n ELSE '?page=' || (n - 1) END AS last_url FROM c""")
+def list_pages(spark, folder):
+    """How many pages a list has by what its first page says, and the URL of the last, for sources that number them."""
+    from aerolith.sources.event_pages import page_count, page_urls
+
+    m = F.pmod("page_id", F.lit(30)).cast("string")
+    links = F.concat(F.lit("<p>Seite 1 von "), m, F.lit(' Seiten</p><a href="/list?page=0">1</a><a class="x" href="/list?page='), m, F.lit('">'), (m.cast("int") + 1).cast("string"), F.lit("</a>"))
+    out = None
+    for source in _LISTS:
+        n = page_count(source, F.col("payload"))
+        one = _pages(spark, folder).select("page_id", links.alias("payload")).select("page_id", F.lit(source).alias("source"), n.alias("n_pages"))
+        one = one.withColumn("last_url", F.element_at(page_urls(source, F.lit("https://l.example/list"), F.col("n_pages")), -1))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS h FROM pages), u AS (SELECT page_id, unnest(h) AS url, generate_subscripts(h, 1) - 1 AS k FROM l)
@@ -115,12 +145,16 @@ def sentence_dedup(spark, folder):
     return d.select("doc_id", F.md5(out).alias("digest"), once.cast("long").alias("n_sentences"))
 
 
-@query("SELECT doc_id, CASE WHEN length(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) >= 50 AND length(text) >= 60 THEN trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE text || E'\\n-----\\n' || text || E'\\n' END AS text FROM documents WHERE NOT regexp_matches(text, '[-_]{3,}')")
+HEADER = "Erste Fassung, gefolgt von einem Strich und der zweiten Fassung, damit der Text lang genug ist, um zerlegt zu werden."
+
+
+@query(rf"""WITH t AS (SELECT doc_id, '{HEADER} ' || text || chr(10) || '-----' || chr(10) || text || chr(10) AS t FROM documents)
+SELECT doc_id, trim(regexp_split_to_array(t, '\n\s*[-_]{{3,}}\s*\n')[1], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM t""")
 def language_block_strip(spark, folder):
-    """Each text followed by a mark and itself: the first block is left, if it has 50 characters."""
-    doubled = F.concat(F.col("text"), F.lit("\n-----\n"), F.col("text"), F.lit("\n"))
-    d = _docs(spark, folder).where(~F.col("text").rlike("[-_]{3,}"))
-    return d.select("doc_id", F.when(F.length("text") >= 60, X.strip_language_blocks(doubled)).otherwise(doubled).alias("text"))
+    """Each text followed by a mark and itself, below a header of more than 50 characters: what comes before the first
+    mark, the text's own or this one, is left."""
+    doubled = F.concat(F.lit(HEADER + " "), F.col("text"), F.lit("\n-----\n"), F.col("text"), F.lit("\n"))
+    return _docs(spark, folder).select("doc_id", X.strip_language_blocks(doubled).alias("text"))
 
 
 @query(r"SELECT doc_id, nullif(regexp_extract(text, '[\w.+-]+@[\w-]+\.[\w.-]*\w'), '') AS email, CASE WHEN regexp_matches(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*[\d\s/+()-]{7,20}') THEN trim(regexp_extract(text, '(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*([\d\s/+()-]{7,20})', 1), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) END AS phone FROM documents")
@@ -134,7 +168,13 @@ def contact_extract(spark, folder):
 
 @query("SELECT doc_id, source || '@' || lang || '.example.org' AS email FROM documents")
 def email_roundtrip(spark, folder):
-    raw = F.concat(F.col("source"), F.lit("%40"), F.col("lang"), F.lit(" [dot] example(dot)org "))
+    """Addresses hidden in five ways."""
+    ways = (("%40", "%2E", "."), ("[at]", " [dot] ", "(dot)"), (" (AT) ", "(Dot)", " (dot) "), ("@", "[DOT]", "%2e"), (" [At]  ", ".", "[dot]"))
+    k = F.pmod("doc_id", F.lit(len(ways)))
+    raw = None
+    for n, (at, first, second) in enumerate(ways):
+        one = F.concat(F.lit(" "), F.col("source"), F.lit(at), F.col("lang"), F.lit(first), F.lit("example"), F.lit(second), F.lit("org "))
+        raw = F.when(k == n, one) if raw is None else raw.when(k == n, one)
     return _docs(spark, folder).select("doc_id", X.decode_email(raw).alias("email"))
 
 

@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import text as X
-from aerolith.functions.classify import aircraft_category, is_clean_model, model_of_title, registration_category
-from aerolith.operators import dedup, match, merge, metrics, rows, upsert, validate
+from aerolith.functions.classify import category_name, is_clean_model, model_of_title
+from aerolith.operators import dedup, match, merge, rows, runlog, upsert, validate
 from aerolith.operators.scratch import written
 from aerolith.plans.catalog import query
 from aerolith.session import table
 from aerolith.sources import event_pages
-
-
-def event_run(landed: DataFrame, target: DataFrame, now: Column, sources: Iterable[str] = tuple(event_pages.PARSERS)) -> DataFrame:
-    """Outcomes of all events of landed payloads: external_source, source_url, outcome, reason and the row. target has
-    source_url, is_external, claimed_at and digest. Pages are parsed once; what they yield is written."""
-    parsed = written(event_pages.events(landed, now, sources).withColumn("invalid", validate.event_reason(now)), "parsed-events")
+from aerolith.sources import listing_pages as L
+from aerolith.sources.landing import enabled
+
+
+def event_run(landed: DataFrame, target: DataFrame, now: Column, sources: Iterable[str] = tuple(event_pages.PARSERS), calendars: DataFrame | None = None,
+              pages: DataFrame | None = None, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Outcomes of all events of landed payloads: external_source, source_url, title, start, outcome, reason. target has
+    source_url, is_external, claimed_at and digest; calendars the settings of feeds, pages which pages are enabled.
+    enrich may change parsed events before they are validated (titles from pages of their own, say). Pages are parsed
+    once; what they yield is written."""
+    landed = landed if pages is None else enabled(landed, pages)
+    found = event_pages.events(landed, now, sources, calendars)
+    parsed = written((enrich(found) if enrich else found).withColumn("invalid", validate.event_reason(now)), "parsed-events")
     made = rows.event_rows(parsed.where("invalid IS NULL")).withColumn("arrival", F.unix_micros(F.col("start").cast("timestamp")))
     decided = dedup.priority_winners(made, "canonical_key", "external_source", "arrival", "decision")
     kept = upsert.outcomes(decided.where("decision = 'kept'").drop("decision"), target, "source_url", "digest", [F.col("start"), F.col("title")])
@@ -29,9 +36,10 @@ def event_run(landed: DataFrame, target: DataFrame, now: Column, sources: Iterab
     return out.unionByName(lost).unionByName(bad)
 
 
-def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, categories: DataFrame, target: DataFrame, contact_email: str) -> DataFrame:
+def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, categories: DataFrame, target: DataFrame, contact_email: str, specs_first: bool = False) -> DataFrame:
     """Outcomes of listings (schemas.LISTING): matched with makers (id, name) and specs (maker, model, variant, category,
-    ord), gated, mapped to target rows and held against the target."""
+    ord), gated, mapped to target rows and held against the target. specs_first lets an entry's category go before that
+    of the registration."""
     df = listings.withColumn("clean_title", X.strip_title_date_prefix(F.col("title")))
     df = match.manufacturer(df, "source_id", "clean_title", specs.select(F.col("maker").alias("name")))
     df = match.lookup(df, {"manufacturer": "name"}, makers, "id", "manufacturer_id")
@@ -43,7 +51,7 @@ def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, catego
     df = df.join(scanned.select(F.col("source_id").alias("__h"), F.col("model").alias("__f")), F.col("source_id") == F.col("__h"), "left")
     raw = F.col("__m").isNull() & ((F.length("model") > 40) | (F.size(F.split("model", r"\s+")) > 4) | ~is_clean_model(F.col("model")))
     df = df.withColumn("model", F.when(raw & (F.length("__f") <= 80), F.col("__f")).otherwise(F.col("model")))
-    category = F.coalesce(registration_category(F.col("registration")), F.col("__c"), aircraft_category(F.col("source_url"), F.col("clean_title")))
+    category = category_name(F.col("registration"), F.col("__c"), F.col("source_url"), F.col("clean_title"), specs_first)
     df = match.lookup(df.withColumn("category", category), {"category": "name"}, categories, "id", "category_id").withColumn("gate", validate.listing_reason())
     df = df.withColumn("description", merge.description_ladder(F.lit(None).cast("string"), F.col("description"), F.col("clean_title"), F.col("year")))
     made = upsert.outcomes(rows.listing_rows(df.where("gate IS NULL"), contact_email), target, "source_url")
@@ -51,27 +59,14 @@ def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, catego
     return made.select("source_url", "headline", "source_name", "outcome", "reason").unionByName(shut)
 
 
-def run_log(found: DataFrame, run_id: str, started: Column, ended: Column, source: str = "external_source") -> DataFrame:
-    """A row for each source of a run: counts, duration, warnings (a summary of drops, at most 100)."""
-    stats = metrics.run_stats(found, source)
-    drops = metrics.drop_summary(metrics.skip_reasons(found, source), source)
-    joined = stats.join(drops, source, "left")
-    warnings = metrics.capped_warnings(F.array_compact(F.array("summary", F.when(F.col("found") == 0, F.lit("nothing found")))))
-    ms = F.unix_millis(ended.cast("timestamp")) - F.unix_millis(started.cast("timestamp"))
-    return joined.select(F.lit(run_id).alias("run_id"), F.col(source).alias("source_name"), F.lit("completed").alias("status"), "found", "inserted", "updated", "skipped", "errors", ms.alias("duration_ms"), X.elapsed(ms).alias("duration"), warnings.alias("warnings"))
-
-
-@query("SELECT page_id, NULL::VARCHAR AS reason FROM pages WHERE length(trim(regexp_extract(html, '(?s)<title>(.*?)</title>', 1))) > 0")
-def event_run_pages(spark, folder):
-    """A run over all pages: each page becomes a menu of one event, which is parsed, validated, keyed and upserted."""
-    title = F.trim(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1))
-    p = table(spark, folder, "pages").where(F.length(title) > 0)
-    card = F.concat(F.lit('<div class="menu-event-single"><div class="menu-event-title"><a href="/e/'), F.col("page_id").cast("string"), F.lit('">Seminar '), F.col("page_id").cast("string"), F.lit(" "), F.regexp_replace(title, "[<>&]", ""),
-                    F.lit('</a></div><div class="event-date">Oct. 18-19, 2026</div><div class="location">Denver, CO</div></div>'))
-    landed = p.select(F.lit("nbaa.org").alias("source"), F.concat(F.lit("https://nbaa.org/list/"), F.col("page_id").cast("string")).alias("page_url"), card.alias("payload"))
-    target = spark.createDataFrame([], "source_url string, is_external boolean, claimed_at timestamp_ntz, digest string")
-    out = event_run(landed, target, F.lit("2026-04-25 00:00:00").cast("timestamp_ntz"), ["nbaa.org"])
-    return out.select(F.regexp_extract("source_url", r"/e/(\d+)$", 1).cast("long").alias("page_id"), "reason")
+def listing_rows_of(source: str, landed: DataFrame) -> DataFrame:
+    """Listings (schemas.LISTING) of a source's landed pages."""
+    return L.LISTING_PARSERS[source](landed.where((F.col("source") == source) & F.col("payload").isNotNull()).select("page_url", "payload"))
+
+
+def run_log(found: DataFrame, run_id: str, started: Column, ended: Column, source: str = "external_source", **options) -> DataFrame:
+    """A row for each source of a run of events."""
+    return runlog.completed(found, run_id, "events", started, ended, source, **options)
 
 
 @query("""SELECT 'P' || p_partkey AS source_url, p_name AS headline, coalesce(CASE WHEN p_partkey % 4 <> 0 THEN p_retailprice END, 0) AS price, CASE WHEN p_partkey % 4 <> 0 THEN p_partkey % 2 = 0 ELSE TRUE END AS price_negotiable,

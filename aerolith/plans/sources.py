@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.functions import keys as K
-from aerolith.operators.scratch import written
+from aerolith.operators.scratch import scratch_path, written
 from aerolith.plans.catalog import query
 from aerolith.session import table
 from aerolith.sources import ics
@@ -60,37 +57,42 @@ def frontier(spark, folder):
     return reachable(starts, links, 5).select(F.col("page_url").cast("long").alias("page"), "step")
 
 
-def _events_stream(spark, folder) -> DataFrame:
-    """The events table as a stream of files."""
+def _events_stream(spark, folder, by: str | None = None) -> DataFrame:
+    """The events table as a stream of a few files, one in each batch; with a running count by a column, if named: how
+    many rows its key has had up to the end of the file (files come in the order of their names)."""
     e = table(spark, folder, "events")
-    copy = written(e.repartition(4), "stream")
-    where = {f.rpartition("/")[0] for f in copy.inputFiles()}.pop()
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(where)
+    where = scratch_path(spark, "stream")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    if by:
+        counts = written(e.groupBy(by, part.alias("file")).agg(F.count("*").alias("n")), "counts")
+        kept = counts.select("*", F.explode(F.sequence(F.col("file").cast("int"), F.lit(3))).alias("upto"))
+        e = kept.groupBy(by, "upto").agg(F.sum("n").alias("n")).withColumn("file", F.col("upto").cast("long")).drop("upto")
+    else:
+        e = e.withColumn("file", part)
+    for k in range(4):  # the order of arrival is that of the files' times
+        e.where(F.col("file") == k).drop("file").coalesce(1).write.mode("append").parquet(where)
+    return spark.readStream.schema(e.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(where)
 
 
 @query("""SELECT user_id, arg_max(CASE event_type WHEN 'purchase' THEN 'dulv.de' WHEN 'signup' THEN 'ulforum.de' ELSE 'iata.org' END, (CASE event_type WHEN 'purchase' THEN 100 WHEN 'signup' THEN 60 ELSE 40 END, -epoch_us(ts))) AS winner, count(*) AS n FROM events GROUP BY user_id""")
 def streaming_winners(spark, folder):
     """The best source of each key, kept by a stream."""
     source = F.when(F.col("event_type") == "purchase", "dulv.de").when(F.col("event_type") == "signup", "ulforum.de").otherwise("iata.org")
-    stream = _events_stream(spark, folder).withColumn("source", source).withColumn("ts", F.col("ts").cast("timestamp"))
-    return incremental.to_completion(incremental.running_winners(stream, "user_id", "source", "ts"), f"winners_{uuid.uuid4().hex}")
+    stream = _events_stream(spark, folder).withColumn("source", source)
+    below = scratch_path(spark, "winners")
+    incremental.to_completion(incremental.winners_writer(stream, below, "user_id", "source", "ts", "user_id long", parts=8))
+    return incremental.winners(spark, below, "user_id long").select("user_id", "winner", "n")
 
 
-@query("SELECT user_id, min(event_id) AS first_event FROM events GROUP BY user_id")
+@query("SELECT user_id, count(*) AS n, NULL::TIMESTAMP AS claimed_at FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def streaming_upsert(spark, folder):
-    """Micro-batches upserted into snapshots: the first event of each user is kept, later ones change nothing else."""
-    stream = _events_stream(spark, folder).select("user_id", "event_id", F.sha1(F.col("event_id").cast("string")).alias("digest"))
-    folder_ = written(spark.range(1), "upserts").inputFiles()[0].rpartition("/")[0] + "-state"
-    schema = "user_id long, event_id long, digest string, is_external boolean, claimed_at timestamp_ntz"
-
-    def least(batch: DataFrame, number: int) -> None:
-        known = incremental.current(spark, folder_, schema, before=number)
-        both = batch.select("user_id", "event_id").union(known.select("user_id", "event_id")).groupBy("user_id").agg(F.min("event_id").alias("event_id"))
-        rows = both.select("user_id", "event_id", K.short_sha1(F.col("event_id").cast("string"), 40).alias("digest"), F.lit(True).alias("is_external"), F.lit(None).cast("timestamp_ntz").alias("claimed_at"))
-        rows.write.mode("overwrite").parquet(f"{folder_}/target/version={number}")
-
-    incremental.each_batch(stream, least, f"{folder_}/checkpoint")
-    return incremental.current(spark, folder_, schema).select("user_id", F.col("event_id").alias("first_event"))
+    """Micro-batches upserted by upsert_writer: every user has one row in the end, whose count the last batch has set.
+    Batches carry the running count, so that the state depends on all of them."""
+    stream = _events_stream(spark, folder, by="user_id").where("user_id IS NOT NULL").select("user_id", "n", F.sha1(F.col("n").cast("string")).alias("digest"))
+    below = scratch_path(spark, "upserts")
+    schema = "user_id long, n long, digest string, is_external boolean, claimed_at timestamp_ntz"
+    incremental.to_completion(incremental.upsert_writer(stream, below, "user_id", "digest", ["n", "digest"], [-F.col("n")], schema, parts=8))
+    return incremental.current(spark, below, schema).select("user_id", "n", "claimed_at")
 
 
 @query("""SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")

@@ -21,6 +21,17 @@ DEFAULT_PRIORITY = 50
 
 # Locales of translated columns.
 LANGS = ("en", "de", "fr", "es", "it", "pl", "cs", "sv", "nl", "pt", "ru", "tr", "el", "no")
+# What the list of locales must be on both sides of the tables: its length, first and last.
+EXPECTED_LANGS = (14, "en", "no")
+
+
+def check_langs(langs=LANGS) -> None:
+    """Raises if the list of locales isn't the one that the target tables have columns for."""
+    if (len(langs), langs[0], langs[-1]) != EXPECTED_LANGS:
+        raise ValueError(f"locales: {EXPECTED_LANGS} expected, {len(langs)} from {langs[0]} to {langs[-1]} found")
+
+
+check_langs()
 
 # Letters that become other letters in slugs; those that become several are apart.
 CYRILLIC = {
@@ -190,6 +201,7 @@ PARTS_HEADINGS = (
 # Text marks: navigation blocks, avionics, headings of one aircraft site's URLs.
 NAVIGATION_WORDS = ("startseite", "navigation", "impressum", "datenschutz", "cookie", "seitennavigation", "home")
 AVIONICS_WORDS = ("GPS", "Transponder", "Funke", "VOR", "ILS", "ADS-B", "FLARM", "Autopilot", "Garmin", "Dynon", "Becker", "Trig", "Bendix", "King", "SkyDemon", "SkyView", "XPNDR", "Mode-S", "Mode-C", "TCAS")
+DETAIL_AVIONICS_WORDS = ("GPS", "Transponder", "Funk", "VOR", "ILS", "ADS-B", "FLARM", "Autopilot", "Garmin", "Dynon", "Becker", "Trig", "Bendix", "King", "SkyDemon", "SkyView", "XPNDR", "Mode-S", "Mode-C", "TCAS", "Stormscope")
 URL_CATEGORY_HINTS = {
     "singleprop": "Single Engine Piston", "multiprop": "Multi Engine Piston", "turboprop": "Turboprop", "jet": "Jet", "helicopter": "Helicopter / Gyrocopter",
     "ultralight": "Ultralight / Light Sport Aircraft (LSA)", "motorglider": "Glider", "glider": "Glider",
@@ -219,3 +231,35 @@ PART_BRANDS = (
 
 # Sections of one event page by parts of their headings, in the order in which they are tried.
 EVENT_SECTIONS = (("luftfahrt messen", "trade-fair"), ("airshows", "airshow"), ("flugshows", "airshow"), ("fly-inn", "meetup"), ("pilotentreffen", "meetup"))
+
+# Other names of categories in reference specifications.
+CATEGORY_ALIASES = {
+    "Helicopter": "Helicopter / Gyrocopter", "Gyrocopter": "Helicopter / Gyrocopter", "Light Sport Aircraft": "Ultralight / Light Sport Aircraft (LSA)",
+    "Ultralight": "Ultralight / Light Sport Aircraft (LSA)", "LSA": "Ultralight / Light Sport Aircraft (LSA)", "Experimental": "Experimental / Homebuilt",
+    "Homebuilt": "Experimental / Homebuilt", "Microlight": "Microlight / Flex-Wing", "Flex-Wing": "Microlight / Flex-Wing",
+}
+
+# Sources: name, base URL, what its pages list, whether its mail invites, and the paths of its first pages.
+SOURCES = (
+    ("helmuts-ul-seiten.de", "https://www.helmuts-ul-seiten.de", "aircraft", True, ("/verkauf1a.html", "/verkauf1b.html", "/verkauf1c.html")),
+    ("helmuts-ul-seiten.de", "https://www.helmuts-ul-seiten.de", "parts", True, ("/verkauf2.html",)),
+    ("aircraft24.de", "https://www.aircraft24.de", "aircraft", False, ("/singleprop/index.htm", "/multiprop/index.htm", "/turboprop/index.htm", "/jet/index.htm", "/helicopter/index.htm")),
+    ("aeromarkt.net", "https://www.aeromarkt.net", "aircraft", False, (
+        "/Kolbenmotorflugzeuge/", "/Kolbenmotorflugzeuge/Leichtflugzeuge-UL-VLA-ELA/", "/Kolbenmotorflugzeuge/Experimentals-Classics/", "/Jets-Turboprops/", "/Helikopter-Gyrocopter/", "/Sonstige-Luftfahrzeuge/",
+    )),
+    ("aeromarkt.net", "https://www.aeromarkt.net", "parts", False, ("/Triebwerke/", "/Avionik-Instrumente/")),
+    ("ics-feed", "", "events", False, ()),
+    ("vereinsflieger.de", "https://vereinsflieger.de", "events", False, (
+        "/publiccalendar/?category=1", "/publiccalendar/?category=2", "/publiccalendar/?category=3", "/publiccalendar/?category=4", "/publiccalendar/?category=5", "/publiccalendar/?category=6",
+    )),
+    ("pilotenausbildung.net", "https://pilotenausbildung.net", "events", False, ("/ausflugstipps/",)),
+    ("fliegermagazin.de", "https://www.fliegermagazin.de", "events", False, ("/termine/",)),
+    ("ulforum.de", "https://www.ulforum.de", "events", False, ("/veranstaltungen",)),
+    ("iata.org", "https://www.iata.org", "events", False, ("/en/events/",)),
+    ("pilot-frank.de", "https://pilot-frank.de", "events", False, ("/events/feed/",)),
+    ("dulv.de", "https://www.dulv.de", "events", False, ("/Veranstaltungen",)),
+    ("aero-expo.com", "https://www.aero-expo.com", "events", False, ("/",)),
+    ("aero-expo.com", "https://www.aero-expo.de", "events", False, ("/",)),
+    ("nbaa.org", "https://nbaa.org", "events", False, ("/events/",)),
+    ("eurocontrol.int", "https://www.eurocontrol.int", "events", False, ("/events",)),
+)

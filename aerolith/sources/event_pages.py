@@ -1,8 +1,8 @@
 """Event pages of the sources: which cards a page has, and what their strings mean.
 
-Each source is a function from landed payloads (page_url, payload) to events (schemas.EVENT). Cards are cut out of the
-page once, as strings; titles, dates, places and keys are column expressions. Rows that lack what a source must have
-are dropped, as the sources' rules say; everything else is left to validation.
+Each source is a function from landed payloads (page_url, payload) to events (schemas.EVENT) and drop_reason. Cards are
+cut out of the page once, as strings; titles, dates, places and keys are column expressions. Rows that lack what a source
+must have get the first reason why they are dropped, as the sources' rules say; everything else is left to validation.
 """
 
 from __future__ import annotations
@@ -12,13 +12,17 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerolith import schemas
 from aerolith.functions import dates as D
 from aerolith.functions import text as X
 from aerolith.functions.classify import category_of_number, event_category, text_country, venue_country
-from aerolith.functions.core import first_case, found, given
+from aerolith.functions.core import first_case, found, given, once
 from aerolith.functions.keys import content_id
+from aerolith.functions.urls import https as _https
 from aerolith.functions.urls import on_site
+from aerolith.operators.scratch import scratch_path
 from aerolith.rules import tables as T
+from aerolith.sources import ics
 from aerolith.sources.cards import Cards, Sections, cards, sections
 
 BERLIN = "Europe/Berlin"
@@ -40,8 +44,15 @@ def _clean(name: str) -> Column:
     return X.clean_text(F.coalesce(_field(name), F.lit("")))
 
 
+def _gate(df: DataFrame, ok: Column | str, reason: str) -> DataFrame:
+    """df with a reason for rows that fail a test and have none yet."""
+    ok = F.expr(ok) if isinstance(ok, str) else ok
+    failed = F.when(~F.coalesce(ok, F.lit(False)), reason)
+    return df.withColumn("drop_reason", F.coalesce("drop_reason", failed) if "drop_reason" in df.columns else failed)
+
+
 def _range(df: DataFrame, range_: Column) -> DataFrame:
-    return df.withColumn("r", range_).where("r IS NOT NULL").withColumn("start", F.col("r.start").cast("timestamp_ntz")).withColumn("end", F.col("r.end").cast("timestamp_ntz"))
+    return _gate(once(df, {"r": range_}), "r IS NOT NULL", "no-date").withColumn("start", F.col("r.start").cast("timestamp_ntz")).withColumn("end", F.col("r.end").cast("timestamp_ntz"))
 
 
 def _event(df: DataFrame, source: str, **columns) -> DataFrame:
@@ -53,7 +64,7 @@ def _event(df: DataFrame, source: str, **columns) -> DataFrame:
     order = ("page_url", "source_category_id", "category", "title", "subtitle", "date_range_text", "start", "end", "timezone", "country", "city", "venue", "icao", "organiser", "description", "event_url", "latitude", "longitude", "source_locale")
     base |= {k: F.col(k) for k in order if k not in base}
     url = base["source_url"]
-    return df.select(base.get("source_id", url).alias("source_id"), url.alias("source_url"), F.lit(source).alias("source_name"), *[base[k].alias(k) for k in order])
+    return df.select(base.get("source_id", url).alias("source_id"), url.alias("source_url"), F.lit(source).alias("source_name"), *[base[k].alias(k) for k in order], "drop_reason")
 
 
 TABLE_ROWS = Cards("tr", {"title": (".pubcal_title", "text"), "date": (".pubcal_daterange.icon-clock", "text"), "subtitle": (".pubcal_daterange.icon-info", "text"), "venue": (".pubcal_location", "text"), "organiser": (".pubcal_cidname", "text")})
@@ -61,8 +72,9 @@ TABLE_ROWS = Cards("tr", {"title": (".pubcal_title", "text"), "date": (".pubcal_
 
 def vereinsflieger(pages: DataFrame) -> DataFrame:
     """Rows of a public calendar's table; the page's URL names the category."""
-    df = _exploded(pages, cards(F.col("payload"), TABLE_ROWS)).withColumn("title", _clean("title")).where("title <> ''")
-    df = _range(df, D.german_range(_clean("date"))).withColumn("organiser", _clean("organiser")).where("organiser <> ''")
+    df = _exploded(pages, cards(F.col("payload"), TABLE_ROWS)).withColumn("title", _clean("title"))
+    df = _range(_gate(df, "title <> ''", "no-title"), D.german_range(_clean("date"))).withColumn("organiser", _clean("organiser"))
+    df = _gate(df, "organiser <> ''", "no-organiser")
     number = found(F.col("page_url"), r"[?&]category=(\d+)").try_cast("int")
     number = F.when(number.between(1, 6), number).otherwise(6)
     df = df.withColumn("v", X.venue_icao(F.coalesce(_field("venue"), F.lit("")))).withColumn("number", number)
@@ -82,9 +94,10 @@ CMS_BLOCKS = Cards(
 
 
 def dulv(pages: DataFrame) -> DataFrame:
-    df = _exploded(pages, cards(F.col("payload"), CMS_BLOCKS)).withColumn("node", F.trim(_field("node"))).where("node <> ''")
+    df = _exploded(pages, cards(F.col("payload"), CMS_BLOCKS)).withColumn("node", F.trim(_field("node")))
+    df = _gate(df, "node <> ''", "no-node")
     start, end = _clean("start"), _clean("end")
-    df = df.withColumn("dates", F.when((end != "") & (end != start), F.concat(start, F.lit(" - "), end)).otherwise(start)).where("dates <> ''")
+    df = df.withColumn("dates", F.when((end != "") & (end != start), F.concat(start, F.lit(" - "), end)).otherwise(start))
     df = _range(df, D.german_range(F.col("dates"))).withColumn("description", F.substring(_clean("description"), 1, 1200))
     alt, heading = _clean("alt"), _clean("heading")
     sentence = F.trim(F.element_at(F.split("description", r"(?<=(?<!\d)[.!?])\s+"), 1))
@@ -102,11 +115,13 @@ PROSE = Sections("h2", "p", {"cancelled": ("del", "has"), "link": ("a", "attr:hr
 
 def pilotenausbildung(pages: DataFrame) -> DataFrame:
     """Lines of prose below headings: date, title and place, joined by dashes. Struck-out lines are cancelled."""
-    df = _exploded(pages, sections(F.col("payload"), PROSE)).where(_field("cancelled").isNull())
+    df = _exploded(pages, sections(F.col("payload"), PROSE))
+    df = _gate(df, _field("cancelled").isNull(), "cancelled")
     head = F.lower(_clean("head"))
-    df = df.withColumn("category", first_case(*[(head.contains(part), code) for part, code in T.EVENT_SECTIONS])).where("category IS NOT NULL").withColumn("text", _clean("text"))
-    df = _range(df.where("text <> ''"), D.loose_german_range(F.col("text"))).withColumn("d", D.strip_leading_date(F.col("text")))
-    df = df.withColumn("t", X.split_title_location(F.col("d.rest"))).withColumn("title", F.col("t.title")).where("title <> ''")
+    df = df.withColumn("category", first_case(*[(head.contains(part), code) for part, code in T.EVENT_SECTIONS])).withColumn("text", _clean("text"))
+    df = _gate(_gate(df, "category IS NOT NULL", "other-section"), "text <> ''", "no-text")
+    df = _range(df, D.loose_german_range(F.col("text"))).withColumn("d", D.strip_leading_date(F.col("text")))
+    df = _gate(df.withColumn("t", X.split_title_location(F.col("d.rest"))).withColumn("title", F.col("t.title")), "title <> ''", "no-title")
     place = F.concat_ws(" ", F.coalesce(F.col("t.location"), F.lit("")), F.col("title"))
     df = df.withColumn("link", given(F.trim(_field("link")))).withColumn("v1", X.venue_icao(F.coalesce(F.col("t.location"), F.lit("")))).withColumn("v", F.when(F.col("v1.icao").isNotNull(), F.col("v1")).otherwise(X.venue_icao(place)))
     url = content_id(F.col("page_url"), F.col("title"), D.iso(F.col("start")), F.col("link"))
@@ -120,7 +135,8 @@ LIST_ITEMS = Cards("a.global-event-list-item", {"href": ("", "attr:href"), "titl
 
 def iata(pages: DataFrame, now: Column) -> DataFrame:
     """Cards whose dates have no year: it follows from now."""
-    df = _exploded(pages, cards(F.col("payload"), LIST_ITEMS)).withColumn("href", F.trim(F.coalesce(_field("href"), F.lit("")))).withColumn("title", _clean("title")).where("href <> '' AND title <> ''")
+    df = _exploded(pages, cards(F.col("payload"), LIST_ITEMS)).withColumn("href", F.trim(F.coalesce(_field("href"), F.lit("")))).withColumn("title", _clean("title"))
+    df = _gate(_gate(df, "href <> ''", "no-link"), "title <> ''", "no-title")
     df = _range(df, D.yearless_range(_clean("date"), now)).withColumn("v", _clean("venue")).withColumn("p", venue_country(F.col("v")))
     url = on_site(F.col("href"), "https://www.iata.org")
     described = F.when(F.col("v") != "", F.concat(F.col("title"), F.lit(" – "), F.col("v"))).otherwise(F.col("title"))
@@ -147,7 +163,8 @@ def map_coordinates(payload: Column) -> Column:
 
 def fliegermagazin(pages: DataFrame) -> DataFrame:
     df = _exploded(pages.withColumn("coords", map_coordinates(F.col("payload"))), cards(F.col("payload"), ARTICLES))
-    df = df.withColumn("link", F.trim(F.coalesce(_field("link"), F.lit("")))).withColumn("title", _clean("title")).where("link LIKE '%/termine/%' AND title <> ''")
+    df = df.withColumn("link", F.trim(F.coalesce(_field("link"), F.lit("")))).withColumn("title", _clean("title"))
+    df = _gate(_gate(df, "link LIKE '%/termine/%'", "other-link"), "title <> ''", "no-title")
     df = _range(df, D.german_range(D._spaced(_clean("date")))).withColumn("at", F.try_element_at("coords", F.col("link")))
     kind = _clean("headline")
     return _event(df, "fliegermagazin.de", source_url=F.col("link"), category=event_category("fliegermagazin.de", F.col("title"), kind), subtitle=given(kind), date_range_text=given(_clean("date")), venue=F.col("title"),
@@ -164,8 +181,9 @@ def ulforum(pages: DataFrame) -> DataFrame:
     kind = "array<struct<" + ", ".join(f"`{x.split(' ')[0]}`: {x.split(' ', 1)[1]}" for x in LD.split(", ")) + ">>"
     df = pages.withColumn("raw", F.explode(scripts)).drop("payload")
     df = df.withColumn("e", F.explode(F.from_json(F.when(one.startswith("["), one).otherwise(F.concat(F.lit("["), one, F.lit("]"))), kind))).where("e.`@type` = 'Event'")
-    df = df.withColumn("title", X.clean_text(F.coalesce(F.col("e.name"), F.lit("")))).where("title <> '' AND NOT coalesce(e.eventStatus LIKE '%EventCancelled%', false)")
-    df = df.withColumn("start", D.midnight(F.col("e.startDate")).cast("timestamp_ntz")).where("start IS NOT NULL").withColumn("end", F.coalesce(D.midnight(F.col("e.endDate")).cast("timestamp_ntz"), F.col("start")))
+    df = df.withColumn("title", X.clean_text(F.coalesce(F.col("e.name"), F.lit(""))))
+    df = _gate(_gate(df, "title <> ''", "no-title"), "NOT coalesce(e.eventStatus LIKE '%EventCancelled%', false)", "cancelled")
+    df = _gate(df.withColumn("start", D.midnight(F.col("e.startDate")).cast("timestamp_ntz")), "start IS NOT NULL", "no-date").withColumn("end", F.coalesce(D.midnight(F.col("e.endDate")).cast("timestamp_ntz"), F.col("start")))
     raw_venue = F.coalesce(F.col("e.location.name"), F.lit(""))
     address = F.when(F.col("e.location.address").startswith("{"), F.get_json_object("e.location.address", "$.streetAddress")).otherwise(F.col("e.location.address"))
     df = df.withColumn("v", X.venue_icao(raw_venue)).withColumn("organiser", F.coalesce(given(F.trim("e.organizer.name")), F.lit("ulforum.de"))).withColumn("link", F.coalesce(given(F.trim("e.offers.url")), given(F.trim("e.url"))))
@@ -181,7 +199,7 @@ MENU = Cards(
 
 
 def nbaa(pages: DataFrame) -> DataFrame:
-    df = _exploded(pages, cards(F.col("payload"), MENU)).withColumn("title", _clean("title")).where("title <> ''")
+    df = _gate(_exploded(pages, cards(F.col("payload"), MENU)).withColumn("title", _clean("title")), "title <> ''", "no-title")
     df = _range(df, D.us_range(_clean("date"))).withColumn("place", _clean("location"))
     link = F.when(F.coalesce(F.trim(_field("href")), F.lit("")) != "", on_site(F.trim(_field("href")), "https://nbaa.org"))
     df = df.withColumn("link", link)
@@ -199,7 +217,7 @@ NODES = Cards(
 
 
 def eurocontrol(pages: DataFrame) -> DataFrame:
-    df = _exploded(pages, cards(F.col("payload"), NODES)).withColumn("title", _clean("title")).where("title <> ''")
+    df = _gate(_exploded(pages, cards(F.col("payload"), NODES)).withColumn("title", _clean("title")), "title <> ''", "no-title")
     start, end = D.midnight(_field("start")), D.midnight(F.coalesce(_field("end"), _field("start")))
     df = _range(df, F.when(start.isNotNull() & end.isNotNull(), F.struct(start.alias("start"), end.alias("end")))).withColumn("kind", _clean("kind"))
     df = df.withColumn("link", F.when(F.coalesce(F.trim(_field("href")), F.lit("")) != "", on_site(F.trim(_field("href")), "https://www.eurocontrol.int")))
@@ -219,7 +237,7 @@ def aero(pages: DataFrame) -> DataFrame:
     in_title = F.trim(found(F.coalesce(_field("page_title"), F.lit("")), r"(?i)^([^|]+?)\s*\|\s*AERO"))
     in_text = found(_clean("body"), rf"(?iu)(?<![A-Za-z0-9_])(?:{FAIR_MONTHS})\s+\d{{1,2}}\s*(?:[-–—]\s*(?:(?:{FAIR_MONTHS})\s+)?\d{{1,2}})?,?\s*\d{{4}}", 0)
     tries = F.array(*[F.struct(x.alias("text"), D.fair_range(x).alias("range")) for x in (in_title, _clean("date"), in_text)])
-    df = df.withColumn("best", F.try_element_at(F.filter(tries, lambda t: t["range"].isNotNull()), F.lit(1))).where("best IS NOT NULL")
+    df = df.withColumn("best", F.try_element_at(F.filter(tries, lambda t: t["range"].isNotNull()), F.lit(1)))
     df = _range(df, F.col("best.range")).withColumn("year", F.date_format("start", "yyyy"))
     german = F.coalesce(F.lower(_field("lang")).startswith("de"), F.lit(False))
     text = X.clean_text(F.coalesce(given(_field("og")), _field("meta"), F.lit("")))
@@ -237,8 +255,9 @@ def pilot_frank(pages: DataFrame) -> DataFrame:
         return F.regexp_replace(raw, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
 
     items = F.regexp_extract_all("payload", F.lit(r"(?s)<item(?:\s[^>]*)?>.*?</item>"), F.lit(0))
-    df = pages.where(F.ltrim("payload").startswith("<?xml")).withColumn("item", F.explode(items)).drop("payload").withColumn("title", X.clean_text(tag("title"))).where("title <> ''")
-    df = df.withColumn("start", D.midnight(tag("mec:startDate")).cast("timestamp_ntz")).where("start IS NOT NULL").withColumn("end", F.coalesce(D.midnight(tag("mec:endDate")).cast("timestamp_ntz"), F.col("start")))
+    df = pages.where(F.ltrim("payload").startswith("<?xml")).withColumn("item", F.explode(items)).drop("payload").withColumn("title", X.clean_text(tag("title")))
+    df = _gate(df, "title <> ''", "no-title").withColumn("start", D.midnight(tag("mec:startDate")).cast("timestamp_ntz"))
+    df = _gate(df, "start IS NOT NULL", "no-date").withColumn("end", F.coalesce(D.midnight(tag("mec:endDate")).cast("timestamp_ntz"), F.col("start")))
     df = df.withColumn("link", given(F.trim(tag("link")))).withColumn("place", X.clean_text(tag("mec:location"))).withColumn("organiser", F.coalesce(given(X.clean_text(tag("dc:creator"))), F.lit("pilot-frank.de"))).withColumn("v", X.venue_icao(F.col("place")))
     url = F.coalesce(F.col("link"), content_id(F.col("page_url"), F.col("title"), F.date_format("start", "yyyy-MM-dd"), F.col("organiser")))
     entities = F.replace(F.replace(F.replace(tag("description"), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
@@ -246,10 +265,22 @@ def pilot_frank(pages: DataFrame) -> DataFrame:
                   icao=F.coalesce(F.col("v.icao"), found(F.col("title"), r"\(\s*([A-Z]{4})\s*\)")), description=X.feed_description(entities), event_url=F.col("link"))
 
 
-#: Source -> function from pages (and now, for the one whose dates lack a year) to events.
+def calendar_feeds(pages: DataFrame, now: Column, calendars: DataFrame | None) -> DataFrame:
+    """Calendars: each feed's settings (schemas.CALENDAR) are those of its URL; a feed without any has none but its URL."""
+    names = [x.split()[0] for x in schemas.CALENDAR.split(", ")]
+    if calendars is None:
+        calendars = pages.sparkSession.createDataFrame([], schemas.CALENDAR)
+    known = calendars.select(_https(F.col("url")).alias("__u"), *[F.col(n).alias(f"__{n}") for n in names if n != "url"])
+    feeds = pages.join(known, _https(F.col("page_url")) == F.col("__u"), "left")
+    own = {n: F.col(f"__{n}") for n in names if n != "url"}
+    own["name"] = F.coalesce(own["name"], "page_url")
+    return ics.calendar_rows(feeds.select(F.col("page_url").alias("url"), "payload", *[v.alias(n) for n, v in own.items()]), now)
+
+
+#: Source -> function from pages to events and drop_reason.
 PARSERS: dict[str, Callable[..., DataFrame]] = {
     "vereinsflieger.de": vereinsflieger, "dulv.de": dulv, "pilotenausbildung.net": pilotenausbildung, "iata.org": iata, "fliegermagazin.de": fliegermagazin, "ulforum.de": ulforum,
-    "nbaa.org": nbaa, "eurocontrol.int": eurocontrol, "aero-expo.com": aero, "pilot-frank.de": pilot_frank,
+    "nbaa.org": nbaa, "eurocontrol.int": eurocontrol, "aero-expo.com": aero, "pilot-frank.de": pilot_frank, "ics-feed": calendar_feeds,
 }
 
 
@@ -276,12 +307,41 @@ def page_urls(source: str, first: Column, pages: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), pages - 1), lambda k: F.when(k == 0, first).otherwise(F.concat(first, sign, (k + start).cast("string"))))
 
 
-def events(landed: DataFrame, now: Column, sources: Iterable[str] = tuple(PARSERS)) -> DataFrame:
-    """Events of landed payloads (source, page_url, payload) of these sources. A payload that is null has no events."""
+def rows_of(source: str, pages: DataFrame, now: Column, calendars: DataFrame | None = None) -> DataFrame:
+    """Events of a source's pages (page_url, payload), with drop_reason."""
+    pages = pages.where("payload IS NOT NULL").select("page_url", "payload")
+    if source == "ics-feed":
+        return calendar_feeds(pages, now, calendars)
+    return PARSERS[source](pages, now) if source == "iata.org" else PARSERS[source](pages)
+
+
+def parse(source: str, pages: DataFrame, now: Column, calendars: DataFrame | None = None) -> DataFrame:
+    """The events of a source's pages that are not dropped."""
+    return rows_of(source, pages, now, calendars).where("drop_reason IS NULL").drop("drop_reason")
+
+
+def all_rows(landed: DataFrame, now: Column, sources: Iterable[str] = tuple(PARSERS), calendars: DataFrame | None = None) -> DataFrame:
+    """Events of landed payloads (source, page_url, payload) of these sources, with drop_reason. A payload that is null
+    has no events. For several sources the payloads are read once, and written to a folder for each source, of which
+    each parser reads its own."""
+    sources = list(sources)
+    some = landed.where(F.col("source").isin(sources) & F.col("payload").isNotNull()).select("source", "page_url", "payload")
+    if len(sources) > 1:
+        path = scratch_path(landed.sparkSession, "landed")
+        some.write.partitionBy("source").parquet(path)
+        some = landed.sparkSession.read.schema("page_url string, payload string, source string").parquet(path)
     out = None
     for source in sources:
-        parser = PARSERS[source]
-        pages = landed.where((F.col("source") == source) & F.col("payload").isNotNull()).select("page_url", "payload")
-        found_ = parser(pages, now) if source == "iata.org" else parser(pages)
+        found_ = rows_of(source, some.where(F.col("source") == source), now, calendars)
         out = found_ if out is None else out.unionByName(found_)
     return out
+
+
+def events(landed: DataFrame, now: Column, sources: Iterable[str] = tuple(PARSERS), calendars: DataFrame | None = None) -> DataFrame:
+    """The events of landed payloads that are not dropped."""
+    return all_rows(landed, now, sources, calendars).where("drop_reason IS NULL").drop("drop_reason")
+
+
+def drop_counts(rows: DataFrame) -> DataFrame:
+    """(source_name, drop_reason, n) of the rows that parsers drop."""
+    return rows.where("drop_reason IS NOT NULL").groupBy("source_name", "drop_reason").agg(F.count("*").alias("n"))

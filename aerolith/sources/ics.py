@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.functions import text as X
 from aerolith.functions.classify import calendar_category
-from aerolith.functions.core import found, given
+from aerolith.functions.core import found, given, once
 from aerolith.functions.dates import ics_duration, ics_time
 from aerolith.functions.keys import short_sha1
 from aerolith.operators import recurrence
@@ -19,12 +19,6 @@ def looks_like_calendar(payload: Column) -> Column:
     return F.coalesce(payload.rlike(r"(?i)^\x{FEFF}?\s*BEGIN:VCALENDAR(?![A-Za-z0-9_])"), F.lit(False))
 
 
-def _last_line(block: Column, name: str) -> Column:
-    """The last line of a property: its parameters and value."""
-    lines = F.regexp_extract_all(block, F.lit(rf"(?im)^[ \t]*({name}(?:;[^:\n]*)?:[^\n]*)$"), F.lit(1))
-    return F.try_element_at(lines, F.lit(-1))
-
-
 def _value(line: Column) -> Column:
     return X.unescape_ics(F.regexp_replace(line, "^[^:]*:", ""))
 
@@ -33,38 +27,66 @@ def _zone(line: Column) -> Column:
     return found(line, '(?i)^[^:]*;TZID="?([^";:]+)"?')
 
 
-def _times(block: Column, name: str, zone: Column) -> Column:
-    """The times of all lines of a property, each a comma list."""
-    lines = F.regexp_extract_all(block, F.lit(rf"(?im)^[ \t]*({name}(?:;[^:\n]*)?:[^\n]*)$"), F.lit(1))
-    every = F.flatten(F.transform(lines, lambda x: F.transform(F.split(_value(x), ","), lambda v: ics_time(v, F.coalesce(_zone(x), zone)))))
-    return F.array_compact(every)
+#: A line of a property: its name, then parameters, then its value.
+_LINE = r"^[ \t]*([A-Za-z-]+)(?:;[^:]*)?:"
+SINGLE = ("UID", "SUMMARY", "DESCRIPTION", "DTSTART", "DTEND", "DURATION", "LOCATION", "URL", "CATEGORIES", "RRULE", "STATUS")
 
 
-def parse(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """df with a row for each event that has a UID, a summary and a start, and columns uid, summary, description, start,
-    end, tzid, location, url, categories, rrule, is_all_day, exdates, rdates and status."""
+def _lines(block: Column) -> Column:
+    """The lines of a block as structs of the property's name, in capitals, and the line."""
+    return F.transform(F.split(block, "\n"), lambda x: F.struct(F.upper(F.regexp_extract(x, _LINE, 1)).alias("name"), F.ltrim(x).alias("line")))
+
+
+def _last_line(lines: Column, name: str) -> Column:
+    """The last line of a property: its parameters and value."""
+    return F.try_element_at(F.filter(lines, lambda x: x["name"] == name), F.lit(-1))["line"]
+
+
+def _times(lines: Column, name: str, zone: Column) -> Column:
+    """The times of all lines of a property, each a comma list; null where there is no such line."""
+    own = F.filter(lines, lambda x: x["name"] == name)
+    each = lambda x: F.transform(F.split(_value(x["line"]), ","), lambda v: ics_time(v, F.coalesce(_zone(x["line"]), zone)))
+    return F.when(F.size(own) > 0, F.array_compact(F.flatten(F.transform(own, each)))).otherwise(F.array().cast("array<timestamp_ntz>"))
+
+
+def blocks(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """df with a row for each event of a calendar, and columns zone (the calendar's) and lines."""
     text = X.unfold_ics(F.col(payload))
-    blocks = F.regexp_extract_all(text, F.lit(r"(?is)BEGIN:VEVENT\s*\n(.*?)\n\s*END:VEVENT"), F.lit(1))
-    first = F.regexp_extract(text, r"(?is)^(.*?)BEGIN:VEVENT", 1)
-    zone = given(F.trim(F.coalesce(_value(_last_line(first, "X-WR-TIMEZONE")), F.lit(""))))
-    rows = df.withColumn("__zone", zone).withColumn("__b", F.explode(blocks))
-    b = F.col("__b")
-    start_line = _last_line(b, "DTSTART")
-    rows = rows.withColumns({"__s": start_line, "__e": _last_line(b, "DTEND"), "__status": F.upper(F.trim(_value(_last_line(b, "STATUS"))))})
-    zone_of = lambda line: F.coalesce(_zone(line), F.col("__zone"))
-    rows = rows.withColumns({
-        "uid": given(_value(_last_line(b, "UID"))), "summary": given(_value(_last_line(b, "SUMMARY"))), "description": F.coalesce(_value(_last_line(b, "DESCRIPTION")), F.lit("")),
-        "tzid": zone_of(F.col("__s")), "location": F.coalesce(_value(_last_line(b, "LOCATION")), F.lit("")), "url": _value(_last_line(b, "URL")),
-        "categories": F.filter(F.transform(F.split(F.coalesce(_value(_last_line(b, "CATEGORIES")), F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != ""),
-        "rrule": given(_value(_last_line(b, "RRULE"))), "is_all_day": F.coalesce(F.col("__s").rlike("(?i)^[^:]*;VALUE=DATE[;:]") | F.trim(_value(F.col("__s"))).rlike(r"^\d{8}$"), F.lit(False)),
-        "start": ics_time(_value(F.col("__s")), zone_of(F.col("__s"))),
-        "exdates": _times(b, "EXDATE", F.col("__zone")), "rdates": _times(b, "RDATE", F.col("__zone")),
-        "status": F.when(F.col("__status").isin("CONFIRMED", "CANCELLED", "TENTATIVE"), F.col("__status")),
+    events = lambda t: F.regexp_extract_all(t, F.lit(r"(?is)BEGIN:VEVENT\s*\n(.*?)\n\s*END:VEVENT"), F.lit(1))
+    head = lambda t: _lines(F.substring_index(F.regexp_replace(t, "(?i)BEGIN:VEVENT", "BEGIN:VEVENT"), "BEGIN:VEVENT", 1))
+    df = once(df, {"__t": text}).drop(payload)
+    zone = given(F.trim(F.coalesce(_value(_last_line(head(F.col("__t")), "X-WR-TIMEZONE")), F.lit(""))))
+    df = df.withColumn("__zone", F.when(F.col("__t").rlike("(?i)BEGIN:VEVENT"), zone)).withColumn("__b", F.explode(events(F.col("__t")))).drop("__t")
+    return once(df, {"__lines": _lines(F.col("__b"))}).drop("__b")
+
+
+def parsed(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """df with a row for each event, and columns uid, summary, description, start, end, tzid, location, url, categories,
+    rrule, is_all_day, exdates, rdates, status and drop_reason: what an event lacks that it must have (a UID, a summary, a
+    start), or null."""
+    rows = once(blocks(df, payload), {f"__{name}": _last_line(F.col("__lines"), name) for name in SINGLE})
+    line = lambda name: F.col(f"__{name}")
+    zone_of = lambda c: F.coalesce(_zone(c), F.col("__zone"))
+    status = F.upper(F.trim(_value(line("STATUS"))))
+    rows = once(rows, {
+        "uid": given(_value(line("UID"))), "summary": given(_value(line("SUMMARY"))), "description": F.coalesce(_value(line("DESCRIPTION")), F.lit("")),
+        "tzid": zone_of(line("DTSTART")), "__end_zone": zone_of(line("DTEND")), "location": F.coalesce(_value(line("LOCATION")), F.lit("")), "url": _value(line("URL")),
+        "categories": F.filter(F.transform(F.split(F.coalesce(_value(line("CATEGORIES")), F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != ""),
+        "rrule": given(_value(line("RRULE"))), "is_all_day": F.coalesce(line("DTSTART").rlike("(?i)^[^:]*;VALUE=DATE[;:]") | F.trim(_value(line("DTSTART"))).rlike(r"^\d{8}$"), F.lit(False)),
+        "exdates": _times(F.col("__lines"), "EXDATE", F.col("__zone")), "rdates": _times(F.col("__lines"), "RDATE", F.col("__zone")),
+        "status": F.when(status.isin("CONFIRMED", "CANCELLED", "TENTATIVE"), status), "__ms": ics_duration(_value(line("DURATION"))),
+        "__start_text": _value(line("DTSTART")), "__end_text": _value(line("DTEND")),
     })
-    ms = ics_duration(_value(_last_line(b, "DURATION")))
-    by_length = F.col("start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (ms / 1000).cast("decimal(18,6)"))
-    rows = rows.withColumn("end", F.coalesce(ics_time(_value(F.col("__e")), zone_of(F.col("__e"))), by_length, F.col("start")))
-    return rows.where("uid IS NOT NULL AND summary IS NOT NULL AND start IS NOT NULL").drop("__b", "__s", "__e", "__zone", "__status")
+    rows = once(rows, {"start": ics_time(F.col("__start_text"), F.col("tzid")), "end": ics_time(F.col("__end_text"), F.col("__end_zone"))})
+    by_length = F.col("start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("__ms") / 1000).cast("decimal(18,6)"))
+    lacks = F.when(F.col("uid").isNull(), "no-uid").when(F.col("summary").isNull(), "no-summary").when(F.col("start").isNull(), "no-start")
+    rows = rows.withColumn("end", F.coalesce("end", by_length, "start")).withColumn("drop_reason", lacks)
+    return rows.drop("__lines", "__zone", "__end_zone", "__ms", "__start_text", "__end_text", *[f"__{name}" for name in SINGLE])
+
+
+def parse(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The rows of parsed() that have a UID, a summary and a start."""
+    return parsed(df, payload).where("drop_reason IS NULL").drop("drop_reason")
 
 
 def venue(c: Column) -> Column:
@@ -79,12 +101,19 @@ def venue(c: Column) -> Column:
     )
 
 
-def calendar_events(feeds: DataFrame, now: Column, source_name: str = "ics-feed") -> DataFrame:
-    """Events of feeds: the columns of a calendar (name, url, country, default_category, timezone, source_locale,
-    organiser_name) and its payload. Recurrences are expanded to 90 days after now; cancelled events go."""
-    parsed = parse(feeds.where(looks_like_calendar(F.col("payload"))).withColumnRenamed("url", "feed_url"))
-    every = recurrence.expand(parsed, now + F.expr(f"INTERVAL {HORIZON_DAYS} DAYS")).where("status IS NULL OR status <> 'CANCELLED'")
-    every = every.withColumn("__v", venue(F.col("location"))).withColumn("__i", X.venue_icao(F.col("__v.venue")))
+def calendar_rows(feeds: DataFrame, now: Column, source_name: str = "ics-feed") -> DataFrame:
+    """Events of feeds (the columns of a calendar: name, url, country, default_category, timezone, source_locale,
+    organiser_name, and its payload) and drop_reason. Recurrences are expanded to 90 days after now. Payloads that are no
+    calendars have no rows."""
+    found_ = parsed(feeds.where(looks_like_calendar(F.col("payload"))).withColumnRenamed("url", "feed_url"))
+    found_ = found_.withColumn("drop_reason", F.coalesce("drop_reason", F.when(F.col("status") == "CANCELLED", "cancelled")))
+    # a row that is dropped counts once: it has no recurrences, and a day that its occurrence needs
+    whole = F.col("drop_reason").isNull()
+    only = lambda name: F.when(whole, F.col(name))
+    found_ = once(found_, {"rrule": only("rrule"), "exdates": only("exdates"), "rdates": only("rdates"), "__told": F.col("start"), "start": F.coalesce("start", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")), "end": F.coalesce("end", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))})
+    every = recurrence.expand(found_, now + F.expr(f"INTERVAL {HORIZON_DAYS} DAYS"))
+    every = once(once(every, {"__v": venue(F.col("location"))}), {"__i": X.venue_icao(F.col("__v.venue"))})
+    every = every.withColumns({c: F.when(F.col("__told").isNotNull(), F.col(c)) for c in ("start", "end")})
     organiser = F.coalesce(F.col("organiser_name"), F.col("name"))
     page = F.concat(F.col("feed_url"), F.lit("#"), short_sha1(F.concat_ws("|", "summary", F.date_format("start", "yyyy-MM-dd"), organiser)))
     return every.select(
@@ -93,10 +122,21 @@ def calendar_events(feeds: DataFrame, now: Column, source_name: str = "ics-feed"
         F.lit(None).cast("string").alias("date_range_text"), "start", "end", F.coalesce("tzid", "timezone", F.lit("Europe/Berlin")).alias("timezone"), "country", F.col("__v.city").alias("city"),
         F.coalesce(given(F.col("__i.name")), F.col("name")).alias("venue"), F.col("__i.icao").alias("icao"), organiser.alias("organiser"),
         given(X.clean_text(F.col("description"))).alias("description"), F.col("url").alias("event_url"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
-        F.coalesce("source_locale", F.lit("en")).alias("source_locale"),
+        F.coalesce("source_locale", F.lit("en")).alias("source_locale"), "drop_reason",
     )
 
 
+def calendar_events(feeds: DataFrame, now: Column, source_name: str = "ics-feed") -> DataFrame:
+    """The events of feeds that have a UID, a summary and a start and are not cancelled."""
+    return calendar_rows(feeds, now, source_name).where("drop_reason IS NULL").drop("drop_reason")
+
+
+def discovery(pages: DataFrame) -> DataFrame:
+    """A report on pages (name, url, html): the calendars that each links to, how many, and the row as JSON."""
+    rows = pages.select("name", "url", F.coalesce(feed_links(F.col("html"), F.col("url")), F.array().cast("array<string>")).alias("feeds"))
+    return rows.withColumn("n_feeds", F.size("feeds")).withColumn("json", F.to_json(F.struct("name", "url", "feeds")))
+
+
 def feed_links(html: Column, page: Column) -> Column:
     """Distinct URLs of calendars that a page links to."""
     from aerolith.functions.urls import absolute

@@ -2,24 +2,45 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.rules import tables as T
+
 #: Payloads longer than this are not read.
 MOST_BYTES = 10 << 20
 
 
+def files(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
+    """(page_url, payload, drop_reason) of files, one payload each; the path stands for the URL. Bytes are decoded once,
+    by the charset that is known or as UTF-8. A file that is not read has no payload and a reason: too-large or empty."""
+    listed = spark.read.format("binaryFile").load(path)
+    large = F.col("length") > MOST_BYTES
+    none = F.lit(None).cast("string")
+    # the bytes of a file that is too large are not asked for: its row comes from the listing alone
+    big = listed.where(large).select(F.col("path").alias("page_url"), none.alias("payload"), F.lit("too-large").alias("drop_reason"))
+    some = listed.where(~large).select(F.col("path").alias("page_url"), decoded(F.col("content"), charset).alias("payload"), none.alias("drop_reason"))
+    # the reader gives no row for an empty file; the listing, which Spark's driver holds anyway, has its name
+    names = [(re.sub("^file:/+", "file:/", unquote(x)),) for x in listed.inputFiles()]
+    empty = spark.createDataFrame(names, "page_url string").join(listed.select(F.col("path").alias("page_url")), "page_url", "left_anti")
+    return some.unionByName(big).unionByName(empty.select("page_url", none.alias("payload"), F.lit("empty").alias("drop_reason")))
+
+
 def texts(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
-    """(page_url, payload) of files, one payload each; the path stands for the URL. Bytes are decoded once, by the
-    charset that is known or as UTF-8. Empty files have no row."""
-    files = spark.read.format("binaryFile").load(path).where(F.col("length") <= MOST_BYTES)
-    return files.select(F.col("path").alias("page_url"), decoded(F.col("content"), charset).alias("payload"))
+    """(page_url, payload) of the files that are read."""
+    return files(spark, path, charset).where("drop_reason IS NULL").drop("drop_reason")
 
 
 def decoded(data: Column, charset: str | None = None) -> Column:
     """Text of bytes: Latin-1 for its names, else UTF-8 with bad bytes replaced."""
-    latin = (charset or "").lower() in ("latin-1", "latin1", "iso-8859-1", "windows-1252", "cp1252")
-    return F.decode(data, "windows-1252" if (charset or "").lower() in ("windows-1252", "cp1252") else "ISO-8859-1") if latin else F.decode(data, "UTF-8")
+    name = (charset or "").lower()
+    if name in ("windows-1252", "cp1252", "latin-1", "latin1", "iso-8859-1"):
+        return F.decode(data, "windows-1252" if name in ("windows-1252", "cp1252") else "ISO-8859-1")
+    return F.make_valid_utf8(data.cast("string"))
 
 
 def pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,7 +64,19 @@ def reachable(starts: DataFrame, links: DataFrame, most_steps: int = 20) -> Data
 
 
 def source_table(spark: SparkSession) -> DataFrame:
-    """The sources that have parsers, with their priority, as a small table."""
-    from aerolith.rules.tables import SOURCE_PRIORITY
+    """(source, kind, base_url, invites, priority) of the sources and what they list."""
+    rows = {(name, kind): (name, kind, base, invites, T.SOURCE_PRIORITY.get(name, T.DEFAULT_PRIORITY)) for name, base, kind, invites, _ in reversed(T.SOURCES)}
+    return spark.createDataFrame(sorted(rows.values()), "source string, kind string, base_url string, invites boolean, priority int")
+
+
+def page_table(spark: SparkSession, disabled: Iterable[str] = ()) -> DataFrame:
+    """(source, kind, page_url, enabled) of the sources' first pages; pages in `disabled` (URLs) are not to be read."""
+    off = set(disabled)
+    rows = [(name, kind, base + path, base + path not in off) for name, base, kind, _, paths in T.SOURCES for path in paths]
+    return spark.createDataFrame(rows, "source string, kind string, page_url string, enabled boolean")
+
 
-    return spark.createDataFrame(sorted(SOURCE_PRIORITY.items()), "source string, priority int")
+def enabled(landed: DataFrame, pages: DataFrame) -> DataFrame:
+    """Landed payloads without those of disabled pages; pages that the table does not name (later ones of a list) stay."""
+    off = pages.where("NOT enabled").select("page_url")
+    return landed.join(off, "page_url", "left_anti")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -273,7 +275,7 @@ def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
     d = details.select(F.col("page_url").alias("__u"), cards(F.col("payload"), DETAIL)[0].alias("__c"), F.col("payload").alias("__h"), cards(F.col("payload"), ACCORDION).alias("__s"))
     d = d.withColumn("__t", F.regexp_replace(F.coalesce(F.col("__c").getItem("text"), F.col("__c").getItem("body"), F.lit("")), r"\s+", " "))
     section = lambda names: F.try_element_at(F.transform(F.filter("__s", lambda s: F.lower(F.trim(s["head"])).isin(*names)), lambda s: F.trim(F.regexp_replace(s["body"], r"\s+", " "))), F.lit(1))
-    d = d.withColumn("__more", section(("sonstige informationen", "sonstige", "additional information"))).withColumn("__inside", section(("interior", "innen", "innenausstattung"))).withColumn("__gear", section(("avionik & instrumente", "avionik", "instruments")))
+    d = d.withColumn("__more", section(("sonstige informationen", "sonstige", "additional information"))).withColumn("__inside", section(("interior", "innen", "innenausstattung"))).withColumn("__gear", section(("avionik & instrumente", "avionik", "instruments"))).withColumn("__outside", section(("exterior", "außen", "aussenbereich")))
     text = F.when(F.length("__more") > 50, F.concat_ws(" ", "__more", "__t")).otherwise(F.col("__t"))
     d = d.withColumn("__x", text).withColumn("__k", X.contact(F.col("__h"), F.col("__x")))
     joined = listings.join(d, F.col("source_url") == F.col("__u"), "left")
@@ -282,11 +284,30 @@ def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
     place = F.trim(found(x, r"(?iu)(?:Standort|Heimatflugplatz)[:\s]*([^\n;,]{3,60})"))
     code = F.coalesce(found(place, r"\(([A-Z]{4})\)"), found(place, "/([A-Z]{4})$"), found(x, ICAO_IN_TEXT))
     pictures = F.filter(F.split(F.coalesce(F.col("__c").getItem("images"), F.lit("")), "\n"), lambda s: (s != "") & ~s.rlike("logo|icon|no_image|banner|placeholder"))
+    # equipment: the parts of both sections, each once whatever its case, else lines with words of avionics
+    parts = F.flatten(F.transform(F.filter(F.array("__outside", "__gear"), lambda s: F.length(s) > 10), lambda s: F.transform(F.split(s, r"(?<=[a-zA-Z0-9])\s{2,}|[•·-]\s*"), lambda p: F.trim(p))))
+    parts = X.keep_first(F.filter(parts, lambda s: (F.length(s) > 3) & (F.length(s) < 300)), 0, F.lower)
+    lines = F.filter(F.transform(F.split(x, "[•\n]"), lambda s: F.trim(s)), lambda s: (F.length(s) > 2) & (F.length(s) < 200) & s.rlike("|".join(T.DETAIL_AVIONICS_WORDS)))
+    gear = F.coalesce(given(F.array_join(parts, "; ")), given(F.array_join(lines, "; ")))
     new = {name: N.german_number(found(x, regex)) for name, regex in DETAIL_NUMBERS.items()} | {
-        "description": F.when(F.length(told) > F.coalesce(F.length("description"), F.lit(0)), told), "avionics": F.when(F.length("__gear") > 10, F.array_join(F.array_distinct(F.filter(F.split("__gear", r"\s{2,}|[•·-]\s*"), lambda s: F.length(s) > 3)), "; ")),
+        "description": F.when(F.length(told) > F.coalesce(F.length("description"), F.lit(0)), told), "avionics": gear,
         "annual_inspection": F.trim(found(x, r"(?iu)(?:Jahresnachpr[üu]fung|JNP|Annual\s+Inspection|TP|HU)[:\s]*([\w\s./]+?\d{4})")), "engine": F.trim(found(x, r"(?iu)(?:Triebwerk|Motortyp|Motor)\s*:\s*([^;\n,.]{5,60})")),
         "registration": F.coalesce(found(x, MARKED_REGISTRATION), found(x, ANY_REGISTRATION)), "serial_number": found(x, SERIAL), "airworthy": C.airworthy(x), "fuel_type": C.fuel_type(x), "location": place,
         "city": given(F.trim(F.element_at(F.split(place, "[/(,]"), 1))), "icao": code, "country": looked_up(F.substring(code, 1, 2), T.ICAO_COUNTRIES), "contact_name": F.col("__k.name"), "contact_email": F.col("__k.email"),
         "contact_phone": F.col("__k.phone"), "image_urls": F.when(F.size(pictures) > 0, F.transform(pictures, lambda s: F.when(s.startswith("http"), s).otherwise(F.concat(origin(F.col("source_url")), s)))),
     }
     return _typed(joined.withColumns({k: over(v, F.col(k)) for k, v in new.items()}), schemas.LISTING)
+
+
+#: What a grid's descriptions end with.
+GRID_SITE, GRID_CLOSING = "https://www.aeromarkt.net", "Angebot auf aeromarkt.net"
+#: Source -> function from pages (page_url, payload) to listings, and to parts.
+LISTING_PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "helmuts-ul-seiten.de": lambda pages: prose_aircraft(pages, "helmuts-ul-seiten.de"),
+    "aircraft24.de": lambda pages: index_cards(pages, "aircraft24.de"),
+    "aeromarkt.net": lambda pages: grid_aircraft(pages, "aeromarkt.net", GRID_SITE, GRID_CLOSING),
+}
+PART_PARSERS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "helmuts-ul-seiten.de": lambda pages: prose_parts(pages, "helmuts-ul-seiten.de"),
+    "aeromarkt.net": lambda pages: grid_parts(pages, "aeromarkt.net", GRID_SITE),
+}

@@ -9,62 +9,109 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from aerolith.functions.classify import source_priority
+from aerolith.operators.scratch import delete_path, written
 from aerolith.operators.upsert import outcomes, snapshot
 
 
-def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str, changing: list[str], order: list[Column], schema: str) -> DataStreamWriter:
-    """A writer that upserts each micro-batch into a table of snapshots below folder: version N + 1 is written next to
-    version N and is current once its marker is there, so a batch that is run again after a failure gives the same
-    version. Outcomes are appended to folder/outcomes, a folder for each batch."""
+PARTS = 64
+
+
+def _part(key: str, parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(parts)).cast("int")
+
+
+def _exists(spark, path: str) -> bool:
+    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
+
+
+def _manifests(spark, folder: str, before: int | None = None) -> list[int]:
+    """The batches (before one) whose manifest is there, in order: a few, as older ones are deleted."""
+    if not _exists(spark, f"{folder}/manifest"):
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
+    names = [x.getPath().getName() for x in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
+    found = [int(x.removeprefix("batch=")) for x in names if _exists(spark, f"{folder}/manifest/{x}/_SUCCESS")]
+    return sorted(n for n in found if before is None or n < before)
+
+
+def _state(spark, folder: str, batch: int | None) -> dict[int, int]:
+    """The version of each part after a batch, from its manifest: as many rows as there are parts."""
+    if batch is None:
+        return {}
+    return {r.part: r.version for r in spark.read.schema("part int, version long").parquet(f"{folder}/manifest/batch={batch}").collect()}
+
+
+def _read(spark, folder: str, schema: str, state: dict[int, int]) -> DataFrame:
+    paths = [x for p, n in sorted(state.items()) if _exists(spark, x := f"{folder}/target/part={p}/version={n}")]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def current(spark, folder: str, schema: str) -> DataFrame:
+    """The newest state of a table that upsert() keeps below folder, or an empty one."""
+    return _read(spark, folder, schema, _state(spark, folder, max(_manifests(spark, folder), default=None)))
+
+
+def upsert(rows: DataFrame, folder: str, schema: str, key: str, number: int, merge: Callable[[DataFrame, DataFrame], DataFrame], parts: int = PARTS) -> None:
+    """Merge batch `number` into a table that is kept in parts by a hash of the key: merge(rows, target) gives the new
+    rows of the parts that the batch has keys of; the other parts are neither read nor written. Each part's version is a
+    folder, and a manifest, written last, says which version of each part counts. So a batch that is run again after a
+    failure starts from the manifest before it and gives the same state. What no manifest but the last two names is
+    deleted."""
+    spark = rows.sparkSession
+    older = _manifests(spark, folder, before=number)
+    state = _state(spark, folder, older[-1] if older else None)
+    touched = sorted(r[0] for r in rows.select(_part(key, parts)).distinct().collect())  # `parts` numbers at most
+    target = _read(spark, folder, schema, {p: state[p] for p in touched if p in state})
+    made = merge(rows, target).withColumns({"part": _part(key, parts), "version": F.lit(number)})
+    if touched:
+        made.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "version").parquet(f"{folder}/target")
+    now = state | {p: number for p in touched}
+    spark.createDataFrame(list(now.items()), "part int, version long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest/batch={number}")
+    for batch in older[:-1]:
+        for part, version in _state(spark, folder, batch).items():
+            if state.get(part) != version:
+                delete_path(spark, f"{folder}/target/part={part}/version={version}")
+        delete_path(spark, f"{folder}/manifest/batch={batch}")
+
+
+def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str, changing: list[str], order: list[Column], schema: str, parts: int = PARTS) -> DataStreamWriter:
+    """A writer that upserts each micro-batch into a table in parts below folder. Outcomes are appended to
+    folder/outcomes, a folder for each batch."""
 
     def each(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        # the version before is that of the batch before, whatever this batch has left behind
-        target = current(spark, folder, schema, before=number)
-        batch = batch.persist()
-        try:
-            found = outcomes(batch, target, key, digest, order)
+        def merge(rows: DataFrame, target: DataFrame) -> DataFrame:
+            found = written(outcomes(rows, target, key, digest, order), "outcomes")
             found.select(key, "outcome", "reason").write.mode("overwrite").parquet(f"{folder}/outcomes/batch={number}")
             fresh = found.where("outcome <> 'skipped'").drop("outcome", "reason").withColumns({"is_external": F.lit(True), "claimed_at": F.lit(None).cast("timestamp_ntz")})
-            snapshot(fresh.select(*target.columns), target, key, changing).write.mode("overwrite").parquet(f"{folder}/target/version={number}")
-        finally:
-            batch.unpersist()
+            return snapshot(fresh.select(*target.columns), target, key, changing)
+
+        upsert(written(batch, "batch"), folder, schema, key, number, merge, parts)
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
+
+
+def winners_writer(stream: DataFrame, folder: str, key: str, source: str, ts: str, schema: str, parts: int = PARTS) -> DataStreamWriter:
+    """A writer that keeps, for each key, the best source so far (highest priority, then earliest time) and how many
+    rows it has had, in a table in parts below folder: key, priority, earliness, winner and n. What a batch has of a key
+    is one row before it meets the table. schema names the key's type: `key type`."""
+    better = F.struct("priority", "earliness", "winner")
+    whole = f"{schema}, priority int, earliness long, winner string, n long"
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = batch.select(F.col(key), source_priority(F.col(source)).cast("int").alias("priority"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("earliness"), F.col(source).alias("winner"))
+        best = lambda df, n: df.groupBy(key).agg(F.max(better).alias("b"), n.alias("n")).select(key, "b.*", "n")
+        fresh = written(best(rows, F.count("*")), "batch")
+        upsert(fresh, folder, whole, key, number, lambda own, target: best(target.unionByName(own), F.sum("n")), parts)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
 
 
-def current(spark, folder: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest version of the target (older than `before`), or an empty one."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/target")
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = []
-    if files.exists(path):
-        for status in files.listStatus(path):
-            name = status.getPath().getName()
-            if name.startswith("version=") and files.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                done.append(int(name.removeprefix("version=")))
-    done = [n for n in done if before is None or n < before]
-    if not done:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{folder}/target/version={max(done)}")
-
-
-def running_winners(stream: DataFrame, key: str, source: str, ts: str, lateness: str = "90 days") -> DataFrame:
-    """The best source of each key so far: highest priority, then earliest time. A streaming aggregate; keys whose time
-    is older than the lateness are let go of."""
-    order = F.struct(source_priority(F.col(source)).alias("priority"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("earliness"), F.col(source).alias("source"))
-    return stream.withWatermark(ts, lateness).groupBy(F.window(ts, "3650 days"), F.col(key)).agg(F.max(order).alias("best"), F.count("*").alias("n")).select(key, F.col("best.source").alias("winner"), "n")
-
-
-def to_completion(stream: DataFrame, name: str, mode: str = "complete") -> DataFrame:
-    """Run a stream over what is there and return its result."""
-    spark = stream.sparkSession
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
-
-
-def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def winners(spark, folder: str, schema: str) -> DataFrame:
+    """The table of winners_writer()."""
+    return current(spark, folder, f"{schema}, priority int, earliness long, winner string, n long")
+
+
+def to_completion(writer: DataStreamWriter) -> None:
+    """Run a stream over what is there."""
+    writer.trigger(availableNow=True).start().awaitTermination()

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from aerolith.rules import tables as T
 from aerolith.sources import event_pages as E
 
 NOW = "2026-04-25 00:00:00"
@@ -11,9 +12,7 @@ NOW = "2026-04-25 00:00:00"
 def rows(spark, source, html, url="https://example.org/list"):
     landed = spark.createDataFrame([(source, url, html), (source, url, None), (source, url, "")], "source string, page_url string, payload string")
     now = F.lit(NOW).cast("timestamp_ntz")
-    pages = landed.where("payload IS NOT NULL").select("page_url", "payload")
-    parser = E.PARSERS[source]
-    return (parser(pages, now) if source == "iata.org" else parser(pages)).collect()
+    return E.parse(source, landed, now).collect()
 
 
 def at(y, m, d):
@@ -96,4 +95,19 @@ def test_page_counts_and_urls(spark):
 
 def test_all_sources_together(spark):
     landed = spark.createDataFrame([("nbaa.org", "https://n/", None), ("unknown", "https://n/", "<p>x</p>")], "source string, page_url string, payload string")
-    assert E.events(landed, F.lit(NOW).cast("timestamp_ntz")).count() == 0
+    assert E.events(landed, F.lit(NOW).cast("timestamp_ntz"), ["nbaa.org", "ics-feed", "iata.org"]).count() == 0
+    assert set(E.PARSERS) == {s for s, _, kind, _, _ in T.SOURCES if kind == "events"}
+
+
+def test_dropped_rows_have_reasons(spark):
+    row = "<tr><td class='pubcal_title'>{}</td><td class='pubcal_daterange icon-clock'>{}</td><td class='pubcal_cidname'>{}</td></tr>"
+    html = "<table>" + "".join(row.format(*x) for x in [("", "01.05.2026", "L"), ("A", "bald", "L"), ("B", "01.05.2026", ""), ("C", "01.05.2026", "L"), ("D", "", "")]) + "</table>"
+    calendar = "BEGIN:VCALENDAR\nBEGIN:VEVENT\nUID:1\nSUMMARY:x\nDTSTART:20260501\nSTATUS:CANCELLED\nEND:VEVENT\nBEGIN:VEVENT\nSUMMARY:x\nEND:VEVENT\nBEGIN:VEVENT\nUID:3\nSUMMARY:Da\nDTSTART:20260502T100000\nEND:VEVENT\nEND:VCALENDAR"
+    landed = spark.createDataFrame([("vereinsflieger.de", "https://v/", html), ("ics-feed", "https://c/a.ics", calendar), ("ics-feed", "https://c/b.ics", "<html>")], "source string, page_url string, payload string")
+    calendars = spark.createDataFrame([("Club", "webcal://c/a.ics", "AT", "seminar", "Europe/Vienna", "de", None)], "name string, url string, country string, default_category string, timezone string, source_locale string, organiser_name string")
+    rows = E.all_rows(landed, F.lit(NOW).cast("timestamp_ntz"), ["vereinsflieger.de", "ics-feed"], calendars)
+    assert {(r.source_name, r.drop_reason): r.n for r in E.drop_counts(rows).collect()} == {
+        ("vereinsflieger.de", "no-title"): 1, ("vereinsflieger.de", "no-date"): 2, ("vereinsflieger.de", "no-organiser"): 1, ("ics-feed", "cancelled"): 1, ("ics-feed", "no-uid"): 1,
+    }
+    kept = {r.title: r for r in E.events(landed, F.lit(NOW).cast("timestamp_ntz"), ["vereinsflieger.de", "ics-feed"], calendars).collect()}
+    assert set(kept) == {"C", "Da"} and (kept["Da"].organiser, kept["Da"].country, kept["Da"].category, kept["Da"].start) == ("Club", "AT", "seminar", dt.datetime(2026, 5, 2, 8))

@@ -1,3 +1,4 @@
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -92,16 +93,40 @@ def test_upserts_are_idempotent(spark):
     assert again == {"a": "unchanged", "b": "claimed", "c": "claimed", "d": "unchanged"}
 
 
-def test_containment_with_and_without_broadcast(spark, monkeypatch):
-    texts = spark.createDataFrame([(1, "my robin dr400"), (2, "robinson r44"), (3, "a cub"), (4, "nothing")], "k int, t string")
-    dim = spark.createDataFrame([("robin",), ("robinson",), ("cub",), ("dr",)], "n string")
-    pairs = lambda: sorted((r.k, r.n) for r in match.containing(texts, "t", dim, "n").collect())
-    expected = [(1, "dr"), (1, "robin"), (2, "robin"), (2, "robinson"), (3, "cub")]
-    assert pairs() == expected
-    monkeypatch.setattr(match, "MOST_ROWS", 0)
-    assert pairs() == expected
-    makers = match.manufacturer(texts, "k", "t", dim.select(F.col("n").alias("name")))
-    assert {r.k: r.manufacturer for r in makers.collect()} == {1: "robin", 2: "Robinson", 3: "cub", 4: None}
+@pytest.mark.parametrize("few,most", [(64, 1000), (0, 1000), (0, 2)])
+def test_names_held_by_texts(spark, monkeypatch, few, most):
+    texts = spark.createDataFrame([(1, "my robin dr400"), (2, "robinson r44"), (3, "a cub"), (4, "nothing"), (5, None), (6, "")], "k int, t string")
+    dim = spark.createDataFrame([("robin",), ("robinson",), ("cub",), ("dr",), ("",), (None,), ("cub",)], "n string")
+    held = {r.k: sorted(r.h) for r in match.held_names(texts, F.col("t"), dim, "h", few, most).collect()}
+    assert held == {1: ["dr", "robin"], 2: ["robin", "robinson"], 3: ["cub"], 4: [], 5: [], 6: []}
+    monkeypatch.setattr(match, "FEW_NAMES", few)
+    makers = match.manufacturer(texts, "k", "t", spark.createDataFrame([("Robin",), ("ROBIN",), ("cub",), ("bcu",)], "name string"))
+    assert {r.k: r.manufacturer for r in makers.collect()} == {1: "ROBIN", 2: "Robinson", 3: "cub", 4: None, 5: None, 6: None}
+
+
+def brute_spec(text, specs):
+    best = (0, None)
+    for order, (maker, model, variant) in enumerate(specs):
+        word = re.search(rf"(?a:\b){re.escape(model)}(?a:\b)", text) if len(model) <= 3 else model in text
+        score = 2 * (maker in text) + 3 * bool(word) + bool(variant and variant in text)
+        if score > best[0]:
+            best = score, order
+    return best if best[0] >= 3 else None
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_specs_by_score_against_brute_force(spark, monkeypatch, few):
+    import random
+
+    monkeypatch.setattr(match, "FEW_NAMES", few)
+    rng = random.Random(few)
+    makers, models, variants = ["cessna", "piper", "robin", "x+y"], ["172", "j3", "cub", "dr400", "r44", "super cub"], ["", None, "ii", "tdi", "a"]
+    specs = [(rng.choice(makers), rng.choice(models), rng.choice(variants)) for _ in range(40)]
+    texts = [" ".join(rng.choice([*makers, *models, "ii", "tdi", "a172", "j3x", "(172)", "und"]) for _ in range(rng.randint(0, 4))) for _ in range(200)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    dim = spark.createDataFrame([(a.upper(), b, c, k) for k, (a, b, c) in enumerate(specs)], "maker string, model string, variant string, ord int")
+    got = {r.k: (r.score, r.ord) for r in match.best_spec(df, "k", "t", dim, "maker", "model", "variant", "ord").collect()}
+    assert got == {k: b for k, t in enumerate(texts) if (b := brute_spec(t or "", [(a, b, c or "") for a, b, c in specs]))}
 
 
 def test_merging(spark):
@@ -135,12 +160,56 @@ def test_streamed_upserts(spark, tmp_path):
     for n, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2), ("c", 1)], [("a", 2)]]):
         spark.createDataFrame(rows, "k string, v int").withColumn("digest", F.sha1(F.col("v").cast("string"))).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema("k string, v int, digest string").parquet(f"{tmp_path}/in")
-        incremental.upsert_writer(stream, f"{tmp_path}/t", "k", "digest", ["v", "digest"], [F.desc("v")], schema).trigger(availableNow=True).start().awaitTermination()
+        incremental.upsert_writer(stream, f"{tmp_path}/t", "k", "digest", ["v", "digest"], [-F.col("v")], schema).trigger(availableNow=True).start().awaitTermination()
     assert sorted((r.k, r.v) for r in incremental.current(spark, f"{tmp_path}/t", schema).collect()) == [("a", 2), ("b", 1), ("c", 1)]
     outcomes = spark.read.parquet(f"{tmp_path}/t/outcomes")
     assert sorted((r.batch, r.k, r.outcome, r.reason) for r in outcomes.collect()) == [(0, "a", "inserted", None), (0, "b", "inserted", None), (1, "a", "updated", None), (1, "c", "inserted", None), (2, "a", "skipped", "unchanged")]
 
 
+def test_a_batch_that_is_run_again_gives_the_same(spark, tmp_path):
+    folder, schema = f"{tmp_path}/t", "k string, v long"
+    add = lambda rows, target: rows.unionByName(target).groupBy("k").agg(F.sum("v").alias("v"))
+    batch = lambda *rows: spark.createDataFrame(rows, schema)
+    state = lambda: sorted(tuple(r) for r in incremental.current(spark, folder, schema).collect())
+    for number, rows in enumerate([[("a", 1), ("b", 2)], [("a", 10)], [], [("c", 5), ("a", 100)], [("b", 1)]]):
+        for _ in range(2):
+            incremental.upsert(batch(*rows), folder, schema, "k", number, add, parts=8)
+    assert state() == [("a", 111), ("b", 3), ("c", 5)]
+    assert len(list((tmp_path / "t/manifest").glob("batch=*"))) <= 3
+    assert all(len(list(p.glob("version=*"))) <= 2 for p in (tmp_path / "t/target").glob("part=*"))
+
+
+def test_streamed_winners_have_one_row_for_each_key(spark, tmp_path):
+    rows = [("u", "iata.org", "2019-12-01 00:00:00"), ("u", "iata.org", "2020-01-15 00:00:00"), ("v", "iata.org", "2020-01-01 00:00:00")], [("u", "dulv.de", "2031-01-01 00:00:00"), (None, "dulv.de", None)]
+    for part in rows:
+        spark.createDataFrame(part, "k string, s string, t string").select("k", "s", F.col("t").cast("timestamp_ntz").alias("t")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("k string, s string, t timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        incremental.to_completion(incremental.winners_writer(stream, f"{tmp_path}/w", "k", "s", "t", "k string"))
+    got = {r.k: (r.winner, r.n) for r in incremental.winners(spark, f"{tmp_path}/w", "k string").collect()}
+    assert got == {"u": ("dulv.de", 3), "v": ("iata.org", 1), None: ("dulv.de", 1)}
+
+
+def test_landed_files_have_a_row_or_a_reason(spark, tmp_path, monkeypatch):
+    from aerolith.sources import landing
+
+    monkeypatch.setattr(landing, "MOST_BYTES", 100)
+    for name, data in (("a", b"gut"), ("b", b""), ("c", b"x" * 101), ("d", b"\xff\xc3\xa4 \xc3")):
+        (tmp_path / name).write_bytes(data)
+    got = {r.page_url[-1]: (r.payload, r.drop_reason) for r in landing.files(spark, str(tmp_path)).collect()}
+    assert got == {"a": ("gut", None), "b": (None, "empty"), "c": (None, "too-large"), "d": ("\ufffdä \ufffd", None)}
+    assert landing.texts(spark, str(tmp_path)).count() == 2
+
+
+def test_long_texts_lose_their_repeats_in_little_time(spark):
+    from aerolith.functions.text import deduplicate_description
+
+    many = " ".join(f"Das ist der lange Satz Nummer {k % 40_000}." for k in range(60_000))
+    df = spark.createDataFrame([(many,), ("Kurz. Kurz. Ein Satz, der lang genug ist. ein Satz, der  lang genug ist. Ende",), ("",), (None,)], "t string")
+    got = [r[0] for r in df.select(deduplicate_description(F.col("t"))).collect()]
+    assert got[0] == " ".join(f"Das ist der lange Satz Nummer {k}." for k in range(40_000))
+    assert got[1:] == ["Kurz. Kurz. Ein Satz, der lang genug ist. Ende", "", None]
+
+
 def test_the_rest_works_without_the_subpackage(tmp_path):
     import shutil
 
