@@ -37,7 +37,6 @@ Extra columns are kept, whatever their names.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
@@ -47,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import WORD, deleted, free_names, small_pieces, take_over, values, written
+from aerolith.llm.common import deleted, free_names, small_pieces, take_over, values, written
 
 DEPTH = 400
 ANCHOR = 100
@@ -74,20 +73,37 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverse
 
 
-def string_hashes(text: np.ndarray, length: int) -> np.ndarray:
-    """A hash of the string of this length at each place of a uint8 array; equal strings have equal hashes."""
-    powers, inverse = _tables(len(text) + 1)
-    n = len(text) - length + 1
+def prefix_sums(text: np.ndarray) -> np.ndarray:
+    """Of the symbols of an array, times powers of the base."""
+    powers, _ = _tables(len(text) + 1)
+    sums = np.zeros(len(text) + 1, np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(text) + 1, np.uint64)
         np.cumsum((text.astype(np.uint64) + np.uint64(1)) * powers[: len(text)], out=sums[1:])
-        h = (sums[length:] - sums[:n]) * inverse[:n]
+    return sums
+
+
+def string_hashes(sums: np.ndarray, first: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
+    """A hash of the strings between places of an array, from its prefix sums; equal strings have equal hashes."""
+    _, inverse = _tables(len(sums))
+    with np.errstate(over="ignore"):
+        h = (sums[end] - sums[first]) * inverse[first]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         h ^= h >> np.uint64(32)
     return h
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_spans(text: np.ndarray) -> np.ndarray:
+    """(from, to) of the words of a uint8 array."""
+    inside = np.zeros(len(text) + 2, np.int8)
+    inside[1:-1] = ~_BLANK[text]
+    return np.flatnonzero(np.diff(inside)).reshape(-1, 2)
+
+
 def window_argmin(h: np.ndarray, width: int) -> np.ndarray:
     """For each window of `width` values, the place of its smallest by the upper 32 bits, the last of equal ones."""
     n, size = len(h) - width + 1, len(h)
@@ -108,16 +124,28 @@ class Level(NamedTuple):
     anchor: int
 
 
-def symbols(text: bytes, level: Level) -> bytes:
-    return text if level.width == 1 else b"".join(map(xxhash.xxh64_digest, text.split()))
+def symbols(text: bytes, level: Level) -> tuple[np.ndarray, np.ndarray]:
+    """A text's symbols and their prefix sums. A word's is a hash of its bytes and its length."""
+    own = np.frombuffer(text, np.uint8)
+    sums = prefix_sums(own)
+    return (own, sums) if level.width == 1 else words_of(own, sums)
+
 
+def words_of(text: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = word_spans(text)
+    with np.errstate(over="ignore"):
+        own = string_hashes(sums, at[:, 0], at[:, 1]) + (at[:, 1] - at[:, 0]).astype(np.uint64) * BASE
+    return own, prefix_sums(own)
 
-def anchors(text: bytes, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, first, last) of each stretch of suffixes with one anchor; every suffix of depth symbols is in one."""
-    if len(text) < level.depth * level.width:
+
+def anchors(sums: np.ndarray, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first, last) of each stretch of suffixes with one anchor, from the prefix sums of symbols; every
+    suffix of depth symbols is in one."""
+    n = len(sums) - 1
+    if n < level.depth:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none
-    h = string_hashes(np.frombuffer(text, np.uint8 if level.width == 1 else "<u8"), level.anchor)
+    h = string_hashes(sums, slice(0, n - level.anchor + 1), slice(level.anchor, n + 1))
     at = window_argmin(h, level.depth - level.anchor + 1)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.concatenate([first[1:], [len(at)]]) - 1
@@ -129,17 +157,20 @@ CONTEXTS = "k1 long, k2 long, level int, anchor long, context long, first int, l
 
 
 def _contexts(levels: Sequence[Level]):
+    """The first level is that of bytes."""
+
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("dedup_suffix", dict)
         for batch in small_pieces(batches):
             columns: list[list] = [[] for _ in range(8)]
             for text, k1, k2 in zip(batch.column("text").to_pylist(), batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True):
+                whole = symbols(text, levels[0])
                 for number, level in enumerate(levels):
-                    own, w = symbols(text, level), level.width
-                    h, place, first, last = anchors(own, level)
+                    own, sums = whole if level.width == 1 else words_of(*whole)
+                    h, place, first, last = anchors(sums, level)
                     if not len(h):
                         continue
-                    at = place - first
+                    at, own, w = place - first, own.tobytes(), level.width
                     # where the anchor lies in the context is part of its digest: equal contexts are aligned
                     digests = [xxhash.xxh3_64_intdigest(own[w * a : w * (b + level.depth)], x) for a, b, x in zip(first.tolist(), last.tolist(), at.tolist(), strict=True)]
                     n = len(h)
@@ -309,7 +340,7 @@ def _fetched(levels: Sequence[Level]):
                 for w in wanted:
                     number, level = w["level"], levels[w["level"]]
                     if number not in own:
-                        own[number] = symbols(text, level)
+                        own[number] = symbols(text, level)[0].tobytes()
                     part = own[number][level.width * w["first"] : level.width * (w["last"] + level.depth)]
                     rows.append((number, w["anchor"], w["context"], w["contexts"], part, w["at"]))
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32())
@@ -391,7 +422,7 @@ def passage_runs(text: bytes, found: list[dict], words: int) -> np.ndarray:
     runs = covered(found, words)
     if not len(runs):
         return runs
-    at = np.array([m.span() for m in re.finditer(WORD.encode(), text)], np.int64)
+    at = word_spans(np.frombuffer(text, np.uint8))
     return np.stack([at[runs[:, 0], 0], at[runs[:, 1] - 1, 1]], axis=1)
 
 
