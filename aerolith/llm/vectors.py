@@ -5,16 +5,19 @@ subspace. A vector is compared with the lists of the centres nearest to it: per
 code words give the asymmetric distance to each code by lookups, and those within reach of the threshold (widened by
 the quantisation error seen in the sample) are reranked by the exact cosine in double precision.
 
-Index: centres and code words are fitted on a sample of at most `SAMPLE` vectors (and 64 MB), chosen by a digest of their values;
-all vectors are indexed and all are queries. The number of lists grows with the number of vectors, so lists stay of a
-size; a list longer than `BLOCK` is dealt in blocks to several tasks, each of which gets all its visitors' part.
+Index: centres and code words are fitted on a sample of at most `SAMPLE` vectors (and 64 MB), chosen by a digest of their
+values; all vectors are indexed and all are queries. The number of lists grows with the number of vectors, so lists stay
+of a size: above `MOST_CENTRES` centres, second centres are fitted to what is left of vectors beside their first one, and
+a list is a pair of both. A list longer than `BLOCK` is dealt in blocks to several tasks, each of which gets all its
+visitors' part. How many lists a vector visits is measured: the links of up to `MEASURED` vectors of the sample are
+counted by brute force, and a vector visits twice as many lists as find all of these (a link is found from either side).
 
 Vectors that are equal in direction are one class, compared once. What leaves a task is a count of links for each class
 and its components, not pairs: a pair found from both sides is counted once for each side.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with nothing. Vectors of
-different lengths link with nothing: each length is a space of its own. Null and repeated ids are allowed; equal rows
-are copies. An empty table gives an empty result.
+different lengths link with nothing: each length is a space of its own, with an index that the driver fits. Null and
+repeated ids are allowed; equal rows are copies. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +39,10 @@ THRESHOLD = 0.9
 SAMPLE = 65_536
 MOST_SAMPLE_BYTES = 64 << 20
 LIST_SIZE = 200
-MOST_LISTS = 16_384
-PROBES = 32
+MOST_CENTRES = 16_384
+#: Lists that a vector visits at least, without any link in the sample, and at most.
+LEAST_PROBES, PROBES, MOST_PROBES = 8, 32, 128
+MEASURED = 1024
 SUBSPACES = 8
 WORDS = 256
 BLOCK = 1024
@@ -47,20 +52,38 @@ COVERED = 0.9999
 
 @dataclass
 class Index:
-    centres: np.ndarray  # (lists, dim), float32
+    centres: np.ndarray  # (first centres, dim), float32
+    second: np.ndarray  # (second centres, dim): of what is left beside the first; one of zeros if there is one level
     words: np.ndarray  # (subspaces, words, dim of a subspace)
     cuts: list[int]
     slack: float
     probes: int
 
+    @property
+    def lists(self) -> int:
+        return len(self.centres) * len(self.second)
+
+    def centre(self, number: int) -> np.ndarray:
+        a, b = divmod(number, len(self.second))
+        return self.centres[a] + self.second[b]
+
     def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
-        n = min(n, len(self.centres))
-        step = max(1, (16 << 20) // (4 * len(self.centres)))
+        """The n lists nearest to each row, in order: among the pairs of the nearest first centres (n, and 256 at least,
+        so that the nearest list doesn't depend on n) and all second ones."""
+        n = min(n, self.lists)
+        some = min(n if len(self.second) == 1 else max(n, 256), len(self.centres))
+        width = max(len(self.centres), some * len(self.second))
+        step = max(1, (16 << 20) // (4 * width))
         if len(x) > step:
             return np.concatenate([self.nearest(x[a : a + step], n) for a in range(0, len(x), step)])
-        far = (self.centres**2).sum(axis=1)[None, :] - 2 * (x @ self.centres.T)
-        some = np.argpartition(far, n - 1, axis=1)[:, :n]
-        return np.take_along_axis(some, np.argsort(np.take_along_axis(far, some, 1), axis=1, kind="stable"), 1)
+        first, far = _closest(x, self.centres, some)
+        if len(self.second) > 1:
+            # |x - a - b|^2 = |x - a|^2 + |b|^2 - 2 (x - a) b
+            cross = 2 * (self.centres[first] @ self.second.T) - 2 * (x @ self.second.T)[:, None, :]
+            far = (far[:, :, None] + (self.second**2).sum(axis=1) + cross).reshape(len(x), -1)
+            first = (first[:, :, None] * len(self.second) + np.arange(len(self.second))).reshape(len(x), -1)
+        order = np.argsort(far, axis=1, kind="stable")[:, :n]
+        return np.take_along_axis(first, order, 1)
 
     def codes(self, residual: np.ndarray) -> np.ndarray:
         out = np.empty((len(residual), len(self.words)), np.uint8)
@@ -81,6 +104,13 @@ class Index:
         return np.stack(parts, axis=1)
 
 
+def _closest(x: np.ndarray, centres: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, squared distances) of the n nearest centres of each row."""
+    far = (x**2).sum(axis=1)[:, None] + (centres**2).sum(axis=1)[None, :] - 2 * (x @ centres.T)
+    some = np.argpartition(far, n - 1, axis=1)[:, :n]
+    return some, np.take_along_axis(far, some, 1)
+
+
 def _own(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """The nearest centre of each row."""
     squares = (centres**2).sum(axis=1)[None, :]
@@ -99,22 +129,56 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -
     return centres
 
 
-def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, probes: int = PROBES, seed: int = 1) -> Index:
+def needed_probes(index: Index, sample: np.ndarray, threshold: float, measured: int = MEASURED, links: int = 64, most: int = 256) -> int | None:
+    """How many lists the vectors of a sample must visit, so that up to `links` links of each of some of them are found
+    from either side; null without any link between lists."""
+    home = index.nearest(sample, 1)[:, 0]
+    queries = np.arange(0, len(sample), -(-len(sample) // measured))
+    pairs = [np.zeros((0, 2), np.int64)]
+    for at in range(0, len(queries), 128):
+        some = queries[at : at + 128]
+        near = sample[some] @ sample.T >= threshold
+        for q, row in zip(some.tolist(), near, strict=True):
+            found = np.flatnonzero(row)
+            found = found[home[found] != home[q]]
+            found = found[:: max(1, -(-len(found) // links))]
+            pairs.append(np.stack([np.full(len(found), q), found], axis=1))
+    pairs = np.concatenate(pairs)
+    if not len(pairs):
+        return None
+    rows, number = np.unique(pairs, return_inverse=True)
+    number = number.reshape(pairs.shape)
+    near = index.nearest(sample[rows], most).astype(np.int32)
+    needed = np.full(len(pairs), most)
+    for side in (0, 1):
+        for at in range(0, len(pairs), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            hit = near[number[part, side]] == home[pairs[part, 1 - side]][:, None]
+            needed[part] = np.minimum(needed[part], np.where(hit.any(axis=1), hit.argmax(axis=1) + 1, most))
+    return int(needed.max())
+
+
+def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, probes: int | None = None, seed: int = 1) -> Index:
     """An index for n_vectors unit vectors, fitted on a sample of them."""
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
-    lists = max(1, min(MOST_LISTS, len(sample), round(n_vectors / LIST_SIZE)))
-    centres = _kmeans(sample, lists, rng)
+    lists = max(1, round(n_vectors / LIST_SIZE))
+    centres = _kmeans(sample, max(1, min(lists, MOST_CENTRES, len(sample))), rng)
+    residual = sample - centres[_own(sample, centres)]
+    more = max(1, min(len(sample), round(lists / len(centres))))
+    second = _kmeans(residual, more, rng) if more > 1 else np.zeros((1, dim), np.float32)
     parts = min(SUBSPACES, dim)
     cuts = [round(k * dim / parts) for k in range(parts + 1)]
-    residual = sample - centres[_own(sample, centres)]
     width = max(b - a for a, b in zip(cuts, cuts[1:]))
-    words = np.zeros((parts, WORDS, width), np.float32)
+    index = Index(centres, second, np.zeros((parts, WORDS, width), np.float32), cuts, 0.0, 1)
+    home = index.nearest(sample, 1)[:, 0]
+    residual = sample - np.stack([index.centre(int(h)) for h in home]) if more > 1 else residual
     for m, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        words[m, :, : b - a] = _kmeans(residual[:, a:b], WORDS, rng, 6)
-    index = Index(centres, words, cuts, 0.0, min(probes, lists))
+        index.words[m, :, : b - a] = _kmeans(residual[:, a:b], WORDS, rng, 6)
     error = np.linalg.norm(residual - index.decoded(index.codes(residual)), axis=1)
     index.slack = float(np.quantile(error, COVERED)) if len(error) else 0.0
+    found = needed_probes(index, sample, threshold) if probes is None and index.lists > 1 else None
+    index.probes = min(index.lists, probes or (PROBES if found is None else min(MOST_PROBES, max(LEAST_PROBES, 2 * found))))
     return index
 
 
@@ -125,7 +189,7 @@ def _unit(raw: bytes) -> np.ndarray:
 
 def near_pairs(index: Index, home: int, visitors: np.ndarray, members: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """(visitor, member) of all pairs with cosine >= threshold that table lookups let through; rows of unit doubles."""
-    centre = index.centres[home].astype(np.float64)
+    centre = index.centre(home).astype(np.float64)
     codes = index.codes((members - centre).astype(np.float32))
     reach = (math.sqrt(max(0.0, 2 - 2 * threshold)) + index.slack) ** 2 + 1e-6
     left, right = [], []
@@ -146,7 +210,7 @@ def near_pairs(index: Index, home: int, visitors: np.ndarray, members: np.ndarra
     return np.concatenate(left), np.concatenate(right)
 
 
-def link(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
+def link(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, probes: int | None = None, sample: int = SAMPLE) -> DataFrame:
     """One row for each row of df: id, n_links (other vectors linked), component_id (smallest id that links reach) and
     class_id (smallest id with the same direction)."""
     spark = df.sparkSession
@@ -169,9 +233,7 @@ def link(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", th
     every = written(rows.mapInArrow(keyed, f"id {kind}, node binary, unit binary, dim int"), "vectors-units")
     classes = every.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"), F.min("id").alias("class_id"), F.min(F.struct("dim", "unit")).alias("u"))
     classes = written(classes.select("node", "copies", "class_id", "u.*"), "vectors-classes")
-    sizes = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).limit(1001).collect()}
-    if len(sizes) > 1000:
-        raise ValueError("more than 1000 lengths of vectors")
+    sizes = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     indexes = {}
     for dim, n in sizes.items():
         most = max(1000, min(sample, MOST_SAMPLE_BYTES // (8 * dim)))
@@ -199,7 +261,7 @@ def link(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", th
 
     placed = written(classes.select("node", "copies", "dim", "unit").mapInArrow(dealt, "node binary, copies long, dim int, unit binary, lists array<int>"), "vectors-placed")
     placed = placed.withColumn("home", F.col("lists")[0])
-    lengths = placed.groupBy("dim", "home").agg(F.count("*").alias("n")).select("dim", "home", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    lengths = written(placed.groupBy("dim", "home").agg(F.count("*").alias("n")).select("dim", "home", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "vectors-lists")
     # a list's members are dealt to its blocks; each of its visitors goes to every block
     base = placed.join(lengths, ["dim", "home"]).select("dim", F.col("home").alias("list"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(True).alias("member"), "node", "copies", "unit", "lists")
     visits = placed.withColumn("list", F.explode("lists")).join(lengths.withColumnRenamed("home", "list"), ["dim", "list"])

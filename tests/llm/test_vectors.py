@@ -32,9 +32,10 @@ def frame(spark, rows):
     return spark.createDataFrame([Row(vec_id=i, embedding=x, node="clash", unit=1) for i, x in rows], KIND)
 
 
-@pytest.mark.parametrize("block", [1024, 16])
-def test_recall_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize("block,centres", [(1024, 16_384), (16, 16_384), (1024, 5)])
+def test_recall_against_brute_force(spark, monkeypatch, block, centres):
     monkeypatch.setattr(v, "BLOCK", block)
+    monkeypatch.setattr(v, "MOST_CENTRES", centres)
     monkeypatch.setattr(v, "LIST_SIZE", 20)
     rng = np.random.default_rng(block)
     rows = []
@@ -63,3 +64,19 @@ def test_null_ids_and_empty_table(spark):
     got = [(r.id, r.n_links) for r in v.link(frame(spark, [(None, [1.0, 0.0]), (2, [1.0, 0.0])])).collect()]
     assert sorted(n for _, n in got) == [1, 1]
     assert v.link(frame(spark, [])).count() == 0
+
+
+def test_two_levels_keep_lists_of_a_size(monkeypatch):
+    monkeypatch.setattr(v, "MOST_CENTRES", 16)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 16)).astype(np.float32)
+    x[3000:] = x[:3000] + rng.normal(size=(3000, 16)).astype(np.float32) * 0.05
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = v.fit(x, 40_000)
+    assert index.lists >= 190 and v.LEAST_PROBES <= index.probes <= v.MOST_PROBES
+    home, near = index.nearest(x, 1)[:, 0], index.nearest(x, index.probes)
+    far = np.stack([np.linalg.norm(x - index.centre(k), axis=1) for k in range(index.lists)], axis=1)
+    assert (far.argmin(axis=1) == home).mean() > 0.7  # only the second centres beside the nearest first one are tried
+    assert np.bincount(home).max() < 20 * len(x) / index.lists
+    found = [home[b] in near[a] or home[a] in near[b] for a, b in zip(range(3000), range(3000, 6000), strict=True) if x[a] @ x[b] >= 0.9]
+    assert np.mean(found) > 0.999
