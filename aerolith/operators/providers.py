@@ -56,7 +56,7 @@ def one_by_one(call: Callable[[str], str | None], column: str = "key", **options
                 answers = [ask(q) for q in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, pa.string())], ["key", "answer"])
 
-        return questions.select(F.col("key"), F.col(column).cast("string")).coalesce(1).mapInArrow(asked, "key string, answer string")
+        return questions.select(F.col("key"), F.col(column).cast("string").alias("question")).coalesce(1).mapInArrow(asked, "key string, answer string")
 
     return provider
 

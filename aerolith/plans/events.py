@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from aerolith.functions import dates as D
 from aerolith.functions import keys as K
 from aerolith.functions.classify import calendar_category, category_of_number, compare_priority, source_priority
+from aerolith.functions.core import once
 from aerolith.operators import dedup, metrics, recurrence
 from aerolith.operators.filldown import fill_down
 from aerolith.operators.upsert import outcomes
@@ -28,7 +29,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
     i = F.col("event_id")
     days = lambda x: F.make_dt_interval(x.cast("int"))
     kind = F.greatest(F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("event_type")) - 1, F.lit(0)).cast("int")
-    out = e.join(F.broadcast(n), F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey"), "left").select(
+    out = e.join(n, F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey"), "left").select(
         i, "user_id", F.element_at(F.array(*[F.lit(s) for s in SOURCES]), kind + 1).alias("source"),
         F.when(i % 97 == 0, "  ").when(i % 89 == 0, "ab").otherwise(F.concat(F.lit("Fly-in "), F.coalesce("event_type", F.lit("")), F.lit(" "), (i % 40).cast("string"))).alias("title"),
         F.when(i % 83 == 0, "").otherwise(F.concat(F.lit("https://example.org/e/"), i.cast("string"))).alias("source_url"),
@@ -73,7 +74,8 @@ CANDIDATES = CANDIDATES.replace("{kinds}", " ".join(f"WHEN '{k}' THEN {n}" for n
 
 
 def keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("canonical_key", K.canonical_key(F.col("title"), D.iso(F.col("start")), F.col("icao"), F.col("city"), F.col("venue")))
+    """df with its key, made once for each row: filters and joins by it come after."""
+    return once(df, {"canonical_key": K.canonical_key(F.col("title"), D.iso(F.col("start")), F.col("icao"), F.col("city"), F.col("venue"))})
 
 
 def winners(spark: SparkSession, folder: str) -> DataFrame:

@@ -112,7 +112,7 @@ def state_lookup(spark, folder):
     """City and country to state, by lower-cased names, as two dimensions joined into one."""
     n, r = table(spark, folder, "nation"), table(spark, folder, "region")
     dim = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.upper("n_name").alias("city"), F.lit("x").alias("country"), "r_name")
-    c = table(spark, folder, "customer").join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left").withColumn("country", F.lit("X"))
+    c = table(spark, folder, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").withColumn("country", F.lit("X"))
     return match.lookup(c, {"n_name": "city", "country": "country"}, dim, "r_name", "state").select("c_custkey", F.col("n_name").alias("nation"), "state")
 
 
