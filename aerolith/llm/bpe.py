@@ -221,12 +221,12 @@ def decoded(ids: Column, vocab, pattern: str) -> Column:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """docs with a column of token ids."""
+    """docs with a column of token ids; one of that name is replaced."""
     return docs.withColumn(ids, encoded(F.col(f"`{text}`").cast("string"), vocabulary(docs.sparkSession, path), pattern))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
-    """df with a column of the bytes that its ids stand for."""
+    """df with a column of the bytes that its ids stand for; one of that name is replaced."""
     return df.withColumn(out, decoded(F.col(f"`{ids}`"), vocabulary(df.sparkSession, path), pattern))
 
 

@@ -149,3 +149,11 @@ def test_passages_of_51_words_below_400_bytes_go(spark, tmp_path):
             assert got[i] == text
         else:
             assert got[i] == f"{head}   {tail}"
+
+
+def test_a_very_long_text_goes_through_whole(spark, tmp_path):
+    text = " ".join(f"w{k * 7919 % 1_000_003}x" for k in range(150_000)) + "."
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    (r,) = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest() and r.n_tokens > 150_000
