@@ -131,13 +131,15 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -
 
 def needed_probes(index: Index, sample: np.ndarray, threshold: float, measured: int = MEASURED, links: int = 64, most: int = 256) -> int | None:
     """How many lists the vectors of a sample must visit, so that up to `links` links of each of some of them are found
-    from either side; null without any link between lists."""
+    from either side: 1 if no link leaves a list, null without any link."""
     home = index.nearest(sample, 1)[:, 0]
     queries = np.arange(0, len(sample), -(-len(sample) // measured))
-    pairs = [np.zeros((0, 2), np.int64)]
+    pairs, linked = [np.zeros((0, 2), np.int64)], False
     for at in range(0, len(queries), 128):
         some = queries[at : at + 128]
         near = sample[some] @ sample.T >= threshold
+        near[np.arange(len(some)), some] = False
+        linked = linked or bool(near.any())
         for q, row in zip(some.tolist(), near, strict=True):
             found = np.flatnonzero(row)
             found = found[home[found] != home[q]]
@@ -145,7 +147,7 @@ def needed_probes(index: Index, sample: np.ndarray, threshold: float, measured:
             pairs.append(np.stack([np.full(len(found), q), found], axis=1))
     pairs = np.concatenate(pairs)
     if not len(pairs):
-        return None
+        return 1 if linked else None
     rows, number = np.unique(pairs, return_inverse=True)
     number = number.reshape(pairs.shape)
     near = index.nearest(sample[rows], most).astype(np.int32)
@@ -321,7 +323,8 @@ def link(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding", th
     components = connected_components(links.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     per_class = classes.select("node", "copies", "class_id").join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(components, "node", "left")
     per_class = per_class.withColumn("component", F.coalesce("component", "node"))
-    heads = per_class.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    # written, so that the join can be split where one component is very large
+    heads = written(per_class.groupBy("component").agg(F.min("class_id").alias("component_id")), "vectors-heads")
     per_class = per_class.join(heads, "component").select(F.col("node").alias("n"), "class_id", "component_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     found = every.select("id", "node").join(per_class, F.col("node") == F.col("n"), "left")
     alone = F.col("node").isNull()

@@ -80,3 +80,16 @@ def test_two_levels_keep_lists_of_a_size(monkeypatch):
     assert np.bincount(home).max() < 20 * len(x) / index.lists
     found = [home[b] in near[a] or home[a] in near[b] for a, b in zip(range(3000), range(3000, 6000), strict=True) if x[a] @ x[b] >= 0.9]
     assert np.mean(found) > 0.999
+
+
+def test_probes_follow_the_links_of_the_sample():
+    rng = np.random.default_rng(5)
+    far = np.eye(24, dtype=np.float32)[rng.integers(0, 24, 3000)]
+    tight = far + rng.normal(size=far.shape).astype(np.float32) * 0.01
+    tight /= np.linalg.norm(tight, axis=1)[:, None]
+    assert v.fit(tight, 3000).probes <= v.MOST_PROBES
+    alone = np.eye(600, dtype=np.float32)
+    assert v.fit(alone, 4000).probes == min(v.PROBES, 20)  # no link in the sample
+    two = np.concatenate([alone[:300], alone[:300] * 0.999 + alone[300:] * 0.01])
+    two /= np.linalg.norm(two, axis=1)[:, None]
+    assert v.LEAST_PROBES <= v.fit(two, 4000).probes <= 20
