@@ -7,7 +7,7 @@ import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aerolith.operators.scratch import deleted, scratch_path, shared_dir, written
@@ -74,6 +74,24 @@ def small_pieces(batches: Iterable[pa.RecordBatch], most_bytes: int = 8 << 20, c
         yield from pieces(batch, most_bytes, column)
 
 
+def running_sum(df: DataFrame, key: str, order: list[Column], sums: dict[str, Column], label: str) -> DataFrame:
+    """df with, for each name, the sum over the rows of the same key (null is a key) that come before a row in the order.
+
+    Rows are dealt by ranges of key and order, rows that are equal in both by their place in the input, so that a key of
+    any number of rows is spread over tasks; rows and their range are written, sums are taken within the ranges of a key,
+    and the totals of its earlier ranges are added. Nothing but these totals, a row for each range, meets in one task.
+    """
+    p, of, tie, k, *totals = free_names(df, "range", "of", "tie", "key", *sums)
+    ranged = written(df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(F.col(key), *order, F.col(tie)).withColumn(p, F.spark_partition_id()), label)
+    inside = Window.partitionBy(p, key).orderBy(*order, tie).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(k).orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(F.col(p).alias(of), F.col(key).alias(k)).agg(*[F.sum(x).alias(t) for x, t in zip(sums.values(), totals, strict=True)])
+    starts = parts.select(of, k, *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(t) for t in totals])
+    near = ranged.withColumns({name: F.coalesce(F.sum(x).over(inside), F.lit(0)) for name, x in sums.items()})
+    joined = near.join(starts, (F.col(p) == F.col(of)) & F.col(key).eqNullSafe(F.col(k)))
+    return joined.select(*df.columns, *[(F.col(name) + F.col(t)).alias(name) for name, t in zip(sums, totals, strict=True)])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node in edges; component is the smallest node that links reach.
 

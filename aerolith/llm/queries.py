@@ -186,6 +186,99 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
   n_lines, n_upper, n_lower, fail_bits FROM b
 """
 
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from aerolith.llm import chat
+
+    vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+    rows = rows.union(spark.createDataFrame(tricky, rows.schema))
+    formatted = chat.formatted(rows, *vocabulary).select("conv_id", "turn", "chat")
+    return chat.digests(chat.turns(formatted, *vocabulary))
+
+
+#: Written forms are as long as texts, marks and one character for each control string within a text.
+OP11_SQL = r"""
+WITH a AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+m AS (SELECT *, sha256(concat(length(r), ':', r, t)) AS tie, '<\\*/?s>|\[\\*/?INST\]|<\\*</?SYS>>|<\\*</?ROLE>>' AS control FROM a),
+n AS (SELECT *, length(t) + len(regexp_extract_all(t, control)) + CASE r WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 4 ELSE 21 + length(r) + len(regexp_extract_all(r, control)) END AS n FROM m)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(concat(r, chr(10), t, chr(10)), '' ORDER BY turn NULLS FIRST, tie)) AS turns_sha256,
+  coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, tie) FILTER (r = 'assistant'), '')) AS loss_sha256, sum(n)::BIGINT AS formatted_chars
+FROM n GROUP BY conv_id
+"""
+
+#: Conversations take up to 3 first turns of the one whose number is the next lower multiple of 20.
+FAMILY, MOST_TAKEN = 20, 3
+
+
+def _rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns and conversations after each has taken the first turns of its family's conversation."""
+    convs = turns.groupBy("conv_id").agg(F.count("*").alias("n_own"))
+    taken = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(MOST_TAKEN + 1))
+    convs = convs.select("conv_id", "n_own", taken.alias("h"), (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("family"))
+    heads = convs.select(F.col("conv_id").alias("family"), F.col("n_own").alias("n_family"))
+    convs = convs.join(heads, "family", "left").withColumn("n_taken", F.least("h", F.coalesce("n_family", F.lit(0))))
+    firsts = turns.where(F.col("k") <= MOST_TAKEN).withColumnRenamed("conv_id", "family")
+    taken_turns = firsts.join(convs.select("conv_id", "family", "h"), "family").where("k <= h").select("conv_id", "k", "said", "n_words")
+    own = turns.join(convs.select("conv_id", "h", "n_taken"), "conv_id").where("k > h").select("conv_id", (F.col("k") - F.col("h") + F.col("n_taken")).alias("k"), "said", "n_words")
+    sizes = convs.select("conv_id", (F.col("n_taken") + F.greatest(F.col("n_own") - F.col("h"), F.lit(0))).alias("n_turns"))
+    return taken_turns.union(own), sizes
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import trie
+    from aerolith.llm.common import written
+
+    turns = written(trie.numbered(table(spark, sf_dir, "conversations")), "trie-numbered")
+    return trie.nodes(*_rebuilt(turns))
+
+
+#: Nodes are told apart by digests of all turns up to them; crc32 is worked out bit by bit. Subtrees by pairs of a node and
+#: the nodes of its smallest conversation's members.
+OP12_SQL = r"""
+WITH a AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(concat(length(r), ':', r, t))) AS k, concat(length(r), ':', length(t), ':', r, t) AS said,
+  len(regexp_extract_all(t, '[^ 	-
+]+')) AS words FROM a),
+c AS (SELECT conv_id, count(*) AS n_own, conv_id - conv_id % 20 AS family, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s % 2 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END), 4294967295) % 4 AS h FROM o GROUP BY conv_id),
+f AS (SELECT c.conv_id, c.family, c.h, c.n_own, least(c.h, coalesce(b.n_own, 0)) AS got FROM c LEFT JOIN c b ON b.conv_id = c.family),
+b AS (SELECT f.conv_id, o.k, o.said, o.words FROM f JOIN o ON o.conv_id = f.family AND o.k <= f.h UNION ALL SELECT f.conv_id, o.k - f.h + f.got, o.said, o.words FROM f JOIN o ON o.conv_id = f.conv_id AND o.k > f.h),
+p AS (SELECT conv_id, k AS depth, words, md5(string_agg(md5(said), '') OVER (PARTITION BY conv_id ORDER BY k)) AS node FROM b UNION ALL SELECT conv_id, 0, 0, 'root' FROM f),
+e AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+q AS (SELECT p.*, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = last AS ends FROM p JOIN e USING (conv_id)),
+n AS (SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(words) AS words, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(ends) AS leaf, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM q GROUP BY node),
+s AS (SELECT u.node, sum((w.n_convs - 1) * w.words) AS saved, count(*) FILTER (w.leaf) AS leaves FROM n w JOIN q v ON v.conv_id = w.conv_id AND v.depth <= w.depth JOIN n u ON u.node = v.node GROUP BY u.node),
+k AS (SELECT parent, count(*) AS n FROM n WHERE parent IS NOT NULL GROUP BY parent)
+SELECT n.conv_id, n.depth::BIGINT AS depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0)::BIGINT AS n_children, s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN s ON s.node = n.node LEFT JOIN k ON k.parent = n.node LEFT JOIN n m ON m.node = n.parent
+"""
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aerolith.llm import negatives
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = rows.where(finite).select("vec_id", moved.alias("label"), F.transform("x", lambda c: F.floor(256 * c)).alias("x"))
+    return negatives.mine(whole, F.col("vec_id") % 100 == 0, vector="x")
+
+
+#: The anchors against all rows.
+OP13_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.x, b.x)::BIGINT AS score FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, b) AS k FROM s WHERE same) WHERE k <= 5),
+n AS (SELECT p.a, p.b AS positive_id, p.score AS positive_score, s.b AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT a AS anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_vector_dedup": op2_vector_dedup,
@@ -197,6 +290,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_chat_format": op11_chat_format,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE = {
@@ -206,4 +302,7 @@ ORACLE = {
     "op5_url_filter": OP5_SQL,
     "op9_jaccard_join": OP9_SQL,
     "op10_quality_rules": OP10_SQL,
+    "op11_chat_format": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
