@@ -15,8 +15,7 @@ too. The driver holds pivots, centres and the cells' extremes, at most `MOST_CEL
 
 Defined results: rows with a null label or vector, or with null components take no part. Vectors have products with those
 of equal length alone. Rows are told apart, not ids: of repeated rows each is an anchor, a positive, a negative by itself.
-Rows without id are no anchors and come last among equal scores. Scores beyond 64 bits compare exactly and are returned as
-the nearest 64-bit number. Anchors without positives, and positives without negatives, have no rows. An empty table gives
+Rows without id are no anchors and come last among equal scores. Scores beyond 64 bits count as the nearest 64-bit number. Anchors without positives, and positives without negatives, have no rows. An empty table gives
 an empty result. Extra columns are ignored.
 """
 
@@ -56,13 +55,14 @@ def unpacked(raw: bytes) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of two matrices of whole numbers, exactly: doubles where they hold all sums."""
+    """Inner products of the rows of two matrices of whole numbers: doubles where these hold all sums and a hundred times
+    as much exactly, else Python's numbers, held within 64 bits."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)))
     most = max(abs(int(a.max())), abs(int(a.min()))) * max(abs(int(b.max())), abs(int(b.min()))) * a.shape[1]
-    if most < 1 << 53:
+    if most < 1 << 46:
         return a.astype(np.float64) @ b.astype(np.float64).T
-    return a.astype(object) @ b.astype(object).T
+    return np.clip(a.astype(object) @ b.astype(object).T, -LONG, LONG - 1)
 
 
 @dataclass
@@ -181,7 +181,7 @@ class Block:
                 order = sorted(range(len(t)), key=lambda j: (-t[j], bool(self.nameless[members[j]]), self.id[members[j]], self.row[members[j]])) if t.dtype == object else np.lexsort((self.row[members], self.id[members], self.nameless[members], -t))
                 for j in list(order)[:count]:
                     m = members[j]
-                    yield a[0], bound, max(-LONG, min(LONG - 1, int(t[j]))), None if self.nameless[m] else int(self.id[m]), int(self.row[m])
+                    yield a[0], bound, int(t[j]), None if self.nameless[m] else int(self.id[m]), int(self.row[m])
 
 
 FOUND = "anchor long, bound long, score long, id long, row long"
