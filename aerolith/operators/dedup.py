@@ -6,20 +6,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.classify import source_priority
+from aerolith.operators.scratch import written
+from aerolith.operators.validate import is_claimed
 
 
 def priority_winners(df: DataFrame, key: str, source: str, arrival: str, outcome: str = "outcome") -> DataFrame:
     """df with an outcome: of the sources that share a key, the one of highest priority, earliest arrival and first name
     wins, with all its rows (`kept`); rows of others are `lower_priority_duplicate`. Rows without a key are kept.
 
-    A set-based form of one-by-one comparison: the winner of each key is an aggregate, combined before the shuffle, and
-    joined back; a key that a third of the rows share is a skewed join that adaptive execution splits."""
+    A set-based form of one-by-one comparison: the winner of each key is an aggregate, combined before the shuffle. It is
+    written before it is joined back: adaptive execution can split a key that a third of the rows share only where both
+    sides of the join are dealt for it alone."""
     best = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.max(F.struct(source_priority(F.col(source)).alias("p"), (-F.col(arrival).cast("double")).alias("a"), F.col(source).alias("s"))).alias("__best"))
+    best = written(best, "winners")
     joined = df.join(best, F.col(key) == F.col("__k"), "left")
     lost = F.col("__k").isNotNull() & (F.col(source) != F.col("__best.s"))
     return joined.withColumn(outcome, F.when(lost, "lower_priority_duplicate").otherwise("kept")).drop("__k", "__best")
 
 
+def against_stored(df: DataFrame, stored: DataFrame, key: str, source: str, decision: str = "decision") -> tuple[DataFrame, DataFrame]:
+    """(df with a decision, the stored rows that go), for rows of which each key has one source, as after
+    priority_winners, and stored rows with key, source, is_external and claimed_at.
+
+    A row whose key no other source has stored is `kept`. Where another source has, a row of higher priority is
+    `superseding` and the stored rows of the others go; a row of lower or equal priority is a
+    `lower_priority_duplicate`, as is one that meets a claimed row: such rows are never removed. Null keys meet nothing.
+
+    What a batch knows of a key is one row before it meets the stored ones, and both sides of each join are dealt for it
+    alone, so that a key of very many rows can be split."""
+    k, s = F.col("__k"), F.col("__s")
+    asking = written(df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.min(source).alias("__s")), "asking-keys")
+    others = stored.join(asking, F.col(key) == k).where(~F.col(source).eqNullSafe(s))
+    held = F.max(source_priority(F.col(source))).alias("__p"), F.bool_or(is_claimed("is_external", "claimed_at")).alias("__c")
+    met = others.groupBy("__k", "__s").agg(*held).withColumn("__wins", (source_priority(s) > F.col("__p")) & ~F.coalesce("__c", F.lit(False)))
+    met = written(met.select("__k", "__wins"), "met-keys")
+    decided = df.join(met, F.col(key) == k, "left")
+    verdict = F.when(F.col("__wins"), "superseding").when(~F.col("__wins"), "lower_priority_duplicate").otherwise("kept")
+    going = stored.join(asking.join(met.where("__wins"), "__k"), F.col(key) == k).where(~F.col(source).eqNullSafe(s))
+    return decided.withColumn(decision, verdict).drop("__k", "__wins"), going.select(*stored.columns)
+
+
 def unchanged(df: DataFrame, known: DataFrame, key: str, digest: str, column: str = "unchanged") -> DataFrame:
     """df with a flag: the known row of the same key has the same digest."""
     side = known.select(F.col(key).alias("__k"), F.col(digest).alias("__d"))

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from aerolith.functions import dates as D
 from aerolith.functions import keys as K
-from aerolith.functions.classify import calendar_category, category_of_number, compare_priority, source_priority
+from aerolith.functions.classify import calendar_category, category_of_number
 from aerolith.functions.core import once
 from aerolith.operators import dedup, metrics, recurrence
 from aerolith.operators.filldown import fill_down
+from aerolith.operators.scratch import written
 from aerolith.operators.upsert import outcomes
 from aerolith.operators.validate import event_reason
 from aerolith.plans.catalog import query
@@ -104,16 +105,54 @@ def cross_source_winner(spark, folder):
 
 
 @query(CANDIDATES + """, o AS (SELECT canonical_key AS ok, arg_max(source, (priority, -epoch_us(ts), source)) AS stored FROM y WHERE reason IS NULL AND event_id % 2 = 0 AND canonical_key IS NOT NULL GROUP BY 1)
-SELECT event_id, CASE WHEN ok IS NULL OR stored = source THEN 'inserted' WHEN priority > CASE stored WHEN 'dulv.de' THEN 100 WHEN 'ics-feed' THEN 90 WHEN 'ulforum.de' THEN 60 WHEN 'iata.org' THEN 40 ELSE 20 END THEN 'superseded'
-  ELSE 'lower_priority_duplicate' END AS outcome FROM y LEFT JOIN o ON canonical_key = ok WHERE reason IS NULL AND event_id % 2 = 1""")
+SELECT event_id, CASE WHEN ok IS NULL OR stored = source THEN 'kept' WHEN priority > CASE stored WHEN 'dulv.de' THEN 100 WHEN 'ics-feed' THEN 90 WHEN 'ulforum.de' THEN 60 WHEN 'iata.org' THEN 40 ELSE 20 END THEN 'superseding'
+  ELSE 'lower_priority_duplicate' END AS outcome FROM y LEFT JOIN o ON canonical_key = ok LEFT JOIN (SELECT canonical_key AS nk, arg_max(source, (priority, -epoch_us(ts), source)) AS new FROM y WHERE reason IS NULL AND event_id % 2 = 1 AND canonical_key IS NOT NULL GROUP BY 1) ON canonical_key = nk
+  WHERE reason IS NULL AND event_id % 2 = 1 AND (nk IS NULL OR new = source)""")
 def supersede_outcomes(spark, folder):
-    """Odd events arrive after even ones: against the stored winner of their key they are inserted, supersede it or lose."""
-    e = keyed(candidates(spark, folder).where("reason IS NULL")).withColumn("arrival", F.unix_micros(F.col("ts").cast("timestamp")))
-    stored = e.where("event_id % 2 = 0 AND canonical_key IS NOT NULL").groupBy(F.col("canonical_key").alias("k")).agg(
-        F.max(F.struct(source_priority(F.col("source")), -F.col("arrival"), F.col("source").alias("s"))).getField("s").alias("stored"))
-    met = e.where("event_id % 2 = 1").join(stored, F.col("canonical_key") == F.col("k"), "left")
-    against = compare_priority(F.col("source"), F.col("stored"))
-    return met.select("event_id", F.when(F.col("k").isNull() | (F.col("stored") == F.col("source")), "inserted").when(against == "higher", "superseded").otherwise("lower_priority_duplicate").alias("outcome"))
+    """Odd events arrive after even ones: the best source of each key against the stored winner of that key."""
+    e = written(keyed(candidates(spark, folder).where("reason IS NULL")).withColumn("arrival", F.unix_micros(F.col("ts").cast("timestamp"))), "arrivals")
+    best = lambda rows: dedup.priority_winners(rows, "canonical_key", "source", "arrival").where("outcome = 'kept'").drop("outcome")
+    stored = best(e.where("event_id % 2 = 0")).select("canonical_key", "source", F.lit(True).alias("is_external"), F.lit(None).cast("timestamp_ntz").alias("claimed_at"))
+    met, _ = dedup.against_stored(best(e.where("event_id % 2 = 1")), stored, "canonical_key", "source", "outcome")
+    return met.select("event_id", "outcome")
+
+
+#: What becomes of events in runs, one for each remainder of their number: a row is let in if its source is the best that
+#: its key has had so far, and goes when a better one comes.
+RUNS = CANDIDATES + """, g AS (SELECT event_id, source, source_url, canonical_key, priority, event_id % {0} AS run FROM y WHERE reason IS NULL),
+h AS (SELECT *, max(priority) OVER (PARTITION BY canonical_key ORDER BY run RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS so_far, max(priority) OVER (PARTITION BY canonical_key) AS at_last FROM g),
+f AS (SELECT *, CASE WHEN canonical_key IS NULL OR priority = at_last THEN 'stored' WHEN priority = so_far THEN 'deleted' ELSE 'refused' END AS fate FROM h)
+"""
+
+
+def arriving(spark, folder) -> DataFrame:
+    """Valid events as rows of a store of events."""
+    e = keyed(candidates(spark, folder).where("reason IS NULL"))
+    return e.select("event_id", F.col("source").alias("external_source"), "source_url", "canonical_key", K.content_hash(F.col("title"), F.col("country")).alias("digest"), F.unix_micros(F.col("ts").cast("timestamp")).alias("arrival"))
+
+
+@query(RUNS.replace("{0}", "2") + "SELECT event_id, fate, fate <> 'deleted' AND run = 1 AND event_id % 3 = 0 AND fate = 'stored' AS again FROM f")
+def superseding_runs(spark, folder):
+    """Two runs over a store, the second one twice and with rows of the first one again: the stored rows in the end, those
+    that a better source has removed, and those that were refused. `again` marks rows of the second run that a third one
+    brings again, unchanged."""
+    from aerolith.operators.scratch import scratch_path
+    from aerolith.streaming.incremental import event_batch, event_store
+
+    rows = written(arriving(spark, folder), "arrivals")
+    store = event_store(spark, scratch_path(spark, "store"), "event_id long", parts=8)
+    run = lambda condition, number: event_batch(rows.where(condition), store, number, [F.col("event_id")])
+    first = run("event_id % 2 = 0", 0)
+    second = [run("event_id % 2 = 1", 1) for _ in range(2)][1]
+    third = run("event_id % 6 = 3", 2)
+    ids = rows.select("external_source", "source_url", "event_id")
+    stored = store.current("events").select("event_id", F.lit("stored").alias("fate"))
+    named = lambda told, fate, reason: told.where(F.col("reason") == reason).join(ids, ["external_source", "source_url"]).select("event_id", F.lit(fate).alias("fate"))
+    every = stored.union(named(second, "deleted", "superseded"))
+    for told in (first, second):
+        every = every.union(named(told, "refused", "lower_priority_duplicate"))
+    unchanged = named(third, "stored", "unchanged").select(F.col("event_id").alias("e"))
+    return every.join(unchanged, F.col("event_id") == F.col("e"), "left").select("event_id", "fate", F.col("e").isNotNull().alias("again"))
 
 
 STAGED = CANDIDATES + """, t AS (SELECT event_id, event_id % 7 <> 0 AS is_external, CASE WHEN event_id % 11 = 0 THEN ts END AS claimed_at, sha1(title || ' ' || CASE WHEN event_id % 3 = 0 THEN 'old' ELSE country END) AS digest FROM v WHERE reason IS NULL AND event_id % 2 = 0),

@@ -21,19 +21,36 @@ from aerolith.sources.landing import enabled
 def event_run(landed: DataFrame, target: DataFrame, now: Column, sources: Iterable[str] = tuple(event_pages.PARSERS), calendars: DataFrame | None = None,
               pages: DataFrame | None = None, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Outcomes of all events of landed payloads: external_source, source_url, title, start, outcome, reason. target has
-    source_url, is_external, claimed_at and digest; calendars the settings of feeds, pages which pages are enabled.
-    enrich may change parsed events before they are validated (titles from pages of their own, say). Pages are parsed
-    once; what they yield is written."""
+    source_url, is_external, claimed_at and digest; with external_source and canonical_key, rows are known by source and
+    URL, and events that another source has stored are met by their key: those of lower or equal priority are refused,
+    and stored rows that a higher one replaces are listed with outcome deleted. calendars has the settings of feeds,
+    pages which pages are enabled. enrich may change parsed events before they are validated (titles from pages of their
+    own, say). Pages are parsed once; what they yield is written."""
     landed = landed if pages is None else enabled(landed, pages)
     found = event_pages.events(landed, now, sources, calendars)
     parsed = written((enrich(found) if enrich else found).withColumn("invalid", validate.event_reason(now)), "parsed-events")
     made = rows.event_rows(parsed.where("invalid IS NULL")).withColumn("arrival", F.unix_micros(F.col("start").cast("timestamp")))
     decided = dedup.priority_winners(made, "canonical_key", "external_source", "arrival", "decision")
-    kept = upsert.outcomes(decided.where("decision = 'kept'").drop("decision"), target, "source_url", "digest", [F.col("start"), F.col("title")])
-    out = kept.select("external_source", "source_url", "title", "start", "outcome", "reason")
-    lost = decided.where("decision <> 'kept'").select("external_source", "source_url", "title", "start", F.lit("skipped").alias("outcome"), F.col("decision").alias("reason"))
+    columns = ["external_source", "source_url", "title", "start"]
+    lost = decided.where("decision <> 'kept'")
+    kept = decided.where("decision = 'kept'")
+    url, more = "source_url", []
+    if {"external_source", "canonical_key"} <= set(target.columns):
+        kept, going = dedup.against_stored(written(kept.drop("decision"), "kept-events"), target, "canonical_key", "external_source")
+        kept, going = written(kept, "met-events"), written(going, "going-events")
+        lost = lost.unionByName(kept.where("decision = 'lower_priority_duplicate'"))
+        kept = kept.where("decision <> 'lower_priority_duplicate'")
+        none = {"title": "string", "start": "timestamp_ntz"}
+        told = [F.col(c) if c in target.columns else F.lit(None).cast(none[c]).alias(c) for c in columns]
+        more = [going.select(*told, F.lit("deleted").alias("outcome"), F.lit("superseded").alias("reason"))]
+        uid = F.struct("external_source", "source_url")
+        target = target.withColumn("__uid", uid).join(going.select(uid.alias("__uid")), "__uid", "left_anti")
+        url, kept = "__uid", kept.withColumn("__uid", uid)
+    out = upsert.outcomes(kept.drop("decision"), target, url, "digest", [F.col("start"), F.col("title")]).select(*columns, "outcome", "reason")
     bad = parsed.where("invalid IS NOT NULL").select(F.col("source_name").alias("external_source"), "source_url", "title", "start", F.lit("skipped").alias("outcome"), F.col("invalid").alias("reason"))
-    return out.unionByName(lost).unionByName(bad)
+    for also in (lost.select(*columns, F.lit("skipped").alias("outcome"), F.col("decision").alias("reason")), bad, *more):
+        out = out.unionByName(also)
+    return out
 
 
 def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, categories: DataFrame, target: DataFrame, contact_email: str, specs_first: bool = False) -> DataFrame:

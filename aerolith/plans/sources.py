@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.operators.scratch import scratch_path, written
 from aerolith.plans.catalog import query
+from aerolith.plans.events import RUNS, arriving
 from aerolith.session import table
 from aerolith.sources import ics
 from aerolith.sources.cards import Cards, cards
@@ -57,42 +58,48 @@ def frontier(spark, folder):
     return reachable(starts, links, 5).select(F.col("page_url").cast("long").alias("page"), "step")
 
 
-def _events_stream(spark, folder, by: str | None = None) -> DataFrame:
-    """The events table as a stream of a few files, one in each batch; with a running count by a column, if named: how
-    many rows its key has had up to the end of the file (files come in the order of their names)."""
-    e = table(spark, folder, "events")
-    where = scratch_path(spark, "stream")
-    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
-    if by:
-        counts = written(e.groupBy(by, part.alias("file")).agg(F.count("*").alias("n")), "counts")
-        kept = counts.select("*", F.explode(F.sequence(F.col("file").cast("int"), F.lit(3))).alias("upto"))
-        e = kept.groupBy(by, "upto").agg(F.sum("n").alias("n")).withColumn("file", F.col("upto").cast("long")).drop("upto")
-    else:
-        e = e.withColumn("file", part)
-    for k in range(4):  # the order of arrival is that of the files' times
-        e.where(F.col("file") == k).drop("file").coalesce(1).write.mode("append").parquet(where)
-    return spark.readStream.schema(e.drop("file").schema).option("maxFilesPerTrigger", 1).parquet(where)
+#: Waves in which a table arrives as a stream, and files of each.
+WAVES, FILES = 3, 4
+
+
+def _stream(df: DataFrame, key: str) -> DataFrame:
+    """A table as a stream: waves of files, one after the other, each written by several tasks; a micro-batch takes as
+    many files as a wave has, whatever wave they are of."""
+    where = scratch_path(df.sparkSession, "stream")
+    rows = written(df.withColumn("wave", F.pmod(F.xxhash64(key), F.lit(WAVES))), "waves")
+    for k in range(WAVES):
+        rows.where(F.col("wave") == k).drop("wave").repartition(FILES).write.mode("append").parquet(where)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(where)
 
 
 @query("""SELECT user_id, arg_max(CASE event_type WHEN 'purchase' THEN 'dulv.de' WHEN 'signup' THEN 'ulforum.de' ELSE 'iata.org' END, (CASE event_type WHEN 'purchase' THEN 100 WHEN 'signup' THEN 60 ELSE 40 END, -epoch_us(ts))) AS winner, count(*) AS n FROM events GROUP BY user_id""")
 def streaming_winners(spark, folder):
     """The best source of each key, kept by a stream."""
     source = F.when(F.col("event_type") == "purchase", "dulv.de").when(F.col("event_type") == "signup", "ulforum.de").otherwise("iata.org")
-    stream = _events_stream(spark, folder).withColumn("source", source)
+    stream = _stream(table(spark, folder, "events"), "event_id").withColumn("source", source)
     below = scratch_path(spark, "winners")
     incremental.to_completion(incremental.winners_writer(stream, below, "user_id", "source", "ts", "user_id long", parts=8))
     return incremental.winners(spark, below, "user_id long").select("user_id", "winner", "n")
 
 
-@query("SELECT user_id, count(*) AS n, NULL::TIMESTAMP AS claimed_at FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
+@query("SELECT user_id, count(*) AS n, round(sum(value), 4) AS total, NULL::TIMESTAMP AS claimed_at FROM events WHERE user_id IS NOT NULL GROUP BY user_id")
 def streaming_upsert(spark, folder):
-    """Micro-batches upserted by upsert_writer: every user has one row in the end, whose count the last batch has set.
-    Batches carry the running count, so that the state depends on all of them."""
-    stream = _events_stream(spark, folder, by="user_id").where("user_id IS NOT NULL").select("user_id", "n", F.sha1(F.col("n").cast("string")).alias("digest"))
+    """Raw rows in micro-batches: each adds what it has of a user to the user's stored row, so that a batch that is lost
+    or counted twice shows."""
+    e = table(spark, folder, "events").where("user_id IS NOT NULL").select("event_id", "user_id", F.lit(1).cast("long").alias("n"), F.coalesce("value", F.lit(0.0)).alias("total"))
     below = scratch_path(spark, "upserts")
-    schema = "user_id long, n long, digest string, is_external boolean, claimed_at timestamp_ntz"
-    incremental.to_completion(incremental.upsert_writer(stream, below, "user_id", "digest", ["n", "digest"], [-F.col("n")], schema, parts=8))
-    return incremental.current(spark, below, schema).select("user_id", "n", "claimed_at")
+    schema = "user_id long, n long, total double, is_external boolean, claimed_at timestamp_ntz"
+    incremental.to_completion(incremental.upsert_writer(_stream(e, "event_id").drop("event_id"), below, "user_id", None, ["n", "total"], [F.col("n")], schema, parts=8, adding=["n", "total"]))
+    return incremental.current(spark, below, schema).select("user_id", "n", F.round("total", 4).alias("total"), "claimed_at")
+
+
+@query(RUNS.replace("{0}", "1") + "SELECT event_id, source, canonical_key FROM f WHERE fate = 'stored'")
+def streaming_supersede(spark, folder):
+    """Events of all sources as a stream: what is stored in the end is, for each key, the rows of its best source,
+    whichever batch they came with."""
+    store = incremental.event_store(spark, scratch_path(spark, "store"), "event_id long", parts=8)
+    incremental.to_completion(incremental.event_writer(_stream(arriving(spark, folder), "event_id"), store, [F.col("event_id")]))
+    return store.current("events").select("event_id", F.col("external_source").alias("source"), "canonical_key")
 
 
 @query("""SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")

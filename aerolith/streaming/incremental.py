@@ -2,85 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from aerolith.functions.classify import source_priority
-from aerolith.operators.scratch import delete_path, written
+from aerolith.operators import dedup
+from aerolith.operators.match import first_row
+from aerolith.operators.scratch import written
 from aerolith.operators.upsert import outcomes, snapshot
+from aerolith.streaming.store import PARTS, Kept, Store
 
 
-PARTS = 64
-
-
-def _part(key: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(parts)).cast("int")
-
-
-def _exists(spark, path: str) -> bool:
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(there)
-
-
-def _manifests(spark, folder: str, before: int | None = None) -> list[int]:
-    """The batches (before one) whose manifest is there, in order: a few, as older ones are deleted."""
-    if not _exists(spark, f"{folder}/manifest"):
-        return []
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")
-    names = [x.getPath().getName() for x in path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)]
-    found = [int(x.removeprefix("batch=")) for x in names if _exists(spark, f"{folder}/manifest/{x}/_SUCCESS")]
-    return sorted(n for n in found if before is None or n < before)
-
-
-def _state(spark, folder: str, batch: int | None) -> dict[int, int]:
-    """The version of each part after a batch, from its manifest: as many rows as there are parts."""
-    if batch is None:
-        return {}
-    return {r.part: r.version for r in spark.read.schema("part int, version long").parquet(f"{folder}/manifest/batch={batch}").collect()}
-
-
-def _read(spark, folder: str, schema: str, state: dict[int, int]) -> DataFrame:
-    paths = [x for p, n in sorted(state.items()) if _exists(spark, x := f"{folder}/target/part={p}/version={n}")]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+def table_store(spark, folder: str, schema: str, key: str = "", parts: int = PARTS) -> Store:
+    return Store(spark, folder, {"target": Kept(schema, (key,))}, parts)
 
 
 def current(spark, folder: str, schema: str) -> DataFrame:
     """The newest state of a table that upsert() keeps below folder, or an empty one."""
-    return _read(spark, folder, schema, _state(spark, folder, max(_manifests(spark, folder), default=None)))
+    return table_store(spark, folder, schema).current("target")
 
 
 def upsert(rows: DataFrame, folder: str, schema: str, key: str, number: int, merge: Callable[[DataFrame, DataFrame], DataFrame], parts: int = PARTS) -> None:
     """Merge batch `number` into a table that is kept in parts by a hash of the key: merge(rows, target) gives the new
-    rows of the parts that the batch has keys of; the other parts are neither read nor written. Each part's version is a
-    folder, and a manifest, written last, says which version of each part counts. So a batch that is run again after a
-    failure starts from the manifest before it and gives the same state. What no manifest but the last two names is
-    deleted."""
-    spark = rows.sparkSession
-    older = _manifests(spark, folder, before=number)
-    state = _state(spark, folder, older[-1] if older else None)
-    touched = sorted(r[0] for r in rows.select(_part(key, parts)).distinct().collect())  # `parts` numbers at most
-    target = _read(spark, folder, schema, {p: state[p] for p in touched if p in state})
-    made = merge(rows, target).withColumns({"part": _part(key, parts), "version": F.lit(number)})
-    if touched:
-        made.repartition("part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "version").parquet(f"{folder}/target")
-    now = state | {p: number for p in touched}
-    spark.createDataFrame(list(now.items()), "part int, version long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/manifest/batch={number}")
-    for batch in older[:-1]:
-        for part, version in _state(spark, folder, batch).items():
-            if state.get(part) != version:
-                delete_path(spark, f"{folder}/target/part={part}/version={version}")
-        delete_path(spark, f"{folder}/manifest/batch={batch}")
-
-
-def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str, changing: list[str], order: list[Column], schema: str, parts: int = PARTS) -> DataStreamWriter:
+    rows of the parts that the batch has keys of; the other parts are neither read nor written."""
+    batch = table_store(rows.sparkSession, folder, schema, key, parts).begin(number)
+    batch.put("target", merge(rows, batch.meet("target", rows)))
+    batch.commit()
+
+
+def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str | None, changing: list[str], order: list[Column], schema: str, parts: int = PARTS, adding: Iterable[str] = ()) -> DataStreamWriter:
     """A writer that upserts each micro-batch into a table in parts below folder. Outcomes are appended to
-    folder/outcomes, a folder for each batch."""
+    folder/outcomes, a folder for each batch. Of columns in `adding`, what a key's rows bring is summed up and added to
+    what is stored; of all others the first row of a key counts."""
+    adding = list(adding)
 
     def each(batch: DataFrame, number: int) -> None:
         def merge(rows: DataFrame, target: DataFrame) -> DataFrame:
+            if adding:
+                sums = rows.groupBy(F.col(key).alias("__of")).agg(*[F.sum(c).alias(f"__{c}") for c in adding])
+                sums = sums.join(target.select(F.col(key).alias("__at"), *[F.col(c).alias(f"__old_{c}") for c in adding]), F.col("__of") == F.col("__at"), "left")
+                one = first_row(rows, [key], order).drop(*adding)
+                rows = one.join(sums, F.col(key) == F.col("__of")).select(*one.columns, *[(F.col(f"__{c}") + F.coalesce(f"__old_{c}", F.lit(0))).alias(c) for c in adding])
             found = written(outcomes(rows, target, key, digest, order), "outcomes")
             found.select(key, "outcome", "reason").write.mode("overwrite").parquet(f"{folder}/outcomes/batch={number}")
             fresh = found.where("outcome <> 'skipped'").drop("outcome", "reason").withColumns({"is_external": F.lit(True), "claimed_at": F.lit(None).cast("timestamp_ntz")})
@@ -91,6 +56,59 @@ def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str, changin
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
 
 
+#: What a store of events keeps of each besides its own columns, and the index by the key that sources share.
+EVENT = "uid string, external_source string, source_url string, canonical_key string, digest string, is_external boolean, claimed_at timestamp_ntz"
+BY_KEY = "canonical_key string, uid string, external_source string, is_external boolean, claimed_at timestamp_ntz"
+
+
+def event_store(spark, folder: str, columns: str = "", parts: int = PARTS) -> Store:
+    """Stored events (EVENT and columns of their own) by source and URL, and an index of them by canonical key."""
+    return Store(spark, folder, {"events": Kept(f"{EVENT}{columns and ', '}{columns}", ("uid",)), "by_key": Kept(BY_KEY, ("canonical_key",))}, parts)
+
+
+def event_batch(rows: DataFrame, store: Store, number: int, order: list[Column], arrival: str = "arrival") -> DataFrame:
+    """Apply a batch of valid events (external_source, source_url, canonical_key, digest, arrival and the store's own
+    columns) and return what became of each: uid, external_source, source_url, canonical_key, outcome, reason.
+
+    Of the sources in the batch that share a key one goes on; the stored rows of its key, found by the index, let it in,
+    go for it (a row with outcome deleted) or refuse it. What goes on is upserted by source and URL. Events, index and
+    the list of outcomes change with the batch's manifest, so a batch that is run again gives the same."""
+    uid = F.sha1(F.concat_ws("\x1f", F.col("external_source"), F.col("source_url")))
+    decided = written(dedup.priority_winners(rows.withColumn("uid", uid), "canonical_key", "external_source", arrival, "decision"), "decided-events")
+    batch = store.begin(number)
+    kept = decided.where("decision = 'kept'").drop("decision")
+    refs = batch.meet("by_key", kept.where("canonical_key IS NOT NULL").select("canonical_key"))
+    met, doomed = dedup.against_stored(kept, refs, "canonical_key", "external_source")
+    met, doomed = written(met, "met-events"), written(doomed, "doomed-events")
+    goes_on = met.where("decision <> 'lower_priority_duplicate'").drop("decision")
+    there = batch.meet("events", goes_on.select("uid").union(doomed.select("uid")))
+    target = there.join(doomed.select("uid"), "uid", "left_anti")
+    found = written(outcomes(goes_on, target, "uid", "digest", order), "event-outcomes")
+    fresh = found.where("outcome <> 'skipped'").drop("outcome", "reason").withColumns({"is_external": F.lit(True), "claimed_at": F.lit(None).cast("timestamp_ntz")})
+    own = [c for c in target.columns if c not in ("uid", "is_external", "claimed_at")]
+    after = written(snapshot(fresh.select(*target.columns), target, "uid", own), "events-after")
+    # the index: entries of rows that went or changed go, whatever key they had; those of changed and new rows come
+    changed = written(fresh.select("uid").union(doomed.select("uid")), "changed-events")
+    old = there.join(changed, "uid", "left_semi").where("canonical_key IS NOT NULL").select("canonical_key")
+    refs = batch.meet("by_key", fresh.where("canonical_key IS NOT NULL").select("canonical_key").union(old))
+    entries = after.join(fresh.select("uid"), "uid", "left_semi").where("canonical_key IS NOT NULL").select(*refs.columns)
+    columns = ["uid", "external_source", "source_url", "canonical_key"]
+    gone = there.join(doomed.select("uid"), "uid", "left_semi").select(*columns, F.lit("deleted").alias("outcome"), F.lit("superseded").alias("reason"))
+    lost = decided.where("decision <> 'kept'").drop("arrival").unionByName(met.where("decision = 'lower_priority_duplicate'").drop("arrival"), allowMissingColumns=True)
+    lost = lost.select(*columns, F.lit("skipped").alias("outcome"), F.col("decision").alias("reason"))
+    told = found.select(*columns, "outcome", "reason").unionByName(lost).unionByName(gone)
+    told.write.mode("overwrite").parquet(f"{store.folder}/outcomes/batch={number}")
+    batch.put("by_key", refs.join(changed, "uid", "left_anti").unionByName(entries))
+    batch.put("events", after)
+    batch.commit()
+    return rows.sparkSession.read.parquet(f"{store.folder}/outcomes/batch={number}")
+
+
+def event_writer(stream: DataFrame, store: Store, order: list[Column], arrival: str = "arrival") -> DataStreamWriter:
+    """A writer that applies each micro-batch of events to a store of events."""
+    return stream.writeStream.foreachBatch(lambda batch, number: event_batch(written(batch, "batch"), store, number, order, arrival)).option("checkpointLocation", f"{store.folder}/checkpoint")
+
+
 def winners_writer(stream: DataFrame, folder: str, key: str, source: str, ts: str, schema: str, parts: int = PARTS) -> DataStreamWriter:
     """A writer that keeps, for each key, the best source so far (highest priority, then earliest time) and how many
     rows it has had, in a table in parts below folder: key, priority, earliness, winner and n. What a batch has of a key

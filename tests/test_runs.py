@@ -4,14 +4,7 @@ from aerolith import schemas
 from aerolith.operators import rows
 from aerolith.plans import runs
 from aerolith.sources.listing_pages import _typed
-
-
-def now():
-    return F.lit("2026-04-25 00:00:00").cast("timestamp_ntz")
-
-
-def menu(title, date, place="Denver, CO"):
-    return f'<div class="menu-event-single"><div class="menu-event-title"><a href="/{title}">{title}</a></div><div class="event-date">{date}</div><div class="location">{place}</div></div>'
+from tests_helpers import menu, now
 
 
 def test_an_event_run_and_its_log(spark):
