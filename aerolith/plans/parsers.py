@@ -319,9 +319,9 @@ def parse_prose_parts(spark, folder):
 @query(f"""WITH {LISTED} SELECT 'a.example:/singleprop/x/y--xi' || k || '.htm' AS source_id, brand || ' ' || name AS title, (1950 + size)::INT AS year, (2000 + size)::DOUBLE AS total_time, price::DOUBLE AS price, FALSE AS price_negotiable,
 CASE WHEN k % 2 = 0 THEN 'Strausberg' ELSE 'Wels' END AS city, CASE WHEN k % 2 = 0 THEN 'EDAY' END AS icao, CASE WHEN k % 2 = 0 THEN 'Germany' ELSE 'Austria' END AS country, 'D-EABC' AS registration, 'https://www.a.example/a' || k || '.jpg' AS images FROM l""")
 def parse_index_cards(spark, folder):
-    """Semi-structured cards of an index."""
+    """Semi-structured cards of an index: by their classes on some pages, by the parents of links on others."""
     K, P, NAME, BRAND, SIZE, PRICE = _listed()
-    row = _text('<div class="listing"><a href="/singleprop/x/y--xi', K, '.htm">', BRAND, " ", NAME, " Bj.: ", 1950 + SIZE, "</a> Bj.: ", 1950 + SIZE, "; TTAF: 2.", F.lpad(SIZE.cast("string"), 3, "0"), "; Standort: ", _case(K, "Strausberg/EDAY, Deutschland", "Wels, Österreich"), "; € ", PRICE,
+    row = _text(F.when(P % 2 == 0, '<div class="listing">').otherwise("<div>"), '<a href="/singleprop/x/y--xi', K, '.htm">', BRAND, " ", NAME, " Bj.: ", 1950 + SIZE, "</a> Bj.: ", 1950 + SIZE, "; TTAF: 2.", F.lpad(SIZE.cast("string"), 3, "0"), "; Standort: ", _case(K, "Strausberg/EDAY, Deutschland", "Wels, Österreich"), "; € ", PRICE,
                 ' D-EABC <img src="/logo.png"><img src="/a', K, '.jpg"></div>')
     out = listing_pages.index_cards(_pages(_parts(spark, folder), _text("https://www.a.example/singleprop/", P, ".htm"), row), "a.example")
     return out.select("source_id", "title", "year", "total_time", "price", "price_negotiable", "city", "icao", "country", "registration", _joined("image_urls").alias("images"))
@@ -348,13 +348,22 @@ def parse_grid_parts(spark, folder):
 
 
 @query(f"""WITH {LISTED} SELECT 'https://www.aeromarkt.net/d/' || k AS source_id, CASE WHEN k % 2 = 0 THEN (1000 + size)::DOUBLE END AS total_time, CASE WHEN k % 2 = 0 THEN (600 + size)::DOUBLE END AS empty_weight, CASE WHEN k % 2 = 0 THEN 'D-EFGH' END AS registration,
-CASE WHEN k % 2 = 0 THEN 'EDUM' END AS icao, CASE WHEN k % 2 = 0 THEN 'Germany' END AS country, 'Ulm' AS city, CASE WHEN k % 2 = 0 THEN 'Garmin 430; Becker Funk' END AS avionics, (1950 + size)::INT AS year FROM l WHERE k % 7 <> 0""")
+CASE WHEN k % 2 = 0 THEN 'EDUM' END AS icao, CASE WHEN k % 2 = 0 THEN 'Germany' END AS country, 'Ulm' AS city, CASE WHEN k % 2 = 0 THEN 'Garmin 430; Becker Funk' END AS avionics, (1950 + size)::INT AS year, CASE WHEN k % 2 = 0 THEN 'Gepflegtes Flugzeug Nummer ' || k || ' aus erster Hand, stets in der Halle, viel Zubehör, mit einem langen Bericht über Wartung, Motor, Zelle, Lack und alle Reparaturen der letzten Jahre' END AS told FROM l WHERE k % 7 <> 0""")
 def parse_grid_details(spark, folder):
-    """Every second listing has a detail page, which wins over the card."""
+    """Every second listing has a detail page, which wins over the card; its sections fold in one of four ways."""
     K, _, _, _, SIZE, _ = _listed()
     cards = listing_pages.LISTING_PARSERS["aeromarkt.net"](_grid_pages(spark, folder))
-    page = _text("<html><body><main>Betriebsstunden: 1.", F.lpad(SIZE.cast("string"), 3, "0"), " Leergewicht: ", 600 + SIZE, " kg Kennzeichen: D-EFGH AVGAS Standort: Ulm (EDUM)</main>",
-                 '<div class="accordion-item"><button class="accordion-button">Avionik &amp; Instrumente</button><div class="accordion-body">Garmin 430 • Becker Funk</div></div></body></html>')
+    gear, more = "Garmin 430 • Becker Funk", _text("Gepflegtes Flugzeug Nummer ", K, " aus erster Hand, stets in der Halle, viel Zubehör, mit einem langen Bericht über Wartung, Motor, Zelle, Lack und alle Reparaturen der letzten Jahre")
+    folded = lambda how: _text(*[how(head, body, name) for head, body, name in (("Avionik &amp; Instrumente", gear, "a"), ("Sonstige Informationen", more, "b"))])
+    ways = (
+        lambda head, body, name: _text('<div class="accordion-item"><h2 class="accordion-header"><button class="accordion-button">', head, '</button></h2><div class="accordion-collapse"><div class="accordion-body">', body, "</div></div></div>"),
+        lambda head, body, name: _text('<a data-bs-toggle="collapse" href="#', name, '">', head, "</a> und <p>anderes</p><div><div id='", name, "'>", body, "</div></div>"),
+        lambda head, body, name: _text("<details><summary>", head, "</summary>", body, "</details>"),
+        lambda head, body, name: _text('<div><div class="card-header">', head, '</div>\n<div class="card-body">', body, "</div></div>"),
+    )
+    way = F.when(K % 8 == 0, folded(ways[0])).when(K % 8 == 2, folded(ways[1])).when(K % 8 == 4, folded(ways[2])).otherwise(folded(ways[3]))
+    page = _text("<html><body><main>Betriebsstunden: 1.", F.lpad(SIZE.cast("string"), 3, "0"), " Leergewicht: ", 600 + SIZE, " kg Kennzeichen: D-EFGH AVGAS Standort: Ulm (EDUM)", way, "</main></body></html>")
     details = _parts(spark, folder).where(K % 2 == 0).select(_text("https://www.aeromarkt.net/d/", K).alias("page_url"), page.alias("payload"))
     out = listing_pages.with_details(cards, details)
-    return out.select("source_id", "total_time", "empty_weight", "registration", "icao", "country", "city", "avionics", "year")
+    told = F.when(F.col("description").startswith("Gepflegt"), F.col("description")).alias("told")
+    return out.select("source_id", "total_time", "empty_weight", "registration", "icao", "country", "city", "avionics", "year", told)

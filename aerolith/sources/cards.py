@@ -26,6 +26,11 @@ class Cards:
     fields: Mapping[str, Take]
     #: Fields that are tried in order until one is not empty.
     first_of: Mapping[str, tuple[Take, ...]] = field(default_factory=dict)
+    #: Rows of less markup than this don't count; where none counts, the parents of these elements are the rows, one for
+    #: each such element, if they have more markup than the last number.
+    least_html: int = 0
+    parents_of: str = ""
+    least_parent: int = 0
 
 
 def _take(node: dom.Node, selector: str, how: str) -> str | None:
@@ -50,7 +55,13 @@ def _take(node: dom.Node, selector: str, how: str) -> str | None:
 
 def extract(html: str, cards: Cards) -> list[dict[str, str]]:
     out = []
-    for node in dom.parse(html).select(cards.rows):
+    root = dom.parse(html)
+    nodes = root.select(cards.rows)
+    if cards.least_html:
+        nodes = [n for n in nodes if len(n.html(True)) > cards.least_html]
+    if not nodes and cards.parents_of:
+        nodes = [n.parent for n in root.select(cards.parents_of) if len(n.parent.html(True)) > cards.least_parent]
+    for node in nodes:
         row = {name: _take(node, *take) for name, take in cards.fields.items()}
         for name, takes in cards.first_of.items():
             row[name] = next((x for take in takes if (x := _take(node, *take)) and x.strip()), None)
@@ -97,3 +108,51 @@ def sections(payload: Column, spec: Sections) -> Column:
         return pa.array(out, pa.list_(pa.map_(pa.string(), pa.string())))
 
     return section_rows(payload)
+
+
+@dataclass(frozen=True)
+class Folds:
+    """Ways in which a page folds away named sections, tried in order until one finds any. Each is a kind and selectors:
+    `within` (items, their heads, their bodies), `target` (heads that name the id of their body), `rest` (items, the tag
+    of their heads; the body is what else an item holds), `next` (heads, bodies that follow them)."""
+
+    root: str
+    ways: tuple[tuple[str, ...], ...]
+    least: int = 5
+
+
+def _folded(root: dom.Node, way: tuple[str, ...]) -> list[tuple[str, str]]:
+    kind, *how = way
+    text = lambda nodes: " ".join("".join(n.text() for n in nodes).split())
+    if kind == "within":
+        return [((item.select(how[1]) or [dom.Node("", {}, None)])[0].text(), text(item.outermost(how[2]))) for item in root.select(how[0])]
+    if kind == "target":
+        ids = root.ids()
+        named = [(head, head.attrs.get("data-bs-target") or head.attrs.get("href") or "") for head in root.select(how[0])]
+        return [(head.text(), text([ids[name[1:]]])) for head, name in named if name.startswith("#") and name[1:] in ids]
+    if kind == "rest":
+        return [((item.select(how[1]) or [dom.Node("", {}, None)])[0].text(), " ".join(item.text(without=how[1]).split())) for item in root.select(how[0])]
+    if kind == "next":
+        return [(head.text(), text([body])) for head in root.select(how[0]) if (body := head.next()) is not None and body.is_a(how[1])]
+    raise ValueError(kind)
+
+
+def folded_sections(html: str, spec: Folds) -> dict[str, str]:
+    """Lower-case head -> body of a page's folded sections; of equal heads the last one counts."""
+    page = dom.parse(html)
+    root = next(iter(page.select(spec.root)), None) or next(iter(page.select("body")), page)
+    for way in spec.ways:
+        found = {head.strip().lower(): body for head, body in _folded(root, way) if head.strip() and len(body) > spec.least}
+        if found:
+            return found
+    return {}
+
+
+def folds(payload: Column, spec: Folds) -> Column:
+    """map<string, string> of a page's folded sections."""
+
+    @F.arrow_udf("map<string,string>")
+    def fold_map(column: pa.Array) -> pa.Array:
+        return pa.array([list(folded_sections(x or "", spec).items()) for x in column.to_pylist()], pa.map_(pa.string(), pa.string()))
+
+    return fold_map(payload)

@@ -14,26 +14,36 @@ BLOCKS = frozenset("div ul ol table section article header footer h1 h2 h3 h4 h5
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "elements", "order")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        #: Children that are elements, and the place among those of its parent.
+        self.elements: list[Node] = []
+        self.order = 0
+
+    def add(self, node: Node) -> Node:
+        node.order = len(self.elements)
+        self.elements.append(node)
+        self.children.append(node)
+        return node
 
     def walk(self) -> Iterator[Node]:
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
+        stack = self.elements[::-1]
         while stack:
             node = stack.pop()
             yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+            stack.extend(reversed(node.elements))
 
-    def text(self) -> str:
+    def text(self, without: str | None = None) -> str:
+        """All text within, without that of elements of one tag."""
         out, stack = [], list(reversed(self.children))
         while stack:
             x = stack.pop()
             if isinstance(x, str):
                 out.append(x)
-            else:
+            elif x.tag != without:
                 stack.extend(reversed(x.children))
         return "".join(out)
 
@@ -48,10 +58,31 @@ class Node:
         choices = _compiled(selector)
         return [n for n in self.walk() if any(_matches(n, steps) for steps in choices)]
 
+    def outermost(self, selector: str) -> list[Node]:
+        """Selected elements that are not within another one of them."""
+        choices, out, stack = _compiled(selector), [], self.elements[::-1]
+        while stack:
+            node = stack.pop()
+            if any(_matches(node, steps) for steps in choices):
+                out.append(node)
+            else:
+                stack.extend(reversed(node.elements))
+        return out
+
+    def is_a(self, selector: str) -> bool:
+        return any(_matches(self, steps) for steps in _compiled(selector))
+
     def next(self) -> Node | None:
-        own = [c for c in self.parent.children if isinstance(c, Node)] if self.parent else []
-        at = next((k for k, c in enumerate(own) if c is self), len(own))
-        return own[at + 1] if at + 1 < len(own) else None
+        own = self.parent.elements if self.parent else []
+        return own[self.order + 1] if self.order + 1 < len(own) else None
+
+    def ids(self) -> dict[str, Node]:
+        """The first element of each id."""
+        out: dict[str, Node] = {}
+        for node in self.walk():
+            if name := node.attrs.get("id"):
+                out.setdefault(name, node)
+        return out
 
 
 class _Builder(HTMLParser):
@@ -73,13 +104,12 @@ class _Builder(HTMLParser):
             self._end(*CLOSES[tag])
         elif tag in BLOCKS:
             self._end("p")
-        node = Node(tag, {k: v or "" for k, v in attrs}, self.open[-1])
-        self.open[-1].children.append(node)
+        node = self.open[-1].add(Node(tag, {k: v or "" for k, v in attrs}, self.open[-1]))
         if tag not in VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, {k: v or "" for k, v in attrs}, self.open[-1]))
+        self.open[-1].add(Node(tag, {k: v or "" for k, v in attrs}, self.open[-1]))
 
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, 0, -1):

@@ -18,7 +18,7 @@ from aerolith.functions.urls import on_site, origin, segments
 from aerolith.operators.filldown import fill_down
 from aerolith.operators.merge import listing_description, over
 from aerolith.rules import tables as T
-from aerolith.sources.cards import Cards, cards
+from aerolith.sources.cards import Cards, Folds, cards, folds
 
 SERIAL = r"(?iu)(?:Werk[- ]?Nr\.?|S/N|Seriennummer|Serial)[:\s]*([A-Z0-9][\w-]{1,20})"
 MARKED_REGISTRATION = r"(?iu)(?:Kennzeichen|Kennz\.?|Zulassung|Registration)[:\s]*([A-Z]{1,2}-[A-Z0-9]{2,5})"
@@ -138,7 +138,8 @@ def prose_parts(pages: DataFrame, source: str) -> DataFrame:
     return _typed(df, schemas.PART)
 
 
-INDEX_CARDS = Cards(".listing, .result-item, tr.item, .aircraft-item", {"html": ("", "html"), "text": ("", "text"), "link": ("a[href*='--xi']", "last:href"), "images": ("img", "all:src")}, {"title": (("a", "text"), ("b, strong", "text"))})
+INDEX_CARDS = Cards(".listing, .result-item, tr.item, .aircraft-item", {"html": ("", "html"), "text": ("", "text"), "link": ("a[href*='--xi']", "last:href"), "images": ("img", "all:src")}, {"title": (("a", "text"), ("b, strong", "text"))},
+                    least_html=50, parents_of="a[href*='--xi']", least_parent=30)
 TITLE_ENDS = (
     r"(?su)€\s*[\d.,]+.*$", r"(?siu)Preis auf Anfrage.*$", pattern(r"WBj\.?\s*:?\s*\d{4}.*$", "siu"), pattern("WTTAFW.*$", "siu"), pattern("WStandortW.*$", "siu"), pattern("WEU versteuert.*$", "siu"),
     pattern("WNettopreisW.*$", "siu"), pattern(r"WSeriennr\.?W.*$", "siu"), pattern(r"WReg\.?\s*Nr\.?W.*$", "siu"), pattern("WJahresnachpr[üu]fungW.*$", "siu"), pattern(r"WTyp:\s*\w+.*$", "siu"), r"(?siu)CHF\s*[\d.,]+.*$",
@@ -249,8 +250,21 @@ def grid_parts(pages: DataFrame, source: str, site: str) -> DataFrame:
     return _typed(df.withColumns({"category": kind, "price_negotiable": F.col("price").isNull(), "description": F.col("title")}), schemas.PART)
 
 
-DETAIL = Cards("html, body", {"text": ("main, .cms-page, #content, article", "text"), "body": ("body", "text"), "html": ("", "html"), "images": (".product-image-gallery img, .gallery-slider img, .product-images img, .cms-block-gallery img", "all:src")})
-ACCORDION = Cards(".accordion-item, details", {"head": (".accordion-button, .accordion-header, summary", "text"), "body": (".accordion-body, .accordion-collapse, p, div", "text")})
+DETAIL = Cards("html, body", {"text": ("main, .cms-page, .container--main, #content, article", "text"), "body": ("body", "text"), "html": ("", "html"), "images": (".product-image-gallery img, .gallery-slider img, .product-images img, .cms-block-gallery img", "all:src")})
+FOLDS = Folds(
+    "main, .cms-page, .container--main, #content, article",
+    (
+        ("within", ".accordion-item", ".accordion-button, .accordion-header button, .accordion-header h3, .accordion-header h4, .accordion-header .h5", ".accordion-body, .accordion-collapse"),
+        ("target", "[data-bs-toggle='collapse'], [data-toggle='collapse']"),
+        ("rest", "details", "summary"),
+        ("next", ".card-header, .panel-heading, .collapsible-header", ".card-body, .panel-body, .collapsible-body, .collapse"),
+    ),
+)
+#: The names of the sections that a detail page may have, in the order in which they are looked for.
+SECTIONS = {
+    "more": ("sonstige informationen", "sonstige", "additional information"), "inside": ("interior", "innen", "innenausstattung"),
+    "gear": ("avionik & instrumente", "avionik", "instruments"), "outside": ("exterior", "außen", "aussenbereich"),
+}
 
 #: Labels of a detail page, with a unit where one is needed.
 DETAIL_NUMBERS = {
@@ -272,15 +286,17 @@ DETAIL_NUMBERS = {
 def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
     """Listings with what their detail pages (page_url, payload) add; a detail wins over the card, and a listing without
     a page stays as it is."""
-    d = details.select(F.col("page_url").alias("__u"), cards(F.col("payload"), DETAIL)[0].alias("__c"), F.col("payload").alias("__h"), cards(F.col("payload"), ACCORDION).alias("__s"))
+    d = details.select(F.col("page_url").alias("__u"), cards(F.col("payload"), DETAIL)[0].alias("__c"), F.col("payload").alias("__h"), folds(F.col("payload"), FOLDS).alias("__s"))
     d = d.withColumn("__t", F.regexp_replace(F.coalesce(F.col("__c").getItem("text"), F.col("__c").getItem("body"), F.lit("")), r"\s+", " "))
-    section = lambda names: F.try_element_at(F.transform(F.filter("__s", lambda s: F.lower(F.trim(s["head"])).isin(*names)), lambda s: F.trim(F.regexp_replace(s["body"], r"\s+", " "))), F.lit(1))
-    d = d.withColumn("__more", section(("sonstige informationen", "sonstige", "additional information"))).withColumn("__inside", section(("interior", "innen", "innenausstattung"))).withColumn("__gear", section(("avionik & instrumente", "avionik", "instruments"))).withColumn("__outside", section(("exterior", "außen", "aussenbereich")))
+    d = d.withColumns({f"__{name}": F.coalesce(*[F.try_element_at("__s", F.lit(x)) for x in heads]) for name, heads in SECTIONS.items()})
     text = F.when(F.length("__more") > 50, F.concat_ws(" ", "__more", "__t")).otherwise(F.col("__t"))
     d = d.withColumn("__x", text).withColumn("__k", X.contact(F.col("__h"), F.col("__x")))
     joined = listings.join(d, F.col("source_url") == F.col("__u"), "left")
     x = F.col("__x")
-    told = F.when(F.length("__more") > 50, F.concat(F.col("__more"), F.when(F.length("__inside") > 20, F.concat(F.lit(" Interior: "), F.col("__inside"))).otherwise("")))
+    furnished = F.length("__inside") > 20
+    told = F.concat(F.col("__more"), F.when(furnished, F.concat(F.lit(" Interior: "), F.col("__inside"))).otherwise(""))
+    own = F.coalesce("description", F.lit(""))
+    told = F.when(F.length("__more") > 50, F.when(F.length(told) > F.length(own), told)).when(furnished & ~own.contains(F.substring("__inside", 1, 30)), F.concat_ws(" ", given(own), F.col("__inside")))
     place = F.trim(found(x, r"(?iu)(?:Standort|Heimatflugplatz)[:\s]*([^\n;,]{3,60})"))
     code = F.coalesce(found(place, r"\(([A-Z]{4})\)"), found(place, "/([A-Z]{4})$"), found(x, ICAO_IN_TEXT))
     pictures = F.filter(F.split(F.coalesce(F.col("__c").getItem("images"), F.lit("")), "\n"), lambda s: (s != "") & ~s.rlike("logo|icon|no_image|banner|placeholder"))
@@ -290,7 +306,7 @@ def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
     lines = F.filter(F.transform(F.split(x, "[•\n]"), lambda s: F.trim(s)), lambda s: (F.length(s) > 2) & (F.length(s) < 200) & s.rlike("|".join(T.DETAIL_AVIONICS_WORDS)))
     gear = F.coalesce(given(F.array_join(parts, "; ")), given(F.array_join(lines, "; ")))
     new = {name: N.german_number(found(x, regex)) for name, regex in DETAIL_NUMBERS.items()} | {
-        "description": F.when(F.length(told) > F.coalesce(F.length("description"), F.lit(0)), told), "avionics": gear,
+        "description": told, "avionics": gear,
         "annual_inspection": F.trim(found(x, r"(?iu)(?:Jahresnachpr[üu]fung|JNP|Annual\s+Inspection|TP|HU)[:\s]*([\w\s./]+?\d{4})")), "engine": F.trim(found(x, r"(?iu)(?:Triebwerk|Motortyp|Motor)\s*:\s*([^;\n,.]{5,60})")),
         "registration": F.coalesce(found(x, MARKED_REGISTRATION), found(x, ANY_REGISTRATION)), "serial_number": found(x, SERIAL), "airworthy": C.airworthy(x), "fuel_type": C.fuel_type(x), "location": place,
         "city": given(F.trim(F.element_at(F.split(place, "[/(,]"), 1))), "icao": code, "country": looked_up(F.substring(code, 1, 2), T.ICAO_COUNTRIES), "contact_name": F.col("__k.name"), "contact_email": F.col("__k.email"),

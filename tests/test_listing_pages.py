@@ -61,3 +61,45 @@ def test_details_win_over_cards(spark):
 def test_null_and_empty_pages(spark):
     pages = spark.createDataFrame([("u", None), ("u", "")], "page_url string, payload string")
     assert L.prose_aircraft(pages, "s").count() == L.index_cards(pages, "s").count() == L.grid_parts(pages, "s", "x").count() == 0
+
+
+def test_index_pages_without_classes_take_the_parents_of_links(spark):
+    html = """<div><a href="/x/y--xi1.htm">Cessna 172</a> Bj.: 1980; Standort: Ulm; € 45.000 <b>x</b></div><div><a href="/x/z--xi2.htm">Piper PA-28 Archer</a> Bj.: 1981; € 50.000</div><div><a href="/q--xi3.htm">k</a></div><a href="/p.htm">keine</a>"""
+    got = one(spark, L.index_cards, html)
+    assert [(r.title, r.year, r.source_id) for r in got] == [("Cessna 172", 1980, "site:/x/y--xi1.htm"), ("Piper PA-28 Archer", 1981, "site:/x/z--xi2.htm")]
+    # a card of its class, however, is enough for the links outside to be left alone; too short a card is none
+    card = '<div class="listing"><a href="/s--xi9.htm">Diamond DA 40</a> Baujahr unbekannt, sonst gut</div>'
+    assert [r.title for r in one(spark, L.index_cards, html + card)] == ["Diamond DA 40"]
+    assert len(one(spark, L.index_cards, html + '<p class="listing">x</p>')) == 2
+
+
+def test_folded_sections_of_all_shapes():
+    from aerolith.sources.cards import folded_sections
+
+    text = lambda html: folded_sections(f"<body><main>{html}</main></body>", L.FOLDS)
+    item = '<div class="accordion-item"><div class="accordion-header"><h3> Exterior </h3></div><div class="accordion-collapse"><div class="accordion-body">Garmin  430\n und mehr</div></div></div>'
+    assert text(item) == {"exterior": "Garmin 430 und mehr"}
+    assert text('<button data-bs-toggle="collapse" data-bs-target="#a">Innen</button><a data-toggle="collapse" href="#b">Avionik</a><a data-toggle="collapse" href="x">y</a><a data-toggle="collapse" href="#no">z</a><div id="b">Becker Funk</div><div id="a"><p>Leder, vier Sitze</p></div>') == {"innen": "Leder, vier Sitze", "avionik": "Becker Funk"}
+    assert text("<details><summary>Sonstige</summary>Text <b>hier</b> </details><details><summary>Kurz</summary>abc</details>") == {"sonstige": "Text hier"}
+    assert text('<div class="card-header">Interior</div>\n<div class="card-body">Sechs Sitze</div><div class="panel-heading">Ohne</div><p>nicht gefragt</p>') == {"interior": "Sechs Sitze"}
+    # the first way that finds any is the only one; of equal names the last counts; nothing folded gives nothing
+    assert text(item + "<details><summary>Innen</summary>nicht gelesen</details>" + item.replace("430", "530")) == {"exterior": "Garmin 530 und mehr"}
+    assert text("<p>nichts</p>") == {} and folded_sections("", L.FOLDS) == {}
+    assert folded_sections("<details><summary>Sonstige</summary>ohne Hauptteil</details>", L.FOLDS) == {"sonstige": "ohne Hauptteil"}
+
+
+def test_an_interior_alone_is_added_to_the_description(spark):
+    cards = L.grid_aircraft(spark.createDataFrame([("https://g.example/l", GRID)], "page_url string, payload string"), "site", "https://g.example", "Ende")
+    page = "<body><main><details><summary>Innen</summary>Leder in gutem Zustand, vier Sitze</details></main></body>"
+    (r,) = L.with_details(cards, spark.createDataFrame([("https://g.example/d/1", page)], "page_url string, payload string")).collect()
+    assert r.description == "Piper PA-28. Baujahr 1978. Preis: 12.500,5 EUR. Ende. Leder in gutem Zustand, vier Sitze"
+
+
+def test_siblings_and_ids_are_indexed():
+    from aerolith.sources import dom
+
+    page = dom.parse("<ul>" + "".join(f"<li id='i{k % 3}'>{k}</li>" for k in range(20_000)) + "</ul>")
+    node, n = page.select("li")[0], 1
+    while (node := node.next()) is not None:
+        n += 1
+    assert n == 20_000 and page.ids()["i2"].text() == "2"
