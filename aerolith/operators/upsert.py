@@ -75,16 +75,19 @@ def insert_missing(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataF
     return fresh.join(target.select(*plain), [f"__{k}" for k in keys], "left_anti").drop(*[f"__{k}" for k in keys])
 
 
-def numbered(rows: DataFrame, order: list[str], start: Column | int = 0, column: str = "listing_number", buckets: int = 64) -> DataFrame:
-    """rows with consecutive numbers in an order, without a sort in one task: counts by range of the first column are
-    summed, and rows are numbered within their range. Rows and the number of their range are written first, so that
-    both uses agree whatever happens to an executor."""
+def numbered(rows: DataFrame, order: list[str], start: Column | int = 0, column: str = "listing_number", buckets: int | None = None) -> DataFrame:
+    """rows with consecutive numbers in an order, without a sort in one task: rows are dealt by ranges of the order, counts
+    by range are summed, and rows are numbered within their range. Ranges are as many as Spark deals (buckets, if given);
+    rows that are equal in the order are dealt by their place in the input, so that any number of them is spread too.
+    Rows and the number of their range are written first, so that both uses agree whatever happens to an executor."""
     from pyspark.sql import Window
 
-    ranged = written(rows.repartitionByRange(buckets, *order).withColumn("__p", F.spark_partition_id()), "ranged")
+    tied = rows.withColumn("__t", F.monotonically_increasing_id())
+    dealt = tied.repartitionByRange(*([buckets] if buckets else []), *order, "__t")
+    ranged = written(dealt.withColumn("__p", F.spark_partition_id()), "ranged")
     counts = ranged.groupBy("__p").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__s"))
-    inside = Window.partitionBy("__p").orderBy(*order)
+    inside = Window.partitionBy("__p").orderBy(*order, "__t")
     start = start if isinstance(start, Column) else F.lit(start)
-    return ranged.join(F.broadcast(starts), "__p").withColumn(column, F.col("__s") + F.row_number().over(inside) + start).drop("__p", "__s")
+    return ranged.join(F.broadcast(starts), "__p").withColumn(column, F.col("__s") + F.row_number().over(inside) + start).drop("__p", "__s", "__t")

@@ -72,6 +72,64 @@ def _stream(df: DataFrame, key: str) -> DataFrame:
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(where)
 
 
+#: Lists of pages as linked by numbers: every 17th customer starts a list, whose next page is its number twice and five
+#: more; pages divisible by 4 have none.
+@query("""WITH RECURSIVE s AS (SELECT c_custkey AS list, c_custkey AS page_key FROM customer WHERE c_custkey % 17 = 3),
+w(list, page_key, page) AS (SELECT list, page_key, 1 FROM s UNION ALL SELECT list, (page_key * 2 + 5) % 1000003, page + 1 FROM w WHERE page < 10 AND page_key % 4 <> 0),
+n AS (SELECT *, row_number() OVER (ORDER BY list, page) AS place FROM w) SELECT list, page_key, page::INT AS page, place FROM n WHERE place <= 50""")
+def bounded_frontier(spark, folder):
+    """Lists of pages followed to their next pages: ten of a list, fifty in all, in the lists' order."""
+    from aerolith.sources.landing import followed
+
+    k = table(spark, folder, "customer").select(F.col("c_custkey").alias("list"))
+    starts = k.where("list % 17 = 3").select("list", F.col("list").alias("ord"), F.col("list").cast("string").alias("page_url"))
+    # the links of all pages that ten steps can reach
+    reach = starts.select(F.col("list").alias("n"))
+    every = reach
+    for _ in range(10):
+        reach = reach.where("n % 4 <> 0").select(((F.col("n") * 2 + 5) % 1000003).alias("n"))
+        every = every.union(reach)
+    links = every.distinct().where("n % 4 <> 0").select(F.col("n").cast("string").alias("page_url"), ((F.col("n") * 2 + 5) % 1000003).cast("string").alias("next_url"))
+    return followed(starts, links, 10, 50).select("list", F.col("page_url").cast("long").alias("page_key"), "page", "place")
+
+
+@query("""SELECT page_id, source, strlen(html)::BIGINT AS bytes, CASE WHEN strlen(html) BETWEEN 1 AND 3000 THEN sha1(html) END AS digest, CASE WHEN strlen(html) = 0 THEN 'empty' WHEN strlen(html) > 3000 THEN 'too-large' END AS drop_reason
+FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'a.example' WHEN 1 THEN 'b.example' ELSE 'c.example' END AS source, CASE WHEN page_id % 50 = 0 THEN '' ELSE coalesce(html, '') END AS html FROM pages) WHERE source <> 'c.example'""")
+def payload_files(spark, folder):
+    """All pages landed as files below a folder for each of three sources, and those of two sources read back: empty files
+    and files over 3,000 bytes have a reason instead of a payload."""
+    from aerolith.sources.payload_source import payloads
+
+    p = table(spark, folder, "pages")
+    i = F.col("page_id")
+    source = F.when(i % 3 == 0, "a.example").when(i % 3 == 1, "b.example").otherwise("c.example")
+    below = scratch_path(spark, "landed")
+    land(p.select(F.concat(F.lit("source="), source, F.lit("/"), i.cast("string"), F.lit(".html")).alias("name"), F.when(i % 50 == 0, "").otherwise(F.coalesce("html", F.lit(""))).cast("binary").alias("data")), below)
+    found = payloads(spark, path=below, most_bytes=3000).where(F.col("source").isin("a.example", "b.example"))
+    return found.select(F.regexp_extract("page_url", r"(\d+)\.html$", 1).cast("long").alias("page_id"), "source", "bytes", F.sha1("payload").alias("digest"), "drop_reason")
+
+
+def land(df: DataFrame, below: str) -> None:
+    """Write a file for each row (name, data) below a folder, in tasks."""
+
+    def write(batches):
+        from aerolith.sources.payload_source import opened
+
+        system, inner, _ = opened(below)
+        made = set()
+        for batch in batches:
+            for name, data in zip(batch.column("name").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                parent = f"{inner}/{name}".rpartition("/")[0]
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(f"{inner}/{name}") as f:
+                    f.write(data)
+            yield batch.slice(0, 0)
+
+    df.mapInArrow(write, df.schema).write.format("noop").mode("overwrite").save()
+
+
 @query("""SELECT user_id, arg_max(CASE event_type WHEN 'purchase' THEN 'dulv.de' WHEN 'signup' THEN 'ulforum.de' ELSE 'iata.org' END, (CASE event_type WHEN 'purchase' THEN 100 WHEN 'signup' THEN 60 ELSE 40 END, -epoch_us(ts))) AS winner, count(*) AS n FROM events GROUP BY user_id""")
 def streaming_winners(spark, folder):
     """The best source of each key, kept by a stream."""

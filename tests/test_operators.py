@@ -189,15 +189,14 @@ def test_streamed_winners_have_one_row_for_each_key(spark, tmp_path):
     assert got == {"u": ("dulv.de", 3), "v": ("iata.org", 1), None: ("dulv.de", 1)}
 
 
-def test_landed_files_have_a_row_or_a_reason(spark, tmp_path, monkeypatch):
+def test_landed_files_have_a_row_or_a_reason(spark, tmp_path):
     from aerolith.sources import landing
 
-    monkeypatch.setattr(landing, "MOST_BYTES", 100)
     for name, data in (("a", b"gut"), ("b", b""), ("c", b"x" * 101), ("d", b"\xff\xc3\xa4 \xc3")):
         (tmp_path / name).write_bytes(data)
-    got = {r.page_url[-1]: (r.payload, r.drop_reason) for r in landing.files(spark, str(tmp_path)).collect()}
+    got = {r.page_url[-1]: (r.payload, r.drop_reason) for r in landing.files(spark, str(tmp_path), most_bytes=100).collect()}
     assert got == {"a": ("gut", None), "b": (None, "empty"), "c": (None, "too-large"), "d": ("\ufffdä \ufffd", None)}
-    assert landing.texts(spark, str(tmp_path)).count() == 2
+    assert landing.texts(spark, str(tmp_path), most_bytes=100).count() == 2
 
 
 def test_long_texts_lose_their_repeats_in_little_time(spark):

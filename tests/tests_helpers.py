@@ -9,3 +9,9 @@ def now():
 
 def menu(title, date, place="Denver, CO"):
     return f'<div class="menu-event-single"><div class="menu-event-title"><a href="/{title}">{title}</a></div><div class="event-date">{date}</div><div class="location">{place}</div></div>'
+
+
+def fetch(url):
+    if url.endswith("fail"):
+        raise TimeoutError("no answer")
+    return None if url.endswith("none") else f"body of {url}{'!' * 40 if url.endswith('long') else ''}".encode()
