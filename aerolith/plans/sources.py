@@ -151,6 +151,65 @@ def streaming_upsert(spark, folder):
     return incremental.current(spark, below, schema).select("user_id", "n", F.round("total", 4).alias("total"), "claimed_at")
 
 
+def _in_waves(rows: DataFrame, wave: str, waves: int, start) -> DataFrame:
+    """Rows that arrive wave by wave: each wave is landed in several files and a stream, made by start(stream, folder), run
+    over it to its end before the next one comes. What the stream has written, with its batch's number."""
+    spark = rows.sparkSession
+    where, below = scratch_path(spark, "waves"), scratch_path(spark, "stream-out")
+    rows = written(rows, "waves")
+    plain = rows.drop(wave)
+    for k in range(waves):
+        rows.where(F.col(wave) == k).drop(wave).repartition(FILES).write.mode("append").parquet(where)
+        out = start(spark.readStream.schema(plain.schema).parquet(where))
+        incremental.to_completion(out.writeStream.format("parquet").option("path", f"{below}/out").option("checkpointLocation", f"{below}/checkpoint").outputMode("append"))
+    return spark.read.schema(out.schema).parquet(f"{below}/out")
+
+
+#: Thirds of the month, and every tenth row a third later than it should come: behind the watermark, if not by less than
+#: a day. State goes six days after a key's newest row, by the watermark.
+THIRDS = """WITH e AS (SELECT event_id, user_id * 7 + event_id % 7 AS k, event_type, date_trunc('milliseconds', ts) AS ts, (day(ts) - 1) // 11 AS third FROM events WHERE user_id IS NOT NULL),
+a AS (SELECT *, least(third + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, 2) AS wave FROM e),
+w AS (SELECT wave, max(max(ts)) OVER (ORDER BY wave) - INTERVAL 1 DAY AS mark FROM a GROUP BY wave),
+o AS (SELECT a.* FROM a LEFT JOIN w ON w.wave = a.wave - 1 WHERE w.mark IS NULL OR a.ts > w.mark),
+g AS (SELECT wave, k, max(ts) AS "at", arg_max(event_type, (ts, event_id::VARCHAR)) AS content, count(*) AS n FROM o GROUP BY ALL)"""
+
+
+@query(THIRDS + """, s0 AS (SELECT g.*, 'inserted' AS outcome FROM g WHERE wave = 0), x0 AS (SELECT s0.*, "at" + INTERVAL 6 DAY <= mark AS gone FROM s0 JOIN w USING (wave)),
+s1 AS (SELECT 1 AS wave, coalesce(g.k, p.k) AS k, greatest(g."at", p."at") AS "at", CASE WHEN g."at" > p."at" OR p."at" IS NULL THEN g.content ELSE p.content END AS content, g.n, p.content AS old, p.k IS NOT NULL AS had
+  FROM (SELECT * FROM g WHERE wave = 1) g FULL JOIN (SELECT * FROM x0 WHERE NOT gone) p ON g.k IS NOT DISTINCT FROM p.k),
+x1 AS (SELECT s1.*, "at" + INTERVAL 6 DAY <= mark AS gone FROM s1 JOIN w USING (wave)),
+s2 AS (SELECT 2 AS wave, coalesce(g.k, p.k) AS k, greatest(g."at", p."at") AS "at", CASE WHEN g."at" > p."at" OR p."at" IS NULL THEN g.content ELSE p.content END AS content, g.n, p.content AS old, p.k IS NOT NULL AS had
+  FROM (SELECT * FROM g WHERE wave = 2) g FULL JOIN (SELECT * FROM x1 WHERE NOT gone) p ON g.k IS NOT DISTINCT FROM p.k),
+x2 AS (SELECT s2.*, "at" + INTERVAL 6 DAY <= mark AS gone FROM s2 JOIN w USING (wave)),
+told AS (SELECT k, "at", content, n, outcome FROM s0 UNION ALL SELECT k, "at", content, n, CASE WHEN NOT had THEN 'inserted' WHEN content = old THEN 'unchanged' ELSE 'updated' END FROM s1 WHERE n IS NOT NULL
+  UNION ALL SELECT k, "at", content, n, CASE WHEN NOT had THEN 'inserted' WHEN content = old THEN 'unchanged' ELSE 'updated' END FROM s2 WHERE n IS NOT NULL
+  UNION ALL SELECT k, "at", content, 0, 'expired' FROM x0 WHERE gone UNION ALL SELECT k, "at", content, 0, 'expired' FROM x1 WHERE gone UNION ALL SELECT k, "at", content, 0, 'expired' FROM x2 WHERE gone)
+SELECT k AS key, "at", content, n::BIGINT AS n, outcome FROM told""")
+def keyed_state(spark, folder):
+    """The newest event of each of many keys, kept as state: new, changed and repeated contents, late rows, expired keys."""
+    from datetime import timedelta
+
+    from aerolith.streaming.keyed import latest_by_key
+
+    i = F.col("event_id")
+    third = F.floor((F.dayofmonth("ts") - 1) / 11)
+    e = table(spark, folder, "events").where("user_id IS NOT NULL")
+    rows = e.select((F.col("user_id") * 7 + i % 7).alias("k"), F.date_trunc("MILLISECOND", F.col("ts").cast("timestamp")).alias("ts"), i.cast("string").alias("tie"), "event_type", F.least(third + F.when(i % 10 == 0, 1).otherwise(0), F.lit(2)).alias("wave"))
+    out = _in_waves(rows, "wave", 3, lambda stream: latest_by_key(stream, "k", "ts", "tie", "event_type", "1 day", timedelta(days=6)))
+    return out.withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+@query("SELECT event_id, user_id FROM events")
+def streaming_distinct(spark, folder):
+    """Events that come twice, the second time in the same or a later wave: each is passed on once."""
+    from aerolith.streaming.keyed import first_seen
+
+    third = F.floor((F.dayofmonth("ts") - 1) / 11)
+    e = table(spark, folder, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), third.alias("wave"))
+    twice = e.union(e.withColumn("wave", F.least(F.col("wave") + F.col("event_id") % 2, F.lit(2))))
+    return _in_waves(twice, "wave", 3, lambda stream: first_seen(stream, "ts", "1 day", ["event_id", "user_id"])).select("event_id", "user_id")
+
+
 @query(RUNS.replace("{0}", "1") + "SELECT event_id, source, canonical_key FROM f WHERE fate = 'stored'")
 def streaming_supersede(spark, folder):
     """Events of all sources as a stream: what is stored in the end is, for each key, the rows of its best source,
