@@ -279,3 +279,10 @@ def elapsed(ms: Column) -> Column:
 
 def feed_description(c: Column) -> Column:
     return given(clean_text(chain(c, ("<img[^>]*>", ""), ("The post .* appeared first on .*", ""))))
+
+
+def new_part_description(description: Column, title: Column) -> Column:
+    """Ten characters at least: the plain description, else the title, else the title and what it is; null without."""
+    plain = F.trim(F.regexp_replace(F.coalesce(description, F.lit("")), "<[^>]*>", ""))
+    named = F.trim(F.concat(title, F.lit(" — parts listing")))
+    return F.when(F.length(plain) >= 10, plain).when(F.length(F.trim(title)) >= 10, title).when(F.length(named) >= 10, named)

@@ -198,6 +198,7 @@ def memoised(df: DataFrame, key: Column, provider, column: str = "found") -> Dat
     returns (key, answer); keys without an answer stay null."""
     keyed = df.withColumn("__key", key)
     answers = provider(keyed.select(F.col("__key").alias("key")).where("key IS NOT NULL").distinct())
+    answers = written(answers, "answers")  # so that a key that very many rows have can be split
     return keyed.join(answers.select(F.col("key").alias("__k"), F.col("answer").alias(column)), F.col("__key") == F.col("__k"), "left").drop("__key", "__k")
 
 

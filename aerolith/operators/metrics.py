@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aerolith.rules import tables as T
@@ -15,6 +17,28 @@ def run_stats(df: DataFrame, source: str = "source", outcome: str = "outcome", e
     return df.groupBy(source).agg(F.count("*").alias("found"), *kinds, failed.alias("errors"))
 
 
+STATS = "source string, found long, inserted long, updated long, skipped long, errors long"
+
+
+def observed_run(df: DataFrame, sources: Iterable[str], source: str = "source", outcome: str = "outcome", error: str | None = None, amounts: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """(df, an observation): the counts of run_stats for the sources named, and sums of amounts (bytes, tokens) over all
+    rows, taken while df is written, without a second pass. `observed_stats` reads them when the write is done."""
+    watched = Observation("run")
+    failed = F.col(error).isNotNull() if error else F.lit(False)
+    tests = {"found": F.lit(True), "errors": failed} | {k: F.col(outcome) == k for k in ("inserted", "updated", "skipped")}
+    own = [F.count_if((F.col(source) == s) & t).alias(f"{name}:{s}") for s in sources for name, t in tests.items()]
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"amount:{name}") for name, c in (amounts or {}).items()]
+    return df.observe(watched, F.count("*").alias("rows"), *own, *sums), watched
+
+
+def observed_stats(spark: SparkSession, watched: Observation) -> tuple[DataFrame, dict[str, int]]:
+    """(counts of each source that had rows, amounts and rows in all) of a finished write."""
+    seen = watched.get
+    names = [k.split(":", 1)[1] for k in seen if k.startswith("found:") and seen[k]]
+    rows = [(n, *(seen[f"{k}:{n}"] for k in ("found", "inserted", "updated", "skipped", "errors"))) for n in names]
+    return spark.createDataFrame(rows, STATS), {"rows": seen["rows"]} | {k.removeprefix("amount:"): v for k, v in seen.items() if k.startswith("amount:")}
+
+
 def skip_reasons(df: DataFrame, source: str = "source", reason: str = "reason") -> DataFrame:
     return df.where(F.col(reason).isNotNull()).groupBy(source, reason).agg(F.count("*").alias("n"))
 

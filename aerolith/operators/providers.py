@@ -2,7 +2,9 @@
 what the question needs, to (key, answer); without one nothing is asked and every answer is null, as without a licence.
 
 Each distinct question is asked once. A provider that calls a service by single questions is made by `one_by_one`: its
-calls run in one task (the service allows so many a second, whatever the number of executors), spaced and tried again.
+calls run in a few tasks, spaced so that all of them together keep the service's rate, and are tried again. A call that
+fails in the end gives no row: its question has no answer, which is not the same as an answer that says nothing.
+`operators.answers` keeps answers from run to run.
 """
 
 from __future__ import annotations
@@ -27,12 +29,16 @@ class Busy(Exception):
     """A call that may succeed later: the service is overloaded or can't be reached."""
 
 
-def polite(call: Callable[[str], str | None], gap: float = 1.0, attempts: int = 3, clock=time.monotonic, sleep=time.sleep) -> Callable[[str], str | None]:
-    """call, at most once in `gap` seconds; a Busy one is tried again after 1, 2, 4 ... seconds, and has no answer in the
+class FAILED:
+    """What a call that was tried in vain gives; a class, so that it is the same in every process."""
+
+
+def polite(call: Callable[[str], str | None], gap: float = 1.0, attempts: int = 3, clock=time.monotonic, sleep=time.sleep) -> Callable[[str], object]:
+    """call, at most once in `gap` seconds; a Busy one is tried again after 1, 2, 4 ... seconds, and is FAILED in the
     end."""
     last = [-gap]
 
-    def ask(question: str) -> str | None:
+    def ask(question: str) -> object:
         for attempt in range(attempts):
             sleep(max(0.0, gap - (clock() - last[0])))
             last[0] = clock()
@@ -41,22 +47,25 @@ def polite(call: Callable[[str], str | None], gap: float = 1.0, attempts: int =
             except Busy:
                 if attempt + 1 < attempts:
                     sleep(2.0**attempt)
-        return None
+        return FAILED
 
     return ask
 
 
-def one_by_one(call: Callable[[str], str | None], column: str = "key", **options) -> Provider:
-    """A provider of strings from a function of one string."""
+def one_by_one(call: Callable[[str], str | None], column: str = "key", gap: float = 1.0, lanes: int = 4, **options) -> Provider:
+    """A provider of strings from a function of one string, called at most once in `gap` seconds on the whole: in each of
+    `lanes` tasks, once in `lanes` times the gap."""
 
     def provider(questions: DataFrame) -> DataFrame:
         def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ask = polite(call, **options)
+            ask = polite(call, gap * lanes, **options)
             for batch in batches:
-                answers = [ask(q) for q in batch.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, pa.string())], ["key", "answer"])
+                told = [(k, ask(q)) for k, q in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+                told = [x for x in told if x[1] is not FAILED]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in told], pa.string()), pa.array([x for _, x in told], pa.string())], ["key", "answer"])
 
-        return questions.select(F.col("key"), F.col(column).cast("string").alias("question")).coalesce(1).mapInArrow(asked, "key string, answer string")
+        rows = questions.select(F.col("key").cast("string").alias("key"), F.col(column).cast("string").alias("question"))
+        return rows.repartition(lanes, "key").mapInArrow(asked, "key string, answer string")
 
     return provider
 

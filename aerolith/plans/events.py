@@ -179,6 +179,17 @@ def run_stats(spark, folder):
     return metrics.run_stats(staged_outcomes(spark, folder))
 
 
+@query(STAGED + ", r AS (SELECT source, count(*) AS found, count(*) FILTER (outcome = 'inserted') AS inserted, count(*) FILTER (outcome = 'updated') AS updated, count(*) FILTER (outcome = 'skipped') AS skipped, 0::BIGINT AS errors FROM x GROUP BY source) SELECT *, (SELECT count(*) FROM x) AS rows_in_all, (SELECT sum(event_id) FROM x)::BIGINT AS amount FROM r")
+def observed_stats(spark, folder):
+    """The statistics of a run, counted while its outcomes are written."""
+    from aerolith.operators.scratch import scratch_path
+
+    out, watched = metrics.observed_run(staged_outcomes(spark, folder), SOURCES, amounts={"ids": F.col("event_id")})
+    out.select("event_id", "outcome").write.parquet(scratch_path(spark, "outcomes"))
+    stats, amounts = metrics.observed_stats(spark, watched)
+    return stats.withColumns({"rows_in_all": F.lit(amounts["rows"]).cast("long"), "amount": F.lit(amounts["ids"]).cast("long")})
+
+
 @query("SELECT s.n_name AS source FROM nation s LEFT JOIN (SELECT user_id % 40 AS k, count(*) AS n FROM events GROUP BY 1) e ON e.k = s.n_nationkey + 20 WHERE e.n IS NULL")
 def zero_row_warning(spark, folder):
     expected = table(spark, folder, "nation").select(F.col("n_name").alias("source"), (F.col("n_nationkey") + 20).alias("k"))

@@ -76,6 +76,23 @@ def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, catego
     return made.select("source_url", "headline", "source_name", "outcome", "reason").unionByName(shut)
 
 
+def part_run(parts: DataFrame, target: DataFrame, contact_email: str, host: str) -> DataFrame:
+    """Outcomes of parts (schemas.PART): source_url, headline, description, outcome, reason, image_urls. target has
+    source_url, is_external, claimed_at and images (url). A new part needs ten characters of description: its own, else
+    its title, else its title and what it is; image_urls are those to be stored: all of a new part, and of a known one
+    only if it has images that are not on the host yet."""
+    made = rows.part_rows(parts, contact_email).join(parts.select(F.col("source_id").alias("__s"), "image_urls").dropDuplicates(["__s"]), F.col("source_url") == F.col("__s"), "left").drop("__s")
+    found = upsert.outcomes(made, target, "source_url")
+    stored = target.select(F.col("source_url").alias("__u"), F.col("images").alias("__images"))
+    found = found.join(stored, F.col("source_url") == F.col("__u"), "left")
+    new, told = F.col("outcome") == "inserted", X.new_part_description(F.col("description"), F.col("headline"))
+    found = found.withColumn("description", F.when(new, told).otherwise(F.col("description")))
+    bare = new & F.col("description").isNull()
+    asked = F.when(F.col("outcome") == "updated", upsert.images_to_refresh(F.col("__images"), host)).otherwise(new & ~bare)
+    found = found.withColumns({"image_urls": F.when(asked & (F.size("image_urls") > 0), F.col("image_urls")), "reason": F.when(bare, "no_description").otherwise(F.col("reason")), "outcome": F.when(bare, "skipped").otherwise(F.col("outcome"))})
+    return found.select("source_url", "headline", "description", "category_id", "manufacturer", "price", "price_on_request", "outcome", "reason", "image_urls")
+
+
 def listing_rows_of(source: str, landed: DataFrame) -> DataFrame:
     """Listings (schemas.LISTING) of a source's landed pages."""
     return L.LISTING_PARSERS[source](landed.where((F.col("source") == source) & F.col("payload").isNotNull()).select("page_url", "payload"))
@@ -121,3 +138,82 @@ def null_scans(spark, folder):
 
     d = table(spark, folder, "documents").select(given(F.regexp_extract("text", r"[\w.+-]+@[\w-]+", 0)).alias("email"), given(F.regexp_extract("text", r"\d{5,}", 0)).alias("phone"))
     return d.agg(F.count_if(F.col("email").isNull()).alias("without_email"), F.count_if(F.col("email").isNull() | F.col("phone").isNull()).alias("skeletons"), F.count("*").alias("n"))
+
+
+def _some_parts(spark, folder) -> DataFrame:
+    """Parts for sale made from the part table."""
+    from aerolith import schemas
+    from aerolith.sources.listing_pages import _typed
+
+    k = F.col("p_partkey")
+    p = table(spark, folder, "part")
+    told = F.when(k % 5 == 0, "kurz").when(k % 5 == 1, "<b>ein</b> <i>Teil</i>").when(k % 5 == 2, F.concat(F.lit("<p>Gebraucht, gut erhalten: "), F.col("p_type"), F.lit("</p>")))
+    return _typed(p.select(F.concat(F.lit("T"), k.cast("string")).alias("source_id"), F.when(k % 7 == 0, "Rad").when(k % 7 == 1, "Garmin G5").otherwise(F.col("p_name")).alias("title"), told.alias("description"), F.element_at(F.array(*[F.lit(x) for x in ("avionics", "rescue", "engines")]), (k % 3 + 1).cast("int")).alias("category"),
+                           F.when(k % 4 != 0, F.col("p_retailprice")).alias("price"), F.when(k % 2 == 0, F.array(F.concat(F.lit("https://x.example/"), k.cast("string")))).otherwise(F.array().cast("array<string>")).alias("image_urls")), schemas.PART)
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 7 = 0 THEN 'Rad' WHEN p_partkey % 7 = 1 THEN 'Garmin G5' ELSE p_name END AS headline, CASE p_partkey % 5 WHEN 0 THEN 'kurz' WHEN 1 THEN 'ein Teil' WHEN 2 THEN 'Gebraucht, gut erhalten: ' || p_type END AS plain,
+  CASE p_partkey % 5 WHEN 0 THEN 'kurz' WHEN 1 THEN '<b>ein</b> <i>Teil</i>' WHEN 2 THEN '<p>Gebraucht, gut erhalten: ' || p_type || '</p>' END AS own, p_partkey % 3 = 0 AS known, p_partkey % 9 = 0 AS claimed, p_partkey % 6 = 0 AS outside, p_retailprice FROM part),
+d AS (SELECT *, CASE WHEN length(plain) >= 10 THEN plain WHEN length(headline) >= 10 THEN headline ELSE headline || ' — parts listing' END AS told FROM p)
+SELECT 'T' || k AS source_url, headline, CASE WHEN known THEN own ELSE told END AS description, (CASE k % 3 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE 2 END)::INT AS category_id, k % 4 = 0 AS price_on_request, CASE WHEN claimed THEN 'skipped' WHEN known THEN 'updated' ELSE 'inserted' END AS outcome,
+CASE WHEN claimed THEN 'claimed' END AS reason, CASE WHEN k % 2 = 0 AND NOT claimed AND (outside OR NOT known) THEN 'https://x.example/' || k END AS images FROM d""")
+def parts_for_sale(spark, folder):
+    """A run of parts against a target that knows every third: claimed ones stay, images are stored anew only where some
+    are elsewhere, new ones get a description."""
+    parts = _some_parts(spark, folder)
+    k = F.col("p_partkey")
+    target = table(spark, folder, "part").where(k % 3 == 0).select(F.concat(F.lit("T"), k.cast("string")).alias("source_url"), F.lit(True).alias("is_external"), F.when(k % 9 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("claimed_at"),
+                                                                 F.array(F.struct(F.when(k % 6 == 0, "https://elsewhere.example/a.jpg").otherwise("https://own.example/a.jpg").alias("url"))).alias("images"))
+    out = part_run(parts, target, "none@example.org", "own.example")
+    return out.select("source_url", "headline", "description", F.col("category_id").cast("int").alias("category_id"), "price_on_request", "outcome", "reason", F.array_join("image_urls", ",").alias("images"))
+
+
+@query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_custkey % 4 <> 0 THEN 'u' || o_custkey END AS source_url, CASE o_orderkey % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'paused' ELSE 'expired' END AS status, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_comment END AS description,
+  CASE WHEN o_orderkey % 13 <> 0 THEN 'm' || o_custkey % 50 END AS manufacturer, o_orderpriority AS model, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::VARCHAR END AS variant FROM (SELECT *, substr(repeat('x', (o_orderkey % 30)::INT) || ' ', 1, 12) AS o_comment FROM orders)),
+l AS (SELECT *, source_url IS NOT NULL AND status <> 'expired' AS live FROM r), s AS (SELECT *, live AND (row_number() OVER (PARTITION BY source_url, live ORDER BY o_orderkey) > 1 OR source_url IN (SELECT 'u' || c_custkey FROM customer WHERE c_custkey % 10 = 7)) AS twice,
+  manufacturer IS NOT NULL AND variant IS NOT NULL AND row_number() OVER (PARTITION BY manufacturer, model, variant ORDER BY o_orderkey) > 1 AS again FROM l)
+SELECT o_orderkey, concat_ws(',', CASE WHEN twice THEN 'parts_listings_source_url_unique' END, CASE WHEN length(trim(description)) < 10 THEN 'description_check' END) AS listing, concat_ws(',', CASE WHEN manufacturer IS NULL THEN 'manufacturer_not_null' END, CASE WHEN again THEN 'aircraft_reference_specs_manufacturer_model_variant_key' END) AS spec,
+CASE WHEN twice THEN 'benign' WHEN length(trim(description)) < 10 THEN 'fatal' END AS refusal FROM s""")
+def constraint_violations(spark, folder):
+    """Rows that would break a required column, a check, a key or a key of live rows alone, among themselves and against
+    stored rows, by the names of the constraints, and what a store's refusal would mean."""
+    from aerolith.operators.constraints import CONSTRAINTS, refused, violations
+
+    i = F.col("o_orderkey")
+    text = F.substring(F.concat(F.repeat(F.lit("x"), (i % 30).cast("int")), F.lit(" ")), 1, 12)
+    rows_ = table(spark, folder, "orders").select(
+        i, F.when(F.col("o_custkey") % 4 != 0, F.concat(F.lit("u"), F.col("o_custkey").cast("string"))).alias("source_url"), F.when(i % 3 == 0, "active").when(i % 3 == 1, "paused").otherwise("expired").alias("status"), F.when(i % 11 != 0, text).alias("description"),
+        F.when(i % 13 != 0, F.concat(F.lit("m"), (F.col("o_custkey") % 50).cast("string"))).alias("manufacturer"), F.col("o_orderpriority").alias("model"), F.when(i % 2 == 0, F.col("o_orderdate").cast("string")).alias("variant"))
+    stored = table(spark, folder, "customer").where("c_custkey % 10 = 7").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("source_url"), F.lit("active").alias("status"))
+    listed = violations(rows_, CONSTRAINTS["parts_listings"], [i], stored, "listing")
+    both = violations(listed, CONSTRAINTS["aircraft_reference_specs"], [i], column="spec")
+    return both.select("o_orderkey", F.array_join("listing", ",").alias("listing"), F.array_join("spec", ",").alias("spec"), upsert.refusal(refused(F.col("listing"), CONSTRAINTS["parts_listings"])).alias("refusal"))
+
+
+@query("""SELECT c_custkey, CASE WHEN k % 5 <> 0 THEN k || '!' END AS answer, CASE WHEN c_custkey % 2 = 0 AND k % 7 <> 0 THEN 1 ELSE 2 END AS told_in FROM (SELECT *, c_custkey // 2 AS k FROM customer)""")
+def answers_across_runs(spark, folder):
+    """Two runs with questions in common, and a third that asks nothing: what the second one asks is what the first one
+    did not, and those whose call had failed. Answers that say nothing are kept as well."""
+    from aerolith.operators import providers
+    from aerolith.operators.answers import remembered
+    from aerolith.operators.scratch import scratch_path
+
+    below = scratch_path(spark, "answers")
+    c = table(spark, folder, "customer").select("c_custkey", F.concat(F.lit("q"), F.floor(F.col("c_custkey") / 2).cast("string"), F.when(F.col("c_custkey") % 2 == 0, "a").otherwise("b")).alias("q"))
+    n = F.regexp_extract("key", r"(\d+)", 1).cast("long")
+
+    def provider(run: int):
+        def ask(questions):
+            told = F.when(n % 5 != 0, F.concat_ws("!", n.cast("string"), F.lit("")))
+            return questions.where((F.lit(run) > 1) | (n % 7 != 0)).select("key", F.to_json(F.struct(told.alias("answer"), F.lit(run).alias("run"))).alias("answer"))
+
+        return ask
+
+    def run(rows_, number: int):
+        ask = remembered(provider(number), below, F.lit("2026-01-01").cast("timestamp_ntz"), parts=8)
+        return written(providers.asked(rows_, F.col("q"), ask, "string", "told"), "told")
+
+    run(c.where("c_custkey % 2 = 0"), 1)
+    run(c, 2)
+    last = run(c, 3)
+    return last.select("c_custkey", F.get_json_object("told", "$.answer").alias("answer"), F.get_json_object("told", "$.run").cast("int").alias("told_in"))
