@@ -81,7 +81,7 @@ def parts_heading(block: Column) -> Column:
 def text_country(c: Column) -> Column:
     """A country code by names in a text; Germany without any."""
     low = F.lower(c)
-    return first_case(*[(low.rlike(pattern(f"W(?:{names})W", "")), code) for names, code in T.TEXT_COUNTRIES], otherwise="DE")
+    return first_case(*[(low.rlike(pattern(rf"\b(?:{names})\b", "")), code) for names, code in T.TEXT_COUNTRIES], otherwise="DE")
 
 
 def venue_country(c: Column) -> Column:

@@ -1,11 +1,12 @@
 """Building blocks of the column functions.
 
-Word boundaries: the letter W in a pattern stands for a place between an ASCII word character and anything else, as
-RE2 and JavaScript see it; Java's own boundary takes letters beyond ASCII for word characters.
+Word boundaries: a pattern's \\b is a place between an ASCII word character and anything else, as RE2 and JavaScript see
+it; Java's own boundary takes letters beyond ASCII for word characters, so `pattern` spells it out.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -17,8 +18,8 @@ _BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-
 
 
 def pattern(text: str, flags: str = "iu") -> str:
-    """A pattern with W for word boundaries and the flags given (case-blind by default)."""
-    return (f"(?{flags})" if flags else "") + text.replace("W", _BOUNDARY)
+    """A pattern with ASCII word boundaries and the flags given (case-blind by default)."""
+    return (f"(?{flags})" if flags else "") + re.sub(r"(?s)\\(.)", lambda m: _BOUNDARY if m[1] == "b" else m[0], text)
 
 
 def found(c: Column, regex: str, group: int = 1) -> Column:

@@ -24,8 +24,8 @@ def parse_price(c: Column) -> Column:
 
 
 def _price(c: Column) -> Column:
-    negotiable = c.rlike(pattern("WVBW|WVHBW", "i"))
-    bare = chain(c, ("€", ""), (pattern("W(VB|VHB|FP)W", "i"), ""), (",-", ""), (rf"{SPACE}+", ""))
+    negotiable = c.rlike(pattern(r"\bVB\b|\bVHB\b", "i"))
+    bare = chain(c, ("€", ""), (pattern(r"\b(VB|VHB|FP)\b", "i"), ""), (",-", ""), (rf"{SPACE}+", ""))
     german = lambda x: x.rlike(r"^\d{1,3}(\.\d{3})*(,\d{1,2})?$")
     amount = let(bare, lambda x: F.when(german(x), german_number(x)).when(x != "", leading_number(x)))
     return F.struct(amount.alias("amount"), negotiable.alias("negotiable"))

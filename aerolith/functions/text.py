@@ -133,7 +133,7 @@ def deduplicate_description(c: Column) -> Column:
 
 def tech_terms(c: Column) -> Column:
     """The technical terms and numbers of a text, in upper case, each once."""
-    terms = F.regexp_extract_all(c, F.lit(pattern(r"W(?:TT|TTAF|SMOH|TTSN|TBO|IFR|VFR|MTOW|\d{3,}[hH]?|\d+\.\d+)W", "")), F.lit(0))
+    terms = F.regexp_extract_all(c, F.lit(pattern(r"\b(?:TT|TTAF|SMOH|TTSN|TBO|IFR|VFR|MTOW|\d{3,}[hH]?|\d+\.\d+)\b", "")), F.lit(0))
     return F.array_distinct(F.transform(terms, F.upper))
 
 
@@ -189,7 +189,7 @@ def city_of(place: Column) -> Column:
 
 def airfield(c: Column) -> Column:
     """A struct of the airfield's name and ICAO code."""
-    code = pattern(f"W((?:{T.ICAO_TEXT_STARTS})[A-Z]{{2}})W", "")
+    code = pattern(rf"\b((?:{T.ICAO_TEXT_STARTS})[A-Z]{{2}})\b", "")
     named = found(c, r"(?iu)(?:Flugplatz|Flughafen|Heimatflugplatz|Heimatflughafen|Flugfeld|Sonderlandeplatz|Verkehrslandeplatz|Landeplatz|UL-Gelände|UL-Platz|stationiert\s+(?:in|am|auf))[:\s]*([^\n•,]+)")
     return F.struct(given(trimmed(F.regexp_replace(clean_text(named), code, ""))).alias("name"), found(c, code).alias("icao"))
 
@@ -197,7 +197,7 @@ def airfield(c: Column) -> Column:
 def venue_icao(c: Column) -> Column:
     """A struct of a venue's name and ICAO code, in parentheses at the end or anywhere in the text."""
     end = r"^(.*?)\s*\(\s*([A-Z]{4})\s*\)\s*$"
-    inline = pattern("W([A-Z]{4})W", "")
+    inline = pattern(r"\b([A-Z]{4})\b", "")
 
     def parts(text: Column) -> Column:
         return F.struct(text.alias("text"), text.rlike(end).alias("ends"), found(text, inline).alias("code"))
@@ -215,7 +215,7 @@ def venue_icao(c: Column) -> Column:
 
 
 def venue_city(c: Column) -> Column:
-    postal = pattern(r"W\d{5}\s+([A-Za-zÄÖÜäöüß\s-]+)W", "")
+    postal = pattern(r"\b\d{5}\s+([A-Za-zÄÖÜäöüß\s-]+)\b", "")
     return F.coalesce(trimmed(found(c, postal)), trimmed(found(c, r"^[^,]+,\s*([A-Za-zÄÖÜäöüß\s-]+)$")))
 
 

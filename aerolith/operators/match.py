@@ -72,7 +72,7 @@ def aliases() -> list[tuple[str, str]]:
     return sorted(T.MANUFACTURER_ALIASES.items(), key=lambda x: -len(x[0]))
 
 
-ROBINSON = r"Wr[\s-]?22W|Wr[\s-]?44W|Wr[\s-]?66W"
+ROBINSON = r"\br[\s-]?22\b|\br[\s-]?44\b|\br[\s-]?66\b"
 
 
 def manufacturer(df: DataFrame, key: str, title: str, makers: DataFrame, name: str = "name", column: str = "manufacturer") -> DataFrame:
@@ -86,7 +86,7 @@ def manufacturer(df: DataFrame, key: str, title: str, makers: DataFrame, name: s
     # the name as it is written, of spellings that differ in case alone the first by letters
     spelled = makers.where(F.col(name) != "").groupBy(F.lower(F.col(name)).alias("__low")).agg(F.min(F.col(name)).alias("__name"))
     joined = held.withColumn("__best", best).join(spelled, F.col("__best") == F.col("__low"), "left")
-    special = F.col(title).rlike(pattern(ROBINSON)) | F.col(title).rlike(pattern("WrobinsonW"))
+    special = F.col(title).rlike(pattern(ROBINSON)) | F.col(title).rlike(pattern(r"\brobinson\b"))
     return joined.withColumn(column, F.when(special, "Robinson").otherwise(F.coalesce(by_alias, F.col("__name")))).drop("__held", "__best", "__low", "__name")
 
 

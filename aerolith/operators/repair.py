@@ -24,7 +24,7 @@ def clean_city_column(c: Column) -> Column:
     """Junk to null, then code, place, postal code, code in parentheses and what follows a comma cut off."""
     junk = (
         c.rlike(r"\d") | (F.length(c) > 35) | (F.size(F.split(c, " ")) > 4) | c.rlike("^[a-zäöü]")
-        | F.lower(c).rlike(pattern(f"W({JUNK_WORDS})W", "")) | F.lower(c).rlike(pattern(f"W({COUNTRY_WORDS})W", ""))
+        | F.lower(c).rlike(pattern(rf"\b({JUNK_WORDS})\b", "")) | F.lower(c).rlike(pattern(rf"\b({COUNTRY_WORDS})\b", ""))
     )
     x = F.when(~junk, c)
     x = F.when(x.rlike(r"\s+[A-Z]{4}$") & x.rlike(rf"\s+({CITY_ICAO})"), F.regexp_replace(x, r"\s+[A-Z]{4}$", "")).otherwise(x)

@@ -142,7 +142,7 @@ def _like(expression: str, rules) -> str:
 #: What titles have beside a part's name: every mark of every category, and forms that only patterns find.
 TITLE_MARKS = (*[mark for _, _, in_title, _ in T.CATEGORY_RULES for mark in in_title], "Yak-52 TW", "cj6", "Zlin", "Z-142", "DR 400", "UL", "LSA", "lsa2", "xul", "Unbekannt")
 _MARKED = [
-    (" OR ".join([*[f"contains(t, '{m}')" for m in in_title], *[f"regexp_matches(t, '{p.replace('W', chr(92) + 'b')}')" for p in patterns]]) or "FALSE", name)
+    (" OR ".join([*[f"contains(t, '{m}')" for m in in_title], *[f"regexp_matches(t, '{p}')" for p in patterns]]) or "FALSE", name)
     for name, _, in_title, patterns in T.CATEGORY_RULES
 ]
 #: Beginnings of registrations; letters and digits of the key follow.

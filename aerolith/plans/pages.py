@@ -72,16 +72,23 @@ def url_parts(spark, folder):
 
 @query(r"SELECT page_id, least(coalesce(list_max(list_transform(regexp_extract_all(url, '[?&]page=(\d+)', 1), lambda s: s::INT)), 1), 20)::INT AS n_pages FROM pages")
 def page_numbers(spark, folder):
+    """A first page that says how many there are, as many as the page's URL counts."""
+    from aerolith.sources.event_pages import page_count
+
     found = F.transform(F.regexp_extract_all("url", F.lit(r"[?&]page=(\d+)"), F.lit(1)), lambda s: s.cast("int"))
-    return _pages(spark, folder).select("page_id", F.least(F.coalesce(F.array_max(found), F.lit(1)), F.lit(20)).alias("n_pages"))
+    first = F.concat(F.lit("<p>Seite 1 von "), F.coalesce(F.array_max(found), F.lit(1)).cast("string"), F.lit(" Seiten</p>"))
+    return _pages(spark, folder).select("page_id", page_count("fliegermagazin.de", first).alias("n_pages"))
 
 
 @query(r"""WITH p AS (SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) AS base, least(coalesce(try_cast(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS INT), 1), 20) AS n FROM pages)
 SELECT page_id, base || CASE WHEN k = 1 THEN '' ELSE '?page=' || k END AS page_url FROM (SELECT page_id, base, unnest(range(1, n + 1)) AS k FROM p)""")
 def expand_pages(spark, folder):
+    """The URLs of all pages of a list that has as many as the page's URL counts."""
+    from aerolith.sources.event_pages import page_urls
+
     n = F.least(F.coalesce(F.regexp_extract("url", r"[?&]page=(\d+)", 1).try_cast("int"), F.lit(1)), F.lit(20))
-    p = _pages(spark, folder).select("page_id", F.regexp_extract("url", "^([^?#]*)", 1).alias("base"), F.explode(F.sequence(F.lit(1), n)).alias("k"))
-    return p.select("page_id", F.concat("base", F.when(F.col("k") == 1, "").otherwise(F.concat(F.lit("?page="), F.col("k").cast("string")))).alias("page_url"))
+    p = _pages(spark, folder).select("page_id", F.regexp_extract("url", "^([^?#]*)", 1).alias("base"), n.alias("n"))
+    return p.select("page_id", F.explode(page_urls("iata.org", F.col("base"), F.col("n"))).alias("page_url"))
 
 
 HOSTS = (*T.IMAGE_HOSTS, "example.org", "cdn.aeromarkt.net", "www.aeromarkt.net.example.org")
@@ -120,13 +127,13 @@ def list_pages(spark, folder):
 
 
 @query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS h FROM pages), u AS (SELECT page_id, unnest(h) AS url, generate_subscripts(h, 1) - 1 AS k FROM l)
-SELECT page_id, string_agg(url || '|' || k || '|Bild - Image ' || (k + 1) || '|Picture - Image ' || (k + 1), ' ' ORDER BY k) AS images FROM u GROUP BY page_id""")
+SELECT page_id, coalesce(images, '') AS images FROM pages LEFT JOIN (SELECT page_id, string_agg(url || '|' || k || '|Bild - Image ' || (k + 1) || '|Picture - Image ' || (k + 1), ' ' ORDER BY k) AS images FROM u GROUP BY page_id) USING (page_id)""")
 def image_struct(spark, folder):
     urls = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
     translations = F.create_map(F.lit("en"), F.struct(F.lit("Picture").alias("headline")))
     images = merge.image_structs(urls, F.lit("Bild"), translations, ("de", "en"))
     flat = F.array_join(F.transform(images, lambda i: F.concat_ws("|", i["url"], i["sort_order"].cast("string"), i["alt_text_de"], i["alt_text_en"])), " ")
-    return _pages(spark, folder).where(F.size(urls) > 0).select("page_id", flat.alias("images"))
+    return _pages(spark, folder).select("page_id", flat.alias("images"))
 
 
 #: Sentences of a column text: RE2 has no look-behind, so ends are marked first.

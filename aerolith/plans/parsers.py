@@ -177,9 +177,9 @@ def parse_json_ld(spark, folder):
     K, N, P, SEG, D, E = _keys()
     address = F.when(K % 3 == 1, '"Hauptstr. 1, Ulm"').otherwise('{"streetAddress":"89077 Ulm"}')
     one = _text('{"@type":"Event","name":"Fly-In ', SEG, " ", K, '","startDate":"', _day(D, "yyyy-MM-dd"), 'T10:00:00"', F.when(K % 2 == 0, _text(',"endDate":"', _day(E, "yyyy-MM-dd"), '"')).otherwise(""),
-                ',"location":{"name":"Ulm (EDUM)","address":', address, "}", F.when(K % 5 > 0, _text(',"organizer":{"name":"LSV ', N, '"}')).otherwise(""), F.when(K % 9 == 0, ',"eventStatus":"https://schema.org/EventCancelled"').otherwise(""),
+                ',"location":{"name":"Ulm (EDUM)","address":', address, "}", F.when(K % 5 > 0, _text(',"organizer":{"name":"LSV ', N, '"}')).otherwise(F.when(K % 2 == 0, ',"organizer":"nur ein Name"').otherwise(',"organizer":["a"]')), F.when(K % 9 == 0, ',"eventStatus":"https://schema.org/EventCancelled"').otherwise(""),
                 F.when(K % 3 == 0, ',"description":"Mehr &amp; <b>mehr</b>"').otherwise(""), ',"offers":{"url":"https://u.example/', K, '"}}')
-    row = _text('<script type="application/ld+json">', F.when(K % 2 == 1, _text("[", one, ',{"@type":"Place","name":"P"}]')).otherwise(one), "</script>")
+    row = _text('<script type="application/ld+json">', F.when(K % 2 == 1, _text("[", one, ',{"@type":"Place","name":"P"},{"@type":["Event","Thing"],"name":"Q"},{"@type":"Event","name":"","location":"hier"},7]')).otherwise(one), "</script>")
     return _parsed("ulforum.de", _pages(_rows(spark, folder), _text("https://l.example/", P), row, "<html>", '<script type="application/ld+json">{broken</script></html>'))
 
 
@@ -244,14 +244,14 @@ def parse_fair_home(spark, folder):
 @query(_oracle(
     "k % 7 <> 0",
     source_url="'https://p.example/' || k", category="'meetup'", title="'Hangar-Treffen ' || k || ' (EDMT)'", end_day="strftime(CASE WHEN k % 2 = 0 THEN e ELSE d END, '%Y-%m-%d')", city="CASE WHEN k % 3 = 2 THEN 'Ulm' END",
-    venue="CASE k % 3 WHEN 0 THEN 'Hangar-Treffen ' || k || ' (EDMT)' WHEN 1 THEN 'Tannheim' ELSE 'Halle, Ulm' END", icao="'EDMT'", organiser="CASE WHEN k % 2 = 1 THEN 'pilot-frank.de' ELSE 'Frank' END", description="'Schön ' || k || '.'", event_url="'https://p.example/' || k",
+    venue="CASE k % 3 WHEN 0 THEN 'Hangar-Treffen ' || k || ' (EDMT)' WHEN 1 THEN 'Tannheim' ELSE 'Halle, Ulm' END", icao="'EDMT'", organiser="CASE WHEN k % 2 = 1 THEN 'pilot-frank.de' ELSE 'Frank' END", description="'Schön ' || CASE WHEN k % 5 = 0 THEN '& gut ' ELSE '' END || k || '.'", event_url="'https://p.example/' || k",
 ))
 def parse_feed(spark, folder):
     K, _, P, _, D, E = _keys()
-    row = _text("<item><title>Hangar-Treffen ", K, " (EDMT)</title><link>https://p.example/", K, "</link>", F.when(K % 2 == 0, "<dc:creator><![CDATA[Frank]]></dc:creator>").otherwise(""), '<description><![CDATA[<img src="x">Schön ', K,
-                ". The post X appeared first on Y.]]></description>", F.when(K % 7 > 0, _text("<mec:startDate>", _day(D, "yyyy-MM-dd"), "</mec:startDate>")).otherwise(""), F.when(K % 2 == 0, _text("<mec:endDate>", _day(E, "yyyy-MM-dd"), "</mec:endDate>")).otherwise(""),
+    row = _text("<item>", F.when(K % 3 == 0, '<title lang="de" kind=\'a\'>').otherwise("<title>"), F.when(K % 4 == 1, _text("<![CDATA[Hangar]]>-Treffen")).otherwise("Hangar-Treffen"), " ", K, " (EDMT)</title><link>https://p.example/", K, "</link>", F.when(K % 2 == 0, "<dc:creator><![CDATA[Frank]]></dc:creator>").otherwise(""), '<description><![CDATA[<img src="x">Schön ', F.when(K % 5 == 0, "]]>&amp;amp; gut<![CDATA[ ").otherwise(""), K,
+                ". The post X appeared first on Y.]]></description><description>nicht diese</description>", F.when(K % 7 > 0, _text("<mec:startDate>", _day(D, "yyyy-MM-dd"), "</mec:startDate>")).otherwise(""), F.when(K % 2 == 0, _text("<mec:endDate>", _day(E, "yyyy-MM-dd"), "</mec:endDate>")).otherwise(""),
                 "<mec:location>", _case(K, "", "Tannheim", "Halle, Ulm"), "</mec:location></item>")
-    return _parsed("pilot-frank.de", _pages(_rows(spark, folder), _text("https://l.example/", P), row, '<?xml version="1.0"?><rss><channel>', "</channel></rss>"))
+    return _parsed("pilot-frank.de", _pages(_rows(spark, folder), _text("https://l.example/", P), row, '<?xml version="1.0"?><rss version="2.0" xmlns:mec="urn:m"><channel><title>Termine &amp; mehr</title>', "</channel></rss>"))
 
 
 @query(f"""WITH {BASE}, r AS (SELECT *, CASE WHEN k % 13 = 0 THEN 'no-date' END AS dropped, CASE WHEN k % 19 = 0 THEN 'ended_too_long_ago' END AS invalid FROM c),

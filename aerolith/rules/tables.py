@@ -76,9 +76,9 @@ MANUFACTURER_ALIASES = {
 CATEGORY_RULES = (
     ("Helicopter / Gyrocopter", ("/hubschrauber", "/helicopter"), ("helicopter", "hubschrauber", "gyrocopter", "autogyro", "tragschrauber"), ()),
     ("Glider", ("/segelflugzeug", "/glider"), ("glider", "segelflugzeug", "sailplane", "motorsegler", "motor glider", "tmg"), ()),
-    ("Microlight / Flex-Wing", ("/trike",), ("flex-wing", "flexwing", "paramotor", "motorschirm", "drachenflieger", "hängedrachen", "hängegleiter", "weight-shift", "drachenfläche"), ("WtrikeW",)),
+    ("Microlight / Flex-Wing", ("/trike",), ("flex-wing", "flexwing", "paramotor", "motorschirm", "drachenflieger", "hängedrachen", "hängegleiter", "weight-shift", "drachenfläche"), (r"\btrike\b",)),
     ("Turboprop", ("/turboprop",), ("turboprop", "turbo prop", "king air", "tbm ", "pc-12", "caravan", "meridian", "cheyenne", "conquest", "epic e1000", "kodiak"), ()),
-    ("Jet", ("/jet",), ("citation", "phenom", "learjet", "gulfstream", "falcon ", "challenger", "global ", "canadair", "hondajet", "hawker", "praetor", "legacy 5", "legacy 6", "latitude", "longitude", "beechjet", "embraer ", "bombardier ", "sf50", "vision jet"), ("WjetW",)),
+    ("Jet", ("/jet",), ("citation", "phenom", "learjet", "gulfstream", "falcon ", "challenger", "global ", "canadair", "hondajet", "hawker", "praetor", "legacy 5", "legacy 6", "latitude", "longitude", "beechjet", "embraer ", "bombardier ", "sf50", "vision jet"), (r"\bjet\b",)),
     ("Multi Engine Piston", ("/multiprop", "/mehrmotorig"), ("twin", "multi engine", "zweimotorig", "baron", "seneca", "seminole", "duchess", "apache", "da42", "da62", "p2006", "tecnam p2006", "cessna 310", "cessna 340", "cessna 414", "cessna 421", "piper aztec", "piper navajo"), ()),
     ("Single Engine Piston", ("/singleprop", "/einmotorig", "/kolbenmotorflugzeug"), (
         "yakovlev", "sukhoi su-26", "sukhoi su-29", "sukhoi su-31", "nanchang", "extra 200", "extra 300", "extra 330", "cap 10", "cap 20", "cap 21", "cap 232",
@@ -87,14 +87,14 @@ CATEGORY_RULES = (
         "piper pa-28", "piper pa-32", "piper pa-46", "cherokee", "warrior", "archer", "dakota", "saratoga", "lance ", "arrow", "cub", "bonanza", "debonair",
         "musketeer", "sundowner", "sierra", "mooney m20", "mooney ovation", "mooney acclaim", "cirrus sr", "sr20", "sr22", "diamond da20", "diamond da40",
         "robin dr", "grumman aa", "tiger aa5", "bellanca ", "stinson ", "t-6 texan", "harvard", "t-34 mentor", "nord 3202", "fouga magister", "chipmunk",
-    ), (r"Wyak[-\s]?(3|7|9|11|18|50|52|54|55)W", r"Wcj-?6W", "WzlinW", r"Wz-?(42|43|50|142|143|242|526|726)W", r"Wdr[- ]?400W")),
-    ("Experimental / Homebuilt", ("/experimental",), ("experimental", "eigenbau", "homebuilt", "kit-built", "kitbuilt", "selbstbau", "lancair", "glasair", "sonex", "kitfox"), (r"Wrv-?(3|4|6|7|8|9|10|12|14)W",)),
+    ), (r"\byak[-\s]?(3|7|9|11|18|50|52|54|55)\b", r"\bcj-?6\b", r"\bzlin\b", r"\bz-?(42|43|50|142|143|242|526|726)\b", r"\bdr[- ]?400\b")),
+    ("Experimental / Homebuilt", ("/experimental",), ("experimental", "eigenbau", "homebuilt", "kit-built", "kitbuilt", "selbstbau", "lancair", "glasair", "sonex", "kitfox"), (r"\brv-?(3|4|6|7|8|9|10|12|14)\b",)),
     ("Commercial Airliner", (), ("airliner", "verkehrsflugzeug", "boeing 7", "airbus a3"), ()),
     ("Ultralight / Light Sport Aircraft (LSA)", ("/ul-", "/ultraleicht", "ul-flugzeug", "helmuts-ul-seiten.de"), (
         "ultralight", "ultraleicht", " ul ", "sonaca", "flight design ct", "flight design f", "comco ikarus", "ikarus c42", "ikarus c-42", "c42", "breezer", "bristell",
         "shark aero", "blackshape", "lambada", "wt-9", "wt9", "dynamic wt", "fk9", "fk 9", "fk14", "fk 14", "fk-lightplanes", "b&f fk", "eurofox", "eurostar", "p92",
         "p2002", "tecnam p92", "tecnam p2002", "tecnam p96", "savannah", "savage cub", "sportcruiser", "piper sport", "virus sw", "pipistrel",
-    ), ("WulW", "WlsaW")),
+    ), (r"\bul\b", r"\blsa\b")),
 )
 
 # Categories by the form of a registration, in the order in which they are tried.
@@ -183,11 +183,11 @@ TEXT_COUNTRIES = (
 EVENT_CATEGORIES = ("seminar", "competition", "flying-camp", "airfield-festival", "trade-fair", "airshow", "auction", "webinar", "meetup", "general")
 CATEGORY_NUMBERS = {1: "seminar", 2: "competition", 3: "flying-camp", 4: "airfield-festival", 5: "trade-fair", 6: "general"}
 EVENT_RULES = {
-    "dulv.de": (("airshow|flugshow|flugtag", "airshow"), (r"wettbewerb|meisterschaft|WdmW|cupW|championship", "competition"), ("seminar|fortbildung|schulung|lehrgang|infotag|infotage", "seminar"), ("messe|trade fair|expoW", "trade-fair"), (r"fly[-\s]?in|treffen|festival|pilotenparty", "meetup"), ("", "meetup")),
+    "dulv.de": (("airshow|flugshow|flugtag", "airshow"), (r"wettbewerb|meisterschaft|\bdm\b|cup\b|championship", "competition"), ("seminar|fortbildung|schulung|lehrgang|infotag|infotage", "seminar"), (r"messe|trade fair|expo\b", "trade-fair"), (r"fly[-\s]?in|treffen|festival|pilotenparty", "meetup"), ("", "meetup")),
     "iata.org": (("forum|symposium|summit", "seminar"), ("conference|congress|meeting|agm", "seminar"), ("expo|exhibition|fair", "trade-fair"), ("awards|gala", "general"), ("", "seminar")),
-    "ulforum.de": (("airshow|flugshow|flugtag", "airshow"), ("wettbewerb|meisterschaft|cupW", "competition"), ("seminar|fortbildung|schulung", "seminar"), ("messe|trade fair|expoW", "trade-fair"), (r"fly[-\s]?in|pilotentreffen|treffen", "meetup"), ("", "meetup")),
-    "pilot-frank.de": (("airshow|flugshow|flugtag", "airshow"), ("wettbewerb|meisterschaft|cupW", "competition"), ("seminar|fortbildung|schulung", "seminar"), ("messe|expoW|aeroW", "trade-fair"), (r"fly[-\s]?in|pilotentreffen|treffen|hangar", "meetup"), ("", "general")),
-    "nbaa.org": (("convention|exhibition|expo|baceW", "trade-fair"), ("seminar|workshop|course|pdp", "seminar"), ("conference|symposium|forum|summit", "seminar"), ("awards|gala", "general"), ("", "seminar")),
+    "ulforum.de": (("airshow|flugshow|flugtag", "airshow"), (r"wettbewerb|meisterschaft|cup\b", "competition"), ("seminar|fortbildung|schulung", "seminar"), (r"messe|trade fair|expo\b", "trade-fair"), (r"fly[-\s]?in|pilotentreffen|treffen", "meetup"), ("", "meetup")),
+    "pilot-frank.de": (("airshow|flugshow|flugtag", "airshow"), (r"wettbewerb|meisterschaft|cup\b", "competition"), ("seminar|fortbildung|schulung", "seminar"), (r"messe|expo\b|aero\b", "trade-fair"), (r"fly[-\s]?in|pilotentreffen|treffen|hangar", "meetup"), ("", "general")),
+    "nbaa.org": ((r"convention|exhibition|expo|bace\b", "trade-fair"), ("seminar|workshop|course|pdp", "seminar"), ("conference|symposium|forum|summit", "seminar"), ("awards|gala", "general"), ("", "seminar")),
     "eurocontrol.int": (("forum|symposium|summit|conference|congress|meeting", "seminar"), ("workshop|webinar|training|course", "seminar"), ("awards|gala", "general"), ("", "seminar")),
     "fliegermagazin.de": (("flugtag", "airfield-festival"), ("messe|expo", "trade-fair"), ("airshow|flugshow", "airshow"), ("seminar|schulung", "seminar"), ("wettbewerb", "competition"), (r"fly[-\s]?in|treffen", "meetup"), ("", "general")),
 }
@@ -209,11 +209,11 @@ URL_CATEGORY_HINTS = {
 
 # Models: patterns of which any makes a string unfit for a model's name (besides its length and number of words).
 NOT_MODEL = (
-    "^(rotax|lycoming|continental|jabiru|hirth|polini|bmw|teledyne|superior)W", r"^\s*(rotax\s*)?91[2456]\s*(i?s|uls|ul|is)?\s*$", r"^\s*(rotax\s*)?(582|503|447)\s*(uls|ul)?\s*$",
-    "^(t?s?io?-?(200|240|300|320|346|360|470|520|540|550))W", "^(aeio|t?io|o)-?(235|290|320|360|390|480|540|580|720)W", r"^(jabiru\s*)?(2200|3300)W",
-    "^[A-Z]{1,2}-[A-Z]{2,4}W", r"^N\d{1,5}[A-Z]{0,2}$", r"^\d{1,3}([.,]\d{3})*\s*(€|EUR|,-)?$", "@",
-    "W(zustand|verkauf|baujahr|stunden|preis|motorW|biete|kaufe|gesucht|aufgabe|demoflu(?:gzeug)?|versteuert|ttaf|airch|einziehfahrwerk|dynon(?:avionics)?|skyview|equipment|ausstattung|inklusive|instrument(?:ierung)?|neuwertig)",
-    r"WBj\.?W",
+    r"^(rotax|lycoming|continental|jabiru|hirth|polini|bmw|teledyne|superior)\b", r"^\s*(rotax\s*)?91[2456]\s*(i?s|uls|ul|is)?\s*$", r"^\s*(rotax\s*)?(582|503|447)\s*(uls|ul)?\s*$",
+    r"^(t?s?io?-?(200|240|300|320|346|360|470|520|540|550))\b", r"^(aeio|t?io|o)-?(235|290|320|360|390|480|540|580|720)\b", r"^(jabiru\s*)?(2200|3300)\b",
+    r"^[A-Z]{1,2}-[A-Z]{2,4}\b", r"^N\d{1,5}[A-Z]{0,2}$", r"^\d{1,3}([.,]\d{3})*\s*(€|EUR|,-)?$", "@",
+    r"\b(zustand|verkauf|baujahr|stunden|preis|motor\b|biete|kaufe|gesucht|aufgabe|demoflu(?:gzeug)?|versteuert|ttaf|airch|einziehfahrwerk|dynon(?:avionics)?|skyview|equipment|ausstattung|inklusive|instrument(?:ierung)?|neuwertig)",
+    r"\bBj\.?\b",
 )
 SALE_PREFIXES = (r"^(zu\s+)?verkauf[e]?\s*[:.]?\s*", r"^(for\s+)?sale\s*[:.]?\s*", r"^angeboten\s+wird\s*", r"^verkaufe\s*[:.]?\s*", r"^biete\s*[:.]?\s*")
 MODEL_ENDS = r"\s+(?:Baujahr|BJ\.?|Betriebsstunden|TT:|TTAF|Motor:|Standort|Zustand|Preis|EUR|€|\d{2}\.\d{2}\.\d{4})"
@@ -221,7 +221,7 @@ PARTS_CATEGORY_IDS = {"avionics": 1, "engines": 2, "propellers": 3, "rescue": 5,
 
 # Images: hosts that are allowed, marks of advertisements, and first bytes of formats.
 IMAGE_HOSTS = ("www.helmuts-ul-seiten.de", "helmuts-ul-seiten.de", "www.aircraft24.de", "aircraft24.de", "www.aeromarkt.net", "aeromarkt.net")
-AD_PATTERNS = ("advertisement", "banner", "sponsor", r"Wad[_-]?\d", "google_ads", "doubleclick")
+AD_PATTERNS = ("advertisement", "banner", "sponsor", r"\bad[_-]?\d", "google_ads", "doubleclick")
 
 # Brands of parts, in the order in which they are looked for.
 PART_BRANDS = (

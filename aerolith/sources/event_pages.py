@@ -171,22 +171,23 @@ def fliegermagazin(pages: DataFrame) -> DataFrame:
                   organiser=F.lit("fliegermagazin.de"), event_url=F.col("link"), latitude=F.col("at.lat"), longitude=F.col("at.lon"))
 
 
-LD = "@type string, name string, startDate string, endDate string, eventStatus string, location struct<name:string,address:string>, organizer struct<name:string,url:string>, offers struct<url:string>, url string, description string"
-
-
 def ulforum(pages: DataFrame) -> DataFrame:
-    """JSON-LD events, one or an array in each script; native throughout."""
+    """JSON-LD events, one or an array in each script: each script is parsed once, to a variant, and fields are taken from
+    that, whatever they hold; a field of another kind than asked for is its text."""
     scripts = F.regexp_extract_all("payload", F.lit(r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""), F.lit(1))
-    one = F.trim(F.col("raw"))
-    kind = "array<struct<" + ", ".join(f"`{x.split(' ')[0]}`: {x.split(' ', 1)[1]}" for x in LD.split(", ")) + ">>"
-    df = pages.withColumn("raw", F.explode(scripts)).drop("payload")
-    df = df.withColumn("e", F.explode(F.from_json(F.when(one.startswith("["), one).otherwise(F.concat(F.lit("["), one, F.lit("]"))), kind))).where("e.`@type` = 'Event'")
+    df = once(pages.withColumn("raw", F.explode(scripts)).drop("payload"), {"__v": F.try_parse_json(F.trim("raw"))}).where("__v IS NOT NULL")
+    many = F.schema_of_variant("__v").startswith("ARRAY")
+    df = df.withColumn("__e", F.explode(F.when(many, F.try_variant_get("__v", "$", "array<variant>")).otherwise(F.array("__v"))))
+    at = lambda path: F.try_variant_get("__e", path, "string")
+    paths = {"type": "$['@type']", "name": "$.name", "status": "$.eventStatus", "start": "$.startDate", "end": "$.endDate", "place": "$.location.name", "address": "$.location.address", "street": "$.location.address.streetAddress",
+             "organizer": "$.organizer.name", "offer": "$.offers.url", "url": "$.url", "description": "$.description"}
+    df = once(df, {"e": F.struct(*[at(path).alias(name) for name, path in paths.items()])}).drop("__v", "__e", "raw").where("e.type = 'Event'")
     df = df.withColumn("title", X.clean_text(F.coalesce(F.col("e.name"), F.lit(""))))
-    df = _gate(_gate(df, "title <> ''", "no-title"), "NOT coalesce(e.eventStatus LIKE '%EventCancelled%', false)", "cancelled")
-    df = _gate(df.withColumn("start", D.midnight(F.col("e.startDate")).cast("timestamp_ntz")), "start IS NOT NULL", "no-date").withColumn("end", F.coalesce(D.midnight(F.col("e.endDate")).cast("timestamp_ntz"), F.col("start")))
-    raw_venue = F.coalesce(F.col("e.location.name"), F.lit(""))
-    address = F.when(F.col("e.location.address").startswith("{"), F.get_json_object("e.location.address", "$.streetAddress")).otherwise(F.col("e.location.address"))
-    df = df.withColumn("v", X.venue_icao(raw_venue)).withColumn("organiser", F.coalesce(given(F.trim("e.organizer.name")), F.lit("ulforum.de"))).withColumn("link", F.coalesce(given(F.trim("e.offers.url")), given(F.trim("e.url"))))
+    df = _gate(_gate(df, "title <> ''", "no-title"), "NOT coalesce(e.status LIKE '%EventCancelled%', false)", "cancelled")
+    df = _gate(df.withColumn("start", D.midnight(F.col("e.start")).cast("timestamp_ntz")), "start IS NOT NULL", "no-date").withColumn("end", F.coalesce(D.midnight(F.col("e.end")).cast("timestamp_ntz"), F.col("start")))
+    raw_venue = F.coalesce(F.col("e.place"), F.lit(""))
+    address = F.when(F.col("e.address").startswith("{"), F.col("e.street")).otherwise(F.col("e.address"))
+    df = df.withColumn("v", X.venue_icao(raw_venue)).withColumn("organiser", F.coalesce(given(F.trim("e.organizer")), F.lit("ulforum.de"))).withColumn("link", F.coalesce(given(F.trim("e.offer")), given(F.trim("e.url"))))
     url = F.coalesce(F.col("link"), content_id(F.col("page_url"), F.col("title"), F.date_format("start", "yyyy-MM-dd"), F.col("organiser")))
     return _event(df, "ulforum.de", source_url=url, category=event_category("ulforum.de", F.col("title")), city=F.coalesce(X.venue_city(F.coalesce(address, F.lit(""))), X.venue_city(raw_venue)), venue=F.coalesce(given(F.col("v.name")), F.lit("Unbekannt")),
                   icao=F.col("v.icao"), description=given(X.clean_text(F.col("e.description"))), event_url=F.col("link"))
@@ -247,22 +248,27 @@ def aero(pages: DataFrame) -> DataFrame:
                   latitude=F.lit(47.6716), longitude=F.lit(9.5111), source_locale=F.when(german, "de").otherwise("en"))
 
 
-def pilot_frank(pages: DataFrame) -> DataFrame:
-    """An RSS feed with elements of two other namespaces; native throughout. Anything but XML has no events."""
+#: What is read of a feed; an element that comes several times counts once, the first time.
+FEED_TAGS = ("title", "link", "description", "dc:creator", "mec:startDate", "mec:endDate", "mec:location")
+FEED = "channel struct<item: array<struct<" + ", ".join(f"`{x}`: array<string>" for x in FEED_TAGS) + ">>>"
 
-    def tag(name: str) -> Column:
-        raw = F.regexp_extract("item", rf"(?s)<{name}(?:\s[^>]*)?>(.*?)</{name}>", 1)
-        return F.regexp_replace(raw, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
 
-    items = F.regexp_extract_all("payload", F.lit(r"(?s)<item(?:\s[^>]*)?>.*?</item>"), F.lit(0))
-    df = pages.where(F.ltrim("payload").startswith("<?xml")).withColumn("item", F.explode(items)).drop("payload").withColumn("title", X.clean_text(tag("title")))
+def pilot_frank(pages: DataFrame) -> DataFrame:
+    """An RSS feed with elements of two other namespaces, read by Spark's XML parser. Anything but XML has no events; XML
+    that doesn't parse has a row with a reason. Entities that XML does not know are left for the texts' own cleaning."""
+    sound = F.regexp_replace(F.ltrim("payload"), "&(?!(?:amp|lt|gt|quot|apos|#\\d+|#x[0-9A-Fa-f]+);)", "&amp;")
+    df = once(pages.where(F.ltrim("payload").startswith("<?xml")), {"__x": F.from_xml(sound, FEED)}).drop("payload")
+    kind = df.select("__x.channel.item").schema["item"].dataType
+    items = F.when(F.col("__x.channel").isNull(), F.array(F.lit(None)).cast(kind)).otherwise(F.coalesce("__x.channel.item", F.array().cast(kind)))
+    df = df.withColumn("item", F.explode(items)).drop("__x")
+    tag = lambda name: F.coalesce(F.try_element_at(F.col(f"item.`{name}`"), F.lit(1)), F.lit(""))
+    df = _gate(df, F.col("item").isNotNull(), "malformed-xml").withColumn("title", X.clean_text(tag("title")))
     df = _gate(df, "title <> ''", "no-title").withColumn("start", D.midnight(tag("mec:startDate")).cast("timestamp_ntz"))
     df = _gate(df, "start IS NOT NULL", "no-date").withColumn("end", F.coalesce(D.midnight(tag("mec:endDate")).cast("timestamp_ntz"), F.col("start")))
     df = df.withColumn("link", given(F.trim(tag("link")))).withColumn("place", X.clean_text(tag("mec:location"))).withColumn("organiser", F.coalesce(given(X.clean_text(tag("dc:creator"))), F.lit("pilot-frank.de"))).withColumn("v", X.venue_icao(F.col("place")))
     url = F.coalesce(F.col("link"), content_id(F.col("page_url"), F.col("title"), F.date_format("start", "yyyy-MM-dd"), F.col("organiser")))
-    entities = F.replace(F.replace(F.replace(tag("description"), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
     return _event(df, "pilot-frank.de", source_url=url, category=event_category("pilot-frank.de", F.col("title")), city=X.venue_city(F.col("place")), venue=F.coalesce(given(F.col("v.name")), given(F.col("place")), F.col("title")),
-                  icao=F.coalesce(F.col("v.icao"), found(F.col("title"), r"\(\s*([A-Z]{4})\s*\)")), description=X.feed_description(entities), event_url=F.col("link"))
+                  icao=F.coalesce(F.col("v.icao"), found(F.col("title"), r"\(\s*([A-Z]{4})\s*\)")), description=X.feed_description(tag("description")), event_url=F.col("link"))
 
 
 def calendar_feeds(pages: DataFrame, now: Column, calendars: DataFrame | None) -> DataFrame:

@@ -22,9 +22,9 @@ from aerolith.sources.cards import Cards, Folds, cards, folds
 
 SERIAL = r"(?iu)(?:Werk[- ]?Nr\.?|S/N|Seriennummer|Serial)[:\s]*([A-Z0-9][\w-]{1,20})"
 MARKED_REGISTRATION = r"(?iu)(?:Kennzeichen|Kennz\.?|Zulassung|Registration)[:\s]*([A-Z]{1,2}-[A-Z0-9]{2,5})"
-FREE_REGISTRATION = pattern("W(D-[A-Z0-9]{3,4}|OE-[A-Z]{3}|HB-[A-Z]{3}|G-[A-Z]{4}|F-[A-Z]{4}|I-[A-Z]{4}|N[0-9]{1,5}[A-Z]{0,2}|SP-[A-Z]{3}|OY-[A-Z]{3}|OK-[A-Z]{3}|SE-[A-Z]{3}|LN-[A-Z]{3}|PH-[A-Z]{3})W", "")
-ANY_REGISTRATION = pattern("W([A-Z]{1,2}-[A-Z0-9]{2,5})W", "")
-ICAO_IN_TEXT = pattern(f"W((?:{T.ICAO_TEXT_STARTS})[A-Z]{{2}})W", "")
+FREE_REGISTRATION = pattern(r"\b(D-[A-Z0-9]{3,4}|OE-[A-Z]{3}|HB-[A-Z]{3}|G-[A-Z]{4}|F-[A-Z]{4}|I-[A-Z]{4}|N[0-9]{1,5}[A-Z]{0,2}|SP-[A-Z]{3}|OY-[A-Z]{3}|OK-[A-Z]{3}|SE-[A-Z]{3}|LN-[A-Z]{3}|PH-[A-Z]{3})\b", "")
+ANY_REGISTRATION = pattern(r"\b([A-Z]{1,2}-[A-Z0-9]{2,5})\b", "")
+ICAO_IN_TEXT = pattern(rf"\b((?:{T.ICAO_TEXT_STARTS})[A-Z]{{2}})\b", "")
 
 #: Numbers with labels and units in German prose.
 MEASURES = {
@@ -50,9 +50,9 @@ RESIDUE = (
 
 def specs(text: Column) -> dict[str, Column]:
     """The columns that a listing's prose yields, one expression each."""
-    engine = X.clean_text(found(text, pattern(r"WMotor\s*:\s*([^•\n]{3,80})")))
-    engine = F.trim(chain(engine, (pattern(r"\s*(?:Motorstunden|Motorbetriebsstunden|Motor-Std|Motor-BZ|TTSN|TTAF|Zelle|Ausstattung|Baujahr|WTTW|W\d{3,}\s*hW).*"), ""), (r"(?iu)\s+-\s+(?:Funk|Transponder|Flarm|GPS|MGL|Garmin|ADS|VHF|UKW|Stratos|ELT|Avionik).*", "")))
-    hours = F.coalesce(found(text, r"(?iu)(?:Betriebsstunden|TT(?:AF)?|Flugstunden)[:\s]*([\d.,]+)"), found(text, pattern(r"(\d+)\s*(?:Stunden|Std|h)W")))
+    engine = X.clean_text(found(text, pattern(r"\bMotor\s*:\s*([^•\n]{3,80})")))
+    engine = F.trim(chain(engine, (pattern(r"\s*(?:Motorstunden|Motorbetriebsstunden|Motor-Std|Motor-BZ|TTSN|TTAF|Zelle|Ausstattung|Baujahr|\bTT\b|\b\d{3,}\s*h\b).*"), ""), (r"(?iu)\s+-\s+(?:Funk|Transponder|Flarm|GPS|MGL|Garmin|ADS|VHF|UKW|Stratos|ELT|Avionik).*", "")))
+    hours = F.coalesce(found(text, r"(?iu)(?:Betriebsstunden|TT(?:AF)?|Flugstunden)[:\s]*([\d.,]+)"), found(text, pattern(r"(\d+)\s*(?:Stunden|Std|h)\b")))
     check = found(text, r"(?iu)(?:JNP|Jahresnachprüfung)[:\s]*(\d{2}\.\d{2}\.\d{4}|\d{2}/\d{4}|\w+\s+\d{4})")
     parts = F.filter(F.transform(F.split(text, "[•\n]"), lambda x: F.trim(x)), lambda s: (F.length(s) > 2) & (F.length(s) < 200) & s.rlike("|".join(T.AVIONICS_WORDS)))
     out = {
@@ -141,8 +141,8 @@ def prose_parts(pages: DataFrame, source: str) -> DataFrame:
 INDEX_CARDS = Cards(".listing, .result-item, tr.item, .aircraft-item", {"html": ("", "html"), "text": ("", "text"), "link": ("a[href*='--xi']", "last:href"), "images": ("img", "all:src")}, {"title": (("a", "text"), ("b, strong", "text"))},
                     least_html=50, parents_of="a[href*='--xi']", least_parent=30)
 TITLE_ENDS = (
-    r"(?su)€\s*[\d.,]+.*$", r"(?siu)Preis auf Anfrage.*$", pattern(r"WBj\.?\s*:?\s*\d{4}.*$", "siu"), pattern("WTTAFW.*$", "siu"), pattern("WStandortW.*$", "siu"), pattern("WEU versteuert.*$", "siu"),
-    pattern("WNettopreisW.*$", "siu"), pattern(r"WSeriennr\.?W.*$", "siu"), pattern(r"WReg\.?\s*Nr\.?W.*$", "siu"), pattern("WJahresnachpr[üu]fungW.*$", "siu"), pattern(r"WTyp:\s*\w+.*$", "siu"), r"(?siu)CHF\s*[\d.,]+.*$",
+    r"(?su)€\s*[\d.,]+.*$", r"(?siu)Preis auf Anfrage.*$", pattern(r"\bBj\.?\s*:?\s*\d{4}.*$", "siu"), pattern(r"\bTTAF\b.*$", "siu"), pattern(r"\bStandort\b.*$", "siu"), pattern(r"\bEU versteuert.*$", "siu"),
+    pattern(r"\bNettopreis\b.*$", "siu"), pattern(r"\bSeriennr\.?\b.*$", "siu"), pattern(r"\bReg\.?\s*Nr\.?\b.*$", "siu"), pattern(r"\bJahresnachpr[üu]fung\b.*$", "siu"), pattern(r"\bTyp:\s*\w+.*$", "siu"), r"(?siu)CHF\s*[\d.,]+.*$",
 )
 
 

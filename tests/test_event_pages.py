@@ -111,3 +111,13 @@ def test_dropped_rows_have_reasons(spark):
     }
     kept = {r.title: r for r in E.events(landed, F.lit(NOW).cast("timestamp_ntz"), ["vereinsflieger.de", "ics-feed"], calendars).collect()}
     assert set(kept) == {"C", "Da"} and (kept["Da"].organiser, kept["Da"].country, kept["Da"].category, kept["Da"].start) == ("Club", "AT", "seminar", dt.datetime(2026, 5, 2, 8))
+
+
+def test_feeds_are_xml(spark):
+    """Attributes, nested CDATA, entities known and unknown to XML; a feed that breaks off says so."""
+    xml = """  <?xml version="1.0"?><rss version="2.0"><channel><title>Alle</title><item a="1"><title lang="de">Fest &amp; Markt&nbsp;(EDMT) <![CDATA[<b>am]]]]><![CDATA[> Platz</b>]]></title><link>https://p/1?a=1&amp;b=2</link>
+    <mec:startDate>2026-08-01</mec:startDate><description>&lt;p&gt;Gut &amp;amp; sch&#246;n&lt;/p&gt;</description></item><item/></channel></rss>"""
+    landed = spark.createDataFrame([("https://f/", xml), ("https://g/", "<?xml version='1.0'?><rss><channel><item><title>x"), ("https://h/", "<html>"), ("https://i/", "<?xml version='1.0'?><rss><channel/></rss>")], "page_url string, payload string")
+    got = sorted(((r.page_url, r.title, r.drop_reason, r.source_url, r.description) for r in E.pilot_frank(landed).collect()), key=str)
+    assert [g[:3] for g in got] == [("https://f/", "", "no-title"), ("https://f/", "Fest & Markt (EDMT) am]]> Platz", None), ("https://g/", "", "malformed-xml")]
+    assert any(g[3] == "https://p/1?a=1&b=2" and g[4] == "Gut & schön" for g in got)
