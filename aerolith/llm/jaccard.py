@@ -359,7 +359,9 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words:
     per_class = classes.select("node", "copies", F.col("id").alias("class_id"), F.col("tie").alias("class_tie"))
     per_class = per_class.join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(components, "node", "left")
     per_class = per_class.withColumn("component", F.coalesce("component", "node"))
-    heads = per_class.groupBy("component").agg(F.min(F.struct("class_id", "class_tie")).alias("head"))
+    # written, both of them, so that the join can be split where one component is very large
+    per_class = written(per_class, "jaccard-classes-linked")
+    heads = written(per_class.groupBy("component").agg(F.min(F.struct("class_id", "class_tie")).alias("head")), "jaccard-heads")
     per_class = per_class.join(heads, "component").select(F.col("node").alias("n"), "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "head")
     out = every.select("id", "tie", "node", "n_grams").join(per_class, F.col("node") == F.col("n"), "left")
     single = F.col("node").isNull()
@@ -373,7 +375,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words:
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with one row of each component: the smallest id and, of equal rows, any one. All columns are kept."""
-    i, t, tie, own, nth = free_names(docs, "i", "t", "tie", "own", "nth")
+    i, t, tie, own = free_names(docs, "i", "t", "tie", "own")
     kept = join(docs, id_column, text, **options).where("first").select(F.col("id").alias(i), F.col("tie").alias(t)).distinct()
     data = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     left = docs.withColumn(tie, F.xxhash64(data))
@@ -381,5 +383,4 @@ def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
     # rows without words are no copies of each other: each has a number of its own
     empty = F.trim(F.regexp_replace(data, r"[\x20\x09-\x0D]+", "")) == ""
     left = left.withColumn(own, F.when(empty, F.monotonically_increasing_id()))
-    left = left.withColumn(nth, F.row_number().over(Window.partitionBy(F.col(f"`{id_column}`"), tie, own).orderBy(F.lit(1))))
-    return left.where(F.col(nth) == 1).drop(tie, own, nth)
+    return left.dropDuplicates([id_column, tie, own]).drop(tie, own)

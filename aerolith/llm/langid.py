@@ -11,9 +11,11 @@ The log frequency of a known word is that of words, an unseen word's that of n-g
 between languages only, where the difference of scales is the same for all.
 
 The model is a classifier fitted on a bounded sample of labelled rows: of each language about `SAMPLE_DOCS` documents at
-most, chosen by a digest of their id and text. All words and n-grams of these are in it, however rare, so no language's
-evidence is crowded out by another's; it is collected and broadcast, and its size is bounded by the sample. All documents
-are predicted over their whole texts.
+most, and as many as make its share of `SAMPLE_BYTES` bytes of text, chosen by a digest of their id and text; a text that
+is longer than an eighth of that share, by powers of two, teaches nothing. All words and n-grams of the sample are in it, however rare, so no
+language's evidence is crowded out by another's; a sample that has more than `MOST_ENTRIES` of them is halved until it
+has not. The model is collected and broadcast: for each entry it holds the languages that have it, not all of them. All
+documents are predicted over their whole texts, a stretch of words at a time.
 
 Defined results: a text that is null or has no letter is `und` with score 0, as is every text if nothing could be
 learned. Of languages with equal scores the first by name is taken. Rows with a null text or language teach nothing.
@@ -22,20 +24,28 @@ The driver holds a row for each language. Extra columns are kept, but one that h
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.common import small_pieces, take_over, values
+from aerolith.llm.common import deleted, small_pieces, take_over, values, written
 
 SAMPLE_DOCS = 600
+SAMPLE_BYTES = 48 << 20
+MOST_ENTRIES = 4_000_000
 LONGEST = 5
-MOST_REMEMBERED = 300_000
+#: Bytes of the scores of words that a worker remembers, and of those that it sums up at a time.
+MOST_REMEMBERED_BYTES = 64 << 20
+STRETCH_BYTES = 32 << 20
 RUN = re.compile(r"[^\W\d_]+")
 UND = "und"
 
@@ -49,60 +59,95 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[k : k + n] for k in range(len(marked) - n + 1)] if n > 1 else list(word)
 
 
+def stretches(text: str, size: int) -> Iterator[list[str]]:
+    """The words of a text, so many at a time."""
+    found = RUN.finditer(text.lower())
+    while some := [m[0] for m in islice(found, size)]:
+        yield some
+
+
+@dataclass
+class Entries:
+    """Words, or n-grams of one length: the row of each, and for each row the languages that have it and by how much its
+    log frequency there is above that of an entry that a language lacks."""
+
+    place: dict[str, int]
+    start: np.ndarray
+    language: np.ndarray
+    above: np.ndarray
+    lacking: np.ndarray  # by language
+
+    def scores(self, rows: list[int]) -> np.ndarray:
+        """By language, the mean log frequency of these rows."""
+        out = np.zeros(len(self.lacking))
+        for row in rows:
+            some = slice(self.start[row], self.start[row + 1])
+            out[self.language[some]] += self.above[some]
+        return self.lacking + out / len(rows)
+
+
 class Model:
     """Log frequencies of words and n-grams by language."""
 
     def __init__(self, languages: list[str], entries: Iterable[tuple[int, str, int, int]]):
         """entries: (n, string, language number, count); n is 0 for a word, else the length of an n-gram."""
         size = len(languages)
-        totals = np.zeros((LONGEST + 1, size))
         places: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        where = [], [], [], []  # (n, place, language, count) of each entry
+        where: list[tuple[array, array, array]] = [(array("q"), array("q"), array("q")) for _ in places]  # row, language, count
         for n, text, language, count in entries:
-            for column, x in zip(where, (n, places[n].setdefault(text, len(places[n])), language, count), strict=True):
+            row = places[n].setdefault(text, len(places[n]))
+            for column, x in zip(where[n], (row, language, count), strict=True):
                 column.append(x)
-            totals[n, language] += count
-        kinds, rows, numbers, counts = (np.array(x, np.int64) for x in where)
-        logs = []
-        for n, held in enumerate(places):
-            table, own = np.zeros((len(held), size)), kinds == n
-            np.add.at(table, (rows[own], numbers[own]), counts[own])
-            logs.append((np.log(table + 0.5) - np.log(totals[n] + 0.5 * (len(held) + 1))).astype(np.float32))
-        self.learn(languages, places, logs)
-
-    def learn(self, languages: list[str], places: list[dict[str, int]], logs: list[np.ndarray]) -> None:
-        """places: by length, the row of each string in logs, which has a column for each language."""
-        self.languages, self.places, self.logs = languages, places, logs
+        tables = []
+        for place, columns in zip(places, where, strict=True):
+            rows, numbers, counts = (np.frombuffer(c, np.int64) if len(c) else np.zeros(0, np.int64) for c in columns)
+            order = np.argsort(rows, kind="stable")
+            start = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(place)))]).astype(np.int64)
+            totals = np.bincount(numbers, counts, size) if size else np.zeros(0)
+            lacking = np.log(0.5) - np.log(totals + 0.5 * (len(place) + 1))
+            above = np.log(counts[order] + 0.5) - np.log(0.5)
+            tables.append(Entries(place, start, numbers[order].astype(np.int32), above.astype(np.float32), lacking))
+        self.learn(languages, tables)
+
+    def learn(self, languages: list[str], tables: list[Entries]) -> None:
+        self.languages, self.tables = languages, tables
         self.place: dict[str, int] = _Places(self)
+        width = 8 * max(1, len(languages))
+        self.most, self.stretch = max(1024, MOST_REMEMBERED_BYTES // width), max(1024, STRETCH_BYTES // width)
         self.table = np.zeros((1024, len(languages)))
 
     @classmethod
-    def of(cls, languages: list[str], places: list[dict[str, int]], logs: list[np.ndarray]) -> Model:
+    def of(cls, languages: list[str], tables: list[Entries]) -> Model:
         out = cls.__new__(cls)
-        out.learn(languages, places, logs)
+        out.learn(languages, tables)
         return out
 
     def word(self, word: str) -> np.ndarray:
-        at = self.places[0].get(word)
+        at = self.tables[0].place.get(word)
         if at is not None:
-            return self.logs[0][at]
+            return self.tables[0].scores([at])
         for n in range(LONGEST, 0, -1):
-            held = self.places[n]
+            held = self.tables[n].place
             found = [held[g] for g in grams(word, n) if g in held]
             if found:
-                return self.logs[n][found].mean(axis=0, dtype=np.float64)
+                return self.tables[n].scores(found)
         return np.zeros(len(self.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text or "")
-        if not words or not self.languages or not any(c.isalpha() for w in words for c in w):
+        if not text or not self.languages:
+            return UND, 0.0
+        n, letters, sums = 0, False, np.zeros(len(self.languages))
+        for words in stretches(text, self.stretch):
+            if len(self.place) > self.most:
+                self.place.clear()
+            letters = letters or any(c.isalpha() for w in words for c in w)
+            places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))  # the table may grow
+            sums += self.table[places].sum(axis=0)
+            n += len(words)
+        if not n or not letters:
             return UND, 0.0
-        if len(self.place) > MOST_REMEMBERED:
-            self.place.clear()
-        places = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        sums = self.table[places].sum(axis=0)
         best = int(np.argmax(sums))
-        shares = np.exp((sums - sums[best]) / len(words))
+        shares = np.exp((sums - sums[best]) / n)
         return self.languages[best], float(1 / shares.sum())
 
     def remember(self, word: str) -> int:
@@ -123,17 +168,25 @@ class _Places(dict):
         return at
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
+def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """A model of the languages of docs (rows with a null language are left out)."""
     source, label = F.col(f"`{text}`").cast("string"), F.col(f"`{lang}`").cast("string")
-    rows = docs.select(F.xxhash64(F.col(f"`{id_column}`").cast("string"), source).alias("h"), source.alias("text"), label.alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    held = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(held)
+    rows = docs.select(F.xxhash64(F.col(f"`{id_column}`").cast("string"), source).alias("h"), source.alias("text"), F.octet_length(source).alias("size"), label.alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
+    # texts by the power of two above their size: what may teach is known once the number of languages is
+    held = rows.groupBy("lang", F.length(F.bin("size")).alias("power")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()
+    languages = sorted({r.lang for r in held})
     if not languages:
         return Model([], [])
-    number = {name: k for k, name in enumerate(languages)}
-    share = F.element_at(F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, sample_docs / held[name]))]), F.col("lang"))
-    sample = rows.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
+    own = sample_bytes / len(languages)
+    longest = max(8, math.floor(math.log2(max(2.0, own / 8))))
+    good = [r for r in held if r.power <= longest]
+    docs_of, bytes_of = Counter(), Counter()
+    for r in good:
+        docs_of[r.lang] += r.n
+        bytes_of[r.lang] += r.bytes
+    shares = [(name, k, min(1.0, sample_docs / max(1, docs_of[name]), own / max(1, bytes_of[name]))) for k, name in enumerate(languages)]
+    shares = docs.sparkSession.createDataFrame(shares, "of string, number int, share double")
+    labelled = rows.where(F.length(F.bin("size")) <= longest).join(shares, F.col("lang") == F.col("of")).withColumn("at", F.pmod("h", F.lit(1 << 30)) / (F.col("share") * (1 << 30)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -146,8 +199,8 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: st
 
         for batch in small_pieces(batches):
             words: dict[int, Counter] = {}
-            for language, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words.setdefault(number[language], Counter()).update(words_of(text))
+            for language, text in zip(batch.column("number").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words.setdefault(language, Counter()).update(words_of(text))
             for language, found in words.items():
                 for word, count in found.items():
                     seen[language, 0, word] += count
@@ -158,14 +211,22 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: st
                 yield out()
         yield out()
 
-    counts = sample.mapInArrow(counted, "language int, n int, entry string, count long").groupBy("language", "n", "entry").agg(F.sum("count").alias("count"))
+    part = 1.0
+    while True:
+        some = labelled.where(F.col("at") < part).select("number", "text")
+        counts = some.mapInArrow(counted, "language int, n int, entry string, count long").groupBy("language", "n", "entry").agg(F.sum("count").alias("count"))
+        counts = written(counts, "language-counts")
+        if counts.count() <= MOST_ENTRIES:
+            break
+        deleted(counts)
+        part /= 2
     every = counts.select("n", "entry", "language", "count").toArrow()
     return Model(languages, zip(*(values(every.column(k).combine_chunks()) for k in range(4)), strict=True))
 
 
 def identified(text: Column, model: Model, spark) -> Column:
     """A struct of lang_pred and score of a text column."""
-    shared = spark.sparkContext.broadcast((model.languages, model.places, model.logs))
+    shared = spark.sparkContext.broadcast((model.languages, model.tables))
     models: dict[int, Model] = {}
 
     @F.arrow_udf("lang_pred string, score double")

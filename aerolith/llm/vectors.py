@@ -40,8 +40,8 @@ SAMPLE = 65_536
 MOST_SAMPLE_BYTES = 64 << 20
 LIST_SIZE = 200
 MOST_CENTRES = 16_384
-#: Lists that a vector visits at least, without any link in the sample, and at most.
-LEAST_PROBES, PROBES, MOST_PROBES = 8, 32, 128
+#: Lists that a vector visits at least, and without any link in the sample.
+LEAST_PROBES, PROBES = 8, 32
 MEASURED = 1024
 SUBSPACES = 8
 WORDS = 256
@@ -131,7 +131,8 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -
 
 def needed_probes(index: Index, sample: np.ndarray, threshold: float, measured: int = MEASURED, links: int = 64, most: int = 256) -> int | None:
     """How many lists the vectors of a sample must visit, so that up to `links` links of each of some of them are found
-    from either side: 1 if no link leaves a list, null without any link."""
+    from either side: 1 if no link leaves a list, null without any link. Where `most` lists are too few for a link, four
+    times as many are looked at, up to all."""
     home = index.nearest(sample, 1)[:, 0]
     queries = np.arange(0, len(sample), -(-len(sample) // measured))
     pairs, linked = [np.zeros((0, 2), np.int64)], False
@@ -148,16 +149,28 @@ def needed_probes(index: Index, sample: np.ndarray, threshold: float, measured:
     pairs = np.concatenate(pairs)
     if not len(pairs):
         return 1 if linked else None
-    rows, number = np.unique(pairs, return_inverse=True)
-    number = number.reshape(pairs.shape)
-    near = index.nearest(sample[rows], most).astype(np.int32)
-    needed = np.full(len(pairs), most)
-    for side in (0, 1):
-        for at in range(0, len(pairs), 1 << 14):
-            part = slice(at, at + (1 << 14))
-            hit = near[number[part, side]] == home[pairs[part, 1 - side]][:, None]
-            needed[part] = np.minimum(needed[part], np.where(hit.any(axis=1), hit.argmax(axis=1) + 1, most))
-    return int(needed.max())
+    needed = 1
+    while len(pairs):
+        most = min(most, index.lists)
+        rows, number = np.unique(pairs, return_inverse=True)
+        number = number.reshape(pairs.shape)
+        place = np.full(len(pairs), most + 1)
+        for side in (0, 1):
+            # a stretch of rows at a time: their lists are many
+            for at in range(0, len(rows), 1 << 14):
+                near = index.nearest(sample[rows[at : at + (1 << 14)]], most).astype(np.int32)
+                mine = np.flatnonzero((number[:, side] >= at) & (number[:, side] < at + (1 << 14)))
+                for k in range(0, len(mine), 1 << 12):
+                    some = mine[k : k + (1 << 12)]
+                    hit = near[number[some, side] - at] == home[pairs[some, 1 - side]][:, None]
+                    place[some] = np.minimum(place[some], np.where(hit.any(axis=1), hit.argmax(axis=1) + 1, most + 1))
+        found = place <= most
+        needed = max(needed, int(place[found].max(initial=1)))
+        pairs = pairs[~found]
+        if most == index.lists:
+            break
+        most *= 4
+    return needed
 
 
 def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, probes: int | None = None, seed: int = 1) -> Index:
@@ -180,7 +193,7 @@ def fit(sample: np.ndarray, n_vectors: int, threshold: float = THRESHOLD, probes
     error = np.linalg.norm(residual - index.decoded(index.codes(residual)), axis=1)
     index.slack = float(np.quantile(error, COVERED)) if len(error) else 0.0
     found = needed_probes(index, sample, threshold) if probes is None and index.lists > 1 else None
-    index.probes = min(index.lists, probes or (PROBES if found is None else min(MOST_PROBES, max(LEAST_PROBES, 2 * found))))
+    index.probes = min(index.lists, probes or (PROBES if found is None else max(LEAST_PROBES, 2 * found)))
     return index
 
 

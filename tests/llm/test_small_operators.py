@@ -189,3 +189,33 @@ def test_held_out_accuracy_on_documents(spark):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
     right = langid.identify(docs.where(held), langid.fit(docs.where(~held))).agg(F.avg((F.col("language.lang_pred") == F.col("lang")).cast("int"))).first()[0]
     assert right > 0.98
+
+
+def test_many_languages_and_huge_texts_stay_bounded(spark, monkeypatch):
+    """Two hundred languages, texts of 20 MB among them: those teach nothing, and are predicted whole."""
+    rng = random.Random(10)
+    vocab = {f"l{k:03}": [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{''.join(rng.choice('aeioubdgklm') for _ in range(5))}" for _ in range(6)] for k in range(200)}
+    rows = [(k, " ".join(rng.choice(w) for _ in range(20)), lang) for k in range(4) for lang, w in vocab.items()]
+    huge = " ".join(vocab["l007"] * 4) + " "
+    rows.append((9, huge * (20_000_000 // len(huge)), "l008"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    model = langid.fit(docs)
+    held = sum(e.language.nbytes + e.above.nbytes + e.start.nbytes for e in model.tables)
+    assert len(model.languages) == 200 and held < 2_000_000 and all(len(e.language) < 40_000 for e in model.tables)
+    assert model.most * 200 * 8 <= langid.MOST_REMEMBERED_BYTES and model.stretch * 200 * 8 <= langid.STRETCH_BYTES
+    got = {(r.doc_id, r.lang): r.language.lang_pred for r in langid.identify(docs, model).collect()}
+    assert got.pop((9, "l008")) == "l007" and all(pred == lang for (_, lang), pred in got.items())
+    # a sample with too many entries is halved until it has not
+    monkeypatch.setattr(langid, "MOST_ENTRIES", 9000)
+    small = langid.fit(docs)
+    assert sum(len(e.language) for e in small.tables) <= 9000 and 0 < len(small.tables[0].place) < len(model.tables[0].place)
+
+
+def test_stretches_of_words_add_up(monkeypatch):
+    entries = [(0, "ab", 0, 3), (0, "cd", 1, 2), (1, "a", 0, 4), (1, "c", 1, 1)]
+    text = " ".join(["ab", "cd", "ab", "ac"] * 5000)
+    whole = langid.Model(["x", "y"], entries).predict(text)
+    monkeypatch.setattr(langid, "STRETCH_BYTES", 1)
+    monkeypatch.setattr(langid, "MOST_REMEMBERED_BYTES", 1)
+    parts = langid.Model(["x", "y"], entries)
+    assert parts.stretch == 1024 and parts.predict(text)[0] == whole[0] == "x" and parts.predict(text)[1] == pytest.approx(whole[1])

@@ -73,7 +73,7 @@ def test_two_levels_keep_lists_of_a_size(monkeypatch):
     x[3000:] = x[:3000] + rng.normal(size=(3000, 16)).astype(np.float32) * 0.05
     x /= np.linalg.norm(x, axis=1)[:, None]
     index = v.fit(x, 40_000)
-    assert index.lists >= 190 and v.LEAST_PROBES <= index.probes <= v.MOST_PROBES
+    assert index.lists >= 190 and v.LEAST_PROBES <= index.probes <= index.lists
     home, near = index.nearest(x, 1)[:, 0], index.nearest(x, index.probes)
     far = np.stack([np.linalg.norm(x - index.centre(k), axis=1) for k in range(index.lists)], axis=1)
     assert (far.argmin(axis=1) == home).mean() > 0.7  # only the second centres beside the nearest first one are tried
@@ -87,9 +87,24 @@ def test_probes_follow_the_links_of_the_sample():
     far = np.eye(24, dtype=np.float32)[rng.integers(0, 24, 3000)]
     tight = far + rng.normal(size=far.shape).astype(np.float32) * 0.01
     tight /= np.linalg.norm(tight, axis=1)[:, None]
-    assert v.fit(tight, 3000).probes <= v.MOST_PROBES
+    assert v.fit(tight, 3000).probes <= v.PROBES
     alone = np.eye(600, dtype=np.float32)
     assert v.fit(alone, 4000).probes == min(v.PROBES, 20)  # no link in the sample
     two = np.concatenate([alone[:300], alone[:300] * 0.999 + alone[300:] * 0.01])
     two /= np.linalg.norm(two, axis=1)[:, None]
     assert v.LEAST_PROBES <= v.fit(two, 4000).probes <= 20
+
+
+def test_probes_are_as_many_as_links_need():
+    """Links whose lists are far down the order are found by asking for more lists, not by giving up."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 3)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = v.Index(x.copy(), np.zeros((1, 3), np.float32), np.zeros((3, 256, 1), np.float32), [0, 1, 2, 3], 0.0, 1)
+    far = v.needed_probes(index, x, -0.5, measured=50, most=4)
+    order = index.nearest(x, 400)
+    linked = [(a, b) for a in range(0, 400, 8) for b in range(400) if a != b and x[a] @ x[b] >= -0.5]
+    assert 4 < far <= 400
+    place = lambda a, b: int(np.flatnonzero(order[a] == b)[0]) + 1
+    assert far <= max(min(place(a, b), place(b, a)) for a, b in linked)
+    assert v.needed_probes(index, x, -0.5, measured=50, most=400) == far
