@@ -2,13 +2,15 @@
 
 What a text is compared with are the distinct names of a dimension, not its rows. Up to `FEW_NAMES` names are tested one
 by one, in the JVM; more are found all at once by an automaton, in time linear in the text, whatever their number. An
-automaton holds `MOST_NAMES` names at most; a larger dimension takes several, one pass over the texts for each. Rows of
-the dimension then meet texts by equality of names, so no text is paired with rows that have nothing to do with it.
+automaton is broadcast, so it holds `MOST_NAMES` names and about `MOST_NAME_BYTES` bytes of them at most; a larger dimension
+takes several, one pass over the texts for each. Rows of the dimension then meet texts by equality of names, so no text
+is paired with rows that have nothing to do with it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,7 +22,8 @@ from aerolith.rules import tables as T
 
 FEW_NAMES = 64
 MOST_NAMES = 500_000
-#: Names longer than this are tested one by one.
+MOST_NAME_BYTES = 8 << 20
+#: Where a name is longer than this, names are not tested one by one: they would be part of the plan.
 MOST_NAME_CHARS = 1000
 
 
@@ -43,18 +46,18 @@ def _automaton(shared) -> Callable[[Column], Column]:
     return names_in
 
 
-def held_names(df: DataFrame, text: Column, names: DataFrame, column: str, few: int = FEW_NAMES, most: int = MOST_NAMES) -> DataFrame:
+def held_names(df: DataFrame, text: Column, names: DataFrame, column: str, few: int = FEW_NAMES, most: int = MOST_NAMES, most_bytes: int = MOST_NAME_BYTES) -> DataFrame:
     """df with an array of the names that a text holds anywhere; names has one string column. Empty and null names are
     held by nothing; a null text holds none."""
     spark = df.sparkSession
     distinct = names.select(F.col(names.columns[0]).alias("name")).where("name <> ''").distinct()
-    sizes = distinct.agg(F.count("*"), F.count_if(F.length("name") > MOST_NAME_CHARS)).first()
+    sizes = distinct.agg(F.count("*"), F.count_if(F.length("name") > MOST_NAME_CHARS), F.sum(F.octet_length("name"))).first()
     own = F.coalesce(text, F.lit(""))
     if sizes[0] <= few and not sizes[1]:
         listed = sorted(r.name for r in distinct.collect())
         every = F.array(*[F.lit(x) for x in listed]).cast("array<string>")
         return df.withColumn(column, let(own, lambda t: F.filter(every, lambda x: t.contains(x))))
-    parts = -(-sizes[0] // most)
+    parts = max(1, -(-sizes[0] // most), -(-sizes[2] // most_bytes))
     out = df
     for k in range(parts):
         some = distinct.where(F.pmod(F.xxhash64("name"), F.lit(parts)) == k)
@@ -96,11 +99,6 @@ def _whole_word(text: Column, word: Column) -> Column:
     return F.regexp_like(text, F.concat(F.lit(edge), quoted, F.lit(edge)))
 
 
-def _each_with(found: Column, more: Column) -> Column:
-    """Every array of `found` with every element of `more` at its end."""
-    return F.flatten(F.transform(found, lambda held: F.transform(more, lambda x: F.concat(held, F.array(x)))))
-
-
 #: What an entry scores: 2 for the maker, 3 for the model (as a word if it has three letters or fewer), 1 for the
 #: variant. Each row says which of an entry's names make a score of at least 3.
 SCORES = ((6, ("mk", "md", "va")), (5, ("mk", "md")), (4, ("md", "va")), (3, ("md",)), (3, ("mk", "va")))
@@ -111,30 +109,31 @@ def best_spec(df: DataFrame, key: str, text: str, specs: DataFrame, maker: str,
     the first by order. Entries without maker or model are left out.
 
     For each kind of score, the first entry with the same maker, model and variant (as far as these count) stands for
-    all, and texts look entries up by the names that they hold. An entry that scores more than the kind says is found
-    under the better kind as well."""
+    all. A text meets the entries of each model that it holds, and of these keeps those whose maker and variant it holds
+    as well, as far as they count; entries that score by maker and variant alone are met by both. So what a text is
+    compared with grows with the names that it holds, not with their combinations. An entry that scores more than the
+    kind says is found under the better kind as well."""
     dim = specs.where((F.coalesce(F.col(maker), F.lit("")) != "") & (F.coalesce(F.col(model), F.lit("")) != ""))
     dim = dim.select(F.lower(maker).alias("mk"), F.lower(model).alias("md"), F.lower(F.coalesce(F.col(variant), F.lit(""))).alias("va"), F.struct(F.col(order).alias("o"), F.struct(*[F.col(f"`{c}`") for c in specs.columns]).alias("spec")).alias("e"))
     dim = written(dim, "specs")
-    entries = None
-    for number, (_, names) in enumerate(SCORES):
+    kinds = []
+    for score, names in SCORES:
         kind = dim.where("va <> ''") if "va" in names else dim
-        one = kind.groupBy(F.array(*[F.col(n) for n in names]).alias("names")).agg(F.min_by("e", "e.o").alias("e")).select(F.lit(number).alias("kind"), "names", "e")
-        entries = one if entries is None else entries.unionByName(one)
+        one = kind.groupBy(*names).agg(F.min_by("e", "e.o").alias("e"))
+        kinds.append(one.select(F.lit(score).alias("score"), *[F.col(n) if n in names else F.lit(None).cast("string").alias(n) for n in ("mk", "md", "va")], "e"))
+    by_model = written(reduce(DataFrame.unionByName, [k for k, (_, names) in zip(kinds, SCORES, strict=True) if "md" in names]), "entries-by-model")
+    by_maker = written(kinds[-1], "entries-by-maker")
     low = df.select(F.col(key), F.lower(F.col(text)).alias("__text"))
     for name in ("mk", "md", "va"):
         low = held_names(low, F.col("__text"), dim.select(name), name)
     low = low.withColumn("md", F.filter("md", lambda m: (F.length(m) > 3) | _whole_word(F.col("__text"), m)))
 
-    def looked_up(number: int, names: tuple[str, ...]) -> Column:
-        found = F.transform(F.col(names[0]), lambda x: F.array(x))
-        for name in names[1:]:
-            found = _each_with(found, F.col(name))
-        return F.transform(found, lambda held: F.struct(F.lit(number).alias("kind"), held.alias("names")))
-
-    wanted = low.select(key, F.explode(F.concat(*[looked_up(k, names) for k, (_, names) in enumerate(SCORES)])).alias("w")).select(key, "w.*")
-    score = F.element_at(F.array(*[F.lit(x) for x, _ in SCORES]), F.col("kind") + 1)
-    pairs = wanted.join(entries, ["kind", "names"]).select(key, score.alias("score"), "e")
+    low = written(low.select(key, F.col("mk").alias("__mk"), F.col("md").alias("__md"), F.col("va").alias("__va")), "names-held")
+    holds = lambda name: F.col(name).isNull() | F.array_contains(F.col(f"__{name}"), F.col(name))
+    models = low.select(key, "__mk", "__va", F.explode("__md").alias("__m")).join(by_model, F.col("__m") == F.col("md")).where(holds("mk") & holds("va"))
+    pairs_of = low.select(key, F.explode("__mk").alias("__k"), "__va").select(key, "__k", F.explode("__va").alias("__v"))
+    makers = pairs_of.join(by_maker, (F.col("__k") == F.col("mk")) & (F.col("__v") == F.col("va")))
+    pairs = models.select(key, "score", "e").union(makers.select(key, "score", "e"))
     best = pairs.groupBy(key).agg(F.min_by(F.struct("score", "e.spec"), F.struct((-F.col("score")).alias("s"), F.col("e.o"))).alias("b"))
     return best.select(key, "b.score", "b.spec.*")
 

@@ -44,9 +44,11 @@ def skip_reasons(df: DataFrame, source: str = "source", reason: str = "reason")
 
 
 def drop_summary(reasons: DataFrame, source: str = "source", reason: str = "reason", n: str = "n") -> DataFrame:
-    """A line for each source: the total and the reasons, most frequent first; normal reasons are left out."""
-    listed = reasons.where(~F.col(reason).isin(*T.NORMAL_SKIP_REASONS)).groupBy(source).agg(F.sum(n).alias("total"), F.array_sort(F.collect_list(F.struct((-F.col(n)).alias("m"), F.col(reason).alias("r")))).alias("rs"))
-    parts = F.array_join(F.transform("rs", lambda x: F.concat(x["r"], F.lit(": "), (-x["m"]).cast("string"))), ", ")
+    """A line for each source: the total and the reasons, most frequent first, equally frequent ones as a dictionary has
+    them (case and accents decide last); normal reasons are left out."""
+    ranked = F.struct((-F.col(n)).alias("m"), F.collate(F.col(reason), "UNICODE").alias("r"))
+    listed = reasons.where(~F.col(reason).isin(*T.NORMAL_SKIP_REASONS)).groupBy(source).agg(F.sum(n).alias("total"), F.array_sort(F.collect_list(ranked)).alias("rs"))
+    parts = F.array_join(F.transform("rs", lambda x: F.concat(F.collate(x["r"], "UTF8_BINARY"), F.lit(": "), (-x["m"]).cast("string"))), ", ")
     return listed.select(source, F.concat(F.lit("validation drops: "), F.col("total").cast("string"), F.lit(" ("), parts, F.lit(")")).alias("summary"))
 
 

@@ -144,12 +144,11 @@ SENTENCES = r"string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g
 k AS (SELECT *, trim(regexp_replace(lower(s), '\s+', ' ', 'g')) AS key FROM u), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, key ORDER BY i) AS n FROM k)
 SELECT doc_id, md5(trim(string_agg(s, ' ' ORDER BY i), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS digest, count(*) AS n_sentences FROM r WHERE length(key) < 20 OR n = 1 GROUP BY doc_id""")
 def sentence_dedup(spark, folder):
-    d = _docs(spark, folder)
-    out = X.deduplicate_description(F.col("text"))
-    key = lambda s: F.trim(F.regexp_replace(F.lower(s), r"\s+", " "))
-    parts = F.split(F.regexp_replace("text", r"^\s+|\s+$", ""), r"(?<=[.!?])\s+")
-    once = F.size(F.array_distinct(F.filter(F.transform(parts, key), lambda k: F.length(k) >= 20))) + F.size(F.filter(parts, lambda s: F.length(key(s)) < 20))
-    return d.select("doc_id", F.md5(out).alias("digest"), once.cast("long").alias("n_sentences"))
+    """All documents without repeated paragraphs and sentences, by rows of parts."""
+    from aerolith.operators.sentences import without_repeats
+
+    out = without_repeats(_docs(spark, folder), "text", "doc_id")
+    return out.select("doc_id", F.md5("text").alias("digest"), "n_sentences")
 
 
 HEADER = "Erste Fassung, gefolgt von einem Strich und der zweiten Fassung, damit der Text lang genug ist, um zerlegt zu werden."

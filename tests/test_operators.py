@@ -217,3 +217,28 @@ def test_the_rest_works_without_the_subpackage(tmp_path):
     (tmp_path / "aerolith/llm/__pycache__").mkdir(parents=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'validate_events' in q and not any(k.startswith('op') or k == 'pipeline' for k in q); assert e.oracle_sql().keys() <= q.keys()"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path), "HOME": "/tmp"})
+
+
+def test_reasons_are_in_the_order_of_a_dictionary(spark):
+    rows = [("s", r, 2) for r in ("Zebra", "apfel", "ärger", "Apfel", "b_c", "ba", "Ähre")] + [("s", "most", 9)]
+    (r,) = metrics.drop_summary(spark.createDataFrame(rows, "source string, reason string, n long")).collect()
+    assert r.summary == "validation drops: 23 (most: 9, Ähre: 2, apfel: 2, Apfel: 2, ärger: 2, b_c: 2, ba: 2, Zebra: 2)"
+    assert metrics.drop_summary(spark.createDataFrame(rows, "source string, reason string, n long")).schema["summary"].dataType.simpleString() == "string"
+
+
+def test_texts_by_parts_are_the_same_as_whole_ones(spark):
+    import random
+
+    from aerolith.functions.text import deduplicate_description
+    from aerolith.operators.sentences import without_repeats
+
+    rng = random.Random(3)
+    some = ["Das ist ein langer Satz Nummer eins.", "das ist  ein langer Satz nummer EINS.", "Kurz.", "Ja!", "Noch ein Satz, der lang genug ist?", " ", "\u00a0Und einer mit Rand.", "Ohne Ende", "x" * 30_000 + "."]
+    texts = [None, "", "  ", "\n\n", "\n \n\n  a"] + ["".join(rng.choice(some) + rng.choice([" ", "  ", "\n", "\n\n", "\n  \n"]) for _ in range(rng.randint(1, 12))) for _ in range(120)]
+    df = spark.createDataFrame([(k % 50, t, "clash") for k, t in enumerate(texts)], "id int, text string, part string")
+    both = without_repeats(df.withColumn("whole", deduplicate_description(F.col("text"))), "text", "id", "whole", "part").collect()
+    assert len(both) == len(texts) and all(r.text == r.whole for r in both) and {r.part for r in both} == {"clash"}
+    assert all((r.n_sentences > 0) == bool(r.text) for r in both) and without_repeats(df.limit(0), "text").count() == 0
+    long = " ".join(f"Das ist der lange Satz Nummer {k % 20_000}." for k in range(30_000))
+    (r,) = without_repeats(spark.createDataFrame([(long,)], "text string"), "text").collect()
+    assert r.n_sentences == 20_000
