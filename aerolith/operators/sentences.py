@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions.core import SPACE, trimmed
+from aerolith.operators.scratch import written
 
 
 def _first_parts(df: DataFrame, parts: Column, least: int, glue: str) -> DataFrame:
@@ -28,9 +29,7 @@ def _first_parts(df: DataFrame, parts: Column, least: int, glue: str) -> DataFra
 def without_repeats(df: DataFrame, text: str, *keep: str) -> DataFrame:
     """The columns to keep, text without repeated paragraphs (of ten characters or more) and sentences (of twenty or more),
     and n_sentences, how many are left. Null stays null, with none."""
-    numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"))
-    from aerolith.operators.scratch import written
-
+    numbered = df.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").cast("string").alias("text"), *[F.col(f"`{c}`").alias(f"kept_{k}") for k, c in enumerate(keep)])
     numbered = written(numbered, "texts")
     paragraphs = F.filter(F.transform(F.split("text", rf"\n{SPACE}*\n"), trimmed), lambda x: x != "")
     several = F.col("text").rlike(rf"\n{SPACE}*\n")
@@ -39,4 +38,4 @@ def without_repeats(df: DataFrame, text: str, *keep: str) -> DataFrame:
     sentences = F.split("text", rf"(?<=[.!?]){SPACE}+")
     done = _first_parts(joined, sentences, 20, " ").select(F.col("row").alias("__row"), trimmed(F.col("text")).alias("__text"), "n")
     out = numbered.join(done, F.col("row") == F.col("__row"), "left")
-    return out.select("kept.*", F.when(F.col("text").isNotNull(), F.coalesce("__text", F.lit(""))).alias(text), F.coalesce("n", F.lit(0).cast("long")).alias("n_sentences"))
+    return out.select(*[F.col(f"kept_{k}").alias(c) for k, c in enumerate(keep)], F.when(F.col("text").isNotNull(), F.coalesce("__text", F.lit(""))).alias(text), F.coalesce("n", F.lit(0).cast("long")).alias("n_sentences"))
