@@ -254,6 +254,25 @@ def parse_feed(spark, folder):
     return _parsed("pilot-frank.de", _pages(_rows(spark, folder), _text("https://l.example/", P), row, '<?xml version="1.0"?><rss version="2.0" xmlns:mec="urn:m"><channel><title>Termine &amp; mehr</title>', "</channel></rss>"))
 
 
+@query(f"""WITH {BASE} SELECT 'nbaa.org' AS source, k, {_MENU_TITLE} AS title, (['Denver, CO', 'Online', 'Geneva'])[(k % 3 + 1)::INT] AS place FROM c UNION ALL SELECT 'iata.org', k, 'World ' || k, NULL FROM c""")
+def page_rows_in_sql(spark, folder):
+    """Pages of two sources in one SQL statement: a table function gives the cards of each by its source."""
+    from aerolith.sources import sql
+
+    K, _, P, _, _, _ = _keys()
+    menu = _text('<div class="menu-event-single"><div class="menu-event-title">', _case(K, "Workshop ", "Convention ", "Gala ", "Forum "), K, '</div><div class="location">', _case(K, "Denver, CO", "Online", "Geneva"), "</div></div>")
+    item = _text('<a class="global-event-list-item" href="/e/', K, '"><div class="global-event-list-title">World ', K, "</div></a>")
+    rows = _rows(spark, folder)
+    landed = None
+    for source, row in (("nbaa.org", menu), ("iata.org", item), ("unknown.example", item)):
+        one = _pages(rows, _text("https://l.example/", P), row).withColumn("source", F.lit(source))
+        landed = one if landed is None else landed.unionByName(one)
+    sql.register(spark)
+    statement = "SELECT l.source, r.title, r.location FROM {landed} l, LATERAL page_rows(l.source, l.payload, 'title, location') r"
+    out = spark.sql(statement, landed=landed)
+    return out.select("source", F.regexp_extract("title", r"(\d+)$", 1).cast("long").alias("k"), "title", F.col("location").alias("place"))
+
+
 @query(f"""WITH {BASE}, r AS (SELECT *, CASE WHEN k % 13 = 0 THEN 'no-date' END AS dropped, CASE WHEN k % 19 = 0 THEN 'ended_too_long_ago' END AS invalid FROM c),
 s AS (SELECT *, CASE WHEN k % 4 = 0 THEN k % 8 = 0 ELSE NULL END AS claimed FROM r WHERE dropped IS NULL)
 SELECT 'nbaa.org' AS external_source, 'https://nbaa.org/e/' || k AS source_url, 'Seminar ' || seg || ' ' || k AS title, CASE WHEN invalid IS NOT NULL THEN '2020-05-01' ELSE strftime(d, '%Y-%m-%d') END AS start_day,

@@ -121,3 +121,18 @@ def test_feeds_are_xml(spark):
     got = sorted(((r.page_url, r.title, r.drop_reason, r.source_url, r.description) for r in E.pilot_frank(landed).collect()), key=str)
     assert [g[:3] for g in got] == [("https://f/", "", "no-title"), ("https://f/", "Fest & Markt (EDMT) am]]> Platz", None), ("https://g/", "", "malformed-xml")]
     assert any(g[3] == "https://p/1?a=1&b=2" and g[4] == "Gut & schön" for g in got)
+
+
+def test_pages_in_sql(spark):
+    from aerolith.sources import sql
+
+    sql.register(spark)
+    menu = '<div class="menu-event-single"><div class="menu-event-title">A</div></div><div class="menu-event-single"><div class="location">B</div></div>'
+    landed = spark.createDataFrame([("nbaa.org", menu), ("nbaa.org", None), (None, menu), ("else", menu), ("nbaa.org", "")], "source string, payload string")
+    got = spark.sql("SELECT r.* FROM {landed} l, LATERAL page_rows(l.source, l.payload, 'title, location, none') r", landed=landed).collect()
+    assert sorted(map(tuple, got)) == [(0, "A", None, None), (1, None, "B", None)]
+    maps = spark.sql("SELECT r.fields FROM {landed} l, LATERAL page_rows(l.source, l.payload) r", landed=landed).collect()
+    assert sorted(str(r.fields.get("title")) for r in maps) == ["A", "None"]
+    for bad in ("page_rows(l.source, 7)", "page_rows(l.source, l.payload, 7)"):
+        with pytest.raises(Exception, match="page_rows"):
+            spark.sql(f"SELECT r.* FROM {{landed}} l, LATERAL {bad} r", landed=landed).collect()
