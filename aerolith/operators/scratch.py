@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _lock = threading.Lock()
 _writers: list = [0, "false"]
+_scope = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,11 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """What this thread writes to scratch paths meanwhile is deleted at the end: for work that leaves its results
+    elsewhere, such as a stream's batches, so that a session of any length holds one batch's tables at a time."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        paths, _scope.paths = _scope.paths, outer
+        for path in paths:
+            delete_path(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted when the driver's JVM ends."""
+    """A new path in the shared folder, deleted when the driver's JVM ends, or by freed()."""
     path = f"{shared_dir(spark)}/aerolith/{re.sub(r'[^a-z0-9]+', '-', label.lower())}-{uuid.uuid4().hex}"
     there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     return path
 
 

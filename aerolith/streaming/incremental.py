@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from aerolith.functions.classify import source_priority
 from aerolith.operators import dedup
 from aerolith.operators.match import first_row
-from aerolith.operators.scratch import written
+from aerolith.operators.scratch import freed, written
 from aerolith.operators.upsert import outcomes, snapshot
 from aerolith.streaming.store import PARTS, Kept, Store
 
@@ -51,7 +51,8 @@ def upsert_writer(stream: DataFrame, folder: str, key: str, digest: str | None,
             fresh = found.where("outcome <> 'skipped'").drop("outcome", "reason").withColumns({"is_external": F.lit(True), "claimed_at": F.lit(None).cast("timestamp_ntz")})
             return snapshot(fresh.select(*target.columns), target, key, changing)
 
-        upsert(written(batch, "batch"), folder, schema, key, number, merge, parts)
+        with freed(batch.sparkSession):
+            upsert(written(batch, "batch"), folder, schema, key, number, merge, parts)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
 
@@ -106,7 +107,12 @@ def event_batch(rows: DataFrame, store: Store, number: int, order: list[Column],
 
 def event_writer(stream: DataFrame, store: Store, order: list[Column], arrival: str = "arrival") -> DataStreamWriter:
     """A writer that applies each micro-batch of events to a store of events."""
-    return stream.writeStream.foreachBatch(lambda batch, number: event_batch(written(batch, "batch"), store, number, order, arrival)).option("checkpointLocation", f"{store.folder}/checkpoint")
+
+    def each(batch: DataFrame, number: int) -> None:
+        with freed(batch.sparkSession):
+            event_batch(written(batch, "batch"), store, number, order, arrival)
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{store.folder}/checkpoint")
 
 
 def winners_writer(stream: DataFrame, folder: str, key: str, source: str, ts: str, schema: str, parts: int = PARTS) -> DataStreamWriter:
@@ -119,8 +125,9 @@ def winners_writer(stream: DataFrame, folder: str, key: str, source: str, ts: st
     def each(batch: DataFrame, number: int) -> None:
         rows = batch.select(F.col(key), source_priority(F.col(source)).cast("int").alias("priority"), (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("earliness"), F.col(source).alias("winner"))
         best = lambda df, n: df.groupBy(key).agg(F.max(better).alias("b"), n.alias("n")).select(key, "b.*", "n")
-        fresh = written(best(rows, F.count("*")), "batch")
-        upsert(fresh, folder, whole, key, number, lambda own, target: best(target.unionByName(own), F.sum("n")), parts)
+        with freed(batch.sparkSession):
+            fresh = written(best(rows, F.count("*")), "batch")
+            upsert(fresh, folder, whole, key, number, lambda own, target: best(target.unionByName(own), F.sum("n")), parts)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
 

@@ -106,3 +106,29 @@ def test_an_event_run_meets_stored_events(spark):
     other = ("inserted", None) if SOURCE_PRIORITY.get("nbaa.org", DEFAULT_PRIORITY) > DEFAULT_PRIORITY else ("skipped", "lower_priority_duplicate")
     assert got[("nbaa.org", "Forum")] == ("skipped", "lower_priority_duplicate") and got[("nbaa.org", "Other")] == other and got[("nbaa.org", "Third")] == ("inserted", None)
     assert (got.get(("unknown.example", "Other")) == ("deleted", "superseded")) == (other[0] == "inserted")
+
+
+def test_scratch_tables_of_a_batch_are_freed(spark, tmp_path):
+    from pathlib import Path
+
+    from aerolith.operators.scratch import freed, shared_dir, written
+
+    there = lambda: {p.name for p in Path(shared_dir(spark).removeprefix("file://"), "aerolith").glob("*")}
+    kept = written(spark.range(3), "kept")
+    before = there()
+    with freed(spark):
+        a = written(spark.range(5), "inner")
+        with freed(spark):
+            written(a, "innermost")
+            assert len(there() - before) == 2
+        assert len(there() - before) == 1 and a.count() == 5
+    assert there() == before and kept.count() == 3
+    rows = events(spark, ("iata.org", "a", "K", "1", 5, 1))
+    rows.write.parquet(f"{tmp_path}/in")
+    store = incremental.event_store(spark, f"{tmp_path}/s", "v long", parts=2)
+    incremental.to_completion(incremental.event_writer(spark.readStream.schema(ROW).parquet(f"{tmp_path}/in"), store, [F.col("v")]))
+    assert there() == before and kept_rows(store) == 1
+
+
+def kept_rows(store):
+    return store.current("events").count()
