@@ -30,7 +30,6 @@ from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +42,17 @@ SAMPLE_DOCS = 600
 SAMPLE_BYTES = 48 << 20
 MOST_ENTRIES = 4_000_000
 LONGEST = 5
+#: Languages whose shares are broadcast; more of them are joined.
+MOST_BROADCAST = 10_000
 #: Bytes of the scores of words that a worker remembers, and of those that it sums up at a time.
 MOST_REMEMBERED_BYTES = 64 << 20
 STRETCH_BYTES = 32 << 20
+#: Languages of an entry that are added up one by one.
+FEW = 16
+#: Characters of a text in which words are found at a time.
+PIECE_CHARS = 1 << 20
 RUN = re.compile(r"[^\W\d_]+")
+BETWEEN = re.compile(r"[\W\d_]")
 UND = "und"
 
 
@@ -60,10 +66,16 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def stretches(text: str, size: int) -> Iterator[list[str]]:
-    """The words of a text, so many at a time."""
-    found = RUN.finditer(text.lower())
-    while some := [m[0] for m in islice(found, size)]:
-        yield some
+    """The words of a text, so many at a time, found a piece of the text at a time; pieces end between words."""
+    low, at = text.lower(), 0
+    while at < len(low):
+        end = at + PIECE_CHARS
+        gap = BETWEEN.search(low, end) if end < len(low) else None
+        end = gap.start() if gap else len(low)
+        words = RUN.findall(low, at, end)
+        for k in range(0, len(words), size):
+            yield words[k : k + size]
+        at = end
 
 
 @dataclass
@@ -72,18 +84,25 @@ class Entries:
     log frequency there is above that of an entry that a language lacks."""
 
     place: dict[str, int]
-    start: np.ndarray
-    language: np.ndarray
-    above: np.ndarray
+    start: array
+    language: array
+    above: array
     lacking: np.ndarray  # by language
 
     def scores(self, rows: list[int]) -> np.ndarray:
         """By language, the mean log frequency of these rows."""
-        out = np.zeros(len(self.lacking))
+        start, language, above = self.start, self.language, self.above
+        out, few = self.lacking, [0.0] * len(self.lacking)
         for row in rows:
-            some = slice(self.start[row], self.start[row + 1])
-            out[self.language[some]] += self.above[some]
-        return self.lacking + out / len(rows)
+            a, b = start[row], start[row + 1]
+            if b - a > FEW:
+                more = np.zeros(len(few))
+                more[np.frombuffer(language, np.int32)[a:b]] = np.frombuffer(above, np.float32)[a:b]
+                out = out + more / len(rows)
+            else:  # plain numbers are faster than short arrays
+                for k in range(a, b):
+                    few[language[k]] += above[k]
+        return out + np.array(few) / len(rows)
 
 
 class Model:
@@ -106,7 +125,7 @@ class Model:
             totals = np.bincount(numbers, counts, size) if size else np.zeros(0)
             lacking = np.log(0.5) - np.log(totals + 0.5 * (len(place) + 1))
             above = np.log(counts[order] + 0.5) - np.log(0.5)
-            tables.append(Entries(place, start, numbers[order].astype(np.int32), above.astype(np.float32), lacking))
+            tables.append(Entries(place, array("q", start.tobytes()), array("i", numbers[order].astype(np.int32).tobytes()), array("f", above.astype(np.float32).tobytes()), lacking))
         self.learn(languages, tables)
 
     def learn(self, languages: list[str], tables: list[Entries]) -> None:
@@ -185,7 +204,9 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text: str = "text", lang: st
         docs_of[r.lang] += r.n
         bytes_of[r.lang] += r.bytes
     shares = [(name, k, min(1.0, sample_docs / max(1, docs_of[name]), own / max(1, bytes_of[name]))) for k, name in enumerate(languages)]
+    few = len(shares) <= MOST_BROADCAST
     shares = docs.sparkSession.createDataFrame(shares, "of string, number int, share double")
+    shares = F.broadcast(shares) if few else shares
     labelled = rows.where(F.length(F.bin("size")) <= longest).join(shares, F.col("lang") == F.col("of")).withColumn("at", F.pmod("h", F.lit(1 << 30)) / (F.col("share") * (1 << 30)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -200,7 +200,7 @@ def test_many_languages_and_huge_texts_stay_bounded(spark, monkeypatch):
     rows.append((9, huge * (20_000_000 // len(huge)), "l008"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
     model = langid.fit(docs)
-    held = sum(e.language.nbytes + e.above.nbytes + e.start.nbytes for e in model.tables)
+    held = sum(x.itemsize * len(x) for e in model.tables for x in (e.language, e.above, e.start))
     assert len(model.languages) == 200 and held < 2_000_000 and all(len(e.language) < 40_000 for e in model.tables)
     assert model.most * 200 * 8 <= langid.MOST_REMEMBERED_BYTES and model.stretch * 200 * 8 <= langid.STRETCH_BYTES
     got = {(r.doc_id, r.lang): r.language.lang_pred for r in langid.identify(docs, model).collect()}
@@ -217,5 +217,7 @@ def test_stretches_of_words_add_up(monkeypatch):
     whole = langid.Model(["x", "y"], entries).predict(text)
     monkeypatch.setattr(langid, "STRETCH_BYTES", 1)
     monkeypatch.setattr(langid, "MOST_REMEMBERED_BYTES", 1)
+    monkeypatch.setattr(langid, "PIECE_CHARS", 100)
     parts = langid.Model(["x", "y"], entries)
-    assert parts.stretch == 1024 and parts.predict(text)[0] == whole[0] == "x" and parts.predict(text)[1] == pytest.approx(whole[1])
+    assert [w for some in langid.stretches(f"{text} {'z' * 500}9{text}", 7) for w in some] == langid.words_of(f"{text} {'z' * 500}9{text}")
+    assert list(langid.stretches("", 7)) == [] and parts.stretch == 1024 and parts.predict(text)[0] == whole[0] == "x" and parts.predict(text)[1] == pytest.approx(whole[1])
