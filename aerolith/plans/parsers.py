@@ -386,3 +386,57 @@ def parse_grid_details(spark, folder):
     out = listing_pages.with_details(cards, details)
     told = F.when(F.col("description").startswith("Gepflegt"), F.col("description")).alias("told")
     return out.select("source_id", "total_time", "empty_weight", "registration", "icao", "country", "city", "avionics", "year", told)
+
+
+@query(f"""WITH {LISTED} SELECT 'https://h.example/' || p || '.html#' || i || '@2026-02-03' AS source_id, size + 0.5::DOUBLE AS engine_hours, (1000 + size)::DOUBLE AS cycles, CASE WHEN k % 2 = 0 THEN (400 + size)::DOUBLE END AS mtow, (200 + size)::DOUBLE AS empty_weight, (400 + size)::DOUBLE AS max_takeoff_weight,
+(50 + size)::DOUBLE AS fuel_capacity, (100 + size)::DOUBLE AS cruise_speed, (200 + size)::DOUBLE AS max_speed, (600 + size)::DOUBLE AS max_range, (3000 + size)::DOUBLE AS service_ceiling, size + 0.25::DOUBLE AS climb_rate, CASE WHEN k % 3 > 0 THEN 12.5::DOUBLE END AS fuel_consumption,
+'Junkers Magnum' AS rescue_system, CASE WHEN k % 2 = 0 THEN '2026-06-05' ELSE '2026-03-01' END AS annual_inspection, '61193.' || size AS dulv_ref, 'AB-' || k AS serial_number, 'Garmin G5; Becker Transponder' AS avionics, 'Ulm' AS location, 'Ulm' AS city, 'Ulm-Erbach' AS airfield_name, 'EDNE' AS icao, 'Eva Muster' AS contact_name, '0731 123456' AS contact_phone,
+'03.02.2026 Landungen: 1.' || printf('%03d', size) || ' Leergewicht: ' || (200 + size) || ' kg ' || CASE WHEN k % 2 > 0 THEN 'Abflugmasse: ' || (400 + size) || ' kg ' ELSE '' END || 'Tankinhalt: ' || (50 + size) || ' l Vcr ' || (100 + size) || ' km/h Vne: ' || (200 + size) || ' km/h Reichweite: ' || (600 + size) || ' km Dienstgipfelhöhe: 3.' || printf('%03d', size) || ' m Steigleistung: ' || size || ',25 m/s '
+ || CASE WHEN k % 3 > 0 THEN 'Verbrauch: 12,5 l/h ' ELSE '' END || 'DULV-Kennbla Werk-Nr. AB-' || k || ' Garmin G5 Becker Transponder Standort: Ulm Flugplatz: Ulm-Erbach EDNE Kontakt: Eva Muster' AS description FROM l""")
+def parse_prose_measures(spark, folder):
+    """Labels with units, places and contacts in prose, and what is left of it as a description. Labels are taken out in
+    order, and hours (TT) before type certificates, so that a number behind `Kennblatt` takes two of its letters along."""
+    K, P, NAME, BRAND, SIZE, _ = _listed()
+    thousands = F.lpad(SIZE.cast("string"), 3, "0")
+    row = _text("<hr><b>", BRAND, " ", NAME, "</b> 03.02.2026 <br>Motorstunden: ", SIZE, ",5 • Landungen: 1.", thousands, " • Leergewicht: ", 200 + SIZE, " kg • ", F.when(K % 2 == 0, "MTOW: ").otherwise("Abflugmasse: "), 400 + SIZE, " kg • Tankinhalt: ", 50 + SIZE, " l • Vcr ", 100 + SIZE, " km/h • Vne: ", 200 + SIZE,
+                " km/h • Reichweite: ", 600 + SIZE, " km • Dienstgipfelhöhe: 3.", thousands, " m • Steigleistung: ", SIZE, ",25 m/s • ", F.when(K % 3 > 0, "Verbrauch: 12,5 l/h • ").otherwise(""), "Rettung: Junkers Magnum • JNP: ", F.when(K % 2 == 0, "05.06.2026").otherwise("03/2026"), " • DULV-Kennblatt: 61193.", SIZE,
+                " • Werk-Nr. AB-", K, " • Garmin G5 • Becker Transponder • Standort: Ulm • Flugplatz: Ulm-Erbach EDNE • Kontakt: Eva Muster • Tel: 0731 123456")
+    pages = _pages(_parts(spark, folder), _text("https://h.example/", P, ".html"), row, "<body>", "</body>")
+    return listing_pages.prose_aircraft(pages, "h.example").select(
+        "source_id", "engine_hours", "cycles", "mtow", "empty_weight", "max_takeoff_weight", "fuel_capacity", "cruise_speed", "max_speed", "max_range", "service_ceiling", "climb_rate", "fuel_consumption",
+        "rescue_system", "annual_inspection", "dulv_ref", "serial_number", "avionics", "location", "city", "airfield_name", "icao", "contact_name", "contact_phone", "description",
+    )
+
+
+@query(f"WITH {LISTED} SELECT 'a.example:/y--xi' || k || '.htm' AS source_id, brand || ' ' || name AS title FROM l")
+def title_endings(spark, folder):
+    """Headlines of cards lose what is no name: each of the endings in turn."""
+    K, P, NAME, BRAND, SIZE, _ = _listed()
+    ends = ("€ 5.000 VB", "Preis auf Anfrage", "Bj. 1999 top", "TTAF 200", "Standort Ulm", "EU versteuert", "Nettopreis 5", "Seriennr. 12", "Reg.Nr. D-EABC", "Jahresnachprüfung 05/2026", "Typ: M20 lang", "CHF 900.000")
+    row = _text('<div class="listing"><a href="/y--xi', K, '.htm">', BRAND, " ", NAME, " ", _case(K, *ends), "</a> gepflegt, aus erster Hand, Nr. ", SIZE, "</div>")
+    return listing_pages.index_cards(_pages(_parts(spark, folder), _text("https://www.a.example/l/", P, ".htm"), row), "a.example").select("source_id", "title")
+
+
+@query(f"""WITH {LISTED}, o AS (SELECT *, CASE k % 5 WHEN 2 THEN 'no_images' WHEN 3 THEN 'no_year' WHEN 1 THEN 'no_clean_model' END AS gate, CASE k % 5 WHEN 0 THEN brand || ' Modell' || num || 'x' || printf('%02d', size) WHEN 1 THEN 'Rotax 912 ULS' ELSE brand || ' ' || name END AS headline FROM (SELECT *, substr(brand, 7) AS num FROM l))
+SELECT 'https://h.example/' || p || '.html#' || i || '@2026-02-03' AS source_url, headline, 'h.example' AS source_name, CASE k % 5 WHEN 0 THEN 'Modell' || num || 'x' || printf('%02d', size) WHEN 1 THEN '' ELSE name END AS model, CASE WHEN k % 5 <> 1 THEN num::INT END AS manufacturer_id,
+(CASE WHEN k % 2 = 0 THEN 10 WHEN k % 5 = 0 THEN 11 + size % 2 END)::INT AS category_id, CASE WHEN gate IS NOT NULL OR k % 9 = 0 THEN 'skipped' WHEN k % 3 = 0 THEN 'updated' ELSE 'inserted' END AS outcome, CASE WHEN gate IS NOT NULL THEN gate WHEN k % 9 = 0 THEN 'claimed' END AS reason FROM o""")
+def listing_run_pages(spark, folder):
+    """A run over pages of listings: parsed, matched with makers, reference entries and categories, gated, and held
+    against a target that knows every third and whose every ninth is claimed."""
+    from pyspark.sql import Window
+
+    from aerolith.plans.runs import listing_run
+
+    K, P, NAME, BRAND, SIZE, _ = _listed()
+    parts = _parts(spark, folder)
+    number = F.substring(BRAND, 7, 9)
+    model = _text("Modell", number, "x", F.lpad(SIZE.cast("string"), 2, "0"))
+    row = _text("<hr><b>", _case(K, _text(BRAND, " ", model), "Rotax 912 ULS", *[_text(BRAND, " ", NAME)] * 3), "</b> 03.02.2026 <br>", F.when(K % 5 != 3, _text("Baujahr: ", 1950 + SIZE)).otherwise("ohne Angabe"), " • sehr gepflegt, Platz in der Halle kann bleiben", F.when(K % 2 == 0, " • Kennzeichen: D-MABC").otherwise(""), F.when(K % 5 != 2, _text(' <img src="/b', K, '.jpg">')).otherwise(""))
+    listings = listing_pages.prose_aircraft(_pages(parts, _text("https://h.example/", P, ".html"), row, "<body>", "</body>"), "h.example")
+    makers = parts.select(BRAND.alias("name"), number.cast("int").alias("id")).distinct()
+    entries = parts.select(BRAND.alias("maker"), model.alias("model"), F.lit(None).cast("string").alias("variant"), _case(SIZE, "Glider", "Jet").alias("category"), F.xxhash64(BRAND, SIZE).alias("ord")).distinct()
+    key = F.col("r_regionkey")
+    categories = table(spark, folder, "region").where(key < 3).select((key + 10).cast("int").alias("id"), _case(key, "Ultralight / light sport aircraft (LSA)", "GLIDER", "jet").alias("name"))
+    at = F.row_number().over(Window.partitionBy("p").orderBy("k")) - 1
+    target = parts.withColumn("i", at).where(K % 3 == 0).select(_text("https://h.example/", P, ".html#", F.col("i"), "@2026-02-03").alias("source_url"), (K % 9 != 0).alias("is_external"), F.lit(None).cast("timestamp_ntz").alias("claimed_at"))
+    return listing_run(listings, makers, entries, categories, target, "none@example.org")
