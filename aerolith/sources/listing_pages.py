@@ -13,7 +13,7 @@ from aerolith.functions import dates as D
 from aerolith.functions import keys as K
 from aerolith.functions import numbers as N
 from aerolith.functions import text as X
-from aerolith.functions.core import chain, found, given, looked_up, pattern
+from aerolith.functions.core import chain, found, given, looked_up, once, pattern
 from aerolith.functions.urls import on_site, origin, segments
 from aerolith.operators.filldown import fill_down
 from aerolith.operators.merge import listing_description, over
@@ -101,19 +101,19 @@ def _blocks(pages: DataFrame, least: int) -> DataFrame:
     body = F.coalesce(given(F.regexp_extract("payload", r"(?is)<body[^>]*>(.*)</body>", 1)), F.col("payload"))
     df = pages.withColumn("__b", X.blocks(body, least)).select("*", F.posexplode("__b").alias("index", "block")).drop("payload", "__b")
     plain = F.regexp_replace("block", r"(?is)<(script|style)[^>]*>.*?</\1>", "")
-    return df.withColumn("text", X.clean_text(F.regexp_replace(plain, "<[^>]*>", "")))
+    return once(df, {"text": X.clean_text(F.regexp_replace(plain, "<[^>]*>", ""))})  # some forty expressions read it
 
 
 def _block_columns(df: DataFrame, source: str) -> DataFrame:
     """What aircraft and parts blocks share."""
     bold = F.regexp_replace(F.regexp_extract("block", r"(?is)<(?:b|strong)(?:\s[^>]*)?>(.*?)</(?:b|strong)>", 1), "<[^>]*>", "")
     posted = D.german_date(found(F.col("text"), r"(\d{2}\.\d{2}\.\d{4})"))
-    df = df.where(~X.is_navigation(F.col("text"))).withColumn("title", X.title_of(bold, F.col("text"))).where(F.length("title") >= 3).withColumn("posted_date", posted)
-    df = df.withColumn("__price", N.price_in_text(F.col("text"))).withColumn("__contact", X.contact(F.col("block"), F.col("text")))
+    df = once(df.where(~X.is_navigation(F.col("text"))), {"title": X.title_of(bold, F.col("text"))}).where(F.length("title") >= 3)
+    df = once(df, {"posted_date": posted, "__price": N.price_in_text(F.col("text")), "__contact": X.contact(F.col("block"), F.col("text")), "location": X.location(F.col("text"))})
     return df.withColumns({
         "source_id": K.positional_id(F.col("page_url"), F.col("index"), F.col("posted_date")), "source_url": F.col("page_url"), "source_name": F.lit(source), "price": F.col("__price.amount"),
         "price_negotiable": F.col("__price.negotiable"), "contact_name": F.col("__contact.name"), "contact_email": F.col("__contact.email"), "contact_phone": F.col("__contact.phone"),
-        "image_urls": images(F.col("block"), F.col("page_url")), "location": X.location(F.col("text")),
+        "image_urls": images(F.col("block"), F.col("page_url")),
     })
 
 
