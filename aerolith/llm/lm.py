@@ -6,8 +6,10 @@ is the marginal log10 probability of the text under a unigram model of pieces. C
 spelled by the vocabulary's byte pieces, so every text has a probability.
 
 The vocabulary's own scores are where the weights start: they are the negative ranks of a BPE vocabulary, read as
-weights 1 / (1 + rank). One expectation step over all training words (forward and backward, each word's expected pieces
-times its count) gives the weights that score.
+weights 1 / (1 + rank). Expectation steps over all training words (forward and backward, each word's expected pieces
+times its count) give the weights that score. Steps end when one has gained less than `LEAST_GAIN` of log10 likelihood a
+token, at the latest after `MOST_STEPS`: each reads all distinct words once and none makes the likelihood worse but for
+the floor that every piece has.
 
 Beside it stand two more. The base score is an add-one unigram model of whole words. The mixture score adds to the
 lattice of a word that the training texts hold one arc from end to end, weighed by its share of all training tokens;
@@ -45,6 +47,8 @@ MOST_VOCABULARY = 1 << 20
 START = "▁"
 LOG10 = math.log(10)
 FLOOR = 0.01  # expected count that every piece has besides
+MOST_STEPS = 3
+LEAST_GAIN = 0.01
 
 
 @dataclass
@@ -128,16 +132,15 @@ class Lattice:
     def word_log10(self, word: str) -> float:
         return self.forward(START + word)[-1] / LOG10
 
-    def expect(self, word: str, count: int, into: list[float]) -> None:
-        """Add the expected number of each piece in `count` such words."""
+    def expect(self, word: str, count: int, into: list[float]) -> float:
+        """Add the expected number of each piece in `count` such words; their log likelihood."""
         edges: list = []
         word = START + word
         alpha = self.forward(word, edges)
         beta = [-math.inf] * (len(word) + 1)
         beta[-1] = 0.0
         total, exp, log1p, number = alpha[-1], math.exp, math.log1p, self.pieces.number
-        edges.sort(key=lambda e: -e[0])
-        for i, j, p, part in edges:
+        for i, j, p, part in reversed(edges):  # they were made from the left to the right
             s = p + beta[j]
             share = count * exp(alpha[i] + s - total)
             if part is None:
@@ -147,6 +150,7 @@ class Lattice:
                 into[number[part]] += share
             b = beta[i]
             beta[i] = s if b == -math.inf else b + log1p(exp(s - b)) if s < b else s + log1p(exp(b - s))
+        return count * total
 
 
 def token_log10(pieces_log10: float, count: int, total: int, unseen: float) -> float:
@@ -182,30 +186,42 @@ def count_words(docs: DataFrame) -> DataFrame:
     return parts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
 
 
-def learn_pieces(words: DataFrame, pieces: Pieces, n_docs: int) -> list[float]:
-    """Logs of the pieces' probabilities: one expectation step over the training words, and an end for each document."""
+def learn_pieces(words: DataFrame, pieces: Pieces, n_docs: int, tokens: int, most_steps: int = MOST_STEPS, least_gain: float = LEAST_GAIN) -> list[float]:
+    """Logs of the pieces' probabilities: expectation steps over the training words, and an end for each document. tokens
+    is the number of all training tokens."""
     shared = words.sparkSession.sparkContext.broadcast(pieces)
+    trained = words.where("trained > 0").select("word", "trained")
+    weight, before = pieces.weight, -math.inf
+    for _ in range(most_steps):
+        now = words.sparkSession.sparkContext.broadcast(weight)
+
+        def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            lattice, into, likely = Lattice(shared.value, now.value), [0.0] * len(now.value), []
+            for batch in batches:
+                for word, n in zip(batch.column("word").to_pylist(), batch.column("trained").to_pylist(), strict=True):
+                    likely.append(lattice.expect(word, n, into))
+                likely = [math.fsum(likely)]
+            found = [k for k, x in enumerate(into) if x]
+            yield pa.RecordBatch.from_arrays([pa.array([-1, *found], pa.int32()), pa.array([math.fsum(likely), *(into[k] for k in found)], pa.float64())], ["piece", "n"])
+
+        # as many rows as the vocabulary has pieces, at most, and one of the likelihood
+        sums = {r.piece: r.n for r in trained.mapInArrow(expected, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()}
+        likely = sums.pop(-1, 0.0) + n_docs * weight[pieces.end]
+        counts = [0.0] * len(weight)
+        for k in [*pieces.number.values(), *pieces.byte]:
+            counts[k] = FLOOR
+        for k, n in sums.items():
+            counts[k] += n
+        counts[pieces.end] = n_docs + FLOOR
+        weight = _logs(counts)
+        now.unpersist()
+        if likely - before < least_gain * LOG10 * tokens:
+            break
+        before = likely
+    return weight
 
-    def expected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        lattice, into = Lattice(own, own.weight), [0.0] * len(own.weight)
-        for batch in batches:
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("trained").to_pylist(), strict=True):
-                lattice.expect(word, n, into)
-        found = [k for k, x in enumerate(into) if x]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([into[k] for k in found], pa.float64())], ["piece", "n"])
-
-    sums = words.where("trained > 0").select("word", "trained").mapInArrow(expected, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-    counts = [0.0] * len(pieces.weight)
-    for k in [*pieces.number.values(), *pieces.byte]:
-        counts[k] = FLOOR
-    for r in sums:  # as many rows as the vocabulary has pieces, at most
-        counts[r.piece] += r.n
-    counts[pieces.end] = n_docs + FLOOR
-    return _logs(counts)
-
-
-def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", train: str = "train", frequent: int = FREQUENT) -> DataFrame:
+
+def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", train: str = "train", frequent: int = FREQUENT, most_steps: int = MOST_STEPS, least_gain: float = LEAST_GAIN) -> DataFrame:
     """One row for each row of docs: id, train, n_tokens, n_known, train_tokens, base_score, score, mixture_score (log10).
 
     train is a boolean column: the model learns from these rows."""
@@ -218,7 +234,7 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
     unseen = (once + 1) / (total + 1)
 
     pieces = Pieces.load(vocabulary)
-    model = spark.sparkContext.broadcast((pieces, learn_pieces(words, pieces, n_docs)))
+    model = spark.sparkContext.broadcast((pieces, learn_pieces(words, pieces, n_docs, total, most_steps, least_gain)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*model.value)

@@ -57,14 +57,19 @@ def test_base_and_model_against_brute_force(spark, frequent):
     total, distinct = sum(counts.values()) + n_docs, len(counts) + 1
     unseen = (sum(n == 1 for n in counts.values()) + 1) / (total + 1)
     pieces = lm.Pieces.load(PATH)
-    into = [0.0] * len(pieces.weight)
-    start = lm.Lattice(pieces, pieces.weight)
-    for w, n in counts.items():
-        start.expect(w.decode(), n, into)
-    for k in [*pieces.number.values(), *pieces.byte]:
-        into[k] += lm.FLOOR
-    into[pieces.end] = n_docs + lm.FLOOR
-    weight = lm._logs(into)
+    weight, likely = pieces.weight, []
+    for _ in range(lm.MOST_STEPS):
+        into = [0.0] * len(weight)
+        step = lm.Lattice(pieces, weight)
+        each = [n * step.word_log10(w.decode()) for w, n in counts.items()]
+        likely.append(math.fsum(each) + n_docs * weight[pieces.end] / lm.LOG10)
+        assert math.fsum(step.expect(w.decode(), n, into) for w, n in counts.items()) / lm.LOG10 == pytest.approx(math.fsum(each))
+        for k in [*pieces.number.values(), *pieces.byte]:
+            into[k] += lm.FLOOR
+        into[pieces.end] = n_docs + lm.FLOOR
+        weight = lm._logs(into)
+        if len(likely) > 1 and likely[-1] - likely[-2] < lm.LEAST_GAIN * total:
+            break
     assert math.fsum(math.exp(x) for x in weight) == pytest.approx(1)
     lattice = lm.Lattice(pieces, weight)
     expected = []
@@ -85,3 +90,15 @@ def test_empty_table_and_no_training(spark):
     r = lm.score(spark.createDataFrame([(1, "a b", False)], kind), PATH).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
     assert math.isfinite(r.score)
+
+
+def test_steps_make_training_texts_likelier_and_end(spark):
+    texts = ["the rain in the plain", "a plainer rain rained", "unseen unplained plaining"] * 3
+    docs = spark.createDataFrame([(k, t, True) for k, t in enumerate(texts)], "doc_id long, text string, train boolean")
+
+    def likely(steps, gain=0.0):
+        return math.fsum(r.score for r in lm.score(docs, PATH, most_steps=steps, least_gain=gain).collect())
+
+    by_step = [likely(k) for k in (0, 1, 2, 4)]
+    assert by_step == sorted(by_step) and by_step[0] < by_step[1] < by_step[2]
+    assert likely(9, gain=1e9) == pytest.approx(likely(2))  # the second step is the first whose gain is known
