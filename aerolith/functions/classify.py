@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import any_of, first_case, looked_up, pattern, trimmed
+from aerolith.functions.core import any_of, first_case, led, looked_up, pattern, trimmed
 from aerolith.rules import tables as T
 
 
@@ -104,12 +104,12 @@ def compare_priority(new: Column, old: Column) -> Column:
 
 
 def fuel_type(c: Column) -> Column:
-    return F.when(c.rlike("(?iu)MOGAS|Normalbenzin|Super(?!flug)"), "MOGAS").when(c.rlike(r"(?iu)AVGAS|100LL|Aviation\s*Gasoline"), "AVGAS").when(c.rlike("(?iu)Jet.?A|Kerosin|Diesel|JET"), "Jet-A")
+    return F.when(c.rlike(led("(?iu)MOGAS|Normalbenzin|Super(?!flug)")), "MOGAS").when(c.rlike(led(r"(?iu)AVGAS|100LL|Aviation\s*Gasoline")), "AVGAS").when(c.rlike(led("(?iu)Jet.?A|Kerosin|Diesel|JET")), "Jet-A")
 
 
 def airworthy(c: Column) -> Column:
-    no = c.rlike(r"(?iu)nicht\s*(?:luft|verkehrs)tüchtig|not\s+airworthy")
-    return F.when(no, False).when(c.rlike(r"(?iu)(?:luft|verkehrs)tüchtig(?!\s*zeugnis)|LTB\s+vorhanden|airworthy"), True)
+    no = c.rlike(led(r"(?iu)nicht\s*(?:luft|verkehrs)tüchtig|not\s+airworthy"))
+    return F.when(no, False).when(c.rlike(led(r"(?iu)(?:luft|verkehrs)tüchtig(?!\s*zeugnis)|LTB\s+vorhanden|airworthy")), True)
 
 
 def vat_included(c: Column) -> Column:

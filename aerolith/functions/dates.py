@@ -57,6 +57,10 @@ def _once(text: Column, *cases) -> Column:
 
 def german_date(c: Column) -> Column:
     """dd.mm.yyyy anywhere (the calendar isn't asked), m/yyyy, or a month's name and a year, as yyyy-mm-dd text."""
+    return let(c, _german_date)
+
+
+def _german_date(c: Column) -> Column:
     full, slash, named = r"(\d{2})\.(\d{2})\.(\d{4})", r"^(\d{1,2})/(\d{4})$", r"([A-Za-zäöü]+)\s+(\d{4})"
     month = looked_up(F.lower(F.regexp_extract(c, named, 1)), T.GERMAN_MONTHS)
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import SPACE, chain, found, let, pattern
+from aerolith.functions.core import SPACE, chain, found, led, let, pattern
 
 
 def leading_number(c: Column) -> Column:
@@ -50,9 +50,9 @@ _PRICES = (
 
 def price_in_text(c: Column) -> Column:
     """A struct of amount (0 as null) and negotiable, from free text."""
-    phrase = c.rlike(r"(?iu)(?:Preis\s+)?(?:verhandelbar|Verhandlungsbasis|auf\s+Anfrage|nach\s+Vereinbarung)")
+    phrase = c.rlike(led(r"(?iu)verhandelbar|Verhandlungsbasis|auf\s+Anfrage|nach\s+Vereinbarung"))
     raw = F.lit(None).cast("string")
-    for regex in reversed(_PRICES):
+    for regex in map(led, reversed(_PRICES)):
         raw = F.when(c.rlike(regex), F.concat(F.lit("€"), F.regexp_extract(c, regex, 1), F.lit(" "), F.regexp_extract(c, regex, 2))).otherwise(raw)
     return let(parse_price(raw), lambda p: F.struct(F.when(p["amount"] != 0, p["amount"]).alias("amount"), (phrase | F.coalesce(p["negotiable"], F.lit(False))).alias("negotiable")))
 

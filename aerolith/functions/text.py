@@ -88,9 +88,8 @@ def strip_title_date_prefix(c: Column) -> Column:
 
 def title_of(bold: Column, text: Column) -> Column:
     """A title: bold text of 4 to 199 characters, else the first line that can be one, else the first 100 characters."""
-    bold = trimmed(bold)
     lines = F.filter(F.transform(F.split(text, "\n"), trimmed), lambda x: (F.length(x) > 3) & ~x.rlike(r"^\d{1,2}\.\d{2}\.\d{4}$") & ~x.startswith("•") & (F.length(x) < 200))
-    own = F.when((F.length(bold) > 3) & (F.length(bold) < 200), clean_text(bold))
+    own = let(trimmed(bold), lambda x: F.when((F.length(x) > 3) & (F.length(x) < 200), clean_text(x)))
     return strip_title_date_prefix(F.coalesce(own, F.try_element_at(lines, F.lit(1)), F.substring(text, 1, 100)))
 
 
@@ -167,7 +166,8 @@ def strip_language_blocks(c: Column) -> Column:
 
 def contact(html: Column, text: Column) -> Column:
     """A struct of name, email and phone."""
-    mail = F.coalesce(found(html, r"(?i)mailto:([^\"'\s]+)"), found(text, r"(?i)[\w.-]+\s*\[at\]\s*[\w.-]+\.\w+", 0))
+    spelled = found(text, r"(?i)[\w.-]+\s*\[at\]\s*[\w.-]+\.\w+", 0)  # tried at every word, so only where there is one
+    mail = F.coalesce(found(html, r"(?i)mailto:([^\"'\s]+)"), F.when(text.rlike(r"(?i)\[at\]"), spelled))
     phone = found(text, r"(?i)(?:Tel\.?|Telefon|Mobil|Handy|Phone)[:\s]*([\d\s/+()-]{7,20})")
     name = found(text, r"(?iu)(?:Kontakt|Ansprechpartner|Verkäufer)[:\s]*([A-ZÄÖÜ][a-zäöüß]+\s+[A-ZÄÖÜ][a-zäöüß]+)")
     return F.struct(name.alias("name"), decode_email(mail).alias("email"), trimmed(phone).alias("phone"))
@@ -177,7 +177,7 @@ def location(c: Column) -> Column:
     marked = found(c, r"(?iu)(?:Standort|Raum|Region|Nähe|stationiert\s+(?:in|bei))[:\s]*([A-ZÄÖÜ][a-zäöüß]+(?:[\s-][A-ZÄÖÜ]?[a-zäöüß]+){0,3})")
     postal = r"(\d{5})\s+([A-ZÄÖÜ][a-zäöüß]+(?:[\s-][A-ZÄÖÜ][a-zäöüß]+){0,2})"
     coded = clean_text(F.concat(F.regexp_extract(c, postal, 1), F.lit(" "), F.regexp_extract(c, postal, 2)))
-    return F.when(marked.isNotNull(), clean_text(marked)).when(c.rlike(postal), coded)
+    return F.coalesce(clean_text(marked), F.when(c.rlike(postal), coded))
 
 
 def city_of(place: Column) -> Column:

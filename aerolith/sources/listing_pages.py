@@ -13,7 +13,7 @@ from aerolith.functions import dates as D
 from aerolith.functions import keys as K
 from aerolith.functions import numbers as N
 from aerolith.functions import text as X
-from aerolith.functions.core import chain, found, given, looked_up, once, pattern
+from aerolith.functions.core import chain, found, given, let, looked_up, once, pattern
 from aerolith.functions.urls import on_site, origin, segments
 from aerolith.operators.filldown import fill_down
 from aerolith.operators.merge import listing_description, over
@@ -57,10 +57,10 @@ def specs(text: Column) -> dict[str, Column]:
     parts = F.filter(F.transform(F.split(text, "[•\n]"), lambda x: F.trim(x)), lambda s: (F.length(s) > 2) & (F.length(s) < 200) & s.rlike("|".join(T.AVIONICS_WORDS)))
     out = {
         "year": found(text, r"(?iu)Baujahr[:\s]*(\d{4})").try_cast("int"),
-        "engine": F.when(F.length(engine) >= 3, engine),
+        "engine": let(engine, lambda x: F.when(F.length(x) >= 3, x)),
         "total_time": N.extract_number(hours),
         "rescue_system": X.clean_text(found(text, r"(?iu)Rettung[:\s]*([^•\n]+)")),
-        "annual_inspection": F.coalesce(D.german_date(check), check),
+        "annual_inspection": let(check, lambda x: F.coalesce(D.german_date(x), x)),
         "dulv_ref": X.clean_text(found(text, r"(?iu)DULV[- ]?Kennblatt[:\s]*([^\n•]+)")),
         "registration": F.upper(F.coalesce(found(text, MARKED_REGISTRATION), found(text, FREE_REGISTRATION))),
         "serial_number": found(text, SERIAL),
@@ -73,8 +73,8 @@ def specs(text: Column) -> dict[str, Column]:
 
 def residue(text: Column, title: Column) -> Column:
     """A description: the text without what has columns of its own, without the title in front."""
-    x = chain(text, *[(p, "") for p in RESIDUE])
-    x = F.when(x.startswith(title) & (title != ""), F.substring(x, F.length(title) + 1, F.length(x))).otherwise(x)
+    untitled = lambda x: F.when(x.startswith(title) & (title != ""), F.substring(x, F.length(title) + 1, F.length(x))).otherwise(x)
+    x = let(chain(text, *[(p, "") for p in RESIDUE]), untitled)
     x = F.trim(chain(x, ("•", ""), (r"\s+", " ")))
     return F.coalesce(given(x), title)
 

@@ -129,3 +129,18 @@ def test_image_rules(spark):
 
 def test_midnight(spark):
     assert each(spark, D.midnight, "2026-06-01T10:00:00", "2026-02-31", "x") == [dt.date(2026, 6, 1), dt.date(2026, 3, 3), None]
+
+
+def test_nested_found_names_its_text_once(spark):
+    """An expression that names its text several times doubles with each level: a number in prose had 64 matches."""
+    from aerolith.functions.core import found, led
+
+    df = spark.createDataFrame([("Tank: 1.050,5 l",), ("TANK 7 l",), ("leer",), (None,)], "t string")
+    out = df.select(N.extract_number(found(F.col("t"), r"(?iu)(?:Tankinhalt|Tank)[:\s]*([\d.,]+)\s*l")).alias("n"))
+    assert [r.n for r in out.collect()] == [1050.5, 7.0, None, None]
+    assert out._jdf.queryExecution().analyzed().toString().count("regexp_extract") == 3
+    assert led(r"(?iu)(?:Kennz\.?|Zulassung)[:\s]*(\d)") != r"(?iu)(?:Kennz\.?|Zulassung)[:\s]*(\d)"
+    signs = spark.createDataFrame([("Kennz: 1",), ("zulaſſung 2",), ("x",)], "t string")
+    assert [r[0] for r in signs.select(found(F.col("t"), r"(?iu)(?:Kennz\.?|Zulassung)[:\s]*(\d)")).collect()] == ["1", "2", None]
+    for same in ("x?a|b", r"\s+", "(?i)(?:a|b)?c", "a*b", "^a|b", ""):
+        assert led(same) == same
