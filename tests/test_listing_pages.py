@@ -103,3 +103,23 @@ def test_siblings_and_ids_are_indexed():
     while (node := node.next()) is not None:
         n += 1
     assert n == 20_000 and page.ids()["i2"].text() == "2"
+
+
+def test_trees_of_pages_do_not_pile_up(spark):
+    """A page's tree goes when its cards are taken, and pages go to Python in small batches, whatever their size."""
+    import gc
+
+    from aerolith.sources import cards, dom
+
+    html = "<div class='listview-item'><h3><strong>A</strong></h3></div>" * 3
+    gc.collect()
+    gc.disable()
+    try:
+        assert [len(cards.extract(html, listing_pages.GRID)) for _ in range(5)] == [3] * 5
+        assert cards.folded_sections("<main><details><summary>Kopf</summary>lange genug</details></main>", listing_pages.FOLDS) == {"kopf": "lange genug"}
+        assert sum(isinstance(x, dom.Node) for x in gc.get_objects()) == 0
+    finally:
+        gc.enable()
+    rows = spark.createDataFrame([(html,), (None,), ("",)], "html string").select(cards.cards(F.col("html"), listing_pages.GRID).alias("c"))
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [len(r.c) for r in rows.collect()] == [3, 0, 0]
