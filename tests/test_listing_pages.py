@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from aerolith.sources import listing_pages as L
 
 
@@ -115,11 +117,11 @@ def test_trees_of_pages_do_not_pile_up(spark):
     gc.collect()
     gc.disable()
     try:
-        assert [len(cards.extract(html, listing_pages.GRID)) for _ in range(5)] == [3] * 5
-        assert cards.folded_sections("<main><details><summary>Kopf</summary>lange genug</details></main>", listing_pages.FOLDS) == {"kopf": "lange genug"}
+        assert [len(cards.extract(html, L.GRID)) for _ in range(5)] == [3] * 5
+        assert cards.folded_sections("<main><details><summary>Kopf</summary>lange genug</details></main>", L.FOLDS) == {"kopf": "lange genug"}
         assert sum(isinstance(x, dom.Node) for x in gc.get_objects()) == 0
     finally:
         gc.enable()
-    rows = spark.createDataFrame([(html,), (None,), ("",)], "html string").select(cards.cards(F.col("html"), listing_pages.GRID).alias("c"))
+    rows = spark.createDataFrame([(html,), (None,), ("",)], "html string").select(cards.cards(F.col("html"), L.GRID).alias("c"))
     assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
     assert [len(r.c) for r in rows.collect()] == [3, 0, 0]
