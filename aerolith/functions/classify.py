@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import any_of, first_case, led, looked_up, pattern, trimmed
+from aerolith.functions.core import any_of, first_case, led, looked_up, lowered, pattern, trimmed
 from aerolith.rules import tables as T
 
 
@@ -62,7 +62,7 @@ def event_category(source: str, title: Column, kind: Column | None = None) -> Co
 
 def calendar_category(categories: Column, default: Column) -> Column:
     """The first of an event's own categories that is one, else the calendar's if it is one, else general."""
-    known = F.filter(F.transform(categories, lambda x: F.regexp_replace(F.lower(x), r"\s+", "-")), lambda x: x.isin(*T.EVENT_CATEGORIES))
+    known = F.filter(F.transform(categories, lambda x: F.regexp_replace(lowered(x), r"\s+", "-")), lambda x: x.isin(*T.EVENT_CATEGORIES))
     return F.coalesce(F.try_element_at(known, F.lit(1)), F.when(default.isin(*T.EVENT_CATEGORIES), default), F.lit("general"))
 
 

@@ -107,6 +107,12 @@ def trimmed(c: Column) -> Column:
     return chain(c, (rf"^{SPACE}+|{SPACE}+$", ""))
 
 
+def lowered(c: Column) -> Column:
+    """c in lower case; Spark's own function is asked only where a letter may change, as it takes many times longer than
+    the look."""
+    return F.when(c.rlike(r"[^\x00-@\[-\x7F]"), F.lower(c)).otherwise(c)
+
+
 def missing(c: Column) -> Column:
     """Null and the empty string."""
     return c.isNull() | (c.cast("string") == "")

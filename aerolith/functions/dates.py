@@ -188,11 +188,13 @@ def ics_time(c: Column, zone: Column | str) -> Column:
     """The UTC time (without a zone) of an iCalendar date, UTC time, or local time in a zone (Europe/Berlin if null)."""
     v = F.trim(c)
     day = r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2})(Z?))?$"
-    part = lambda k: F.regexp_extract(v, day, k).try_cast("int")
-    date = F.try_make_timestamp(part(1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("timestamp_ntz")
-    date = date + F.make_ym_interval(F.lit(0), part(2) - 1) + F.make_dt_interval(part(3) - 1, F.coalesce(part(4), F.lit(0)), F.coalesce(part(5), F.lit(0)), F.coalesce(part(6), F.lit(0)).cast("decimal(18,6)"))
+    part = lambda at, n: F.substring(v, at, n).try_cast("int")
+    timed = F.substring(v, 9, 1) == "T"
+    date = F.try_make_timestamp(part(1, 4), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)).cast("timestamp_ntz")
+    date = date + F.make_ym_interval(F.lit(0), part(5, 2) - 1) + F.make_dt_interval(part(7, 2) - 1)
+    clock = date + F.make_dt_interval(F.lit(0), part(10, 2), part(12, 2), part(14, 2).cast("decimal(18,6)"))
     zone = zone if isinstance(zone, str) else F.coalesce(zone, F.lit("Europe/Berlin"))
-    local = F.when(part(4).isNotNull() & (F.regexp_extract(v, day, 7) == ""), zoned_to_utc(date, zone)).otherwise(date)
+    local = F.when(timed, F.when(F.substring(v, 16, 1) == "Z", clock).otherwise(zoned_to_utc(clock, zone))).otherwise(date)
     return F.when(v.rlike(day), local)
 
 
@@ -202,7 +204,7 @@ _DURATION = r"^([+-]?)P(?:(\d+)W)?(?:(\d+)D)?(?:T(?:(\d+)H)?(?:(\d+)M)?(?:(\d+)S
 def ics_duration(c: Column) -> Column:
     """An ISO 8601 duration of weeks, days, hours, minutes and seconds in milliseconds; null without any part."""
     v = F.trim(c)
-    parts = [F.regexp_extract(v, _DURATION, k).try_cast("long") for k in range(2, 7)]
+    parts = [found(v, _DURATION, k).try_cast("long") for k in range(2, 7)]
     seconds = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0).cast("long")) * s for p, s in zip(parts, (604800, 86400, 3600, 60, 1), strict=True)])
     sign = F.when(F.regexp_extract(v, _DURATION, 1) == "-", -1).otherwise(1)
     return F.when(v.rlike(_DURATION) & F.coalesce(*parts).isNotNull(), sign * seconds * 1000)

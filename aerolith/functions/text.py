@@ -13,8 +13,10 @@ from aerolith.rules import tables as T
 
 def clean_text(c: Column) -> Column:
     """Without tags, with the usual entities decoded (ampersands first), white space collapsed."""
-    entities = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "))
-    return trimmed(chain(c, ("<[^>]*>", " "), *entities, (rf"{SPACE}+", " ")))
+    c = F.regexp_replace(c, "<[^>]*>", " ")
+    for entity, sign in (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+        c = F.replace(c, F.lit(entity), F.lit(sign))
+    return trimmed(F.regexp_replace(c, rf"{SPACE}+", " "))
 
 
 def sanitize(c: Column) -> Column:

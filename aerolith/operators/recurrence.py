@@ -93,5 +93,7 @@ def expand(df: DataFrame, horizon: Column, start: str = "start", end: str = "end
     length = F.greatest(F.col(end) - F.col(start), F.expr("INTERVAL '0' SECOND"))
     ready = df.withColumn("__length", length).withColumn("__rule", parsed_rule(F.col(rule)))
     times = occurrences(F.col(start), F.col("__rule"), F.col(exdates), F.col(rdates), horizon, most)
+    single = F.col("__rule.freq").isNull() & (F.coalesce(F.size(exdates), F.lit(0)) <= 0) & (F.coalesce(F.size(rdates), F.lit(0)) <= 0) & F.col(start).isNotNull()
+    times = F.when(single, F.array(start)).otherwise(times)  # most events
     out = ready.select("*", F.posexplode(times).alias("occurrence", "__start"))
     return out.withColumn(end, F.col("__start") + F.col("__length")).withColumn(start, F.col("__start")).drop("__start", "__length", "__rule")
