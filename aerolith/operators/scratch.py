@@ -72,12 +72,13 @@ def _shuffle_files_removed(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(CLEANUP, _writers[1])
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df, computed once and cut from its lineage: a Parquet table in the shared folder."""
+def written(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
+    """df, computed once and cut from its lineage: a Parquet table in the shared folder. A codec is named where most bytes
+    are digests as text, of which Spark's usual one leaves all."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     with _shuffle_files_removed(spark):
-        df.write.parquet(path)
+        (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -13,7 +13,8 @@ from aerolith.operators import dedup
 from aerolith.operators.match import first_row
 from aerolith.operators.scratch import freed, written
 from aerolith.operators.upsert import outcomes, snapshot
-from aerolith.streaming.store import PARTS, Kept, Store
+from aerolith.operators.validate import is_claimed
+from aerolith.streaming.store import CODEC, PARTS, Kept, Store
 
 
 def table_store(spark, folder: str, schema: str, key: str = "", parts: int = PARTS) -> Store:
@@ -75,42 +76,59 @@ def event_batch(rows: DataFrame, store: Store, number: int, order: list[Column],
     go for it (a row with outcome deleted) or refuse it. What goes on is upserted by source and URL. Events, index and
     the list of outcomes change with the batch's manifest, so a batch that is run again gives the same."""
     uid = F.sha1(F.concat_ws("\x1f", F.col("external_source"), F.col("source_url")))
-    decided = written(dedup.priority_winners(rows.withColumn("uid", uid), "canonical_key", "external_source", arrival, "decision"), "decided-events")
     batch = store.begin(number)
-    kept = decided.where("decision = 'kept'").drop("decision")
-    refs = batch.meet("by_key", kept.where("canonical_key IS NOT NULL").select("canonical_key"))
-    met, doomed = dedup.against_stored(kept, refs, "canonical_key", "external_source")
-    met, doomed = written(met, "met-events"), written(doomed, "doomed-events")
-    goes_on = met.where("decision <> 'lower_priority_duplicate'").drop("decision")
-    there = batch.meet("events", goes_on.select("uid").union(doomed.select("uid")))
-    target = there.join(doomed.select("uid"), "uid", "left_anti")
-    found = written(outcomes(goes_on, target, "uid", "digest", order), "event-outcomes")
-    fresh = found.where("outcome <> 'skipped'").drop("outcome", "reason").withColumns({"is_external": F.lit(True), "claimed_at": F.lit(None).cast("timestamp_ntz")})
-    own = [c for c in target.columns if c not in ("uid", "is_external", "claimed_at")]
-    after = written(snapshot(fresh.select(*target.columns), target, "uid", own), "events-after")
+    best = written(dedup.best_sources(rows, "canonical_key", "external_source", arrival), "winners", CODEC)
+    refs = batch.meet("by_key", best.select(F.col("__k").alias("canonical_key")))
+    decided, doomed = dedup.decided(rows.withColumn("uid", uid).drop(arrival), best, refs, "canonical_key", "external_source")
+    decided, doomed = written(decided, "decided-events", CODEC), written(doomed, "doomed-events", CODEC)
+    goes_on = decided.where("decision <> 'lower_priority_duplicate'").drop("decision")
+    target = there = batch.meet("events", goes_on.select("uid").union(doomed.select("uid")))
+    lost = not doomed.isEmpty()
+    if lost:
+        target = there.join(doomed.select("uid"), "uid", "left_anti")
+    after = written(_met(first_row(goes_on, ["uid"], order), target), "events-after", CODEC)
     # the index: entries of rows that went or changed go, whatever key they had; those of changed and new rows come
-    changed = written(fresh.select("uid").union(doomed.select("uid")), "changed-events")
-    old = there.join(changed, "uid", "left_semi").where("canonical_key IS NOT NULL").select("canonical_key")
-    refs = batch.meet("by_key", fresh.where("canonical_key IS NOT NULL").select("canonical_key").union(old))
-    entries = after.join(fresh.select("uid"), "uid", "left_semi").where("canonical_key IS NOT NULL").select(*refs.columns)
+    fresh = after.where("__outcome <> 'skipped'")
+    keys = fresh.select(F.explode(F.array_compact(F.array("canonical_key", "__old_key"))).alias("canonical_key"))
+    refs = batch.meet("by_key", keys)
+    entries = fresh.where("canonical_key IS NOT NULL").select(*refs.columns)
     columns = ["uid", "external_source", "source_url", "canonical_key"]
-    gone = there.join(doomed.select("uid"), "uid", "left_semi").select(*columns, F.lit("deleted").alias("outcome"), F.lit("superseded").alias("reason"))
-    lost = decided.where("decision <> 'kept'").drop("arrival").unionByName(met.where("decision = 'lower_priority_duplicate'").drop("arrival"), allowMissingColumns=True)
-    lost = lost.select(*columns, F.lit("skipped").alias("outcome"), F.col("decision").alias("reason"))
-    told = found.select(*columns, "outcome", "reason").unionByName(lost).unionByName(gone)
-    told.write.mode("overwrite").parquet(f"{store.folder}/outcomes/batch={number}")
-    batch.put("by_key", refs.join(changed, "uid", "left_anti").unionByName(entries))
-    batch.put("events", after)
+    told = decided.where("decision = 'lower_priority_duplicate'").select(*columns, F.lit("skipped").alias("outcome"), F.col("decision").alias("reason"))
+    own = [F.when(F.col("__outcome") == "skipped", F.col(f"__own.{c}")).otherwise(F.col(c)).alias(c) for c in columns[1:]]
+    told = told.unionByName(after.where("__outcome IS NOT NULL").select("uid", *own, F.col("__outcome").alias("outcome"), F.col("__reason").alias("reason")))
+    if lost:
+        gone = there.join(doomed.select("uid"), "uid", "left_semi").select(*columns, F.lit("deleted").alias("outcome"), F.lit("superseded").alias("reason"))
+        told = told.unionByName(gone)
+    told.write.mode("overwrite").option("compression", CODEC).parquet(f"{store.folder}/outcomes/batch={number}")
+    batch.put("by_key", refs.join(fresh.select("uid").union(doomed.select("uid")), "uid", "left_anti").unionByName(entries))
+    batch.put("events", after.select(*there.columns))
     batch.commit()
     return rows.sparkSession.read.parquet(f"{store.folder}/outcomes/batch={number}")
 
 
+def _met(staged: DataFrame, target: DataFrame) -> DataFrame:
+    """outcomes() and snapshot() in one, by uid and digest: the target after staged rows (one for each uid) have met it,
+    and __outcome and __reason of rows that are staged, __own with what a skipped one says, __old_key where a row has
+    left a key."""
+    s, t = (lambda c: F.col(f"s.{c}")), (lambda c: F.col(f"t.{c}"))
+    both = target.alias("t").join(staged.alias("s"), t("uid") == s("uid"), "full_outer")
+    known, asked = t("uid").isNotNull(), s("uid").isNotNull()
+    reason = F.when(asked & known & is_claimed("t.is_external", "t.claimed_at"), "claimed").when(asked & known & F.coalesce(t("digest") == s("digest"), F.lit(False)), "unchanged")
+    fresh = asked & reason.isNull()
+    outcome = F.when(reason.isNotNull(), "skipped").when(asked & known, "updated").when(asked, "inserted")
+    kept = {"uid": F.coalesce(t("uid"), s("uid")), "is_external": F.when(known, t("is_external")).otherwise(True), "claimed_at": t("claimed_at")}
+    columns = [kept.get(c, F.when(fresh, s(c)).otherwise(t(c)) if c not in kept else None).alias(c) for c in target.columns]
+    own = F.struct(*[s(c) for c in ("external_source", "source_url", "canonical_key")])
+    left = F.when(fresh & ~t("canonical_key").eqNullSafe(s("canonical_key")), t("canonical_key"))
+    return both.select(*columns, outcome.alias("__outcome"), reason.alias("__reason"), F.when(reason.isNotNull(), own).alias("__own"), left.alias("__old_key"))
+
+
 def event_writer(stream: DataFrame, store: Store, order: list[Column], arrival: str = "arrival") -> DataStreamWriter:
     """A writer that applies each micro-batch of events to a store of events."""
 
     def each(batch: DataFrame, number: int) -> None:
         with freed(batch.sparkSession):
-            event_batch(written(batch, "batch"), store, number, order, arrival)
+            event_batch(written(batch, "batch", CODEC), store, number, order, arrival)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{store.folder}/checkpoint")
 

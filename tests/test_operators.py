@@ -59,7 +59,7 @@ def test_calendars(spark):
 
 def test_lines_of_an_event_are_not_listed_for_each_property(spark):
     """Properties come from one look each at the event's text: the last line of a name counts, in any case."""
-    event = "BEGIN:VEVENT\nuid:1\nSUMMARY;LANGUAGE=de:Alt\nSummary:Neu\\nund\; mehr\nDTSTART;TZID=Europe/Rome:20260701T120000\nDTEND:20260731T240000Z\nX-SUMMARY:nein\nDESCRIPTION:SUMMARY:auch nicht\nEXDATE:20260801T000000Z,kaputt\nEXDATE;TZID=Asia/Tokyo:20260802T090000\nRDATE:\nEND:VEVENT\n"
+    event = "BEGIN:VEVENT\nuid:1\nSUMMARY;LANGUAGE=de:Alt\nSummary:Neu\\nund\\; mehr\nDTSTART;TZID=Europe/Rome:20260701T120000\nDTEND:20260731T240000Z\nX-SUMMARY:nein\nDESCRIPTION:SUMMARY:auch nicht\nEXDATE:20260801T000000Z,kaputt\nEXDATE;TZID=Asia/Tokyo:20260802T090000\nRDATE:\nEND:VEVENT\n"
     rows = ics.parsed(spark.createDataFrame([(f"BEGIN:VCALENDAR\n{event}END:VCALENDAR",), ("BEGIN:VCALENDAR\nEND:VCALENDAR",)], "payload string"))
     (r,) = rows.collect()
     assert (r.uid, r.summary, r.description, str(r.start), str(r.end)) == ("1", "Neu\nund; mehr", "SUMMARY:auch nicht", "2026-07-01 10:00:00", "2026-08-01 00:00:00")

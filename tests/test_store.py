@@ -43,6 +43,22 @@ def test_batches_meet_what_other_sources_have_stored(spark, tmp_path):
     assert told(incremental.event_batch(third.limit(0), store, 3, order)) == [] and len(kept(store)) == 5
 
 
+def test_whole_rows_of_a_batch_are_written_twice_at_most(spark, tmp_path):
+    """Once with what is decided of them, once as what they leave behind; decisions are tables of keys."""
+    from pathlib import Path
+
+    from aerolith.operators.scratch import shared_dir
+
+    there = lambda: set(Path(shared_dir(spark).removeprefix("file://"), "aerolith").glob("*"))
+    store = incremental.event_store(spark, f"{tmp_path}/s", "v long", parts=2)
+    for number, source in enumerate(("iata.org", "dulv.de", "pilot-frank.de")):
+        before = there()
+        rows = events(spark, (source, "a", "K", "1", 5, number), (source, "b", None, "1", 5, number), (source, "b", "M", "2", 4, number + 10))
+        incremental.event_batch(rows, store, number, [F.col("v")])
+        made = [p for p in there() - before if "digest" in spark.read.parquet(f"{p}").columns]
+        assert len(made) == 2
+
+
 def test_claimed_rows_are_not_removed(spark):
     stored = spark.createDataFrame([("K", "iata.org", False, None), ("L", "iata.org", True, "2024-01-01"), ("M", "dulv.de", True, None), ("M", "iata.org", None, None), (None, "iata.org", True, None)], "k string, s string, is_external boolean, claimed_at string")
     rows = spark.createDataFrame([("K", "dulv.de"), ("L", "dulv.de"), ("M", "ics-feed"), (None, "dulv.de"), ("Z", "dulv.de")], "k string, s string")
