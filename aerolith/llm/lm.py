@@ -46,6 +46,8 @@ MOST_COUNTED = 300_000
 MOST_VOCABULARY = 1 << 20
 START = "▁"
 LOG10 = math.log(10)
+#: Lattices whose probability is above this are summed as plain numbers: what is too small for one adds nothing to it.
+LEAST_PLAIN = 1e-200
 FLOOR = 0.01  # expected count that every piece has besides
 MOST_STEPS = 3
 LEAST_GAIN = 0.01
@@ -99,6 +101,8 @@ class Lattice:
         self.pieces, self.weight = pieces, weight
         self.log = {piece: weight[k] for piece, k in pieces.number.items()}
         self.starts = {piece[:n] for piece in pieces.number for n in range(1, len(piece) + 1)}
+        # what pieces start with, and the pieces with probability and number: one look for both
+        self.arc = dict.fromkeys(self.starts) | {piece: (math.exp(weight[k]), k) for piece, k in pieces.number.items()}
 
     def _spelled(self, c: str) -> list[int]:
         return [self.pieces.byte[b] for b in c.encode("utf-8", "surrogatepass")]
@@ -130,10 +134,57 @@ class Lattice:
         return alpha
 
     def word_log10(self, word: str) -> float:
-        return self.forward(START + word)[-1] / LOG10
+        plain = self.plain(START + word)
+        return math.log10(plain) if plain > LEAST_PLAIN else self.forward(START + word)[-1] / LOG10
+
+    def plain(self, word: str, edges: list | None = None, alpha: list[float] | None = None) -> float:
+        """The word's probability, without logs; edges gets (from, to, probability, number of the piece or None)."""
+        n = len(word)
+        alpha = [] if alpha is None else alpha
+        alpha += [0.0] * (n + 1)
+        alpha[0] = 1.0
+        look = self.arc.get
+        for i in range(n):
+            a = alpha[i]
+            if a == 0.0:  # too small: the logs decide
+                return 0.0
+            for j in range(i + 1, n + 1):
+                found = look(word[i:j], False)
+                if found:
+                    p, k = found
+                    alpha[j] += a * p
+                    if edges is not None:
+                        edges.append((i, j, p, k))
+                elif found is False:
+                    break
+            if not look(word[i]):
+                p = math.exp(sum(self.weight[k] for k in self._spelled(word[i])))
+                alpha[i + 1] += a * p
+                if edges is not None:
+                    edges.append((i, i + 1, p, None))
+        return alpha[n]
 
     def expect(self, word: str, count: int, into: list[float]) -> float:
         """Add the expected number of each piece in `count` such words; their log likelihood."""
+        edges: list = []
+        alpha: list[float] = []
+        marked = START + word
+        total = self.plain(marked, edges, alpha)
+        if total <= LEAST_PLAIN:
+            return self._expect_by_logs(word, count, into)
+        beta = [0.0] * len(alpha)
+        beta[-1] = count / total
+        for i, j, p, k in reversed(edges):
+            s = p * beta[j]
+            beta[i] += s
+            if k is not None:
+                into[k] += alpha[i] * s
+            else:
+                for b in self._spelled(marked[i]):
+                    into[b] += alpha[i] * s
+        return count * math.log(total)
+
+    def _expect_by_logs(self, word: str, count: int, into: list[float]) -> float:
         edges: list = []
         word = START + word
         alpha = self.forward(word, edges)

@@ -37,6 +37,17 @@ def test_forward_is_the_sum_of_all_segmentations():
         assert {k: x for k, x in enumerate(into) if x} == pytest.approx(dict(brute), rel=1e-9)
 
 
+def test_sums_without_logs_are_those_by_logs():
+    pieces = lm.Pieces.load(PATH)
+    lattice = lm.Lattice(pieces, pieces.weight)
+    for word in ("the", "fürü", "\U00012345\x00", "un" * 12, "xyz" * 400):
+        by_logs, own = [0.0] * len(pieces.weight), [0.0] * len(pieces.weight)
+        likely = lattice._expect_by_logs(word, 3, by_logs)
+        assert lattice.expect(word, 3, own) == pytest.approx(likely, rel=1e-12) and own == pytest.approx(by_logs, rel=1e-9)
+        assert lattice.word_log10(word) == pytest.approx(lattice.forward(lm.START + word)[-1] / lm.LOG10, rel=1e-12)
+        assert (lattice.plain(lm.START + word) > lm.LEAST_PLAIN) == (len(word) < 100)  # long ones go by logs
+
+
 def test_unknown_characters_are_spelled_and_long_words_scored():
     pieces = lm.Pieces.load(PATH)
     lattice = lm.Lattice(pieces, pieces.weight)
