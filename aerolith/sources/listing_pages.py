@@ -18,7 +18,7 @@ from aerolith.functions.urls import on_site, origin, segments
 from aerolith.operators.filldown import fill_down
 from aerolith.operators.merge import listing_description, over
 from aerolith.rules import tables as T
-from aerolith.sources.cards import Cards, Folds, cards, folds
+from aerolith.sources.cards import Cards, Folds, cards, cards_and_folds
 
 SERIAL = r"(?iu)(?:Werk[- ]?Nr\.?|S/N|Seriennummer|Serial)[:\s]*([A-Z0-9][\w-]{1,20})"
 MARKED_REGISTRATION = r"(?iu)(?:Kennzeichen|Kennz\.?|Zulassung|Registration)[:\s]*([A-Z]{1,2}-[A-Z0-9]{2,5})"
@@ -250,7 +250,7 @@ def grid_parts(pages: DataFrame, source: str, site: str) -> DataFrame:
     return _typed(df.withColumns({"category": kind, "price_negotiable": F.col("price").isNull(), "description": F.col("title")}), schemas.PART)
 
 
-DETAIL = Cards("html, body", {"text": ("main, .cms-page, .container--main, #content, article", "text"), "body": ("body", "text"), "html": ("", "html"), "images": (".product-image-gallery img, .gallery-slider img, .product-images img, .cms-block-gallery img", "all:src")})
+DETAIL = Cards("html, body", {"text": ("main, .cms-page, .container--main, #content, article", "text"), "body": ("body", "text"), "images": (".product-image-gallery img, .gallery-slider img, .product-images img, .cms-block-gallery img", "all:src")})
 FOLDS = Folds(
     "main, .cms-page, .container--main, #content, article",
     (
@@ -286,7 +286,8 @@ DETAIL_NUMBERS = {
 def with_details(listings: DataFrame, details: DataFrame) -> DataFrame:
     """Listings with what their detail pages (page_url, payload) add; a detail wins over the card, and a listing without
     a page stays as it is."""
-    d = details.select(F.col("page_url").alias("__u"), cards(F.col("payload"), DETAIL)[0].alias("__c"), F.col("payload").alias("__h"), folds(F.col("payload"), FOLDS).alias("__s"))
+    d = details.select(F.col("page_url").alias("__u"), F.col("payload").alias("__h"), cards_and_folds(F.col("payload"), DETAIL, FOLDS).alias("__p"))
+    d = d.select("__u", "__h", F.col("__p.cards")[0].alias("__c"), F.col("__p.folds").alias("__s"))
     d = d.withColumn("__t", F.regexp_replace(F.coalesce(F.col("__c").getItem("text"), F.col("__c").getItem("body"), F.lit("")), r"\s+", " "))
     d = d.withColumns({f"__{name}": F.coalesce(*[F.try_element_at("__s", F.lit(x)) for x in heads]) for name, heads in SECTIONS.items()})
     text = F.when(F.length("__more") > 50, F.concat_ws(" ", "__more", "__t")).otherwise(F.col("__t"))

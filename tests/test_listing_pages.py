@@ -125,3 +125,20 @@ def test_trees_of_pages_do_not_pile_up(spark):
     rows = spark.createDataFrame([(html,), (None,), ("",)], "html string").select(cards.cards(F.col("html"), L.GRID).alias("c"))
     assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
     assert [len(r.c) for r in rows.collect()] == [3, 0, 0]
+
+
+def test_a_detail_page_is_parsed_once(spark):
+    """Cards and folded sections of a page come from one call, the same as from two."""
+    from aerolith.sources.cards import cards, cards_and_folds, folds
+    from aerolith.sources.listing_pages import DETAIL, FOLDS, with_details
+
+    page = "<html><body><main>Leergewicht: 600 kg <details><summary>Avionik</summary>Garmin 430 und mehr</details></main></body></html>"
+    pages = spark.createDataFrame([("u", page), ("v", "<p>x</p>"), ("w", page[:60])], "page_url string, payload string")
+    p = F.col("payload")
+    both = cards_and_folds(p, DETAIL, FOLDS)
+    assert all(r.a == r.b and r.c == r.d for r in pages.select(both["cards"].alias("a"), cards(p, DETAIL).alias("b"), both["folds"].alias("c"), folds(p, FOLDS).alias("d")).collect())
+    from aerolith import schemas
+
+    out = with_details(spark.createDataFrame([], schemas.LISTING), pages)
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert "card_rows(" not in plan and plan.count("both(") == 1
