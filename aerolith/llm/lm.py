@@ -1,7 +1,7 @@
 """Operator 7: language-model scoring by the likelihood of a subword lattice.
 
 A text is its lower-cased words and one end. Each word, with the mark of a word's start before it, is a lattice of all
-its segmentations into the pieces of an existing vocabulary; the forward recursion in log space sums them, so the score
+its segmentations into the pieces of an existing vocabulary; the forward recursion sums them, so the score
 is the marginal log10 probability of the text under a unigram model of pieces. Characters that no piece covers are
 spelled by the vocabulary's byte pieces, so every text has a probability.
 
@@ -16,7 +16,8 @@ lattice of a word that the training texts hold one arc from end to end, weighed
 the arcs of pieces together get the share of tokens that were seen once (what Good and Turing expect of unseen ones).
 
 Scale: words are counted in each task, summed by shuffle and written to a table with their count and lattice score, so
-each distinct word is scored once. Words above a count that at most `FREQUENT` words reach are broadcast, if they have
+each distinct word is scored once. The table is in order of words within its partitions, and words in a row share the
+recursions over what they start with. Words above a count that at most `FREQUENT` words reach are broadcast, if they have
 at most `MOST_WORD_BYTES` bytes; the others are looked up by a join on the word, which no word dominates, because the
 frequent ones are not in it (or are few in a text, being long). What meets in one task is one row for each (document,
 rare word) and a sum for each document.
@@ -48,6 +49,8 @@ START = "▁"
 LOG10 = math.log(10)
 #: Lattices whose probability is above this are summed as plain numbers: what is too small for one adds nothing to it.
 LEAST_PLAIN = 1e-200
+#: Words of more letters than this share nothing with others: their lattices are not kept.
+MOST_SHARED = 128
 FLOOR = 0.01  # expected count that every piece has besides
 MOST_STEPS = 3
 LEAST_GAIN = 0.01
@@ -204,6 +207,90 @@ class Lattice:
         return count * total
 
 
+class Shared:
+    """The lattices of words that come in order, as those of one prefix tree: what two words in a row start with is
+    worked on once, forward when the first of them comes, backward when the last of them is left. Any order is right, and
+    the more two words in a row share, the less is done. Probabilities are plain; the lattice's own recursions do
+    what is too small or too long for that."""
+
+    def __init__(self, lattice: Lattice):
+        self.lattice, self.into = lattice, [0.0] * len(lattice.weight)
+        #: letter -> what follows it, the probability and the number of the piece that ends with it (-1: none does)
+        self.root: dict = {}
+        for piece, k in lattice.pieces.number.items():
+            node = self.root
+            for c in piece[:-1]:
+                node = node.setdefault(c, [{}, 0.0, -1])[0]
+            node.setdefault(piece[-1], [{}, 0.0, -1])[1:] = math.exp(lattice.weight[k]), k
+        # for each prefix of the word held: starts of pieces that go on, probability, what is behind it, pieces at its end
+        self.held, self.live, self.alpha, self.beta, self.edges = "", [[(0, self.root)]], [1.0], [0.0], [[]]
+
+    def _leave(self, n: int) -> None:
+        """Forget all but the first n letters: what words behind them expect is added."""
+        alpha, beta, into = self.alpha, self.beta, self.into
+        for j in range(len(self.held), n, -1):
+            b = beta[j]
+            if b:
+                for i, p, k in self.edges[j]:
+                    s = p * b
+                    beta[i] += s
+                    if k >= 0:
+                        into[k] += alpha[i] * s
+                    else:
+                        for x in self.lattice._spelled(self.held[j - 1]):
+                            into[x] += alpha[i] * s
+        for of_prefix in (self.live, alpha, beta, self.edges):
+            del of_prefix[n + 1 :]
+
+    def _meet(self, word: str) -> float:
+        """The word's probability; the word is held from now on."""
+        held, word = self.held, START + word
+        n, most = 0, min(len(held), len(word))
+        while n < most and held[n] == word[n]:
+            n += 1
+        self._leave(n)
+        self.held, root, live, alpha, edges = word, self.root, self.live, self.alpha, self.edges
+        for j in range(n, len(word)):
+            c, a, on, ending = word[j], 0.0, [], []
+            for i, node in live[j]:
+                hit = node.get(c)
+                if hit is not None:
+                    after, p, k = hit
+                    if k >= 0:
+                        a += alpha[i] * p
+                        ending.append((i, p, k))
+                    if after:
+                        on.append((i, after))
+            if hit is None or hit[2] < 0:  # the last start is the letter's own
+                p = math.exp(sum(self.lattice.weight[k] for k in self.lattice._spelled(c)))
+                a += alpha[j] * p
+                ending.append((j, p, -1))
+            on.append((j + 1, root))
+            live.append(on)
+            alpha.append(a)
+            self.beta.append(0.0)
+            edges.append(ending)
+        return alpha[-1]
+
+    def expect(self, word: str, count: int) -> float:
+        """The log likelihood of `count` such words; their pieces are in expected() later."""
+        total = self._meet(word) if len(word) <= MOST_SHARED else 0.0
+        if total <= LEAST_PLAIN:
+            return self.lattice.expect(word, count, self.into)
+        self.beta[-1] += count / total
+        return count * math.log(total)
+
+    def expected(self) -> list[float]:
+        """The expected number of each piece in all words so far."""
+        self._leave(0)
+        self.held = ""
+        return self.into
+
+    def word_log10(self, word: str) -> float:
+        total = self._meet(word) if len(word) <= MOST_SHARED else 0.0
+        return math.log10(total) if total > LEAST_PLAIN else self.lattice.word_log10(word)
+
+
 def token_log10(pieces_log10: float, count: int, total: int, unseen: float) -> float:
     """A token's log10 probability: its own arc and the pieces' together."""
     by_pieces = math.log10(unseen) + pieces_log10
@@ -211,7 +298,8 @@ def token_log10(pieces_log10: float, count: int, total: int, unseen: float) -> f
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """(word, trained, seen) of all words of docs(text, train): counts in training texts and in all texts."""
+    """(word, trained, seen) of all words of docs(text, train): counts in training texts and in all texts. Words are in
+    order within a partition, so that their lattices share what they start with."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
@@ -234,7 +322,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         yield from out()
 
     parts = docs.mapInArrow(counted, "word string, trained long, seen long")
-    return parts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen"))
+    return parts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("seen").alias("seen")).sortWithinPartitions("word")
 
 
 def learn_pieces(words: DataFrame, pieces: Pieces, n_docs: int, tokens: int, most_steps: int = MOST_STEPS, least_gain: float = LEAST_GAIN) -> list[float]:
@@ -247,11 +335,12 @@ def learn_pieces(words: DataFrame, pieces: Pieces, n_docs: int, tokens: int, mos
         now = words.sparkSession.sparkContext.broadcast(weight)
 
         def expected(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            lattice, into, likely = Lattice(shared.value, now.value), [0.0] * len(now.value), []
+            lattices, likely = Shared(Lattice(shared.value, now.value)), []
             for batch in batches:
                 for word, n in zip(batch.column("word").to_pylist(), batch.column("trained").to_pylist(), strict=True):
-                    likely.append(lattice.expect(word, n, into))
+                    likely.append(lattices.expect(word, n))
                 likely = [math.fsum(likely)]
+            into = lattices.expected()
             found = [k for k, x in enumerate(into) if x]
             yield pa.RecordBatch.from_arrays([pa.array([-1, *found], pa.int32()), pa.array([math.fsum(likely), *(into[k] for k in found)], pa.float64())], ["piece", "n"])
 
@@ -288,9 +377,9 @@ def score(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str
     model = spark.sparkContext.broadcast((pieces, learn_pieces(words, pieces, n_docs, total, most_steps, least_gain)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(*model.value)
+        lattices = Shared(Lattice(*model.value))
         for batch in batches:
-            logs = [lattice.word_log10(x) for x in batch.column("word").to_pylist()]
+            logs = [lattices.word_log10(x) for x in batch.column("word").to_pylist()]
             mixed = [token_log10(p, c, total, unseen) for p, c in zip(logs, batch.column("trained").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs, pa.float64()), pa.array(mixed, pa.float64())], ["word", "trained", "seen", "log10", "mixed"])
 

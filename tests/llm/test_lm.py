@@ -55,6 +55,36 @@ def test_unknown_characters_are_spelled_and_long_words_scored():
     assert math.isfinite(lattice.word_log10("xyz" * 20000))
 
 
+def test_words_in_a_row_share_what_they_start_with(spark):
+    pieces = lm.Pieces.load(PATH)
+    lattice = lm.Lattice(pieces, pieces.weight)
+    ordered = sorted(["the", "then", "there", "therefore", "fürü", "für\U00012345a", "für\U00012345b", "un" * 12, "un" * 13, "xyz" * 40, "xyz" * 41, "xyz" * 400, "\x00", "the"])
+    for words in (ordered, ordered[::2] + ordered[1::2]):
+        both, own = lm.Shared(lattice), [0.0] * len(pieces.weight)
+        for n, word in enumerate(words, 1):
+            assert both.expect(word, n) == pytest.approx(lattice.expect(word, n, own), rel=1e-12)
+        assert both.expected() == pytest.approx(own, rel=1e-9)
+        assert [both.word_log10(x) for x in words] == pytest.approx([lattice.word_log10(x) for x in words], rel=1e-12)
+
+    # letters that are looked at: each of a prefix once, though a hundred words have it
+    shared, letters = lm.Shared(lattice), []
+
+    class Root(dict):
+        def get(self, c):
+            letters.append(c)
+            return super().get(c)
+
+    shared.root = Root(shared.root)
+    shared.live = [[(0, shared.root)]]
+    for k in range(100):
+        shared.expect(f"unterhaltung{k:02}", 1)
+    assert len(letters) == len(lm.START + "unterhaltung") + 10 + 100
+    # and words come so
+    docs = spark.createDataFrame([(f"{k * 7919 % 1000:03} x", True) for k in range(1000)], "text string, train boolean").repartition(8)
+    parts = [[r.word for r in rows] for rows in lm.count_words(docs).rdd.glom().collect()]
+    assert sum(map(len, parts)) == 1001 and all(x == sorted(x) for x in parts)
+
+
 @pytest.mark.parametrize("frequent", [0, 3, 1 << 17])
 def test_base_and_model_against_brute_force(spark, frequent):
     texts = [(1, "The cat  sat"), (2, "the\tdog\x0bsat the"), (2, "the\tdog\x0bsat the"), (3, ""), (4, None), (None, "dog Dog ÄRGER ärger"), (6, "cat the the unseen1"), (7, "w" * 5000)]
