@@ -5,20 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from aerolith.functions.core import any_of, first_case, led, looked_up, lowered, pattern, trimmed
+from aerolith.functions.core import any_of, first_case, led, let, looked_up, lowered, pattern, trimmed
 from aerolith.rules import tables as T
 
 
 def aircraft_category(url: Column, title: Column) -> Column:
     """A category by the first rule whose marks are in the URL or the title; marks are plain parts of words."""
-    u, t = F.lower(F.coalesce(url, F.lit(""))), F.lower(title)
-    cases = []
-    for name, in_url, in_title, patterns in T.CATEGORY_RULES:
-        hit = any_of(u, in_url) | any_of(t, in_title)
-        for p in patterns:
-            hit = hit | t.rlike(pattern(p, ""))
-        cases.append((hit, name))
-    return first_case(*cases)
+    def ruled(both: Column) -> Column:
+        u, t = both["u"], both["t"]
+        cases = []
+        for name, in_url, in_title, patterns in T.CATEGORY_RULES:
+            hit = any_of(u, in_url) | any_of(t, in_title)
+            for p in patterns:
+                hit = hit | t.rlike(pattern(p, ""))
+            cases.append((hit, name))
+        return first_case(*cases)
+
+    return let(F.struct(F.lower(F.coalesce(url, F.lit(""))).alias("u"), F.lower(title).alias("t")), ruled)
 
 
 def normal_category(c: Column, known: tuple[str, ...] | None = None) -> Column:
@@ -39,8 +42,7 @@ def _registration(c: Column) -> Column:
 
 
 def registration_category(c: Column) -> Column:
-    reg = _registration(c)
-    return first_case(*[(reg.rlike(f"^{form}$"), name) for form, name in T.REGISTRATION_CATEGORIES])
+    return let(_registration(c), lambda reg: first_case(*[(reg.rlike(f"^{form}$"), name) for form, name in T.REGISTRATION_CATEGORIES]))
 
 
 def registration_country(c: Column) -> Column:
@@ -118,26 +120,25 @@ def vat_included(c: Column) -> Column:
 
 def is_clean_model(c: Column) -> Column:
     """Whether a string can be a model's name."""
-    x = trimmed(c)
-    bad = F.lit(False)
-    for p in T.NOT_MODEL:
-        bad = bad | x.rlike(pattern(p))
-    return F.coalesce((F.length(c) >= 2) & ~bad & (F.size(F.split(x, r"\s+")) <= 6), F.lit(False))
+    bad = pattern("|".join(f"(?:{p})" for p in T.NOT_MODEL))
+    clean = let(trimmed(c), lambda x: ~x.rlike(bad) & (F.size(F.split(x, r"\s+")) <= 6))
+    return F.coalesce((F.length(c) >= 2) & clean, F.lit(False))
 
 
 def model_of_title(title: Column, manufacturer: Column, known: Column) -> Column:
     """The model: the known one, else the title without maker, phrases of sale and what follows the model, whole if it
-    is clean, else its first three, two or one words; empty if none of them is."""
+    is clean, else its first three, two or one words; empty if none of them is. What a title is cut down to is computed
+    once, and only where no model is known."""
     quoted = F.regexp_replace(F.coalesce(manufacturer, F.lit("")), r"([.*+?^$\{}()|\[\]\\])", r"\\$1")
     x = trimmed(F.when(manufacturer.isNotNull(), F.regexp_replace(title, F.concat(F.lit("(?i)^(.*?)"), quoted), F.lit("$1"))).otherwise(title))
     for p in T.SALE_PREFIXES:
         x = F.regexp_replace(x, f"(?i){p}", "")
     x = trimmed(F.element_at(F.split(trimmed(x), f"(?iu){T.MODEL_ENDS}"), 1))
     x = trimmed(F.regexp_replace(x, r"[\s,;:.!]+$", ""))
-    words = F.filter(F.split(x, r"\s+"), lambda w: w != "")
-    short = [F.array_join(F.slice(words, 1, n), " ") for n in (3, 2, 1)]
-    tries = F.coalesce(*[F.when((F.size(words) >= n) & is_clean_model(s), s) for n, s in zip((3, 2, 1), short, strict=True)], F.lit(""))
-    return F.coalesce(known, F.when(is_clean_model(x), F.substring(x, 1, 80)).otherwise(tries))
+    clean = lambda n: lambda s: F.when(is_clean_model(s), F.substring(s, 1, n) if n else s)
+    first = lambda words: F.coalesce(*[F.when(F.size(words) >= n, let(F.array_join(F.slice(words, 1, n), " "), clean(0))) for n in (3, 2, 1)], F.lit(""))
+    short = lambda x: let(F.filter(F.split(x, r"\s+"), lambda w: w != ""), first)
+    return F.coalesce(known, let(x, lambda x: F.coalesce(clean(80)(x), short(x))))
 
 
 def part_brand(title: Column) -> Column:

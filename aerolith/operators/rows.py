@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,20 +20,22 @@ def _text_if_set(c: Column) -> Column:
     return F.when(F.coalesce(c, F.lit(0.0)) != 0, F.regexp_replace(c.cast("string"), r"\.0$", ""))
 
 
-def listing_rows(df: DataFrame, contact_email: str, country: str = "Germany", currency: str = "EUR", seats: str = "2") -> DataFrame:
+def listing_rows(df: DataFrame, contact_email: str, country: str = "Germany", currency: str = "EUR", seats: str = "2", only: Sequence[str] = ()) -> DataFrame:
     """Listings (schemas.LISTING, with model, manufacturer_id and category_id) as rows of the target: a missing price is
-    0 and negotiable; weights and speeds are text; empty strings stand for missing names."""
+    0 and negotiable; weights and speeds are text; empty strings stand for missing names. `only` names the columns that
+    are asked for, if not all are: df then needs but what these come from."""
     title = X.strip_title_date_prefix(F.col("title"))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     numbers = ("empty_weight", "max_takeoff_weight", "fuel_capacity", "cruise_speed", "max_speed", "max_range", "service_ceiling")
-    return df.select(
-        F.col("source_id").alias("source_url"), title.alias("headline"), "model", "description", "year", F.coalesce("price", F.lit(0.0)).alias("price"), F.lit(currency).alias("currency"),
-        F.when(F.coalesce("price", F.lit(0.0)) != 0, F.col("price_negotiable")).otherwise(True).alias("price_negotiable"), "total_time", "engine_hours", F.col("engine").alias("engine_type_name"), text("location").alias("location"),
-        F.coalesce(X.clean_country(F.col("country")), C.registration_country(F.col("registration")), F.lit(country)).alias("country"), X.clean_city(F.col("city")).alias("city"), X.clean_icao(F.col("icao")).alias("icaocode"),
-        text("registration").alias("registration"), text("serial_number").alias("serial_number"), "manufacturer_id", "category_id", F.lit("active").alias("status"), "source_name", F.lit(True).alias("is_external"), F.lit(True).alias("was_external"),
-        F.coalesce("contact_name", "source_name").alias("contact_name"), F.coalesce("contact_email", F.lit(contact_email)).alias("contact_email"), text("contact_phone").alias("contact_phone"), F.lit(seats).alias("seats"), "fuel_type",
-        *[_text_if_set(F.col(c)).alias(c) for c in numbers], F.col("avionics").alias("avionics_other"),
-    )
+    every = {
+        "source_url": F.col("source_id"), "headline": title, "model": F.col("model"), "description": F.col("description"), "year": F.col("year"), "price": F.coalesce("price", F.lit(0.0)), "currency": F.lit(currency),
+        "price_negotiable": F.when(F.coalesce("price", F.lit(0.0)) != 0, F.col("price_negotiable")).otherwise(True), "total_time": F.col("total_time"), "engine_hours": F.col("engine_hours"), "engine_type_name": F.col("engine"), "location": text("location"),
+        "country": F.coalesce(X.clean_country(F.col("country")), C.registration_country(F.col("registration")), F.lit(country)), "city": X.clean_city(F.col("city")), "icaocode": X.clean_icao(F.col("icao")),
+        "registration": text("registration"), "serial_number": text("serial_number"), "manufacturer_id": F.col("manufacturer_id"), "category_id": F.col("category_id"), "status": F.lit("active"), "source_name": F.col("source_name"), "is_external": F.lit(True), "was_external": F.lit(True),
+        "contact_name": F.coalesce("contact_name", "source_name"), "contact_email": F.coalesce("contact_email", F.lit(contact_email)), "contact_phone": text("contact_phone"), "seats": F.lit(seats), "fuel_type": F.col("fuel_type"),
+        **{c: _text_if_set(F.col(c)) for c in numbers}, "avionics_other": F.col("avionics"),
+    }
+    return df.select(*[every[name].alias(name) for name in only or every])
 
 
 def part_rows(df: DataFrame, contact_email: str, currency: str = "EUR") -> DataFrame:

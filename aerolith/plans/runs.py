@@ -53,12 +53,17 @@ def event_run(landed: DataFrame, target: DataFrame, now: Column, sources: Iterab
     return out
 
 
+#: What of a listing (schemas.LISTING) the outcome of a run comes from.
+DECISIVE = ("source_id", "source_url", "source_name", "title", "description", "year", "engine", "registration", "image_urls")
+
+
 def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, categories: DataFrame, target: DataFrame, contact_email: str, specs_first: bool = False) -> DataFrame:
     """Outcomes of listings (schemas.LISTING): matched with makers (id, name) and specs (maker, model, variant, category,
     ord), gated, mapped to target rows and held against the target. specs_first lets an entry's category go before that
     of the registration. Listings are computed once and written, and so are they with their model and category: the matches
-    below and both ends of the gate read them again."""
-    df = written(listings.withColumn("clean_title", X.strip_title_date_prefix(F.col("title"))), "parsed-listings")
+    below and both ends of the gate read them again. An outcome shows where a listing stands and what it was matched with,
+    so the columns that neither comes from (prices, measures, contacts) are not asked of the parser."""
+    df = written(listings.select(*DECISIVE).withColumn("clean_title", X.strip_title_date_prefix(F.col("title"))), "parsed-listings")
     df = match.manufacturer(df, "source_id", "clean_title", specs.select(F.col("maker").alias("name")))
     df = match.lookup(df, {"manufacturer": "name"}, makers, "id", "manufacturer_id")
     best = match.best_spec(df.withColumn("__text", F.concat_ws(" ", "clean_title", "description", "engine")), "source_id", "__text", specs, "maker", "model", "variant", "ord")
@@ -73,8 +78,8 @@ def listing_run(listings: DataFrame, makers: DataFrame, specs: DataFrame, catego
     df = match.lookup(df.withColumn("category", category), {"category": "name"}, categories, "id", "category_id")
     df = written(df.drop("__s", "__m", "__c", "__h", "__f").withColumn("gate", validate.listing_reason()), "gated-listings")
     df = df.withColumn("description", merge.description_ladder(F.lit(None).cast("string"), F.col("description"), F.col("clean_title"), F.col("year")))
-    made = upsert.outcomes(rows.listing_rows(df.where("gate IS NULL"), contact_email), target, "source_url")
     told = ("source_name", "model", "manufacturer_id", "category_id")
+    made = upsert.outcomes(rows.listing_rows(df.where("gate IS NULL"), contact_email, only=("source_url", "headline", *told)), target, "source_url")
     shut = df.where("gate IS NOT NULL").select(F.col("source_id").alias("source_url"), F.col("clean_title").alias("headline"), *told, F.lit("skipped").alias("outcome"), F.col("gate").alias("reason"))
     return made.select("source_url", "headline", *told, "outcome", "reason").unionByName(shut)
 

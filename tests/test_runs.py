@@ -36,6 +36,27 @@ def test_a_listing_run(spark):
     assert got == {"1": ("inserted", None), "2": ("skipped", "no_images"), "3": ("skipped", "no_year"), "4": ("skipped", "no_clean_model"), "5": ("updated", None)}
 
 
+def test_a_listing_run_asks_for_what_decides(spark, monkeypatch):
+    """Measures, prices and contacts are not computed for outcomes, a title's model is cut out once for a row."""
+    from aerolith.functions.classify import aircraft_category, is_clean_model, model_of_title
+    from aerolith.rules import tables as T
+
+    tables, real = {}, runs.written
+    monkeypatch.setattr(runs, "written", lambda df, label: tables.setdefault(label, real(df, label)))
+    row = "source_id string, source_url string, source_name string, title string, description string, year int, image_urls array<string>, registration string"
+    listings = _typed(spark.createDataFrame([("1", "u", "s", "Cessna 172 Skyhawk", "x", 1980, ["a.jpg"], "D-EABC")], row), schemas.LISTING).withColumn("mtow", F.raise_error(F.lit("asked for")).cast("double"))
+    specs = spark.createDataFrame([("Cessna", "172", "Skyhawk", "jet", 1)], "maker string, model string, variant string, category string, ord int")
+    target = spark.createDataFrame([], "source_url string, is_external boolean, claimed_at timestamp_ntz")
+    got = runs.listing_run(listings, spark.createDataFrame([(7, "Cessna")], "id int, name string"), specs, spark.createDataFrame([(3, "jet")], "id int, name string"), target, "none@example.org").first()
+    assert (got.headline, got.model, got.manufacturer_id, got.outcome) == ("Cessna 172 Skyhawk", "172 Skyhawk", 7, "inserted")
+    assert "mtow" not in tables["parsed-listings"].columns + tables["gated-listings"].columns
+
+    df = spark.createDataFrame([("a", "b")], "title string, maker string")
+    plan = lambda c: df.select(c.alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan(model_of_title(F.col("title"), F.col("maker"), F.lit(None).cast("string"))).count(T.MODEL_ENDS) == 1
+    assert plan(is_clean_model(F.col("title"))).count("title#") <= 5 and plan(aircraft_category(F.col("title"), F.col("title"))).count("lower(title#") == 1
+
+
 def test_part_rows(spark):
     parts = _typed(spark.createDataFrame([("1", "Garmin GTX", "avionics", None), ("2", "Propeller alt", "rescue", 5.0)], "source_id string, title string, category string, price double"), schemas.PART)
     got = sorted((r.source_url, r.category_id, r.manufacturer, r.price_on_request) for r in rows.part_rows(parts, "none@example.org").collect())
